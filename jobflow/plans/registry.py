@@ -17,6 +17,7 @@ ORACLE: dict[str, str] = {}
 
 _MODULES = [
     "jobflow.plans.balance_queries",
+    "jobflow.plans.filter_queries",
 ]
 
 
