@@ -18,6 +18,7 @@ ORACLE: dict[str, str] = {}
 _MODULES = [
     "jobflow.plans.balance_queries",
     "jobflow.plans.filter_queries",
+    "jobflow.plans.aggregate_queries",
 ]
 
 
