@@ -73,7 +73,7 @@ def balance_long(df: DataFrame, *, month: str = "competencia_mov", code: str = "
 
 
 def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str = "tipo_movimentacao",
-                  tipo: str = "tipo", saldo: str = "saldo_movimentacao") -> DataFrame:
+                  tipo: str = "tipo", saldo: str = "saldo_movimentacao", by=()) -> DataFrame:
     """Direction pivoted to columns with explicit values; a missing direction gives 0.
 
     Pivot over fixed values is planned as conditional sums in one aggregate,
@@ -81,12 +81,13 @@ def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str =
     """
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
-    return (df.select(F.col(month).cast("string").alias("competencia"), d.alias("direction"), s.alias("s"))
+    by = list(by)
+    return (df.select(F.col(month).cast("string").alias("competencia"), *by, d.alias("direction"), s.alias("s"))
             .where(F.col("direction").isNotNull())
-            .groupBy("competencia")
+            .groupBy("competencia", *by)
             .pivot("direction", [ADMISSION, SEPARATION])
             .agg(F.sum("s"))
-            .select("competencia",
+            .select("competencia", *by,
                     F.coalesce(F.col(ADMISSION), F.lit(0)).cast("bigint").alias("admissoes"),
                     F.coalesce(F.col(SEPARATION), F.lit(0)).cast("bigint").alias("desligamentos")))
 
@@ -94,7 +95,8 @@ def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str =
 def monthly_balance(df: DataFrame, **cols) -> DataFrame:
     """Separations as absolute value, saldo_mensal = admissoes - |desligamentos|."""
     p = balance_pivot(df, **cols)
-    return p.select("competencia", "admissoes", F.abs("desligamentos").alias("desligamentos"),
+    by = list(cols.get("by", ()))
+    return p.select("competencia", *by, "admissoes", F.abs("desligamentos").alias("desligamentos"),
                     (F.col("admissoes") - F.abs("desligamentos")).alias("saldo_mensal"))
 
 
@@ -127,6 +129,12 @@ def balance_series(mov: DataFrame, *, anchor: str = DEFAULT_ANCHOR, baseline: in
     return running_stock(monthly_balance(mov, **cols), anchor=anchor, baseline=baseline, mode=mode)
 
 
+def append_recalc(old: DataFrame, new: DataFrame, **stock_kw) -> DataFrame:
+    """H2: existing series + newly computed months, stock recomputed over the union."""
+    cols = ["competencia", "admissoes", "desligamentos", "saldo_mensal"]
+    return running_stock(old.select(*cols).unionByName(new.select(*cols)), **stock_kw)
+
+
 def series_summary(bal: DataFrame) -> DataFrame:
     """first/last month, months, totals, final stock (stock of the last month)."""
     return bal.agg(

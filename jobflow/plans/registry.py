@@ -19,6 +19,7 @@ _MODULES = [
     "jobflow.plans.balance_queries",
     "jobflow.plans.filter_queries",
     "jobflow.plans.aggregate_queries",
+    "jobflow.plans.series_queries",
 ]
 
 
