@@ -20,6 +20,7 @@ _MODULES = [
     "jobflow.plans.filter_queries",
     "jobflow.plans.aggregate_queries",
     "jobflow.plans.series_queries",
+    "jobflow.plans.quality_queries",
 ]
 
 
