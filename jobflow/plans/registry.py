@@ -21,6 +21,7 @@ _MODULES = [
     "jobflow.plans.aggregate_queries",
     "jobflow.plans.series_queries",
     "jobflow.plans.quality_queries",
+    "jobflow.plans.clean_queries",
 ]
 
 
