@@ -20,7 +20,6 @@ DEFAULT_ANCHOR = "202001"
 DEFAULT_BASELINE = 39054507
 TEST_BASELINE = 39567082
 
-ALL_ROWS = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def classify_movement(df: DataFrame, *, code: str = "tipo_movimentacao", out: str = "direction") -> DataFrame:
