@@ -22,6 +22,7 @@ _MODULES = [
     "jobflow.plans.series_queries",
     "jobflow.plans.quality_queries",
     "jobflow.plans.clean_queries",
+    "jobflow.plans.source_queries",
 ]
 
 
