@@ -23,6 +23,7 @@ _MODULES = [
     "jobflow.plans.quality_queries",
     "jobflow.plans.clean_queries",
     "jobflow.plans.source_queries",
+    "jobflow.plans.analytics_queries",
 ]
 
 
