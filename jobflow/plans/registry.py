@@ -24,6 +24,7 @@ _MODULES = [
     "jobflow.plans.clean_queries",
     "jobflow.plans.source_queries",
     "jobflow.plans.analytics_queries",
+    "jobflow.plans.stream_queries",
 ]
 
 

@@ -182,3 +182,10 @@ def accept_recovered(df: DataFrame) -> DataFrame:
     n = df.limit(2).agg(F.count(F.lit(1)).alias("linhas_min"))
     return n.select("linhas_min", F.lit(len(df.columns)).alias("colunas"), F.lit(groups).alias("grupos"),
                     ((F.col("linhas_min") >= 2) & F.lit(len(df.columns) >= 3) & F.lit(groups >= 2)).alias("aceito"))
+
+
+def file_hashes(spark: SparkSession, paths) -> DataFrame:
+    """Per file: size, sha256 and md5 of the bytes (``binaryFile`` source, one task per file)."""
+    b = spark.read.format("binaryFile").load(paths)
+    return b.select(F.col("path").alias("arquivo"), F.col("length").alias("bytes"),
+                    F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
