@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from jobflow.functions.codes import (ADMISSION_ALIASES, OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES,
                                      SEPARATION_ALIASES, SEX_CODES, SEX_TEXT_ALIASES, UF_CODES, direction)
 from jobflow.operators import aggregates as A
+from jobflow.session import ensure_checkpoint_dir, session_conf
 
 # fixed values: tolerances (%) and patterns of the validation rules
 BALANCE_TOLERANCE = 5.0
@@ -282,11 +283,88 @@ def quarantine(df: DataFrame, checks: list[Check]) -> DataFrame:
     return df.withColumn("motivos", F.concat_ws(",", reasons)).withColumn("valido", F.col("motivos") == "")
 
 
+def outlier_checks(df: DataFrame, cols: list[str], tol=OUTLIER_LIMIT, *, exact: bool = True) -> list[Check]:
+    """J9 as row checks: fences from ONE quantile aggregate (a few numbers to the driver),
+    then 'value outside the fences' joins the fused battery."""
+    fences = {r["coluna"]: r for r in A.iqr_bounds(df, cols, exact=exact).collect()}
+    out = []
+    for c in cols:
+        lo, hi = fences[c]["limite_inferior"], fences[c]["limite_superior"]
+        bad = F.lit(False) if lo is None else (F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))
+        out.append(Check("outliers", c, bad, None, tol))
+    return out
+
+
+def completeness_checks(cols: list[str], tol=COMPLETENESS_LIMIT) -> list[Check]:
+    """J6 as row checks (null share per column)."""
+    return [Check("completude", c, F.col(c).isNull(), None, tol) for c in cols]
+
+
+def structure_rows(df: DataFrame, counted: DataFrame) -> DataFrame:
+    """J10 from schema metadata plus the row count already computed by the fused aggregate."""
+    upper = {c.upper() for c in df.columns}
+    meta = [("campo_essencial", g, 0 if any(v in upper for v in vs) else 1) for g, vs in ESSENTIAL_GROUPS.items()]
+    meta.append(("colunas_minimas", "*", 1 if len(df.columns) < 5 else 0))
+    rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.lit(c).alias("column_name"),
+                              F.lit(b).cast("bigint").alias("bad_rows")) for n, c, b in meta],
+                   F.struct(F.lit("nao_vazio").alias("check_name"), F.lit("*").alias("column_name"),
+                            F.when(F.col("__n") == 0, 1).otherwise(0).cast("bigint").alias("bad_rows")))
+    return _finish(counted.select(F.inline(rows)).withColumn("total_rows", F.lit(1).cast("bigint"))
+                   .withColumn("tolerance", F.lit(0.0)))
+
+
 class QualityReport:
-    """Runs a check battery on one frame: fused row checks + grouped checks + overall row."""
+    """Runs a check battery on one frame with three passes over it, whatever the number of checks:
+
+    1. one quantile aggregate (only when outlier columns are given),
+    2. ONE fused aggregate for every row-level, completeness and outlier check,
+       which also yields the row count used by the structure check,
+    3. one grouping by all columns for duplicates, re-grouped by the key
+       columns for the duplicate-key check (both read from the same chain).
+    The small intermediate results (one row; the ~40-row report) are
+    checkpointed to the shared checkpoint folder, so deriving several report
+    rows and the overall 'geral' row from them never re-runs a scan.
+    """
 
-    def __init__(self, df: DataFrame, checks: list[Check], extra: list[DataFrame] | None = None):
-        self.df, self.checks, self.extra = df, checks, extra or []
+    def __init__(self, df: DataFrame, checks: list[Check], *, completeness_cols=(), outlier_cols=(),
+                 duplicate_keys=None, structure: bool = False, extra: list[DataFrame] | None = None):
+        self.df, self.checks, self.extra = df, list(checks), extra or []
+        self.completeness_cols, self.outlier_cols = list(completeness_cols), list(outlier_cols)
+        self.duplicate_keys, self.structure = duplicate_keys, structure
 
     def run(self) -> DataFrame:
-        return with_overall(union_reports([run_checks(self.df, self.checks), *self.extra]))
+        df = self.df
+        ensure_checkpoint_dir(df.sparkSession)
+        checks = self.checks + completeness_checks(self.completeness_cols)
+        if self.outlier_cols:
+            checks += outlier_checks(df, self.outlier_cols)
+        aggs = [F.count(F.lit(1)).alias("__n")]
+        for i, c in enumerate(checks):
+            elig = c.eligible if c.eligible is not None else F.lit(True)
+            aggs += [F.count_if(elig).alias(f"t{i}"), F.count_if(elig & F.coalesce(c.bad, F.lit(False))).alias(f"b{i}")]
+        # one row; checkpointed (shared checkpoint folder) so the rows derived from it
+        # below do not re-run the scan.  Dozens of conditional counts fused with the
+        # scan generate a method above the JVM's 8 KB JIT limit; for this one action
+        # Spark is told to fall back to non-fused code, which the JIT compiles.
+        with session_conf(df.sparkSession, spark__sql__codegen__hugeMethodLimit="8000"):
+            counted = df.agg(*aggs).checkpoint(eager=True)
+        rows = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
+                                  F.col(f"b{i}").cast("bigint").alias("bad_rows"),
+                                  F.col(f"t{i}").cast("bigint").alias("total_rows"),
+                                  F.lit(float(c.tolerance)).alias("tolerance")) for i, c in enumerate(checks)])
+        parts = [_finish(counted.select(F.inline(rows)))]
+        if self.structure:
+            parts.append(structure_rows(df, counted))
+        if self.duplicate_keys is not None:
+            keys = [k for k in self.duplicate_keys if k in df.columns]
+            g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__k"))
+            kg = g.groupBy(*keys).agg(F.sum("__k").alias("__t"), F.count(F.lit(1)).alias("__u"))
+            d = kg.agg(F.sum("__t").alias("t"), F.sum("__u").alias("u"), F.sum(F.col("__t") - 1).alias("bk"))
+            both = F.array(
+                F.struct(F.lit("duplicatas").alias("check_name"), F.lit("*").alias("column_name"),
+                         (F.col("t") - F.col("u")).cast("bigint").alias("bad_rows"), F.col("t").cast("bigint").alias("total_rows")),
+                F.struct(F.lit("chaves_duplicadas").alias("check_name"), F.lit(",".join(keys)).alias("column_name"),
+                         F.col("bk").cast("bigint").alias("bad_rows"), F.col("t").cast("bigint").alias("total_rows")))
+            parts.append(_finish(d.select(F.inline(both)).withColumn("tolerance", F.lit(0.0))))
+        report = union_reports(parts + self.extra).checkpoint(eager=True)
+        return with_overall(report)

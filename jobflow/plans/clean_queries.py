@@ -242,3 +242,30 @@ def a3(spark, sf_dir):
 def a14(spark, sf_dir):
     q = movq(spark, sf_dir).select("id", "horas_txt", "mes_txt")
     return CL.apply_schema(q, {"horas_txt": "bigint", "mes_txt": "int", "nao_existe": "int"})
+
+
+# --- I: scalar-function regression mix -----------------------------------------------------------------
+
+@query("i_scalar_mix", """SELECT o_orderkey, upper(trim(o_orderpriority)) AS prio, length(o_orderpriority) AS len,
+ substr(o_orderpriority, 1, 1) AS p1, starts_with(o_orderpriority, '1') AS urgente,
+ regexp_matches(o_orderpriority, '^[0-9]-[A-Z]+$') AS simples, regexp_replace(o_orderpriority, '[^A-Z]', '', 'g') AS letras,
+ concat(o_orderstatus, '-', CAST(o_custkey AS STRING)) AS chave, split_part(o_orderpriority, '-', 2) AS rotulo,
+ translate(o_orderpriority, 'AEIOU', 'aeiou') AS minusc, CAST(o_orderdate AS DATE) + 30 AS d30,
+ CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH AS DATE) AS d1m, strftime(o_orderdate, '%Y%m') AS ym,
+ round(abs(o_totalprice - 100000.0), 2) AS dist, coalesce(nullif(o_orderstatus, 'P'), 'pendente') AS status,
+ TRY_CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS nivel, md5(o_orderpriority) AS h_md5,
+ sha256(o_orderpriority) AS h_sha FROM orders""")
+def i_mix(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    p = F.col("o_orderpriority")
+    d = F.to_date("o_orderdate")
+    return o.select(
+        "o_orderkey", F.upper(F.trim(p)).alias("prio"), F.length(p).alias("len"), F.substring(p, 1, 1).alias("p1"),
+        p.startswith("1").alias("urgente"), p.rlike("^[0-9]-[A-Z]+$").alias("simples"),
+        F.regexp_replace(p, "[^A-Z]", "").alias("letras"),
+        F.concat(F.col("o_orderstatus"), F.lit("-"), F.col("o_custkey").cast("string")).alias("chave"),
+        F.get(F.split(p, "-"), 1).alias("rotulo"), F.translate(p, "AEIOU", "aeiou").alias("minusc"),
+        F.date_add(d, 30).alias("d30"), F.add_months(d, 1).alias("d1m"), F.date_format(d, "yyyyMM").alias("ym"),
+        F.round(F.abs(F.col("o_totalprice") - 100000.0), 2).alias("dist"),
+        F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("P")), F.lit("pendente")).alias("status"),
+        F.substring(p, 1, 1).try_cast("int").alias("nivel"), F.md5(p).alias("h_md5"), F.sha2(p, 256).alias("h_sha"))

@@ -230,9 +230,8 @@ _reg("j25_file_quality", QV + union(s_completeness(FILE_COLS), *S_J8, S_J25_MONT
 
 def _j26(spark, sf_dir):
     q = movq(spark, sf_dir)
-    return Q.QualityReport(q, row_checks(), extra=[
-        Q.completeness(q, COMPLETE_COLS), Q.duplicates(q), Q.duplicate_key_check(q, ["cnpj", "cpf", "competencia_mov"]),
-        Q.outlier_share(q, OUT_COLS), Q.structure(q)]).run()
+    return Q.QualityReport(q, row_checks(), completeness_cols=COMPLETE_COLS, outlier_cols=OUT_COLS,
+                           duplicate_keys=["cnpj", "cpf", "competencia_mov"], structure=True).run()
 
 
 _J26_BODY = union(*ROW_SQL, s_completeness(COMPLETE_COLS), S_J7, S_J16, s_outliers(OUT_COLS), S_J10)

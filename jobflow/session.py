@@ -50,6 +50,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+class session_conf:
+    """Temporarily set session configs around an action, restoring the previous values."""
+
+    def __init__(self, spark: SparkSession, **conf: str):
+        self.spark, self.conf, self.old = spark, {k.replace("__", "."): v for k, v in conf.items()}, {}
+
+    def __enter__(self):
+        for k, v in self.conf.items():
+            self.old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
