@@ -27,11 +27,15 @@ def with_partition_columns(df: DataFrame, *, month: str = "competencia_mov", tip
 def write_monthly(df: DataFrame, root: str, *, compression: str = "snappy", month: str = "competencia_mov") -> None:
     """One directory per type and month; only the months present in ``df`` are replaced.
 
-    Rows are clustered by the partition columns first so each task writes
-    few files per partition instead of one file per (task, partition).
+    Rows are clustered by the partition columns with the ``rebalance`` hint:
+    AQE groups each (type, month) into few tasks - so each directory gets few
+    files - but splits a partition value that is too large (a month holding a
+    third of the data is spread over many tasks instead of one) and merges
+    small ones.  A plain ``repartition(tipo, ano, mes)`` would send a whole
+    month to a single task.
     """
     out = with_partition_columns(df, month=month)
-    (out.repartition(*PARTITIONS)
+    (out.hint("rebalance", *PARTITIONS)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
      .partitionBy(*PARTITIONS).parquet(root))
 
@@ -72,12 +76,15 @@ def consolidate(spark: SparkSession, root: str, years: list[int], out: str, *, c
     sorted by the first present date column.
 
     Sorting is ``repartitionByRange`` + ``sortWithinPartitions`` (sampled range
-    boundaries, no single-task sort).  Inputs are never deleted.
+    boundaries, no single-task sort).  The range key is the sort column followed
+    by the remaining columns, so one very frequent date value is still split
+    across several tasks.  Inputs are never deleted.
     """
     df = spark.read.parquet(root).where(F.col("ano").isin(list(years)))
     key = sort_column(df, candidates)
     if key is not None:
-        df = df.repartitionByRange(key).sortWithinPartitions(key)
+        rest = [c for c in df.columns if c != key]
+        df = df.repartitionByRange(key, *rest).sortWithinPartitions(key, *rest)
     name = f"{out.rstrip('/')}/consolidado_{min(years)}_{max(years)}" if len(years) > 1 else \
         f"{out.rstrip('/')}/consolidado_{years[0]}"
     df.write.mode("overwrite").option("compression", compression).parquet(name)
