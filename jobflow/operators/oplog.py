@@ -58,7 +58,10 @@ def recent_ops(log: DataFrame, *, ref: _dt.datetime, hours: float = 24, operatio
     """Operations in the ``hours`` before ``ref`` (inclusive), optionally by name; the newest
     ``keep`` are returned (a bounded history, ties by id)."""
     since = ref - _dt.timedelta(hours=hours)
-    df = log.where((F.col("ts") >= F.lit(since)) & (F.col("ts") <= F.lit(ref)))
+    # wall-clock literals (TIMESTAMP_NTZ), so the window does not move with the session time zone
+    lo = F.lit(since.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    hi = F.lit(ref.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    df = log.where((F.col("ts") >= lo) & (F.col("ts") <= hi))
     if operations:
         df = df.where(F.col("operation").isin(list(operations)))
     return df.orderBy(F.col("ts").desc(), F.col("op_id").desc()).limit(keep)

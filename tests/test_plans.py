@@ -49,3 +49,14 @@ def test_balance_plan_has_one_aggregate_over_facts(spark):
 def test_mov_joins_only_needed_tables(spark):
     p = _plan(mov(spark, SF_SMALL, ["competencia_mov", "tipo"]))
     assert "part.parquet" not in p and "customer.parquet" not in p
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    import __spark_entry__ as E
+    from jobflow.session import session_conf
+    q = E.queries()
+    keys = ["n2_balance", "e21_recent", "d3_stale", "b17_parse_date", "k3_lateness", "f8_month_gaps"]
+    base = {k: sorted(map(tuple, q[k](spark, SF_SMALL).collect())) for k in keys}
+    with session_conf(spark, spark__sql__session__timeZone="America/Sao_Paulo"):
+        other = {k: sorted(map(tuple, q[k](spark, SF_SMALL).collect())) for k in keys}
+    assert base == other
