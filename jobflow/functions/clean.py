@@ -37,11 +37,11 @@ def normalize_text(c: Column, empty: str = "COLUNA_SEM_NOME") -> Column:
     """B1 on values: strip accents, non-alphanumerics -> space, collapse, upper, spaces -> '_'.
 
     Every maximal run of characters outside [a-zA-Z0-9] ends up as one '_', so
-    the rule is evaluated as two regex passes instead of five.
+    the rule is one regex pass plus a trim of '_' at both ends; the normalised
+    value is referenced once so it is computed once per row.
     """
-    s = F.regexp_replace(strip_accents(c), r"[^a-zA-Z0-9]+", "_")
-    s = F.upper(F.regexp_replace(s, r"^_|_$", ""))
-    return F.when(c.isNull(), F.lit(None)).when(s == "", F.lit(empty)).otherwise(s)
+    s = F.upper(F.btrim(F.regexp_replace(strip_accents(c), r"[^a-zA-Z0-9]+", "_"), F.lit("_")))
+    return F.when(c.isNotNull(), F.coalesce(F.nullif(s, F.lit("")), F.lit(empty)))
 
 
 def clean_int(c: Column) -> Column:

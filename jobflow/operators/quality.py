@@ -242,21 +242,24 @@ def monthly_consistency(df: DataFrame, *, month="competencia", a="admitidos", d=
     return _rows(c, "consistencia_mensal", s, F.col("bad"), F.col("n"), tol)
 
 
+def _schema_rows(df: DataFrame) -> list[tuple[str, str, int, int]]:
+    """Schema-only rows of J10 with B6 (invalid names) and B7 (essential-field coverage)."""
+    from jobflow.functions.names import field_coverage, invalid_names
+    cov = field_coverage(df.columns, ESSENTIAL_GROUPS)
+    rows = [("campo_essencial", g, 0 if ok else 1, 1) for g, ok in cov]
+    rows.append(("colunas_minimas", "*", 1 if len(df.columns) < 5 else 0, 1))
+    rows.append(("nomes_invalidos", "*", len(invalid_names(df.columns)), len(df.columns)))
+    rows.append(("cobertura_essencial", "*", sum(1 for _, ok in cov if not ok), len(cov)))
+    return rows
+
+
 def structure(df: DataFrame) -> DataFrame:
-    """Essential field groups present, >= 5 columns, non-empty.
+    """J10 (+B6, B7): essential field groups present, >= 5 columns, valid names, non-empty.
 
-    Column checks are schema metadata (no data read); emptiness is one count.
+    Column checks are schema metadata (no data read); emptiness is one count,
+    and all rows come from that single one-row aggregate.
     """
-    upper = {c.upper() for c in df.columns}
-    meta = [(f"campo_essencial", g, 0 if any(v in upper for v in vs) else 1, 1) for g, vs in ESSENTIAL_GROUPS.items()]
-    meta.append(("colunas_minimas", "*", 1 if len(df.columns) < 5 else 0, 1))
-    n = df.agg(F.count(F.lit(1)).alias("n"))
-    parts = [_rows(n, name, col, F.lit(bad), F.lit(total), 0.0) for name, col, bad, total in meta]
-    parts.append(_rows(n, "nao_vazio", "*", F.when(F.col("n") == 0, 1).otherwise(0), F.lit(1), 0.0))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return structure_rows(df, df.agg(F.count(F.lit(1)).alias("__n")))
 
 
 def union_reports(parts: list[DataFrame]) -> DataFrame:
@@ -302,15 +305,13 @@ def completeness_checks(cols: list[str], tol=COMPLETENESS_LIMIT) -> list[Check]:
 
 def structure_rows(df: DataFrame, counted: DataFrame) -> DataFrame:
     """J10 from schema metadata plus the row count already computed by the fused aggregate."""
-    upper = {c.upper() for c in df.columns}
-    meta = [("campo_essencial", g, 0 if any(v in upper for v in vs) else 1) for g, vs in ESSENTIAL_GROUPS.items()]
-    meta.append(("colunas_minimas", "*", 1 if len(df.columns) < 5 else 0))
     rows = F.array(*[F.struct(F.lit(n).alias("check_name"), F.lit(c).alias("column_name"),
-                              F.lit(b).cast("bigint").alias("bad_rows")) for n, c, b in meta],
+                              F.lit(b).cast("bigint").alias("bad_rows"), F.lit(t).cast("bigint").alias("total_rows"))
+                     for n, c, b, t in _schema_rows(df)],
                    F.struct(F.lit("nao_vazio").alias("check_name"), F.lit("*").alias("column_name"),
-                            F.when(F.col("__n") == 0, 1).otherwise(0).cast("bigint").alias("bad_rows")))
-    return _finish(counted.select(F.inline(rows)).withColumn("total_rows", F.lit(1).cast("bigint"))
-                   .withColumn("tolerance", F.lit(0.0)))
+                            F.when(F.col("__n") == 0, 1).otherwise(0).cast("bigint").alias("bad_rows"),
+                            F.lit(1).cast("bigint").alias("total_rows")))
+    return _finish(counted.select(F.inline(rows)).withColumn("tolerance", F.lit(0.0)))
 
 
 class QualityReport:

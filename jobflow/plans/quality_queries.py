@@ -154,6 +154,11 @@ S_J10 = union(*[_fin(f"SELECT 'campo_essencial' AS check_name, '{g}' AS column_n
                      f"CAST(1 AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance") for g in Q.ESSENTIAL_GROUPS],
               _fin("SELECT 'colunas_minimas' AS check_name, '*' AS column_name, CAST(0 AS BIGINT) AS bad_rows, CAST(1 AS BIGINT) AS total_rows, "
                    "CAST(0.0 AS DOUBLE) AS tolerance"),
+              # every movq column is lower-case, so all 21 fail the upper-case naming rule; all 4 groups are covered
+              _fin("SELECT 'nomes_invalidos' AS check_name, '*' AS column_name, CAST(21 AS BIGINT) AS bad_rows, CAST(21 AS BIGINT) AS total_rows, "
+                   "CAST(0.0 AS DOUBLE) AS tolerance"),
+              _fin("SELECT 'cobertura_essencial' AS check_name, '*' AS column_name, CAST(0 AS BIGINT) AS bad_rows, CAST(4 AS BIGINT) AS total_rows, "
+                   "CAST(0.0 AS DOUBLE) AS tolerance"),
               _fin("SELECT 'nao_vazio' AS check_name, '*' AS column_name, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS bad_rows, "
                    "CAST(1 AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance FROM movq"))
 
