@@ -46,28 +46,24 @@ def filter_catalog(cat: DataFrame, *, year: int | None = None, years: tuple[int,
 
 
 def catalog_report(cat: DataFrame) -> DataFrame:
-    """Counts by extension, type, competência, UF and year; size stats; processed counts.
-
-    One small aggregate per dimension over the same scan, stacked; the
-    ``dimensao`` column names the grouping.
-    """
-    sets = cat.select("extensao", "tipo", "competencia", F.col("uf").cast("string").alias("uf"),
-                      F.col("ano").cast("string").alias("ano"), "size_bytes", "processed")
+    """Counts by extension, type, competência, UF and year plus the overall total; size
+    stats; processed counts.  One GROUPING SETS aggregate (one scan, one shuffle); the
+    ``dimensao`` column names the grouping."""
     dims = ["extensao", "tipo", "competencia", "uf", "ano"]
-    parts = []
-    for d in dims:
-        parts.append(sets.groupBy(F.lit(d).alias("dimensao"), F.col(d).alias("valor")).agg(
-            F.count(F.lit(1)).alias("arquivos"), F.sum("size_bytes").alias("bytes_total"),
-            F.round(F.avg("size_bytes"), 6).alias("bytes_medio"), F.min("size_bytes").alias("bytes_min"),
-            F.max("size_bytes").alias("bytes_max"), F.count_if("processed").alias("processados")))
-    parts.append(sets.groupBy(F.lit("total").alias("dimensao"), F.lit("*").alias("valor")).agg(
+    base = cat.select("extensao", "tipo", "competencia", F.col("uf").cast("string").alias("uf"),
+                      F.col("ano").cast("string").alias("ano"), "size_bytes", "processed")
+    g = base.groupingSets([[d] for d in dims] + [[]], *dims).agg(
         F.count(F.lit(1)).alias("arquivos"), F.sum("size_bytes").alias("bytes_total"),
         F.round(F.avg("size_bytes"), 6).alias("bytes_medio"), F.min("size_bytes").alias("bytes_min"),
-        F.max("size_bytes").alias("bytes_max"), F.count_if("processed").alias("processados")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        F.max("size_bytes").alias("bytes_max"), F.count_if("processed").alias("processados"),
+        F.grouping_id().alias("_gid"))
+    full = (1 << len(dims)) - 1
+    dim, val = F.when(F.col("_gid") == full, F.lit("total")), F.when(F.col("_gid") == full, F.lit("*"))
+    for i, d in enumerate(dims):
+        gid = full ^ (1 << (len(dims) - 1 - i))
+        dim, val = dim.when(F.col("_gid") == gid, F.lit(d)), val.when(F.col("_gid") == gid, F.col(d))
+    return g.select(dim.alias("dimensao"), val.alias("valor"), "arquivos", "bytes_total", "bytes_medio",
+                    "bytes_min", "bytes_max", "processados")
 
 
 def catalog_distincts(cat: DataFrame) -> DataFrame:
