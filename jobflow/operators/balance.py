@@ -75,8 +75,9 @@ def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str =
                   tipo: str = "tipo", saldo: str = "saldo_movimentacao", by=()) -> DataFrame:
     """Direction pivoted to columns with explicit values; a missing direction gives 0.
 
-    Pivot over fixed values is planned as conditional sums in one aggregate,
-    so no extra job is spent discovering the pivot values.
+    With the pivot values known (A, D) the pivot is written as two conditional
+    sums in ONE aggregate: one shuffle of partial sums, where ``groupBy.pivot``
+    would plan a second aggregate and exchange.
     """
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
@@ -84,11 +85,10 @@ def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str =
     return (df.select(F.col(month).cast("string").alias("competencia"), *by, d.alias("direction"), s.alias("s"))
             .where(F.col("direction").isNotNull())
             .groupBy("competencia", *by)
-            .pivot("direction", [ADMISSION, SEPARATION])
-            .agg(F.sum("s"))
-            .select("competencia", *by,
-                    F.coalesce(F.col(ADMISSION), F.lit(0)).cast("bigint").alias("admissoes"),
-                    F.coalesce(F.col(SEPARATION), F.lit(0)).cast("bigint").alias("desligamentos")))
+            .agg(F.coalesce(F.sum(F.when(F.col("direction") == ADMISSION, F.col("s"))), F.lit(0)).cast("bigint")
+                 .alias("admissoes"),
+                 F.coalesce(F.sum(F.when(F.col("direction") == SEPARATION, F.col("s"))), F.lit(0)).cast("bigint")
+                 .alias("desligamentos")))
 
 
 def monthly_balance(df: DataFrame, **cols) -> DataFrame:
