@@ -34,26 +34,22 @@ def to_movements(df: DataFrame, *, code_candidates=("tipo_movimentacao", "tipo",
 
 
 def to_entities(df: DataFrame, *, tipo="tipo", code="tipo_movimentacao") -> DataFrame:
-    """One projection per file type, stacked with a common shape.
+    """One entity shape per file type, built in ONE projection (no split and re-union).
 
     MOV -> movement (detail = admissao/desligamento), EXC -> exclusion
     (detail = excluded type), FOR -> late declaration (detail = original
-    competência, date = first day of the declared month).
+    competência, date = first day of the declared month); other types dropped.
     """
-    base = [F.col("id").cast("bigint").alias("id"), F.col("cnpj").cast("string").alias("cnpj"),
-            F.col("cpf").cast("string").alias("cpf"), norm_period(F.col("competencia_mov")).alias("competencia")]
+    t = F.col(tipo)
     d = direction(F.col(code))
-    mov = df.where(F.col(tipo) == "MOV").select(
-        *base, F.lit("movimentacao").alias("tipo_entidade"),
-        F.when(d == ADMISSION, ADMISSAO).when(d.isNotNull(), DESLIGAMENTO).alias("detalhe"),
-        F.lit(None).cast("date").alias("data"))
-    exc = df.where(F.col(tipo) == "EXC").select(
-        *base, F.lit("exclusao").alias("tipo_entidade"), F.col(code).cast("string").alias("detalhe"),
-        F.lit(None).cast("date").alias("data"))
-    late = df.where(F.col(tipo) == "FOR").select(
-        *base, F.lit("fora_prazo").alias("tipo_entidade"), norm_period(F.col("competencia_mov")).alias("detalhe"),
-        F.to_date(F.concat(F.col("competencia_dec"), F.lit("01")), "yyyyMMdd").alias("data"))
-    return mov.unionByName(exc).unionByName(late)
+    comp = norm_period(F.col("competencia_mov"))
+    return df.where(t.isin("MOV", "EXC", "FOR")).select(
+        F.col("id").cast("bigint").alias("id"), F.col("cnpj").cast("string").alias("cnpj"),
+        F.col("cpf").cast("string").alias("cpf"), comp.alias("competencia"),
+        F.when(t == "MOV", "movimentacao").when(t == "EXC", "exclusao").otherwise("fora_prazo").alias("tipo_entidade"),
+        F.when(t == "MOV", F.when(d == ADMISSION, ADMISSAO).when(d.isNotNull(), DESLIGAMENTO))
+        .when(t == "EXC", F.col(code).cast("string")).otherwise(comp).alias("detalhe"),
+        F.when(t == "FOR", F.to_date(F.concat(F.col("competencia_dec"), F.lit("01")), "yyyyMMdd")).alias("data"))
 
 
 def with_surrogate_id(df: DataFrame, order: list[str], *, out: str = "id") -> DataFrame:

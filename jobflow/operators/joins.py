@@ -64,3 +64,16 @@ def impute_separations(main: DataFrame, ew: DataFrame, *, key: list[str], code:
     seps = ew.where(direction(F.col(code)) == SEPARATION)
     missing = seps.join(main.select(*key), key, "left_anti")
     return main.unionByName(missing)
+
+
+def impute_separations_in(df: DataFrame, *, key: list[str], is_main, code: str = "tipo_movimentacao") -> DataFrame:
+    """D6 when both sources are rows of one table (``is_main`` marks the main sources).
+
+    Keys covered by a main source come from ONE map-side-combined aggregate
+    (a hot key collapses to one row per task before the shuffle); the rows
+    are joined back to that per-key flag, so the table is read twice, not three
+    times, and the join's build side has one row per key.
+    """
+    flag = df.groupBy(*key).agg(F.max(is_main).alias("__tem_principal"))
+    keep = is_main | ((direction(F.col(code)) == SEPARATION) & ~F.col("__tem_principal"))
+    return df.join(flag, key).where(keep).drop("__tem_principal")

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 
 def head_tail(bal: DataFrame, k: int = 5, *, month: str = "competencia") -> DataFrame:
-    """First k and last k months, tagged 'inicio' / 'fim'."""
-    head = bal.orderBy(F.col(month).asc()).limit(k).withColumn("posicao", F.lit("inicio"))
-    tail = bal.orderBy(F.col(month).desc()).limit(k).withColumn("posicao", F.lit("fim"))
-    return head.unionByName(tail)
+    """First k and last k months, tagged 'inicio' / 'fim' (a month in both appears twice).
+
+    Two row numbers over the small series and one explode, so the series is
+    computed once (two ordered limits would evaluate it twice).
+    """
+    cols = bal.columns
+    ranked = (bal.withColumn("__up", F.row_number().over(Window.orderBy(F.col(month).asc())))
+              .withColumn("__down", F.row_number().over(Window.orderBy(F.col(month).desc()))))
+    tags = F.array_compact(F.array(F.when(F.col("__up") <= k, F.lit("inicio")),
+                                   F.when(F.col("__down") <= k, F.lit("fim"))))
+    return ranked.select(*cols, F.explode(tags).alias("posicao"))
 
 
 def examples(df: DataFrame, predicate: Column, k: int = 3, order: list[str] | None = None) -> DataFrame:

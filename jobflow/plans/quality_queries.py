@@ -226,8 +226,8 @@ FILE_COLS = ["uf", "municipio", "telefone", "horas_txt", "mes_txt"]
 
 def _j25(spark, sf_dir):
     q = movq(spark, sf_dir)
-    return Q.union_reports([Q.completeness(q, FILE_COLS),
-                            Q.run_checks(q, [Q.castable("horas_txt"), Q.castable("mes_txt"), Q.month_in_range("mes_txt")])])
+    return Q.run_checks(q, Q.completeness_checks(FILE_COLS) +
+                        [Q.castable("horas_txt"), Q.castable("mes_txt"), Q.month_in_range("mes_txt")])
 
 
 _reg("j25_file_quality", QV + union(s_completeness(FILE_COLS), *S_J8, S_J25_MONTH), _j25)

@@ -162,9 +162,8 @@ SELECT {', '.join(IMP_COLS)} FROM mov e WHERE origem_informacao = 3 AND ({dir_of
    AND m.competencia_mov = e.competencia_mov)""")
 def d6(spark, sf_dir):
     m = mov(spark, sf_dir, IMP_COLS)
-    main = m.where(F.col("origem_informacao").isin(1, 2))
-    ew = m.where(F.col("origem_informacao") == 3)
-    return D.impute_separations(main, ew, key=["cnpj", "cpf", "competencia_mov"])
+    return D.impute_separations_in(m, key=["cnpj", "cpf", "competencia_mov"],
+                                   is_main=F.col("origem_informacao").isin(1, 2)).select(*IMP_COLS)
 
 
 # --- H2 / H7 --------------------------------------------------------------------------------

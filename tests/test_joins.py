@@ -23,3 +23,14 @@ def test_month_gaps(spark):
                               "k string, competencia_mov string")
     g = sorted(tuple(r) for r in W.month_gaps(d, by=["k"]).collect())
     assert g == [("a", "202002", "202003", 2), ("b", "202101", "202101", 1)]
+
+
+def test_impute_in_one_table_equals_two_frame_form(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "c", "p", "202001", "10", 1), (2, "c", "p", "202001", "31", 3), (3, "c", "x", "202001", "31", 3),
+            (4, "c", "y", "202001", "10", 3), (5, "d", "x", "202001", "40", 2)]
+    df = spark.createDataFrame(rows, "id int, cnpj string, cpf string, comp string, tipo_movimentacao string, origem int")
+    key = ["cnpj", "cpf", "comp"]
+    one = sorted(r.id for r in D.impute_separations_in(df, key=key, is_main=F.col("origem").isin(1, 2)).collect())
+    two = sorted(r.id for r in D.impute_separations(df.where("origem in (1, 2)"), df.where("origem = 3"), key=key).collect())
+    assert one == two == [1, 3, 5]
