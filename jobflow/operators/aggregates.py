@@ -41,14 +41,20 @@ def company_balance_with_total(df: DataFrame, *, company: str = "cnpj", admitted
 
 # --- E6-E9 -----------------------------------------------------------------------------
 
-def _n_unique_with_null(c: Column) -> Column:
-    """Distinct count where null counts as one value (Polars n_unique semantics)."""
-    return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
+def _n_unique_with_null(c: Column, approx: bool = False) -> Column:
+    """Distinct count where null counts as one value (Polars n_unique semantics).
+
+    approx=True uses HyperLogLog++ (``approx_count_distinct``): fixed-size
+    buffers and no Expand of the input, for very large inputs where an exact
+    count is not required.
+    """
+    n = F.approx_count_distinct(c) if approx else F.count_distinct(c)
+    return n + F.max(F.when(c.isNull(), 1).otherwise(0))
 
 
 def indicators(df: DataFrame, *, by=("competencia",), admitted: str = "admitidos", separated: str = "desligados",
                saldo: str = "saldo", uf: str | None = "uf", cnae: str | None = "secao",
-               company: str | None = "cnpj") -> DataFrame:
+               company: str | None = "cnpj", approx: bool = False) -> DataFrame:
     """E6-E8 in one aggregate, wide: one row per group with every indicator as a double.
 
     Ratios are null when undefined (zero denominator) and rounded to 6 places.
@@ -60,12 +66,13 @@ def indicators(df: DataFrame, *, by=("competencia",), admitted: str = "admitidos
             F.sum(saldo).cast("double").alias("total_saldo"),
             F.count(F.lit(1)).cast("double").alias("total_registros")]
     if uf:
-        aggs.append(_n_unique_with_null(F.col(uf)).cast("double").alias("total_ufs_distintas"))
+        aggs.append(_n_unique_with_null(F.col(uf), approx).cast("double").alias("total_ufs_distintas"))
     if cnae:
-        aggs.append(_n_unique_with_null(F.col(cnae)).cast("double").alias("total_cnaes_distintas"))
+        aggs.append(_n_unique_with_null(F.col(cnae), approx).cast("double").alias("total_cnaes_distintas"))
     if company:
         ok = F.col(company).isNotNull() & (F.length(F.col(company).cast("string")) > 0)
-        aggs.append(F.count_distinct(F.when(ok, F.col(company))).cast("double").alias("total_cnpjs_distintos"))
+        cnt = F.approx_count_distinct if approx else F.count_distinct
+        aggs.append(cnt(F.when(ok, F.col(company))).cast("double").alias("total_cnpjs_distintos"))
     out = df.groupBy(*by).agg(*aggs)
     r6 = lambda e: F.round(e, 6)
     out = out.withColumns({
