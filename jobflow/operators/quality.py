@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from jobflow.functions.codes import (ADMISSION_ALIASES, OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES,
                                      SEPARATION_ALIASES, SEX_CODES, SEX_TEXT_ALIASES, UF_CODES, direction)
 from jobflow.operators import aggregates as A
-from jobflow.session import ensure_checkpoint_dir, session_conf
+from jobflow.session import ensure_checkpoint_dir, scratch_path, session_conf
 
 # fixed values: tolerances (%) and patterns of the validation rules
 BALANCE_TOLERANCE = 5.0
@@ -315,27 +315,36 @@ def structure_rows(df: DataFrame, counted: DataFrame) -> DataFrame:
 
 
 class QualityReport:
-    """Runs a check battery on one frame with three passes over it, whatever the number of checks:
+    """Runs a check battery on one frame with a fixed number of passes, whatever the number of checks:
 
     1. one quantile aggregate (only when outlier columns are given),
     2. ONE fused aggregate for every row-level, completeness and outlier check,
        which also yields the row count used by the structure check,
-    3. one grouping by all columns for duplicates, re-grouped by the key
-       columns for the duplicate-key check (both read from the same chain).
+    3. duplicates in two phases (96-bit row hash, then exact grouping of the
+       rows whose hash repeats) and one aggregate on the key columns.
     The small intermediate results (one row; the ~40-row report) are
     checkpointed to the shared checkpoint folder, so deriving several report
     rows and the overall 'geral' row from them never re-runs a scan.
     """
 
     def __init__(self, df: DataFrame, checks: list[Check], *, completeness_cols=(), outlier_cols=(),
-                 duplicate_keys=None, structure: bool = False, extra: list[DataFrame] | None = None):
+                 duplicate_keys=None, structure: bool = False, extra: list[DataFrame] | None = None,
+                 materialize: bool = False):
         self.df, self.checks, self.extra = df, list(checks), extra or []
+        self.materialize = materialize
         self.completeness_cols, self.outlier_cols = list(completeness_cols), list(outlier_cols)
         self.duplicate_keys, self.structure = duplicate_keys, structure
 
     def run(self) -> DataFrame:
         df = self.df
         ensure_checkpoint_dir(df.sparkSession)
+        if self.materialize:
+            # The input is an expensive derived frame (joins): write it once as Parquet to the
+            # shared checkpoint folder and run the three passes over that table instead of
+            # recomputing the joins three times.  Not needed when the input is already a table.
+            path = scratch_path(df.sparkSession, "quality-input")
+            df.write.parquet(path)
+            df = df.sparkSession.read.parquet(path)
         checks = self.checks + completeness_checks(self.completeness_cols)
         if self.outlier_cols:
             checks += outlier_checks(df, self.outlier_cols)
@@ -357,15 +366,9 @@ class QualityReport:
         if self.structure:
             parts.append(structure_rows(df, counted))
         if self.duplicate_keys is not None:
-            keys = [k for k in self.duplicate_keys if k in df.columns]
-            g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__k"))
-            kg = g.groupBy(*keys).agg(F.sum("__k").alias("__t"), F.count(F.lit(1)).alias("__u"))
-            d = kg.agg(F.sum("__t").alias("t"), F.sum("__u").alias("u"), F.sum(F.col("__t") - 1).alias("bk"))
-            both = F.array(
-                F.struct(F.lit("duplicatas").alias("check_name"), F.lit("*").alias("column_name"),
-                         (F.col("t") - F.col("u")).cast("bigint").alias("bad_rows"), F.col("t").cast("bigint").alias("total_rows")),
-                F.struct(F.lit("chaves_duplicadas").alias("check_name"), F.lit(",".join(keys)).alias("column_name"),
-                         F.col("bk").cast("bigint").alias("bad_rows"), F.col("t").cast("bigint").alias("total_rows")))
-            parts.append(_finish(d.select(F.inline(both)).withColumn("tolerance", F.lit(0.0))))
+            # duplicates: two-phase hash then exact (no whole-row shuffle); duplicate keys: one
+            # aggregate on the (narrow) key columns
+            parts.append(duplicates(df))
+            parts.append(duplicate_key_check(df, list(self.duplicate_keys)))
         report = union_reports(parts + self.extra).checkpoint(eager=True)
         return with_overall(report)

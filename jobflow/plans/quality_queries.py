@@ -236,7 +236,10 @@ _reg("j25_file_quality", QV + union(s_completeness(FILE_COLS), *S_J8, S_J25_MONT
 def _j26(spark, sf_dir):
     q = movq(spark, sf_dir)
     return Q.QualityReport(q, row_checks(), completeness_cols=COMPLETE_COLS, outlier_cols=OUT_COLS,
-                           duplicate_keys=["cnpj", "cpf", "competencia_mov"], structure=True).run()
+                           duplicate_keys=["cnpj", "cpf", "competencia_mov"], structure=True,
+                           # movq is a 5-table join with ~20 derived columns: write it once and
+                           # run the report's passes over that table
+                           materialize=True).run()
 
 
 _J26_BODY = union(*ROW_SQL, s_completeness(COMPLETE_COLS), S_J7, S_J16, s_outliers(OUT_COLS), S_J10)
