@@ -37,11 +37,13 @@ def normalize_text(c: Column, empty: str = "COLUNA_SEM_NOME") -> Column:
     """B1 on values: strip accents, non-alphanumerics -> space, collapse, upper, spaces -> '_'.
 
     Every maximal run of characters outside [a-zA-Z0-9] ends up as one '_', so
-    the rule is one regex pass plus a trim of '_' at both ends; the normalised
-    value is referenced once so it is computed once per row.
+    the rule is one regex pass plus a trim of '_' at both ends.  Upper-casing
+    runs last, on pure ASCII, so it is locale-free ('ß' stays a separator).
+    The empty result becomes the placeholder through an anchored replace, so
+    the normalised value is referenced (and computed) once; null stays null.
     """
     s = F.upper(F.btrim(F.regexp_replace(strip_accents(c), r"[^a-zA-Z0-9]+", "_"), F.lit("_")))
-    return F.when(c.isNotNull(), F.coalesce(F.nullif(s, F.lit("")), F.lit(empty)))
+    return F.regexp_replace(s, r"^$", empty)
 
 
 def clean_int(c: Column) -> Column:

@@ -42,8 +42,9 @@ def test_bool_and_dates(spark):
 
 
 def test_normalize_text_values(spark):
-    d = spark.createDataFrame([("Éçà  olá--mundo!",), ("***",)], "v string")
-    assert [r.n for r in d.select(CL.normalize_text(F.col("v")).alias("n")).collect()] == ["ECA_OLA_MUNDO", "COLUNA_SEM_NOME"]
+    d = spark.createDataFrame([("Éçà  olá--mundo!",), ("***",), (None,), ("straße_x",)], "v string")
+    assert [r.n for r in d.select(CL.normalize_text(F.col("v")).alias("n")).collect()] == [
+        "ECA_OLA_MUNDO", "COLUNA_SEM_NOME", None, "STRA_E_X"]
 
 
 def test_align_adds_typed_defaults(spark):
