@@ -9,6 +9,7 @@ from jobflow.session import scratch_path
 from jobflow.sources import catalog as CT
 from jobflow.sources import files as FL
 from jobflow.sources import text as TX
+from jobflow.plans.balance_queries import FLAGSHIP_SQL
 from jobflow.plans.quality_queries import MOVQ_SQL, movq
 from jobflow.plans.registry import query
 from jobflow.plans.sql import CATALOG, ESTAB, MOV, with_views
@@ -285,3 +286,22 @@ def a23(spark, sf_dir):
  least(count(*), 2) >= 2 AS aceito FROM movq""")
 def a24(spark, sf_dir):
     return TX.accept_recovered(movq(spark, sf_dir))
+
+
+# --- A12 / A18: sinks ------------------------------------------------------------------------------------
+
+@query("a12_codec", with_views(MOV) + f"SELECT tipo, {_PART_SQL}, count(*) AS linhas FROM mov GROUP BY ALL")
+def a12(spark, sf_dir):
+    root = scratch_path(spark, "gzip")
+    FL.write_monthly(mov(spark, sf_dir, RT_COLS), root, compression="gzip")
+    df = spark.read.parquet(root)
+    return df.groupBy("tipo", "ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+def _a18(spark, sf_dir):
+    from jobflow.plans.balance_queries import flagship
+    # write to a fresh path and read back: a failed run never leaves a half-written series
+    return FL.write_balance(flagship(spark, sf_dir), scratch_path(spark, "saldo"))
+
+
+query("a18_write_balance", FLAGSHIP_SQL)(_a18)
