@@ -19,9 +19,10 @@ def monthly_job(spark: SparkSession, paths, out_root: str, *, sep: str = ";", ty
                 chain: C.FilterChain | None = None, report_checks: list[Q.Check] | None = None) -> DataFrame:
     """Read text -> canonical names -> typed columns -> filters -> quality report -> partitioned write.
 
-    One lazy plan; the cleaned frame is used by two actions (report and write)
-    so it is checkpointed to the shared folder once instead of being re-read
-    and re-parsed twice.  Returns the quality report.
+    One lazy plan.  When a report is requested the cleaned frame feeds two
+    actions (report and write), so it is checkpointed to the shared folder once
+    instead of being re-read and re-parsed twice; without a report the text is
+    read exactly once, by the write.  Returns the quality report (or None).
     """
     raw = TX.read_delimited(spark, paths, sep=sep)
     df = NM.canonical_names(raw)
@@ -29,9 +30,11 @@ def monthly_job(spark: SparkSession, paths, out_root: str, *, sep: str = ";", ty
         df = CL.apply_schema(df, types)
     if chain is not None:
         df = chain.apply(df)
-    ensure_checkpoint_dir(spark)
-    df = df.checkpoint(eager=True)
-    report = Q.QualityReport(df, report_checks or []).run() if report_checks else None
+    report = None
+    if report_checks:
+        ensure_checkpoint_dir(spark)
+        df = df.checkpoint(eager=True)
+        report = Q.QualityReport(df, report_checks).run()
     lower = df.select(*[F.col(c).alias(c.lower()) for c in df.columns])
     FL.write_monthly(lower, out_root)
     return report
