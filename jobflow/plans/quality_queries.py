@@ -143,10 +143,11 @@ OUT_COLS = ["idade", "horas_contratuais"]
 def s_outliers(cols):
     parts = []
     for c in cols:
-        q = f"(SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM movq)"
+        q1 = f"(SELECT quantile_cont({c}, 0.25) FROM movq)"
+        q3 = f"(SELECT quantile_cont({c}, 0.75) FROM movq)"
         parts.append(_fin(f"""SELECT 'outliers' AS check_name, '{c}' AS column_name,
- CAST(count_if({c} < b.q1 - 1.5*(b.q3-b.q1) OR {c} > b.q3 + 1.5*(b.q3-b.q1)) AS BIGINT) AS bad_rows,
- CAST(count(*) AS BIGINT) AS total_rows, CAST(5.0 AS DOUBLE) AS tolerance FROM movq, {q} b"""))
+ CAST(count_if({c} < {q1} - 1.5*({q3}-{q1}) OR {c} > {q3} + 1.5*({q3}-{q1})) AS BIGINT) AS bad_rows,
+ CAST(count(*) AS BIGINT) AS total_rows, CAST(5.0 AS DOUBLE) AS tolerance FROM movq"""))
     return union(*parts)
 
 

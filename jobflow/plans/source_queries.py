@@ -248,12 +248,11 @@ def _doc_lines(spark, sf_dir):
     return d.select(F.col("doc_id").alias("arquivo"), F.explode(F.split("text", "\n", -1)).alias("value"))
 
 
-_SEPS_SQL = "SELECT * FROM (VALUES (0, ';'), (1, ','), (2, chr(9)), (3, '|'), (4, ':'), (5, '#')) t(ordem, separador)"
-
-
 @query("a22_delimiter_profile", f"""WITH l AS (SELECT doc_id AS arquivo, unnest(string_split(text, chr(10))) AS l FROM documents),
-s AS ({_SEPS_SQL}),
-x AS (SELECT arquivo, ordem, separador, length(l) - length(replace(l, separador, '')) AS n FROM l, s),
+x0 AS (SELECT arquivo, l, unnest([{{'ordem': 0, 'separador': ';'}}, {{'ordem': 1, 'separador': ','}},
+  {{'ordem': 2, 'separador': chr(9)}}, {{'ordem': 3, 'separador': '|'}}, {{'ordem': 4, 'separador': ':'}},
+  {{'ordem': 5, 'separador': '#'}}]) AS c FROM l),
+x AS (SELECT arquivo, c.ordem AS ordem, c.separador AS separador, length(l) - length(replace(l, c.separador, '')) AS n FROM x0),
 pc AS (SELECT arquivo, ordem, separador, n, count(*) AS k FROM x GROUP BY ALL),
 st AS (SELECT arquivo, ordem, separador, sum(k) AS linhas, min(n) AS minimo, max(n) AS maximo,
   sum(n * k) / sum(k) AS media, sqrt(greatest(sum(n * n * k) / sum(k) - pow(sum(n * k) / sum(k), 2), 0.0)) AS desvio,
