@@ -20,8 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobflow.functions.codes import (ADMISSION_ALIASES, OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES,
-                                     SEPARATION_ALIASES, SEX_CODES, SEX_TEXT_ALIASES, UF_CODES, direction)
+from jobflow.functions.codes import OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES, direction
 from jobflow.operators import aggregates as A
 from jobflow.session import ensure_checkpoint_dir, scratch_path, session_conf
 

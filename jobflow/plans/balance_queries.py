@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from jobflow.operators import balance as B
 from jobflow.plans.registry import query
-from jobflow.plans.sql import BAL, ESTAB, K, MOV, STOCK, dir_of, with_views
+from jobflow.plans.sql import BAL, K, MOV, STOCK, dir_of, with_views
 from jobflow.sources.tables import mov
 
 BAL_COLS = ["competencia_mov", "tipo_movimentacao", "tipo", "saldo_movimentacao"]

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from jobflow.functions import clean as CL
 from jobflow.functions import names as NM
-from jobflow.operators import balance as B
 from jobflow.operators import entities as EN
 from jobflow.plans.balance_queries import FLAGSHIP_SQL, flagship
 from jobflow.plans.quality_queries import MOVQ_SQL, movq

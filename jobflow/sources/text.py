@@ -9,9 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from jobflow.functions.clean import clean_int
+from pyspark.sql.types import StringType, StructType
 
 CORRUPT = "_linha_corrompida"
 
@@ -22,16 +20,23 @@ SALVAGE_PATTERN = "[;,\t]"
 
 
 def read_delimited(spark: SparkSession, paths, *, sep: str = ";", encoding: str = "utf-8",
-                   schema: StructType | str | None = None, header: bool = True) -> DataFrame:
+                   schema: StructType | str | None = None, header: bool = True,
+                   keep_corrupt: bool = False) -> DataFrame:
     """A1/A2: header, separator, encoding; unparseable cells -> null, extra fields dropped.
 
-    Large files need no special path: Spark splits them by
-    ``spark.sql.files.maxPartitionBytes``.
+    With ``keep_corrupt=True`` (and a schema) malformed lines are also kept
+    verbatim in the ``_linha_corrompida`` column, so they can be quarantined
+    instead of silently nulled.  Large files need no special path: Spark
+    splits them by ``spark.sql.files.maxPartitionBytes``.
     """
     r = (spark.read.option("header", header).option("sep", sep).option("encoding", encoding)
          .option("mode", "PERMISSIVE"))
     if schema is not None:
-        r = r.schema(schema)
+        st = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if keep_corrupt:
+            st = st.add(CORRUPT, StringType())
+            r = r.option("columnNameOfCorruptRecord", CORRUPT)
+        r = r.schema(st)
     return r.csv(paths)
 
 

@@ -55,3 +55,13 @@ def test_file_name_metadata(spark):
     assert rows["MOV202401_1.7z"] == ("MOV", 2024, 1, "7z", "compactado")
     assert rows["EXC202312_2.txt"] == ("EXC", 2023, 12, "txt", "texto")
     assert rows["outro.csv"] == ("outros", None, None, "csv", "texto")
+
+
+def test_read_delimited_keeps_corrupt_lines(spark):
+    p = scratch_path(spark, "t-corrupt")
+    os.makedirs(p)
+    with open(os.path.join(p, "a.csv"), "w") as f:
+        f.write("a;b\n1;2\nx;3\n4;5;6\n")
+    rows = sorted(TX.read_delimited(spark, p, schema="a int, b int", keep_corrupt=True).collect(), key=lambda r: str(r.a))
+    assert [(r.a, r.b) for r in rows] == [(1, 2), (4, 5), (None, 3)]
+    assert rows[2][TX.CORRUPT] == "x;3"
