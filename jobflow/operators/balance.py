@@ -71,8 +71,20 @@ def balance_long(df: DataFrame, *, month: str = "competencia_mov", code: str = "
             .agg(F.sum("s").cast("bigint").alias("total_saldo"), F.count(F.lit(1)).alias("n_registros")))
 
 
+def month_of(month: str = "competencia_mov", *, tipo: str = "tipo", exclusion_month: str = "movement",
+             declared: str = "competencia_dec") -> Column:
+    """Month a row is counted in.  Exclusions use the movement month by default (as the code
+    does); ``exclusion_month='declared'`` counts them in the month they were informed."""
+    if exclusion_month == "movement":
+        return F.col(month).cast("string")
+    if exclusion_month == "declared":
+        return F.when(F.col(tipo) == "EXC", F.col(declared)).otherwise(F.col(month)).cast("string")
+    raise ValueError("exclusion_month must be 'movement' or 'declared'")
+
+
 def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str = "tipo_movimentacao",
-                  tipo: str = "tipo", saldo: str = "saldo_movimentacao", by=()) -> DataFrame:
+                  tipo: str = "tipo", saldo: str = "saldo_movimentacao", by=(),
+                  exclusion_month: str = "movement", declared: str = "competencia_dec") -> DataFrame:
     """Direction pivoted to columns with explicit values; a missing direction gives 0.
 
     With the pivot values known (A, D) the pivot is written as two conditional
@@ -82,7 +94,8 @@ def balance_pivot(df: DataFrame, *, month: str = "competencia_mov", code: str =
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
     by = list(by)
-    return (df.select(F.col(month).cast("string").alias("competencia"), *by, d.alias("direction"), s.alias("s"))
+    m = month_of(month, tipo=tipo, exclusion_month=exclusion_month, declared=declared)
+    return (df.select(m.alias("competencia"), *by, d.alias("direction"), s.alias("s"))
             .where(F.col("direction").isNotNull())
             .groupBy("competencia", *by)
             .agg(F.coalesce(F.sum(F.when(F.col("direction") == ADMISSION, F.col("s"))), F.lit(0)).cast("bigint")

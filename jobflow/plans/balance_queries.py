@@ -129,3 +129,14 @@ def h1(spark, sf_dir):
     u = B.union_sources(parts["MOV"], parts["EXC"], parts["FOR"])
     return u.groupBy("tipo", "competencia_mov").agg(
         F.sum("saldo_movimentacao").cast("bigint").alias("saldo"), F.count(F.lit(1)).alias("n_registros"))
+
+
+@query("e3_exclusions_declared", with_views(MOV) + f""", kd AS (SELECT CASE WHEN tipo = 'EXC' THEN competencia_dec ELSE competencia_mov END AS competencia,
+  {dir_of()} AS m, CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END AS s FROM mov)
+SELECT competencia, admissoes, desligamentos, admissoes - desligamentos AS saldo_mensal FROM (
+ SELECT competencia, CAST(coalesce(sum(CASE WHEN m='A' THEN s END),0) AS BIGINT) AS admissoes,
+  CAST(abs(coalesce(sum(CASE WHEN m='D' THEN s END),0)) AS BIGINT) AS desligamentos
+ FROM kd WHERE m IS NOT NULL GROUP BY competencia)""")
+def e3d(spark, sf_dir):
+    """E3 with exclusions counted in the month they were declared."""
+    return B.monthly_balance(mov(spark, sf_dir, BAL_COLS + ["competencia_dec"]), exclusion_month="declared")

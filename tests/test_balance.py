@@ -88,3 +88,12 @@ def test_append_recalc_equals_full(spark):
     new = B.monthly_balance(m.where(F.col("competencia_mov") >= "202003"))
     inc = B.append_recalc(old, new).orderBy("competencia").collect()
     assert [tuple(r) for r in full] == [tuple(r) for r in inc]
+
+
+def test_exclusions_in_declared_month(spark):
+    cols = "competencia_mov string, competencia_dec string, tipo_movimentacao string, tipo string, saldo_movimentacao int"
+    m = spark.createDataFrame([("202001", "202001", "10", "MOV", 1), ("202001", "202003", "10", "EXC", 1)], cols)
+    by_mov = {r.competencia: r.admissoes for r in B.monthly_balance(m).collect()}
+    by_dec = {r.competencia: r.admissoes for r in B.monthly_balance(m, exclusion_month="declared").collect()}
+    assert by_mov == {"202001": 0}
+    assert by_dec == {"202001": 1, "202003": -1}
