@@ -65,3 +65,26 @@ def with_surrogate_id(df: DataFrame, order: list[str], *, out: str = "id") -> Da
 def with_hash_id(df: DataFrame, key: list[str], *, out: str = "id") -> DataFrame:
     """B21 for facts: deterministic 64-bit id from the key columns (no shuffle)."""
     return df.withColumn(out, F.xxhash64(*[F.col(k) for k in key]))
+
+
+def balance_entities(df: DataFrame, *, company="cnpj", month="competencia_mov", tipo="tipo",
+                     code="tipo_movimentacao", saldo="saldo_movimentacao") -> DataFrame:
+    """B20 (balance type): per (company, month) admissions, separations, balance and the
+    exclusions of admissions / separations - computed, not left at 0.
+
+    Regular rows (MOV, FOR) count as admissions/separations by direction;
+    exclusion rows count in ``exc_*`` and net out of the balance.
+    """
+    d = direction(F.col(code))
+    t = F.col(tipo)
+    regular = t != "EXC"
+    adm = F.count_if(regular & (d == ADMISSION))
+    des = F.count_if(regular & (d == "D"))
+    exc_a = F.count_if(~regular & (d == ADMISSION))
+    exc_d = F.count_if(~regular & (d == "D"))
+    return (df.where(F.length(F.trim(F.col(company).cast("string"))) > 0)
+            .groupBy(F.col(company).cast("string").alias("cnpj"), norm_period(F.col(month).cast("string")).alias("competencia"))
+            .agg(adm.alias("admissoes"), des.alias("desligamentos"), exc_a.alias("exc_admissoes"),
+                 exc_d.alias("exc_desligamentos"))
+            .withColumn("saldo", F.col("admissoes") - F.col("desligamentos") - F.col("exc_admissoes")
+                        + F.col("exc_desligamentos")))

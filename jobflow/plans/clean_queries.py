@@ -268,3 +268,13 @@ def i_mix(spark, sf_dir):
         F.round(F.abs(F.col("o_totalprice") - 100000.0), 2).alias("dist"),
         F.coalesce(F.nullif(F.col("o_orderstatus"), F.lit("P")), F.lit("pendente")).alias("status"),
         F.substring(p, 1, 1).try_cast("int").alias("nivel"), F.md5(p).alias("h_md5"), F.sha2(p, 256).alias("h_sha"))
+
+
+@query("b20_balance_entities", with_views(MOV) + f"""SELECT CAST(cnpj AS STRING) AS cnpj, {_P} AS competencia,
+ count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS admissoes, count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS desligamentos,
+ count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS exc_admissoes, count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS exc_desligamentos,
+ count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) - count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE))
+  - count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) + count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS saldo
+FROM mov WHERE length(trim(CAST(cnpj AS STRING))) > 0 GROUP BY cnpj, competencia_mov""")
+def b20b(spark, sf_dir):
+    return EN.balance_entities(mov(spark, sf_dir, ["cnpj", "competencia_mov", "tipo", "tipo_movimentacao"]))
