@@ -3,9 +3,9 @@
 Every row-level check is a pair of predicates (eligible, bad).  ``run_checks``
 turns N checks into ONE aggregate with 2N ``count_if`` expressions, so the
 whole battery costs one scan and one tiny shuffle (partial counts per task),
-whatever N is.  Checks that need grouping (duplicates, per-month
-consistency, outliers, null profile) are separate aggregates that produce the
-same report schema and are unioned:
+whatever N is; completeness and outlier checks are row checks too.  Checks
+that need grouping (duplicates, duplicate keys, per-month consistency) are
+separate aggregates that produce the same report schema and are unioned:
 
     check_name, column_name, bad_rows, total_rows, pct, tolerance, status
 
@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobflow.functions.clean import norm_period
 from jobflow.functions.codes import OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES, direction
 from jobflow.operators import aggregates as A
 from jobflow.session import ensure_checkpoint_dir, scratch_path, session_conf
@@ -94,11 +95,6 @@ def period_format(col="periodo") -> Check:
     return Check("formato_periodo", col, ~F.col(col).rlike(PERIOD_PATTERN), _nn(col))
 
 
-def norm_period(c: Column) -> Column:
-    """B13: 'YYYYMM' -> 'YYYY-MM' (by length 6); other values kept."""
-    return F.when(F.length(c) == 6, F.concat(F.substring(c, 1, 4), F.lit("-"), F.substring(c, 5, 2))).otherwise(c)
-
-
 def _ym(d: _dt.date, sep: str = "") -> str:
     return f"{d.year:04d}{sep}{d.month:02d}"
 
