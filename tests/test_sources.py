@@ -65,3 +65,23 @@ def test_read_delimited_keeps_corrupt_lines(spark):
     rows = sorted(TX.read_delimited(spark, p, schema="a int, b int", keep_corrupt=True).collect(), key=lambda r: str(r.a))
     assert [(r.a, r.b) for r in rows] == [(1, 2), (4, 5), (None, 3)]
     assert rows[2][TX.CORRUPT] == "x;3"
+
+
+def test_per_file_counts_skips_corrupt_file(spark):
+    root = scratch_path(spark, "t-corruptfile")
+    spark.range(5).write.parquet(root)
+    with open(os.path.join(root, "part-99999-broken.parquet"), "w") as f:
+        f.write("not parquet")
+    counts = FL.per_file_counts(spark, root).agg(F.sum("linhas").alias("n")).collect()[0].n
+    assert counts == 5
+
+
+def test_incremental_pickup_sees_only_new_files(spark):
+    from jobflow.streaming.incremental import incremental_read
+    root, ck, sink = scratch_path(spark, "t-k1-in"), scratch_path(spark, "t-k1-ck"), scratch_path(spark, "t-k1-out")
+    df = spark.createDataFrame([(1, "202101", "MOV")], "id int, competencia_mov string, tipo string")
+    FL.write_monthly(df, root)
+    assert incremental_read(spark, root, ck, sink).count() == 1
+    FL.write_monthly(spark.createDataFrame([(2, "202102", "MOV")], "id int, competencia_mov string, tipo string"), root)
+    out = incremental_read(spark, root, ck, sink)
+    assert sorted(r.id for r in out.collect()) == [1, 2]          # month 1 not re-read, month 2 appended once
