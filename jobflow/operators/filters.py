@@ -273,3 +273,12 @@ class FilterChain:
                 .withColumn("removidas", F.col("linhas_antes") - F.col("linhas_depois"))
                 .withColumn("pct_removidas", F.round(F.when(F.col("linhas_antes") > 0,
                             F.col("removidas") / F.col("linhas_antes") * 100.0).otherwise(0.0), 6)))
+
+
+def load_cnae(spark, path: str, *, sep: str = ";", code_col: str = "CLASSE_CNAE",
+              status_col: str = "SITUACAO", situacao=1) -> DataFrame:
+    """Read the industry classification (delimited, header) and keep the codes with the
+    wanted status, as a one-column frame ``code`` for :func:`filter_cnae_table`-style joins."""
+    t = spark.read.option("header", True).option("sep", sep).csv(path)
+    return (t.where(F.trim(F.col(status_col)) == str(situacao))
+            .select(F.trim(F.col(code_col)).alias("code")).distinct())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobflow.functions import calendar as M
-from jobflow.functions.codes import MOVEMENT_TYPE_LABELS, movement_type_dim
+from jobflow.functions.codes import MOVEMENT_TYPE_LABELS, REGION_LABELS, movement_type_dim, region_dim
 from jobflow.operators import balance as B
 from jobflow.operators import joins as D
 from jobflow.operators import ranking as G
@@ -232,3 +232,13 @@ def g6u(spark, sf_dir):
 ORDER BY duration DESC, op_id LIMIT 5""")
 def g7(spark, sf_dir):
     return G.slowest(oplog(spark, sf_dir), 5, 1000)
+
+
+_REGION_VALUES = ", ".join(f"({c}, '{lbl}')" for c, lbl in REGION_LABELS)
+
+
+@query("d1_decode_region", with_views(MOV) + f""", dim AS (SELECT * FROM (VALUES {_REGION_VALUES}) t(code, label))
+SELECT m.regiao, d.label AS regiao_label, count(*) AS n_registros FROM mov m LEFT JOIN dim d ON m.regiao = d.code GROUP BY 1, 2""")
+def d1r(spark, sf_dir):
+    m = D.decode(mov(spark, sf_dir, ["regiao"]), "regiao", region_dim(spark))
+    return m.groupBy("regiao", "regiao_label").agg(F.count(F.lit(1)).alias("n_registros"))

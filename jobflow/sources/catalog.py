@@ -76,3 +76,16 @@ def success_rate_by_month(cat: DataFrame, *, ok: str = "processed") -> DataFrame
     """% of files successfully processed per calendar month."""
     return cat.groupBy("mes").agg(F.round(F.avg(F.when(F.col(ok), 100.0).otherwise(0.0)), 6).alias("taxa_sucesso"),
                                   F.count(F.lit(1)).alias("arquivos"))
+
+
+def catalog_from_files(spark, root: str, *, glob: str = "*", recursive: bool = True) -> DataFrame:
+    """File catalogue of landed files: name, size, modification time, plus A19 metadata.
+
+    Uses the ``binaryFile`` source's metadata columns only; the ``content``
+    column is never selected, so no file bytes are read.
+    """
+    b = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+         .option("recursiveFileLookup", str(recursive).lower()).load(root))
+    cat = b.select(F.col("path"), F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
+                   F.col("length").alias("size_bytes"), F.col("modificationTime").alias("mtime"))
+    return with_file_meta(cat)

@@ -85,3 +85,19 @@ def test_incremental_pickup_sees_only_new_files(spark):
     FL.write_monthly(spark.createDataFrame([(2, "202102", "MOV")], "id int, competencia_mov string, tipo string"), root)
     out = incremental_read(spark, root, ck, sink)
     assert sorted(r.id for r in out.collect()) == [1, 2]          # month 1 not re-read, month 2 appended once
+
+
+def test_catalog_from_landed_files_and_cnae_loader(spark):
+    from jobflow.operators.filters import load_cnae
+    root = scratch_path(spark, "t-landed")
+    os.makedirs(os.path.join(root, "2024"))
+    for n in ["MOV202401.txt", "EXC202401.txt", "notas.md"]:
+        with open(os.path.join(root, "2024", n), "w") as f:
+            f.write("x" * 10)
+    cat = CT.catalog_from_files(spark, root, glob="*.txt")
+    assert sorted((r.file_name, r.tipo, r.size_bytes) for r in cat.collect()) == [
+        ("EXC202401.txt", "EXC", 10), ("MOV202401.txt", "MOV", 10)]
+    cnae = os.path.join(root, "cnae.csv")
+    with open(cnae, "w") as f:
+        f.write("CLASSE_CNAE;SITUACAO\n01111;1\n01112;0\n01113;1\n")
+    assert sorted(r.code for r in load_cnae(spark, cnae).collect()) == ["01111", "01113"]
