@@ -104,8 +104,8 @@ NULL_COLS = ["tipo_movimentacao", "idade", "municipio", "uf", "secao", "salario"
 
 
 @query("e15_null_profile", with_views(MOV, MOVN_SQL) + " UNION ALL ".join(
-    f"SELECT '{c}' AS coluna, count_if({c} IS NULL) AS nulos, count(*) AS total, "
-    f"round(count_if({c} IS NULL) / count(*) * 100.0, 6) AS pct_nulos FROM movn" for c in NULL_COLS))
+    f"SELECT '{c}' AS coluna, CAST(count_if({c} IS NULL) AS BIGINT) AS nulos, count(*) AS total, "
+    f"round(CAST(count_if({c} IS NULL) AS BIGINT) / count(*) * 100.0, 6) AS pct_nulos FROM movn" for c in NULL_COLS))
 def e15(spark, sf_dir):
     return A.null_profile(movn(spark, sf_dir), NULL_COLS)
 
@@ -119,8 +119,8 @@ OUT_COLS = ["idade", "horas_contratuais"]
  q3 + 1.5*(q3-q1) AS limite_superior FROM b)
 SELECT f.*, o.outliers, o.total, round(o.outliers / o.total * 100.0, 6) AS pct_outliers FROM f JOIN (""" +
     " UNION ALL ".join(
-        f"SELECT '{c}' AS coluna, count_if({c} < (SELECT limite_inferior FROM f WHERE coluna='{c}') OR "
-        f"{c} > (SELECT limite_superior FROM f WHERE coluna='{c}')) AS outliers, count(*) AS total FROM mov"
+        f"SELECT '{c}' AS coluna, CAST(count_if({c} < (SELECT limite_inferior FROM f WHERE coluna='{c}') OR "
+        f"{c} > (SELECT limite_superior FROM f WHERE coluna='{c}')) AS BIGINT) AS outliers, count(*) AS total FROM mov"
         for c in OUT_COLS) + ") o USING (coluna)")
 def e16(spark, sf_dir):
     return A.iqr_outliers(mov(spark, sf_dir, OUT_COLS), OUT_COLS)
@@ -143,7 +143,7 @@ DUP_KEYS = ["cnpj", "cpf", "competencia_mov", "tipo"]
 
 @query("h4_dup_keys", with_views(MOV) + """, g AS (SELECT cnpj, cpf, competencia_mov, tipo, count(*) AS n FROM mov GROUP BY ALL)
 SELECT CAST(sum(n) AS BIGINT) AS total_linhas, count(*) AS chaves_distintas, CAST(sum(n - 1) AS BIGINT) AS linhas_duplicadas,
- count_if(n > 1) AS chaves_repetidas FROM g""")
+ CAST(count_if(n > 1) AS BIGINT) AS chaves_repetidas FROM g""")
 def h4(spark, sf_dir):
     return A.duplicate_keys(mov(spark, sf_dir, DUP_KEYS), DUP_KEYS)
 

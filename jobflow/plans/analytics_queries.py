@@ -17,9 +17,9 @@ OV = with_views(OPLOG)
 
 # --- E19-E23 ----------------------------------------------------------------------------------------
 
-_MET = """count(*) AS total, count_if(success) AS sucesso, count_if(NOT success) AS falhas, round(sum(duration), 6) AS duracao_total,
+_MET = """count(*) AS total, CAST(count_if(success) AS BIGINT) AS sucesso, CAST(count_if(NOT success) AS BIGINT) AS falhas, round(sum(duration), 6) AS duracao_total,
  round(avg(duration), 6) AS duracao_media, min(duration) AS duracao_min, max(duration) AS duracao_max,
- round(count_if(success) / count(*), 6) AS taxa_sucesso"""
+ round(CAST(count_if(success) AS BIGINT) / count(*), 6) AS taxa_sucesso"""
 
 
 @query("e19_op_metrics", OV + f"SELECT operation, {_MET} FROM oplog GROUP BY operation UNION ALL SELECT 'geral', {_MET} FROM oplog")
@@ -31,9 +31,9 @@ LIMITS = {"click": 400.0, "view": 450.0, "error": 300.0, "signup": 480.0, "purch
 _LIM_SQL = ", ".join(f"('{k}', {v})" for k, v in LIMITS.items())
 
 
-@query("e20_op_alerts", OV + f""", m AS (SELECT operation, count(*) AS total, round(count_if(success) / count(*), 6) AS taxa_sucesso
+@query("e20_op_alerts", OV + f""", m AS (SELECT operation, count(*) AS total, round(CAST(count_if(success) AS BIGINT) / count(*), 6) AS taxa_sucesso
  FROM oplog GROUP BY operation), lim AS (SELECT * FROM (VALUES {_LIM_SQL}) t(operation, limite)),
-s AS (SELECT o.operation, count_if(o.duration > l.limite) AS execucoes_lentas FROM oplog o JOIN lim l USING (operation) GROUP BY o.operation)
+s AS (SELECT o.operation, CAST(count_if(o.duration > l.limite) AS BIGINT) AS execucoes_lentas FROM oplog o JOIN lim l USING (operation) GROUP BY o.operation)
 SELECT m.operation, total, taxa_sucesso, CASE WHEN total > 5 AND taxa_sucesso <= 0.5 THEN 'critico'
  WHEN total > 5 AND taxa_sucesso < 0.8 THEN 'alerta' ELSE 'ok' END AS nivel, coalesce(s.execucoes_lentas, 0) AS execucoes_lentas
 FROM m LEFT JOIN s USING (operation)""")
@@ -53,7 +53,7 @@ def e21(spark, sf_dir):
 @query("e22_throughput", OV + """SELECT operation, itens, round(ok / itens * 100.0, 6) AS pct_sucesso, round(itens / segundos, 6) AS arquivos_por_s,
  round(mb / segundos, 6) AS mb_por_s, round(500 / (itens / segundos), 6) AS eta_s, (1 - ok / itens) * 100.0 > 20.0 AS alerta_falhas,
  segundos > 300.0 AS alerta_tempo, itens / segundos < 0.5 AS alerta_vazao
-FROM (SELECT operation, count(*) AS itens, count_if(success) AS ok, sum(duration) AS segundos,
+FROM (SELECT operation, count(*) AS itens, CAST(count_if(success) AS BIGINT) AS ok, sum(duration) AS segundos,
  sum(CAST(json_extract_string(details, '$.k') AS DOUBLE)) AS mb FROM oplog GROUP BY operation)""")
 def e22(spark, sf_dir):
     return OL.throughput(oplog(spark, sf_dir), remaining_items=500)
@@ -85,10 +85,10 @@ def e23l(spark, sf_dir):
 
 # --- E10 ------------------------------------------------------------------------------------------------------
 
-_E10 = [("total_entidades", "count(*)"), ("total_movimentacoes", "count_if(tipo = 'MOV')"),
-        ("total_exclusoes", "count_if(tipo = 'EXC')"), ("total_fora_prazo", "count_if(tipo = 'FOR')"),
-        ("total_admissoes", f"count_if(({dir_of()}) = 'A')"), ("total_desligamentos", f"count_if(({dir_of()}) = 'D')"),
-        ("saldo_liquido", f"count_if(({dir_of()}) = 'A') - count_if(({dir_of()}) = 'D')"), ("total_ufs", "count(DISTINCT uf)")]
+_E10 = [("total_entidades", "count(*)"), ("total_movimentacoes", "CAST(count_if(tipo = 'MOV') AS BIGINT)"),
+        ("total_exclusoes", "CAST(count_if(tipo = 'EXC') AS BIGINT)"), ("total_fora_prazo", "CAST(count_if(tipo = 'FOR') AS BIGINT)"),
+        ("total_admissoes", f"CAST(count_if(({dir_of()}) = 'A') AS BIGINT)"), ("total_desligamentos", f"CAST(count_if(({dir_of()}) = 'D') AS BIGINT)"),
+        ("saldo_liquido", f"CAST(count_if(({dir_of()}) = 'A') AS BIGINT) - CAST(count_if(({dir_of()}) = 'D') AS BIGINT)"), ("total_ufs", "count(DISTINCT uf)")]
 
 
 @query("e10_entity_ind", with_views(MOV) + " UNION ALL ".join(
@@ -142,7 +142,7 @@ def e26(spark, sf_dir):
 
 
 @query("e27_disparity", with_views(MOV) + f""", g AS (SELECT regiao, sum(CASE WHEN ({dir_of()}) = 'A' THEN salario END) AS sal,
- count_if(({dir_of()}) = 'A') AS na, sum(CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END) AS saldo
+ CAST(count_if(({dir_of()}) = 'A') AS BIGINT) AS na, sum(CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END) AS saldo
  FROM mov WHERE ({dir_of()}) IS NOT NULL GROUP BY regiao)
 SELECT regiao, round(sal / na, 6) AS salario_medio_admitidos, round(((sal / na) / ((SELECT sum(sal) FROM g) / (SELECT sum(na) FROM g)) - 1) * 100.0, 6)
  AS diferenca_salarial_pct, CAST(saldo AS BIGINT) AS saldo, round(saldo / (SELECT sum(saldo) FROM g) * 100.0, 6) AS participacao_saldo_pct FROM g""")
@@ -179,15 +179,15 @@ def e29t(spark, sf_dir):
 
 
 @query("e29_cohort", with_views(MOV, SPELLS_SQL) + """SELECT coorte, count(*) AS admissoes,
- round(count_if(NOT (evento AND duracao < 3)) / count(*), 6) AS retencao_3m, round(count_if(NOT (evento AND duracao < 6)) / count(*), 6) AS retencao_6m,
- round(count_if(NOT (evento AND duracao < 12)) / count(*), 6) AS retencao_12m FROM spells GROUP BY coorte""")
+ round(CAST(count_if(NOT (evento AND duracao < 3)) AS BIGINT) / count(*), 6) AS retencao_3m, round(CAST(count_if(NOT (evento AND duracao < 6)) AS BIGINT) / count(*), 6) AS retencao_6m,
+ round(CAST(count_if(NOT (evento AND duracao < 12)) AS BIGINT) / count(*), 6) AS retencao_12m FROM spells GROUP BY coorte""")
 def e29c(spark, sf_dir):
     return AN.cohort_retention(_spells(spark, sf_dir))
 
 
-@query("e29_kaplan_meier", with_views(MOV, SPELLS_SQL) + """, per AS (SELECT duracao, count_if(evento) AS eventos, count_if(NOT evento) AS censurados
+@query("e29_kaplan_meier", with_views(MOV, SPELLS_SQL) + """, per AS (SELECT duracao, CAST(count_if(evento) AS BIGINT) AS eventos, CAST(count_if(NOT evento) AS BIGINT) AS censurados
  FROM spells GROUP BY duracao),
-r AS (SELECT *, sum(eventos + censurados) OVER (ORDER BY duracao DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS em_risco FROM per),
+r AS (SELECT *, CAST(sum(eventos + censurados) OVER (ORDER BY duracao DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS em_risco FROM per),
 q AS (SELECT *, 1 - eventos / em_risco AS q FROM r)
 SELECT duracao, em_risco, eventos, censurados,
  round(CASE WHEN max(CASE WHEN q <= 0 THEN 1 ELSE 0 END) OVER (ORDER BY duracao ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) = 1 THEN 0.0
@@ -203,8 +203,8 @@ _LAG = ("(CAST(substr(competencia_dec,1,4) AS INTEGER) * 12 + CAST(substr(compet
         "(CAST(substr(competencia_mov,1,4) AS INTEGER) * 12 + CAST(substr(competencia_mov,5,2) AS INTEGER))")
 
 
-@query("k3_lateness", with_views(MOV) + f"""SELECT competencia_mov AS competencia, count(*) AS registros, count_if(a <= 0) AS no_prazo,
- max(a) AS atraso_max, round(avg(a), 6) AS atraso_medio, round(count_if(a > 0) / count(*) * 100.0, 6) AS pct_atrasado
+@query("k3_lateness", with_views(MOV) + f"""SELECT competencia_mov AS competencia, count(*) AS registros, CAST(count_if(a <= 0) AS BIGINT) AS no_prazo,
+ max(a) AS atraso_max, round(avg(a), 6) AS atraso_medio, round(CAST(count_if(a > 0) AS BIGINT) / count(*) * 100.0, 6) AS pct_atrasado
 FROM (SELECT competencia_mov, {_LAG} AS a FROM mov) GROUP BY competencia_mov""")
 def k3(spark, sf_dir):
     return AN.lateness(mov(spark, sf_dir, ["competencia_mov", "competencia_dec"]))

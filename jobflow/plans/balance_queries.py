@@ -73,11 +73,11 @@ def e12(spark, sf_dir):
 
 
 @query("e13_sources", with_views(MOV) + f"""
-SELECT competencia_mov AS competencia, count_if(tipo='MOV') AS n_mov, count_if(tipo='FOR') AS n_for,
- count_if(tipo='EXC') AS n_exc,
- count_if(tipo='EXC' AND ({dir_of()})='A') AS exc_admissoes,
- count_if(tipo='EXC' AND ({dir_of()})='D') AS exc_desligamentos,
- round(count_if(tipo='FOR') / count(*) * 100.0, 6) AS pct_fora_prazo
+SELECT competencia_mov AS competencia, CAST(count_if(tipo='MOV') AS BIGINT) AS n_mov, CAST(count_if(tipo='FOR') AS BIGINT) AS n_for,
+ CAST(count_if(tipo='EXC') AS BIGINT) AS n_exc,
+ CAST(count_if(tipo='EXC' AND ({dir_of()})='A') AS BIGINT) AS exc_admissoes,
+ CAST(count_if(tipo='EXC' AND ({dir_of()})='D') AS BIGINT) AS exc_desligamentos,
+ round(CAST(count_if(tipo='FOR') AS BIGINT) / count(*) * 100.0, 6) AS pct_fora_prazo
 FROM mov GROUP BY competencia_mov""")
 def e13(spark, sf_dir):
     return B.source_breakdown(mov(spark, sf_dir, BAL_COLS))

@@ -101,10 +101,10 @@ INFER_COLS = ["periodo", "sexo", "classe", "cbo", "horas_txt", "mes_txt", "subcl
 
 
 @query("b11_infer_types", with_views(MOV, MOVQ_SQL) + " UNION ALL ".join(
-    rf"""SELECT '{c}' AS coluna, count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+$')) AS n_nao_int,
- count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+(\.\d+)?$')) AS n_nao_float,
- CASE WHEN count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+$')) = 0 THEN 'int'
-      WHEN count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+(\.\d+)?$')) = 0 THEN 'float' ELSE 'text' END AS tipo_inferido
+    rf"""SELECT '{c}' AS coluna, CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+$')) AS BIGINT) AS n_nao_int,
+ CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+(\.\d+)?$')) AS BIGINT) AS n_nao_float,
+ CASE WHEN CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+$')) AS BIGINT) = 0 THEN 'int'
+      WHEN CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+(\.\d+)?$')) AS BIGINT) = 0 THEN 'float' ELSE 'text' END AS tipo_inferido
  FROM movq""" for c in INFER_COLS))
 def b11(spark, sf_dir):
     return CL.infer_types(movq(spark, sf_dir), INFER_COLS)
@@ -217,7 +217,7 @@ def b20(spark, sf_dir):
 
 
 @query("b21_surrogate_id", FLAGSHIP_SQL.replace(
-    "SELECT * FROM stock", "SELECT row_number() OVER (ORDER BY competencia) AS id, * FROM stock"))
+    "SELECT * FROM stock", "SELECT CAST(row_number() OVER (ORDER BY competencia) AS INTEGER) AS id, * FROM stock"))
 def b21(spark, sf_dir):
     return EN.with_surrogate_id(flagship(spark, sf_dir), ["competencia"])
 
@@ -245,7 +245,7 @@ def a14(spark, sf_dir):
 
 # --- I: scalar-function regression mix -----------------------------------------------------------------
 
-@query("i_scalar_mix", """SELECT o_orderkey, upper(trim(o_orderpriority)) AS prio, length(o_orderpriority) AS len,
+@query("i_scalar_mix", """SELECT o_orderkey, upper(trim(o_orderpriority)) AS prio, CAST(length(o_orderpriority) AS INTEGER) AS len,
  substr(o_orderpriority, 1, 1) AS p1, starts_with(o_orderpriority, '1') AS urgente,
  regexp_matches(o_orderpriority, '^[0-9]-[A-Z]+$') AS simples, regexp_replace(o_orderpriority, '[^A-Z]', '', 'g') AS letras,
  concat(o_orderstatus, '-', CAST(o_custkey AS STRING)) AS chave, split_part(o_orderpriority, '-', 2) AS rotulo,
@@ -271,10 +271,10 @@ def i_mix(spark, sf_dir):
 
 
 @query("b20_balance_entities", with_views(MOV) + f"""SELECT CAST(cnpj AS STRING) AS cnpj, {_P} AS competencia,
- count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS admissoes, count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS desligamentos,
- count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS exc_admissoes, count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS exc_desligamentos,
- count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) - count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE))
-  - count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) + count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS saldo
+ CAST(count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS BIGINT) AS admissoes, CAST(count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS BIGINT) AS desligamentos,
+ CAST(count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS BIGINT) AS exc_admissoes, CAST(count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS BIGINT) AS exc_desligamentos,
+ CAST(count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS BIGINT) - CAST(count_if(coalesce(tipo <> 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS BIGINT)
+  - CAST(count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'A', FALSE)) AS BIGINT) + CAST(count_if(coalesce(tipo = 'EXC' AND ({dir_of()}) = 'D', FALSE)) AS BIGINT) AS saldo
 FROM mov WHERE length(trim(CAST(cnpj AS STRING))) > 0 GROUP BY cnpj, competencia_mov""")
 def b20b(spark, sf_dir):
     return EN.balance_entities(mov(spark, sf_dir, ["cnpj", "competencia_mov", "tipo", "tipo_movimentacao"]))

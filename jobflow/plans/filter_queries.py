@@ -39,8 +39,8 @@ def c2(spark, sf_dir):
     return C.filter_cnae_table(_m(spark, sf_dir, "subclasse"), cnae_table(spark, sf_dir))
 
 
-@query("c15_cnae_stats", with_views(CNAE_SQL) + """SELECT count(*) AS total, count_if(situacao=1) AS selecionados,
- round(count_if(situacao=1) / count(*) * 100.0, 6) AS pct_selecionados FROM cnae""")
+@query("c15_cnae_stats", with_views(CNAE_SQL) + """SELECT count(*) AS total, CAST(count_if(situacao=1) AS BIGINT) AS selecionados,
+ round(CAST(count_if(situacao=1) AS BIGINT) / count(*) * 100.0, 6) AS pct_selecionados FROM cnae""")
 def c15(spark, sf_dir):
     return C.cnae_stats(cnae_table(spark, sf_dir))
 
@@ -124,11 +124,11 @@ def c13(spark, sf_dir):
 
 
 @query("c13_chain_report", with_views(MOV) + """, c AS (SELECT count(*) AS c0,
- count_if(substr(competencia_mov,1,4) IN ('2021','2022')) AS c1,
- count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0) AS c2,
- count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)) AS c3,
- count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)
-   AND subclasse IN ('Brand#11','Brand#22','Brand#5','Brand#7','Brand#13')) AS c4 FROM mov),
+ CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022')) AS BIGINT) AS c1,
+ CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0) AS BIGINT) AS c2,
+ CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)) AS BIGINT) AS c3,
+ CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)
+   AND subclasse IN ('Brand#11','Brand#22','Brand#5','Brand#7','Brand#13')) AS BIGINT) AS c4 FROM mov),
 s AS (SELECT 1 AS passo, 'periodo' AS filtro, c0 AS linhas_antes, c1 AS linhas_depois FROM c
  UNION ALL SELECT 2, 'admissoes', c1, c2 FROM c UNION ALL SELECT 3, 'regiao', c2, c3 FROM c
  UNION ALL SELECT 4, 'cnae', c3, c4 FROM c)

@@ -212,7 +212,7 @@ def g5(spark, sf_dir):
 
 @query("g6_topk_group", with_views(MOV) + """, a AS (SELECT substr(competencia_mov,1,4) AS ano, competencia_mov AS competencia,
  count(*) AS n FROM mov GROUP BY 1, 2)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ano ORDER BY n DESC, competencia) AS rank FROM a) WHERE rank <= 3""")
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ano ORDER BY n DESC, competencia) AS INTEGER) AS rank FROM a) WHERE rank <= 3""")
 def g6(spark, sf_dir):
     a = (mov(spark, sf_dir, ["competencia_mov"])
          .groupBy(F.substring("competencia_mov", 1, 4).alias("ano"), F.col("competencia_mov").alias("competencia"))
@@ -221,7 +221,7 @@ def g6(spark, sf_dir):
 
 
 @query("g6_topk_uf", with_views(MOV) + """, a AS (SELECT substr(competencia_mov,1,4) AS ano, uf, count(*) AS n FROM mov GROUP BY 1, 2)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ano ORDER BY n DESC, uf) AS rank FROM a) WHERE rank <= 5""")
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY ano ORDER BY n DESC, uf) AS INTEGER) AS rank FROM a) WHERE rank <= 5""")
 def g6u(spark, sf_dir):
     a = (mov(spark, sf_dir, ["competencia_mov", "uf"])
          .groupBy(F.substring("competencia_mov", 1, 4).alias("ano"), "uf").agg(F.count(F.lit(1)).alias("n")))

@@ -217,8 +217,8 @@ def a20(spark, sf_dir):
 
 def _report_sql():
     dims = ["extensao", "tipo", "competencia", "uf", "ano"]
-    agg = ("count(*) AS arquivos, sum(size_bytes) AS bytes_total, round(avg(size_bytes), 6) AS bytes_medio, "
-           "min(size_bytes) AS bytes_min, max(size_bytes) AS bytes_max, count_if(processed) AS processados")
+    agg = ("count(*) AS arquivos, CAST(sum(size_bytes) AS BIGINT) AS bytes_total, round(avg(size_bytes), 6) AS bytes_medio, "
+           "min(size_bytes) AS bytes_min, max(size_bytes) AS bytes_max, CAST(count_if(processed) AS BIGINT) AS processados")
     parts = [f"SELECT '{d}' AS dimensao, CAST({d} AS STRING) AS valor, {agg} FROM meta GROUP BY CAST({d} AS STRING)" for d in dims]
     parts.append(f"SELECT 'total' AS dimensao, '*' AS valor, {agg} FROM meta")
     return CV + " UNION ALL ".join(parts)
@@ -252,9 +252,9 @@ def _doc_lines(spark, sf_dir):
 x0 AS (SELECT arquivo, l, unnest([{{'ordem': 0, 'separador': ';'}}, {{'ordem': 1, 'separador': ','}},
   {{'ordem': 2, 'separador': chr(9)}}, {{'ordem': 3, 'separador': '|'}}, {{'ordem': 4, 'separador': ':'}},
   {{'ordem': 5, 'separador': '#'}}]) AS c FROM l),
-x AS (SELECT arquivo, c.ordem AS ordem, c.separador AS separador, length(l) - length(replace(l, c.separador, '')) AS n FROM x0),
+x AS (SELECT arquivo, c.ordem AS ordem, c.separador AS separador, CAST(length(l) - length(replace(l, c.separador, '')) AS INTEGER) AS n FROM x0),
 pc AS (SELECT arquivo, ordem, separador, n, count(*) AS k FROM x GROUP BY ALL),
-st AS (SELECT arquivo, ordem, separador, sum(k) AS linhas, min(n) AS minimo, max(n) AS maximo,
+st AS (SELECT arquivo, ordem, separador, CAST(sum(k) AS BIGINT) AS linhas, min(n) AS minimo, max(n) AS maximo,
   sum(n * k) / sum(k) AS media, sqrt(greatest(sum(n * n * k) / sum(k) - pow(sum(n * k) / sum(k), 2), 0.0)) AS desvio,
   arg_max(n, k * 1000000 - n) AS modal_n, max(k) AS modal_k FROM pc GROUP BY ALL),
 sc AS (SELECT arquivo, ordem, separador, linhas, minimo, maximo, round(media, 6) AS media, round(desvio, 6) AS desvio,

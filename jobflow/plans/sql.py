@@ -50,7 +50,7 @@ STOCK = """stock AS (SELECT competencia, admissoes, desligamentos, saldo_mensal,
        OVER (ORDER BY competencia ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS estoque FROM bal)"""
 
 ESTAB = """estab AS (SELECT CAST(cnpj AS STRING) AS cnpj, competencia_mov AS competencia, min(uf) AS uf, min(secao) AS secao,
-  count_if(saldo_movimentacao=1) AS admitidos, count_if(saldo_movimentacao=-1) AS desligados,
+  CAST(count_if(saldo_movimentacao=1) AS BIGINT) AS admitidos, CAST(count_if(saldo_movimentacao=-1) AS BIGINT) AS desligados,
   CAST(sum(CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END) AS BIGINT) AS saldo
  FROM mov GROUP BY cnpj, competencia_mov)"""
 

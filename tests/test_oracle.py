@@ -39,10 +39,18 @@ def _keys():
     return sorted(E.oracle_sql())
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", _keys())
 def test_query_matches_oracle(spark, con, key):
     import __spark_entry__ as E
     sdf = E.queries()[key](spark, SF_SMALL)
+    rel = con.sql(E.oracle_sql()[key])
+    dtypes = {n: str(t) for n, t in zip(rel.columns, rel.types)}
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert stypes == dtypes
     res = con.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
