@@ -60,3 +60,18 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     with session_conf(spark, spark__sql__session__timeZone="America/Sao_Paulo"):
         other = {k: sorted(map(tuple, q[k](spark, SF_SMALL).collect())) for k in keys}
     assert base == other
+
+
+def test_bucketed_fixture_join_has_no_exchange(spark):
+    from jobflow.operators import balance as B
+    from jobflow.sources.tables import bucket_fixture
+    from jobflow.session import session_conf
+    bucket_fixture(spark, SF_SMALL, 4)
+    with session_conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        m = mov(spark, SF_SMALL, ["competencia_mov", "tipo_movimentacao", "tipo", "saldo_movimentacao"], bucketed=True)
+        plan = _plan(m)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        a = sorted(map(tuple, B.balance_series(m).collect()))
+    b = sorted(map(tuple, B.balance_series(mov(spark, SF_SMALL, ["competencia_mov", "tipo_movimentacao", "tipo",
+                                                                   "saldo_movimentacao"])).collect()))
+    assert a == b
