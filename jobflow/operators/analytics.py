@@ -109,21 +109,22 @@ def disparity(df: DataFrame, group: str, *, code="tipo_movimentacao", tipo="tipo
               salary="salario") -> DataFrame:
     """Per group: admitted mean salary gap vs overall (%), share of the total balance (%).
 
-    The per-group aggregate is small (one row per group); overall values come
-    from a window over those rows only.
+    The overall mean and total come from one more aggregate over the per-group
+    rows, fetched as two numbers, so any number of groups stays distributed
+    (no single-partition window over the groups).
     """
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
     g = df.where(d.isNotNull()).groupBy(group).agg(
         F.sum(F.when(d == ADMISSION, F.col(salary))).alias("_sal"), F.count_if(d == ADMISSION).alias("_na"),
         F.sum(s).alias("saldo"))
-    allw = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    overall = F.sum("_sal").over(allw) / F.sum("_na").over(allw)
+    tot = g.agg((F.sum("_sal") / F.sum("_na")).alias("media"), F.sum("saldo").alias("saldo")).first()
+    overall, total = F.lit(tot["media"]).cast("double"), F.lit(tot["saldo"]).cast("double")
     mean = F.col("_sal") / F.col("_na")
     return g.select(group, F.round(mean, 6).alias("salario_medio_admitidos"),
                     F.round((mean / overall - 1) * 100.0, 6).alias("diferenca_salarial_pct"),
                     F.col("saldo").cast("bigint").alias("saldo"),
-                    F.round(F.col("saldo") / F.sum("saldo").over(allw) * 100.0, 6).alias("participacao_saldo_pct"))
+                    F.round(F.col("saldo") / total * 100.0, 6).alias("participacao_saldo_pct"))
 
 
 def transitions(df: DataFrame, *, person="cpf", seg="secao", month="competencia_mov") -> DataFrame:
