@@ -158,8 +158,9 @@ def late_window(col="competencia_mov", *, as_of: _dt.date) -> Check:
 
 
 def negatives(col: str) -> Check:
-    """J20 (per-column opt-in)."""
-    return Check("valores_negativos", col, F.col(col) < 0, _nn(col))
+    """J20 (per-column opt-in).  The value is cast leniently, so a text column works and
+    non-numeric text is simply not negative."""
+    return Check("valores_negativos", col, F.col(col).try_cast("double") < 0, _nn(col))
 
 
 def entity_type(code="tipo_movimentacao") -> Check:

@@ -58,3 +58,36 @@ def n1(spark, sf_dir):
 def e18(spark, sf_dir):
     from jobflow.sources.text import file_hashes
     return file_hashes(spark, _csv_dir(spark, sf_dir) + "/*.csv")
+
+
+def _n1_checks():
+    from jobflow.operators import quality as Q
+    return [Q.domain("TIPO_MOVIMENTACAO", Q.MOVEMENT_DOMAIN, "tipos_movimentacao"), Q.negatives("SALARIO"),
+            Q.period_format("COMPETENCIA_MOV")]
+
+
+def _n1_report_sql():
+    from jobflow.operators import quality as Q
+    from jobflow.plans.quality_queries import _fin, chk, union
+    dom = ", ".join(f"'{c}'" for c in Q.MOVEMENT_DOMAIN)
+    src = "f"
+    rep = union(chk("tipos_movimentacao", "TIPO_MOVIMENTACAO", f"TIPO_MOVIMENTACAO NOT IN ({dom})",
+                    "TIPO_MOVIMENTACAO IS NOT NULL", 0.0, src),
+                chk("valores_negativos", "SALARIO", "SALARIO < 0", "SALARIO IS NOT NULL", 0.0, src),
+                chk("formato_periodo", "COMPETENCIA_MOV",
+                    r"NOT regexp_matches(COMPETENCIA_MOV, '^\d{4}-\d{2}$|^\d{6}$|^\d{4}/\d{2}$')",
+                    "COMPETENCIA_MOV IS NOT NULL", 0.0, src))
+    geral = _fin("SELECT 'geral' AS check_name, '*' AS column_name, CAST(count_if(status = 'falha') AS BIGINT) AS bad_rows, "
+                 "CAST(count(*) AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance FROM rep")
+    return (with_views(MOV) + ", f AS (SELECT tipo_movimentacao AS TIPO_MOVIMENTACAO, salario AS SALARIO, "
+            "competencia_mov AS COMPETENCIA_MOV FROM mov WHERE substr(competencia_mov,1,4) IN ('2021','2022')), "
+            f"rep AS ({rep})\n" + union("SELECT * FROM rep", geral))
+
+
+@query("n1_monthly_report", _n1_report_sql())
+def n1r(spark, sf_dir):
+    out = scratch_path(spark, "n1r")
+    chain = C.FilterChain().period(col="COMPETENCIA_MOV", years=[2021, 2022])
+    return monthly_job(spark, _csv_dir(spark, sf_dir), out,
+                       types={"SALDO_MOVIMENTACAO": "int", "CNPJ": "bigint", "SALARIO": "double"},
+                       chain=chain, report_checks=_n1_checks())
