@@ -9,6 +9,18 @@ to write or to read back files.  Sub-packages:
 * ``operators`` - filters, joins, aggregates, windows, quality checks
 * ``plans``     - composed jobs and the query registry used by the driver
 * ``streaming`` - incremental pick-up and retroactive balance updates
+
+Typical use::
+
+    from jobflow.session import get_spark
+    from jobflow.operators import balance, filters, quality
+    spark = get_spark()
+    mov = spark.read.parquet(".../tipo=*/ano=*/mes=*")              # movement facts
+    mov = filters.FilterChain().period(years=[2024]).apply(mov)      # pushed into the scan
+    series = balance.balance_series(mov)                             # balance + running stock
+    report = quality.QualityReport(mov, [quality.period_format("competencia_mov")]).run()
+
+``docs/OPERATORS.md`` maps every operator of the blueprint to its function.
 """
 
 __version__ = "0.1.0"
