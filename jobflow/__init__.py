@@ -14,9 +14,10 @@ Typical use::
 
     from jobflow.session import get_spark
     from jobflow.operators import balance, filters, quality
+    from jobflow.sources.files import read_period
     spark = get_spark()
-    mov = spark.read.parquet(".../tipo=*/ano=*/mes=*")              # movement facts
-    mov = filters.FilterChain().period(years=[2024]).apply(mov)      # pushed into the scan
+    mov = read_period(spark, root, [(2024, 1), (2024, 2)])           # partition-pruned scan, all types
+    mov = filters.FilterChain().movement(types=[10, 31]).apply(mov)  # predicates pushed into the scan
     series = balance.balance_series(mov)                             # balance + running stock
     report = quality.QualityReport(mov, [quality.period_format("competencia_mov")]).run()
 
