@@ -48,3 +48,25 @@ def test_running_stock_is_prefix_sum(spark, saldos, anchor_pos):
         acc += v + (1000000 if m == anchor else 0)
         want.append(acc)
     assert got == want
+
+
+def _py_clean_float(v):
+    if v is None:
+        return 0.0
+    s = re.sub(r"[^0-9.,-]", "", v)
+    if "," in s:
+        s = s.replace(".", "").replace(",", ".")
+    if s == "":
+        s = "0"
+    try:
+        return float(s)
+    except ValueError:
+        return 0.0
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789-.,R$ x", max_size=10)), min_size=1, max_size=20))
+def test_clean_float_matches_model(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r.f for r in df.select(CL.clean_float(F.col("v")).alias("f")).collect()]
+    assert got == [_py_clean_float(v) for v in values]
