@@ -53,3 +53,18 @@ def test_company_rollup_total_equals_sum(spark):
     e = spark.createDataFrame(rows, "cnpj string, competencia string, admitidos int, desligados int, saldo int")
     out = {r.cnpj: (r.admissoes, r.desligamentos, r.saldo) for r in A.company_balance_with_total(e).collect()}
     assert out["GERAL"] == (6, 7, -1) and "" not in out
+
+
+def test_approximate_options_close_to_exact(spark):
+    from jobflow.operators import aggregates as A
+    rows = [(str(i % 50), "202001", i % 7, 1, 1, "s") for i in range(500)]
+    e = spark.createDataFrame(rows, "cnpj string, competencia string, uf int, admitidos int, desligados int, secao string")
+    e = e.withColumn("saldo", F.col("admitidos") - F.col("desligados"))
+    ex = A.indicators(e).collect()[0]
+    ap = A.indicators(e, approx=True).collect()[0]
+    assert ex.total_cnpjs_distintos == 50 and abs(ap.total_cnpjs_distintos - 50) <= 3
+    assert ex.total_ufs_distintas == ap.total_ufs_distintas == 7
+    q = spark.range(1000).withColumn("v", F.col("id").cast("double"))
+    exact = {r.coluna: (r.q1, r.q3) for r in A.iqr_bounds(q, ["v"]).collect()}["v"]
+    approx = {r.coluna: (r.q1, r.q3) for r in A.iqr_bounds(q, ["v"], exact=False).collect()}["v"]
+    assert exact == (249.75, 749.25) and abs(approx[0] - 249.75) <= 2 and abs(approx[1] - 749.25) <= 2
