@@ -194,3 +194,13 @@ def file_hashes(spark: SparkSession, paths) -> DataFrame:
     b = spark.read.format("binaryFile").load(paths)
     return b.select(F.col("path").alias("arquivo"), F.col("length").alias("bytes"),
                     F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+
+
+def profile_files(spark: SparkSession, paths, candidates=PROFILE_SEPARATORS) -> DataFrame:
+    """A22 over landed files: every line of every file, grouped by the file it came from.
+
+    Reads with the ``text`` source (files are split across tasks) and keys each
+    line by ``_metadata.file_path``; all lines are profiled, not a sample.
+    """
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("arquivo"), "value")
+    return delimiter_profile(lines, candidates=candidates)

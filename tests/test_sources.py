@@ -101,3 +101,14 @@ def test_catalog_from_landed_files_and_cnae_loader(spark):
     with open(cnae, "w") as f:
         f.write("CLASSE_CNAE;SITUACAO\n01111;1\n01112;0\n01113;1\n")
     assert sorted(r.code for r in load_cnae(spark, cnae).collect()) == ["01111", "01113"]
+
+
+def test_profile_files_picks_separator_per_file(spark):
+    root = scratch_path(spark, "t-profile")
+    os.makedirs(root)
+    with open(os.path.join(root, "a.txt"), "w") as f:
+        f.write("".join(f"{i};x;y;z\n" for i in range(20)))
+    with open(os.path.join(root, "b.txt"), "w") as f:
+        f.write("".join(f"{i}|x|y|z\n" for i in range(20)))
+    chosen = {r.arquivo.rsplit("/", 1)[-1]: r.separador for r in TX.profile_files(spark, root).where("escolhido").collect()}
+    assert chosen == {"a.txt": ";", "b.txt": "|"}
