@@ -55,12 +55,20 @@ def delimiter_of_header(df: DataFrame, line: str = "value") -> Column:
     return expr
 
 
-def salvage_lines(spark: SparkSession, path: str, header: str, *, sep: str | None = None) -> DataFrame:
+def salvage_lines(spark: SparkSession, path: str, header: str | None = None, *, sep: str | None = None) -> DataFrame:
     """A4: keep only non-empty lines containing ; , or tab (header lines excluded), split by the
     header's separator into the header's columns (missing fields null, extra fields dropped).
 
-    No line cap: every line of every file is examined, in parallel.
+    Without ``header``, the most common first line among the files is used
+    (:func:`header_lines`; one string reaches the driver).  No line cap: every
+    line of every file is examined, in parallel.
     """
+    if header is None:
+        top = (header_lines(spark, path).groupBy("cabecalho").count()
+               .orderBy(F.col("count").desc(), F.col("cabecalho")).first())
+        if top is None:
+            raise ValueError(f"no lines under {path}")
+        header = top["cabecalho"]
     if sep is None:
         counts = {s: header.count(s) for s in HEADER_SEPARATORS}
         sep = max(HEADER_SEPARATORS, key=lambda s: (counts[s], -HEADER_SEPARATORS.index(s)))
@@ -204,3 +212,19 @@ def profile_files(spark: SparkSession, paths, candidates=PROFILE_SEPARATORS) ->
     """
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("arquivo"), "value")
     return delimiter_profile(lines, candidates=candidates)
+
+
+def header_lines(spark: SparkSession, paths) -> DataFrame:
+    """First line of every landed file, with its separator (A23 over files).
+
+    The first line lives in the split that starts at byte 0 of the file; within
+    a split lines keep their order, so the line with the smallest row id of
+    that split is the header.  One small aggregate per file, no file read on
+    the driver.
+    """
+    t = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("arquivo"),
+        F.col("_metadata.file_block_start").alias("_inicio"), F.monotonically_increasing_id().alias("_i"))
+    first = t.where(F.col("_inicio") == 0).groupBy("arquivo").agg(F.min_by("value", "_i").alias("value"))
+    return first.select("arquivo", F.col("value").alias("cabecalho"),
+                        delimiter_of_header(first).alias("separador"))

@@ -28,6 +28,7 @@ def test_salvage_and_header_delimiter(spark):
         f.write("a;b;c\n1;2;3\n\n# nada\nsem separador\n4,5\n6;7\n")
     rows = sorted(tuple(r) for r in TX.salvage_lines(spark, p, "a;b;c").collect())
     assert rows == [("1", "2", "3"), ("4,5", None, None), ("6", "7", None)]
+    assert sorted(tuple(r) for r in TX.salvage_lines(spark, p).collect()) == rows     # header found in the file
     d = spark.createDataFrame([("a;b;c",), ("a,b;c,d",), ("x|y",), ("nada",)], "value string")
     assert [r.s for r in d.select(TX.delimiter_of_header(d).alias("s")).collect()] == [";", ",", "|", None]
 
@@ -112,3 +113,13 @@ def test_profile_files_picks_separator_per_file(spark):
         f.write("".join(f"{i}|x|y|z\n" for i in range(20)))
     chosen = {r.arquivo.rsplit("/", 1)[-1]: r.separador for r in TX.profile_files(spark, root).where("escolhido").collect()}
     assert chosen == {"a.txt": ";", "b.txt": "|"}
+
+
+def test_header_lines_per_file(spark):
+    root = scratch_path(spark, "t-headers")
+    os.makedirs(root)
+    for name, head, sep in [("a.csv", "x;y;z", ";"), ("b.csv", "p,q", ","), ("c.csv", "k\tv", "\t")]:
+        with open(os.path.join(root, name), "w") as f:
+            f.write(head + "\n" + "".join(f"{i}{sep}{i}\n" for i in range(50)))
+    got = {r.arquivo.rsplit("/", 1)[-1]: (r.cabecalho, r.separador) for r in TX.header_lines(spark, root).collect()}
+    assert got == {"a.csv": ("x;y;z", ";"), "b.csv": ("p,q", ","), "c.csv": ("k\tv", "\t")}
