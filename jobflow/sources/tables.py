@@ -37,8 +37,27 @@ _PART = {"secao", "subclasse", "idade"}
 YEAR_SHIFT = 25
 
 
+# fact-sized driver tables: worth spreading over the cores when their scan is too coarse
+FACT_TABLES = {"lineitem", "orders", "events", "documents"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table.
+
+    Parquet splits only at row-group boundaries; the driver's files are a single
+    row group each, so a fact table would be scanned - and every per-row step
+    after the scan (joins, expressions, partial aggregation) run - by ONE task.
+    When a fact table's scan yields fewer partitions than the session's
+    parallelism, it is round-robin repartitioned to that parallelism (Spark sorts
+    before round-robin, so retries are deterministic).  On a cluster reading many
+    files the scan already has thousands of splits and this is a no-op.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in FACT_TABLES:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def _bucketed_name(sf_dir: str, name: str) -> str:
