@@ -88,12 +88,26 @@ def segment_cube(df: DataFrame, a: str, b: str, *, code="tipo_movimentacao", tip
                     "admissoes", "desligamentos", (F.col("admissoes") - F.col("desligamentos")).alias("saldo"))
 
 
-def mean_salary(df: DataFrame, *, by=("competencia_mov",), code="tipo_movimentacao", salary="salario") -> DataFrame:
-    """Mean salary of admitted and of separated workers per group."""
+def fixed_point(c: Column, scale: int = 2) -> Column:
+    """Money / durations with ``scale`` decimals as exact integers (cents)."""
+    return F.round(c * (10 ** scale)).cast("bigint")
+
+
+def exact_mean(total: Column, n: Column, scale: int = 2) -> Column:
+    """Mean from an exact integer sum: one division, so the result does not depend on the
+    order in which partial sums were combined (plain ``avg`` over doubles does)."""
+    return F.when(n > 0, total.cast("double") / n / float(10 ** scale))
+
+
+def mean_salary(df: DataFrame, *, by=("competencia_mov",), code="tipo_movimentacao", salary="salario",
+                scale: int = 2) -> DataFrame:
+    """Mean salary of admitted and of separated workers per group (exact fixed-point sums)."""
     d = direction(F.col(code))
+    cents = fixed_point(F.col(salary), scale)
+    a, s = F.when(d == ADMISSION, cents), F.when(d == SEPARATION, cents)
     return df.groupBy(*by).agg(
-        F.round(F.avg(F.when(d == ADMISSION, F.col(salary))), 6).alias("salario_medio_admitidos"),
-        F.round(F.avg(F.when(d == SEPARATION, F.col(salary))), 6).alias("salario_medio_desligados"))
+        exact_mean(F.sum(a), F.count(a), scale).alias("salario_medio_admitidos"),
+        exact_mean(F.sum(s), F.count(s), scale).alias("salario_medio_desligados"))
 
 
 def turnover(series: DataFrame) -> DataFrame:
@@ -116,11 +130,11 @@ def disparity(df: DataFrame, group: str, *, code="tipo_movimentacao", tipo="tipo
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
     g = df.where(d.isNotNull()).groupBy(group).agg(
-        F.sum(F.when(d == ADMISSION, F.col(salary))).alias("_sal"), F.count_if(d == ADMISSION).alias("_na"),
+        F.sum(F.when(d == ADMISSION, fixed_point(F.col(salary)))).alias("_sal"), F.count_if(d == ADMISSION).alias("_na"),
         F.sum(s).alias("saldo"))
-    tot = g.agg((F.sum("_sal") / F.sum("_na")).alias("media"), F.sum("saldo").alias("saldo")).first()
+    tot = g.agg(exact_mean(F.sum("_sal"), F.sum("_na")).alias("media"), F.sum("saldo").alias("saldo")).first()
     overall, total = F.lit(tot["media"]).cast("double"), F.lit(tot["saldo"]).cast("double")
-    mean = F.col("_sal") / F.col("_na")
+    mean = exact_mean(F.col("_sal"), F.col("_na"))
     return g.select(group, F.round(mean, 6).alias("salario_medio_admitidos"),
                     F.round((mean / overall - 1) * 100.0, 6).alias("diferenca_salarial_pct"),
                     F.col("saldo").cast("bigint").alias("saldo"),

@@ -25,10 +25,12 @@ RECENT_KEEP = 1000
 def op_metrics(log: DataFrame) -> DataFrame:
     """Per operation and overall ('geral' via ROLLUP): runs, successes, failures,
     total/mean/min/max duration, success rate."""
+    cs = F.round(F.col("duration") * 100).cast("bigint")     # exact centiseconds: order-free sums
     g = log.rollup("operation").agg(
         F.count(F.lit(1)).alias("total"), F.count_if("success").alias("sucesso"),
         F.count_if(~F.col("success")).alias("falhas"),
-        F.round(F.sum("duration"), 6).alias("duracao_total"), F.round(F.avg("duration"), 6).alias("duracao_media"),
+        (F.sum(cs).cast("double") / 100.0).alias("duracao_total"),
+        (F.sum(cs).cast("double") / F.count(cs) / 100.0).alias("duracao_media"),
         F.min("duration").alias("duracao_min"), F.max("duration").alias("duracao_max"),
         F.grouping("operation").alias("_g"))
     return g.select(F.when(F.col("_g") == 1, F.lit("geral")).otherwise(F.col("operation")).alias("operation"),
@@ -71,9 +73,10 @@ def throughput(log: DataFrame, *, remaining_items: int = 0, mb_field: str = "$.k
     """Per operation: success %, files/s, MB/s, ETA for remaining items and alert flags
     (failure > 20 %, total time > 300 s, < 0.5 files/s).  MB per item from the details JSON."""
     mb = F.get_json_object(F.col("details"), mb_field).cast("double")
+    cs = F.round(F.col("duration") * 100).cast("bigint")     # exact centiseconds: order-free sums
     g = log.groupBy("operation").agg(
-        F.count(F.lit(1)).alias("itens"), F.count_if("success").alias("ok"), F.sum("duration").alias("segundos"),
-        F.sum(mb).alias("mb"))
+        F.count(F.lit(1)).alias("itens"), F.count_if("success").alias("ok"),
+        (F.sum(cs).cast("double") / 100.0).alias("segundos"), F.sum(mb).alias("mb"))
     fps = F.col("itens") / F.col("segundos")
     return g.select(
         "operation", "itens",

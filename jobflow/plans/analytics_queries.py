@@ -17,8 +17,10 @@ OV = with_views(OPLOG)
 
 # --- E19-E23 ----------------------------------------------------------------------------------------
 
-_MET = """count(*) AS total, CAST(count_if(success) AS BIGINT) AS sucesso, CAST(count_if(NOT success) AS BIGINT) AS falhas, round(sum(duration), 6) AS duracao_total,
- round(avg(duration), 6) AS duracao_media, min(duration) AS duracao_min, max(duration) AS duracao_max,
+_MET = """count(*) AS total, CAST(count_if(success) AS BIGINT) AS sucesso, CAST(count_if(NOT success) AS BIGINT) AS falhas, 
+ CAST(sum(CAST(round(duration * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS duracao_total,
+ CAST(sum(CAST(round(duration * 100) AS BIGINT)) AS DOUBLE) / count(duration) / 100.0 AS duracao_media,
+ min(duration) AS duracao_min, max(duration) AS duracao_max,
  round(CAST(count_if(success) AS BIGINT) / count(*), 6) AS taxa_sucesso"""
 
 
@@ -53,7 +55,8 @@ def e21(spark, sf_dir):
 @query("e22_throughput", OV + """SELECT operation, itens, round(ok / itens * 100.0, 6) AS pct_sucesso, round(itens / segundos, 6) AS arquivos_por_s,
  round(mb / segundos, 6) AS mb_por_s, round(500 / (itens / segundos), 6) AS eta_s, (1 - ok / itens) * 100.0 > 20.0 AS alerta_falhas,
  segundos > 300.0 AS alerta_tempo, itens / segundos < 0.5 AS alerta_vazao
-FROM (SELECT operation, count(*) AS itens, CAST(count_if(success) AS BIGINT) AS ok, sum(duration) AS segundos,
+FROM (SELECT operation, count(*) AS itens, CAST(count_if(success) AS BIGINT) AS ok,
+ CAST(sum(CAST(round(duration * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS segundos,
  sum(CAST(json_extract_string(details, '$.k') AS DOUBLE)) AS mb FROM oplog GROUP BY operation)""")
 def e22(spark, sf_dir):
     return OL.throughput(oplog(spark, sf_dir), remaining_items=500)
@@ -128,8 +131,15 @@ def e24c(spark, sf_dir):
     return AN.segment_cube(mov(spark, sf_dir, BAL_COLS + ["regiao", "secao"]), "regiao", "secao")
 
 
-@query("e25_mean_salary", with_views(MOV) + f"""SELECT competencia_mov, round(avg(CASE WHEN ({dir_of()}) = 'A' THEN salario END), 6) AS salario_medio_admitidos,
- round(avg(CASE WHEN ({dir_of()}) = 'D' THEN salario END), 6) AS salario_medio_desligados FROM mov GROUP BY competencia_mov""")
+_CENTS = "CAST(round(salario * 100) AS BIGINT)"
+
+
+@query("e25_mean_salary", with_views(MOV) + f"""SELECT competencia_mov,
+ CASE WHEN count(CASE WHEN ({dir_of()}) = 'A' THEN {_CENTS} END) > 0 THEN CAST(sum(CASE WHEN ({dir_of()}) = 'A' THEN {_CENTS} END) AS DOUBLE)
+   / count(CASE WHEN ({dir_of()}) = 'A' THEN {_CENTS} END) / 100.0 END AS salario_medio_admitidos,
+ CASE WHEN count(CASE WHEN ({dir_of()}) = 'D' THEN {_CENTS} END) > 0 THEN CAST(sum(CASE WHEN ({dir_of()}) = 'D' THEN {_CENTS} END) AS DOUBLE)
+   / count(CASE WHEN ({dir_of()}) = 'D' THEN {_CENTS} END) / 100.0 END AS salario_medio_desligados
+FROM mov GROUP BY competencia_mov""")
 def e25(spark, sf_dir):
     return AN.mean_salary(mov(spark, sf_dir, ["competencia_mov", "tipo_movimentacao", "salario"]))
 
@@ -141,10 +151,11 @@ def e26(spark, sf_dir):
     return AN.turnover(flagship(spark, sf_dir))
 
 
-@query("e27_disparity", with_views(MOV) + f""", g AS (SELECT regiao, sum(CASE WHEN ({dir_of()}) = 'A' THEN salario END) AS sal,
+@query("e27_disparity", with_views(MOV) + f""", g AS (SELECT regiao, sum(CASE WHEN ({dir_of()}) = 'A' THEN {_CENTS} END) AS sal,
  CAST(count_if(({dir_of()}) = 'A') AS BIGINT) AS na, sum(CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END) AS saldo
  FROM mov WHERE ({dir_of()}) IS NOT NULL GROUP BY regiao)
-SELECT regiao, round(sal / na, 6) AS salario_medio_admitidos, round(((sal / na) / ((SELECT sum(sal) FROM g) / (SELECT sum(na) FROM g)) - 1) * 100.0, 6)
+SELECT regiao, round(CAST(sal AS DOUBLE) / na / 100.0, 6) AS salario_medio_admitidos,
+ round(((CAST(sal AS DOUBLE) / na / 100.0) / (CAST((SELECT sum(sal) FROM g) AS DOUBLE) / (SELECT sum(na) FROM g) / 100.0) - 1) * 100.0, 6)
  AS diferenca_salarial_pct, CAST(saldo AS BIGINT) AS saldo, round(saldo / (SELECT sum(saldo) FROM g) * 100.0, 6) AS participacao_saldo_pct FROM g""")
 def e27(spark, sf_dir):
     return AN.disparity(mov(spark, sf_dir, BAL_COLS + ["regiao", "salario"]), "regiao")
