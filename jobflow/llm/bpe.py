@@ -17,6 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobflow.llm.common import table_of
 
@@ -239,7 +240,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, text: str =
     rows = docs.select(*keep, F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     schema = rows.drop("__text").schema
     schema = (schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string") if digests
-              else schema.add("ids", "array<int>").add("decoded", "binary"))
+              else schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "binary"))
 
     def run(batches):
         bpe = ByteBpe(ranks_path, pattern)

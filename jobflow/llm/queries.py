@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
-from jobflow.llm import bpe, decontaminate, langid, simhash, suffix_dedup
+from jobflow.llm import (
+    ann,
+    bpe,
+    decontaminate,
+    langid,
+    quality,
+    simhash,
+    suffix_dedup,
+    suffix_tree_lm,
+    token_counts,
+    toxicity,
+)
 from jobflow.llm.common import table
+from jobflow.session import scratch_path
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -19,10 +31,31 @@ def op2_byte_bpe(spark, sf_dir):
                                 public_tokenizers.PATTERN, digests=True)
 
 
+def op3_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_nearest(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op6_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts.corpus_rollup(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup")).totals()
+
+
+def op8_suffix_tree(spark, sf_dir):
+    return suffix_tree_lm.document_scores(table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,5 +64,7 @@ def op10_language_id(spark, sf_dir):
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_byte_bpe, op5_simhash, op9_decontaminate, op10_language_id)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_suffix_dedup, op2_byte_bpe, op3_quality, op4_nearest, op5_simhash, op6_toxicity, op7_token_counts,
+    op8_suffix_tree, op9_decontaminate, op10_language_id)}
+ORACLE = {"op7_token_counts": token_counts.ORACLE}

@@ -1,0 +1,98 @@
+"""Decontamination and language ID."""
+
+import random
+
+import numpy as np
+import pytest
+from jobflow.llm import decontaminate, langid
+from jobflow.llm.common import table
+from llm_fixtures import SF_SMALL, no_docs, odd_docs, odd_texts  # noqa: F401
+
+
+def edits(a: bytes, b: bytes) -> int:
+    """Fewest edits of ``a`` against any stretch of ``b``."""
+    row = [0] * (len(b) + 1)
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j - 1] + (c != d), row[j] + 1, new[-1] + 1))
+        row = new
+    return min(row)
+
+
+def norm(t: str) -> bytes:
+    raw = np.frombuffer((t or "").encode(), np.uint8)
+    return decontaminate.normalize(raw, np.array([0, len(raw)]))[0].tobytes().strip()
+
+
+def test_regions_match_brute_force(spark, no_docs):
+    rng = random.Random(3)
+    words = ["lamp", "stone", "river", "garden", "quiet", "morning", "letter", "window", "paper", "music"]
+    items = [" ".join(rng.choice(words) for _ in range(n)) for n in (6, 14, 30, 40)] + ["tiny", "", None]
+    docs = []
+    for t in items[:4]:
+        for changes in (0, 1, 2, 4, 8, 16):
+            s = list(t.upper() if changes == 1 else t.replace(" ", " \n"))
+            for _ in range(changes):
+                p = rng.randrange(len(s))
+                s[p:p + 1] = rng.choice([["q"], [], [s[p], "q"]])
+            docs.append(" ".join(rng.choice(words) for _ in range(30)) + ", " + "".join(s) + ". " +
+                        " ".join(rng.choice(words) for _ in range(20)))
+    docs += [None, "", "  ", " ".join(words), items[2] + " " + items[2], items[1]]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.contaminated(frame, bench).collect()
+    want = set()
+    for d, t in enumerate(docs):
+        for i, x in enumerate(items):
+            a = norm(x)
+            k = decontaminate.budget(len(a))
+            if k >= 0 and (e := edits(a, norm(t))) <= k:
+                want.add((d, i, e))
+    best = {}
+    for r in rows:
+        best[r.doc_id, r.item_id] = min(r.edits, best.get((r.doc_id, r.item_id), 99))
+    assert {(d, i, e) for (d, i), e in best.items()} == want
+    exact = [r for r in rows if r.doc_id == len(docs) - 2 and r.item_id == 2]
+    assert len(exact) == 2  # both copies in one text
+    for r in exact:
+        assert docs[r.doc_id].encode()[r.first:r.end].decode() == items[2]
+    assert decontaminate.contaminated(no_docs, bench).count() == 0
+    assert decontaminate.contaminated(frame, bench.limit(0)).count() == 0
+    kept = {r.doc_id for r in decontaminate.clean(frame, bench).collect()}
+    assert kept == set(range(len(docs))) - {d for d, _, _ in want}
+
+
+def test_item_groups_cover_the_benchmark(spark, monkeypatch):
+    docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
+    one = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "GROUP_BYTES", 2000)
+    assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == one
+
+
+def test_language_id(spark, odd_docs, odd_texts, no_docs):
+    docs = table(spark, SF_SMALL, "documents")
+    got = langid.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in got if r.held_out]
+    assert len(got) == docs.count() and held
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in got)
+    odd = {str(r.doc_id): r for r in langid.language_id(odd_docs).collect()}
+    for i, t in odd_texts:
+        if t is None or not any(c.isalpha() for c in t):
+            assert (odd[str(i)].lang_pred, odd[str(i)].score) == ("und", 0.0)
+    assert {r.lang_pred for r in odd.values()} <= {"en", "und"}
+    assert langid.language_id(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("bits", [12, 15])
+def test_counts_match_brute_force(spark, bits):
+    docs = table(spark, SF_SMALL, "documents")
+    model = langid.train(docs, bits=bits)
+    rows = docs.select("text", "lang").collect()
+    want = np.zeros((1 << bits, len(model.langs)))
+    for r in rows:
+        for h, _ in langid.grams([r.text], bits)[0]:
+            np.add.at(want[:, model.langs.index(r.lang)], h, 1)
+    want = np.log((want + 0.5) / (want.sum(0) + 0.5 * (1 << bits)))
+    assert np.allclose(model.logp, want, atol=1e-4)
