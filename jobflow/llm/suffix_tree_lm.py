@@ -317,13 +317,11 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return blocks.groupBy("unit").cogroup(got.groupBy("unit")).applyInPandas(step, schema)
 
     for level in range(1, depth + 1):
-        known = list(hot_kept)
-
-        def ask(key: tuple, block: pd.DataFrame, got: pd.DataFrame, known=known) -> pd.DataFrame:
-            rows = list(rebuilt(block.iloc[0], got, known).ask())
+        def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+            rows = list(rebuilt(block.iloc[0], got, hot_kept).ask())
             cells = [[g, *(x.tobytes() for x in rest)] for g, *rest in rows]
             out = pd.DataFrame(cells, columns=["bucket", "contexts", "fan", "n", "pairs", "counts", "quanta"])
-            return out.assign(unit=key[0])
+            return out.assign(unit=block.unit.iloc[0])
 
         asked = joined(ask, "unit long, bucket int, contexts binary, fan binary, n binary, pairs binary, counts binary, quanta binary")
         answers = materialize(asked.groupBy("bucket").applyInPandas(_sum_pairs(level, lam, least_gain, hot), ANSWER), "pairs")
@@ -334,7 +332,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 gains[c] = gains.get(c, 0.0) + float(g)
         hot_kept.append(frozenset(c for c, g in gains.items() if g > least_gain))
 
-    def finish(key: tuple, block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+    def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         return rebuilt(block.iloc[0], got, hot_kept).scores()
 
     each = joined(finish, "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double")

@@ -6,7 +6,8 @@ above; blocks are scored in order of that bound until none can reach the k-th be
 nearest are exact.  Distance-weighted votes of the neighbours become a probability by a
 curve fitted on the examples' own left-one-out votes; the neighbours are the evidence.
 
-Terms are those of the examples; their document frequencies count all documents.
+Terms are words and word beginnings whose share of examples differs between the labels beyond chance (G2
+test); their document frequencies count all documents.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -26,6 +28,8 @@ MOST_TOXIC, MOST_CLEAN = 2000, 4000
 BLOCK = 64
 NEIGHBOURS = 12
 PART = 1 << 16
+STEM = 4
+LEAST_G2 = 24.0  # chance of a term this uneven by luck: about one in a million
 
 _b = np.arange(256)
 _lower = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
@@ -33,7 +37,8 @@ _word = ((_lower >= 97) & (_lower <= 122)) | (_b >= 128) | (_b == 39)
 
 
 def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of all words (runs of letters and apostrophes, ASCII letters lowered) and their rows."""
+    """Names of all words (runs of letters and apostrophes, ASCII letters lowered) and of the first
+    ``STEM`` bytes of longer ones, and their rows."""
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     low = _lower[data]
@@ -43,8 +48,14 @@ def terms(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(inside & ~(np.append(False, inside[:-1]) & ~edge[:-1]))
     end = np.flatnonzero(inside & ~(np.append(inside[1:], False) & ~edge[1:])) + 1
     names = WindowNames(low)
-    w = mix((names.sums[end] - names.sums[first]) * names.inverses[first] + (end - first).astype(np.uint64))
-    return w, np.searchsorted(off, first, side="right") - 1
+    row = np.searchsorted(off, first, side="right") - 1
+
+    def name(first, end):
+        return (names.sums[end] - names.sums[first]) * names.inverses[first] + (end - first).astype(np.uint64)
+
+    long = end - first > STEM
+    stems = name(first[long], first[long] + STEM) + np.uint64(1 << 40)
+    return mix(np.concatenate([name(first, end), stems])), np.concatenate([row, row[long]])
 
 
 def bags(data: np.ndarray, off: np.ndarray, vocabulary: np.ndarray):
@@ -158,6 +169,21 @@ class Index:
         self.curve = (float(a), float(b))
 
 
+def telling(row: np.ndarray, term: np.ndarray, toxic: np.ndarray, n_terms: int) -> np.ndarray:
+    """Whether each term's examples are split over the labels beyond chance; all terms if none is."""
+    n1, n0 = toxic.sum(), (1 - toxic).sum()
+    a = np.bincount(term, toxic[row], n_terms)
+    b = np.bincount(term, 1 - toxic[row], n_terms)
+    share = (a + b) / (n1 + n0)
+
+    def part(x, expected):
+        return x * np.log(np.where(x > 0, x, 1) / np.maximum(expected, 1e-300))
+
+    g2 = 2 * (part(a, n1 * share) + part(b, n0 * share)
+              + part(n1 - a, n1 * (1 - share)) + part(n0 - b, n0 * (1 - share)))
+    return g2 >= LEAST_G2 if (g2 >= LEAST_G2).any() else np.ones(n_terms, bool)
+
+
 def frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") -> tuple[np.ndarray, int]:
     """Number of documents with each term, over all rows, and the number of rows."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -177,7 +203,7 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") ->
                            counts=pa.array([np.int64([n]).tobytes(), *(total[p:p + PART].tobytes() for p in parts)],
                                            pa.binary()))
 
-    def add(key: tuple, pdf):
+    def add(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = sum(np.frombuffer(c, np.int64) for c in pdf.counts)
         return pdf.iloc[:1].assign(lane=0, counts=[total.tobytes()])
 
@@ -224,8 +250,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     count = np.concatenate([np.frombuffer(x, np.int64) for x in got.counts])
     row = np.repeat(np.arange(len(names)), [len(x) for x in names])
     vocabulary, term = np.unique(np.concatenate(names), return_inverse=True)
-    df, n = frequencies(docs, vocabulary, text)
     toxic = got.y.to_numpy().astype(float)
+    keep = telling(row, term, toxic, len(vocabulary))
+    row, term, count = row[keep[term]], (np.cumsum(keep) - 1)[term[keep[term]]], count[keep[term]]
+    vocabulary = vocabulary[keep]
+    df, n = frequencies(docs, vocabulary, text)
     index = Index.build(vocabulary, df, n, got.k.tolist(), toxic, row, term, count)
     own = {y: (toxic == y).sum() for y in (0, 1)}
     index.calibrate(row, term, count, k, np.array([totals[int(y)] / own[y] for y in toxic]))
@@ -237,7 +266,7 @@ def predict(docs: DataFrame, model: Index | float, key: str = "doc_id", text: st
             k: int = NEIGHBOURS) -> DataFrame:
     """``key``, ``score`` and ``evidence`` (neighbours as key, label, cosine) for every row.
 
-    A null, empty or wordless text, or one that shares no word with an example, has no evidence and the score of no votes.
+    A null, empty or wordless text, or one that shares no term with an example, has no evidence and the score of no votes.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
