@@ -269,7 +269,7 @@ def _sum_pairs(level: int, lam: float, least_gain: float, hot: int):
 
 
 def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text", held: str = "held_out", depth: int = 2,
-                       least: int = 8, lam: float = 6.0, least_gain: float = 2.0,
+                       least: int = 8, lam: float = 300.0, least_gain: float = 10.0,
                        unit_bytes: int = UNIT_BYTES) -> DataFrame:
     """``key``, held_out, n_tokens, n_known, train_tokens, base_score, score for every row.
 
