@@ -45,9 +45,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def bucket_bits(spark: SparkSession) -> int:
-    """log2 of the number of name buckets: about four per shuffle partition, 256 at least."""
+    """log2 of the number of name buckets: one or two per shuffle partition, 256 at least.
+
+    A packed row stands for one task batch and one bucket, so more buckets mean more and smaller rows.
+    """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(16, max(8, math.ceil(math.log2(4 * parts))))
+    return min(16, max(8, math.ceil(math.log2(max(1, parts)))))
 
 
 def utf8_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
