@@ -8,10 +8,14 @@ single result row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobflow.operators.filters import valid_key
+from jobflow.session import scratch_path
 
 GERAL = "GERAL"
 
@@ -117,45 +121,83 @@ def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
                     .alias("pct_nulos")))
 
 
-def iqr_bounds(df: DataFrame, cols: list[str], *, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """Quartiles and 1.5·IQR fences per column, one aggregate.
+def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.75)) -> dict[str, list[float | None]]:
+    """Exact quantiles (linear interpolation, equal to SQL quantile_cont) without a single-task buffer.
 
-    exact=True uses ``percentile`` (linear interpolation, equal to SQL
-    quantile_cont); its buffer holds one entry per distinct value, so use it on
-    bounded-cardinality columns.  exact=False uses ``percentile_approx``
-    (bounded memory at any scale).
+    Values are counted per column (map-side combine), range-partitioned by column and value and written
+    to the shared folder with their partition number.  The driver gets one total per column and
+    partition; only the partitions that hold a wanted rank are read again, each summed on its own.
     """
-    def q(c, p):
-        return F.percentile(F.col(c), p) if exact else F.percentile_approx(F.col(c), p, accuracy)
-    aggs = []
+    spark = df.sparkSession
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    counts = df.select(F.inline(pairs)).where("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, "quantiles")
+    counts.repartitionByRange("c", "v").withColumn("p", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.parquet(path)
+    totals: dict[int, list[tuple[int, int]]] = {i: [] for i in range(len(cols))}
+    for r in ranged.groupBy("c", "p").agg(F.sum("n").alias("n")).orderBy("c", "p").collect():
+        totals[r["c"]].append((r["p"], r["n"]))
+    places: dict[int, list[tuple[int, int, float]]] = {}
+    wanted: dict[tuple[int, int], set[int]] = {}    # (column, partition) -> ranks within it
+    local: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for i, parts in totals.items():
+        n = sum(k for _, k in parts)
+        for q in probs if n else ():
+            at = q * (n - 1)
+            low, high = int(at), min(int(at) + 1, n - 1)
+            places.setdefault(i, []).append((low, high, at - low))
+            for rank in (low, high):
+                before = 0
+                for p, k in parts:
+                    if rank < before + k:
+                        wanted.setdefault((i, p), set()).add(rank - before)
+                        local[i, rank] = (i, p, rank - before)
+                        break
+                    before += k
+    if not wanted:
+        return {c: [None] * len(probs) for c in cols}
+    pick = reduce(or_, [(F.col("c") == i) & (F.col("p") == p) for i, p in wanted])
+    upto = F.sum("n").over(Window.partitionBy("c", "p").orderBy("v"))
+    hit = reduce(or_, [(F.col("c") == i) & (F.col("p") == p) & (F.col("e") > k) & (F.col("e") - F.col("n") <= k)
+                       for (i, p), ks in wanted.items() for k in ks])
+    found = {}
+    for r in ranged.where(pick).withColumn("e", upto).where(hit).collect():
+        for k in wanted[r["c"], r["p"]]:
+            if r["e"] - r["n"] <= k < r["e"]:
+                found[r["c"], r["p"], k] = r["v"]
+    out = {}
     for i, c in enumerate(cols):
-        aggs += [q(c, 0.25).cast("double").alias(f"q1_{i}"), q(c, 0.75).cast("double").alias(f"q3_{i}")]
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(f"q1_{i}").alias("q1"), F.col(f"q3_{i}").alias("q3"))
-                     for i, c in enumerate(cols)])
-    out = one.select(F.inline(rows)).withColumn("iqr", F.col("q3") - F.col("q1"))
-    return out.withColumns({"limite_inferior": F.col("q1") - 1.5 * F.col("iqr"),
-                            "limite_superior": F.col("q3") + 1.5 * F.col("iqr")})
+        ends = [(found[local[i, lo]], found[local[i, hi]], part) for lo, hi, part in places.get(i, [])]
+        out[c] = [lo + (hi - lo) * part for lo, hi, part in ends] or [None] * len(probs)
+    return out
 
 
-def iqr_outliers(df: DataFrame, cols: list[str], *, exact: bool = True) -> DataFrame:
-    """Fences plus outlier count per column.
+def iqr_fences(df: DataFrame, cols: list[str], *, exact: bool = True, accuracy: int = 10000) -> dict[str, tuple]:
+    """(q1, q3, lower, upper 1.5-IQR fence) per column, a few numbers; None where a column has no value.
 
-    Two aggregates: the fences (one small row per column, fetched to the
-    driver like ``approxQuantile`` does) and one fused pass counting values
-    outside them.  No join is needed.
+    exact=False uses ``percentile_approx`` (one pass, bounded memory).
     """
-    bounds = iqr_bounds(df, cols, exact=exact)
-    fences = {r["coluna"]: r for r in bounds.collect()}
-    aggs = [F.count(F.lit(1)).alias("total")]
-    for i, c in enumerate(cols):
-        lo, hi = fences[c]["limite_inferior"], fences[c]["limite_superior"]
-        if lo is None:
-            aggs.append(F.lit(0).cast("bigint").alias(f"o_{i}"))
-        else:
-            aggs.append(F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(f"o_{i}"))
-    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.lit(fences[c]["q1"]).cast("double").alias("q1"),
-                              F.lit(fences[c]["q3"]).cast("double").alias("q3"), F.col(f"o_{i}").alias("outliers"))
+    if exact:
+        quartiles = exact_quantiles(df, cols)
+    else:
+        one = df.agg(*[F.percentile_approx(F.col(c).cast("double"), F.array(F.lit(0.25), F.lit(0.75)), accuracy).alias(f"q_{i}")
+                       for i, c in enumerate(cols)]).first()
+        quartiles = {c: list(one[f"q_{i}"] or (None, None)) for i, c in enumerate(cols)}
+    return {c: (q1, q3, None, None) if q1 is None else (q1, q3, q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+            for c, (q1, q3) in quartiles.items()}
+
+
+def outside(col: str, fence: tuple) -> Column:
+    """Whether a value lies beyond its fences."""
+    return F.lit(False) if fence[2] is None else (F.col(col) < F.lit(fence[2])) | (F.col(col) > F.lit(fence[3]))
+
+
+def iqr_outliers(df: DataFrame, cols: list[str], *, exact: bool = True) -> DataFrame:
+    """Quartiles, fences and outlier count per column: the fences, then one fused counting pass."""
+    fences = iqr_fences(df, cols, exact=exact)
+    aggs = [F.count(F.lit(1)).alias("total")] + [F.count_if(outside(c, fences[c])).alias(f"o_{i}") for i, c in enumerate(cols)]
+    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.lit(fences[c][0]).cast("double").alias("q1"),
+                              F.lit(fences[c][1]).cast("double").alias("q3"), F.col(f"o_{i}").alias("outliers"))
                      for i, c in enumerate(cols)])
     out = df.agg(*aggs).select("total", F.inline(rows))
     return (out.withColumn("iqr", F.col("q3") - F.col("q1"))
@@ -165,40 +207,30 @@ def iqr_outliers(df: DataFrame, cols: list[str], *, exact: bool = True) -> DataF
 
 
 def checksum(df: DataFrame) -> DataFrame:
-    """Order-independent dataset checksum: rows, columns, type signature, row-hash sum, nulls."""
+    """Order-independent dataset checksum: columns, type signature, rows, row-hash sum, nulls.
+
+    A row is hashed as text in which a null differs from any value and columns cannot run together.
+    """
     cols = df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols]) if cols else F.lit(0)
+    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in cols]
+    sixty_bits = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast("decimal(38,0)")
     sig = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(df.schema.fields, key=lambda f: f.name))
-    return df.agg(F.count(F.lit(1)).alias("linhas"),
-                  F.sum(h.cast("decimal(38,0)")).cast("string").alias("hash_linhas"),
-                  F.sum(sum([F.col(c).isNull().cast("long") for c in cols], F.lit(0))).alias("nulos")
-                  ).select(F.lit(len(cols)).alias("colunas"), F.sha2(F.lit(sig), 256).alias("assinatura_tipos"),
-                           "linhas", "hash_linhas", F.coalesce("nulos", F.lit(0)).alias("nulos"))
+    nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols], F.lit(0).cast("long"))
+    return df.agg(F.count(F.lit(1)).alias("linhas"), F.coalesce(F.sum(sixty_bits), F.lit(0)).cast("string").alias("hash_linhas"),
+                  F.coalesce(F.sum(nulls), F.lit(0).cast("long")).alias("nulos")).select(
+        F.lit(len(cols)).alias("colunas"), F.sha2(F.lit(sig), 256).alias("assinatura_tipos"), "linhas", "hash_linhas", "nulos")
 
 
 # --- H3-H5 -----------------------------------------------------------------------------------
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """H3: total rows, distinct rows, duplicate rows - exact, without shuffling whole rows.
-
-    Phase 1 groups by a 96-bit row hash (xxhash64 + murmur3), so the shuffle
-    carries 16 bytes per row (partial aggregation collapses repeated rows
-    map-side).  Identical rows always share a hash, so a hash seen once is a
-    unique row.  Phase 2 groups by all columns only the rows whose hash
-    repeats (true duplicates plus any collision), which makes the count exact.
-    The two one-row results are combined by a union and a global sum.
+    """H3: total rows, distinct rows, duplicate rows, exact.
+
+    One aggregate on all columns: copies shrink to one row per task before the shuffle, so a row that is a
+    third of the table does not meet in one task, and the input is computed once.
     """
-    cols = df.columns
-    h = df.select(*cols, F.xxhash64(*cols).alias("__h1"), F.hash(*cols).alias("__h2"))
-    g = h.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"))
-    tot = g.agg(F.sum("__n").alias("total"), F.count_if(F.col("__n") == 1).alias("unicos"),
-                F.lit(0).cast("bigint").alias("distintos_repetidos"))
-    repeated = h.join(g.where(F.col("__n") > 1).select("__h1", "__h2"), ["__h1", "__h2"], "left_semi")
-    rep = (repeated.groupBy(*cols).agg(F.lit(1).alias("__one"))
-           .agg(F.lit(0).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("unicos"),
-                F.count(F.lit(1)).alias("distintos_repetidos")))
-    both = tot.unionByName(rep).agg(F.sum("total").cast("bigint").alias("total_linhas"),
-                                    (F.sum("unicos") + F.sum("distintos_repetidos")).cast("bigint").alias("linhas_distintas"))
+    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    both = g.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("total_linhas"), F.count(F.lit(1)).alias("linhas_distintas"))
     return both.select("total_linhas", "linhas_distintas",
                        (F.col("total_linhas") - F.col("linhas_distintas")).alias("linhas_duplicadas"))
 

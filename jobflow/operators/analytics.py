@@ -17,8 +17,8 @@ from jobflow.operators.balance import signed_balance
 
 
 def month_index(c: Column) -> Column:
-    """'YYYYMM' -> months since year 0 (integer, for month arithmetic)."""
-    return F.substring(c, 1, 4).cast("int") * 12 + F.substring(c, 5, 2).cast("int") - 1
+    """'YYYYMM' -> months since year 0 (integer, for month arithmetic); null if it holds no numbers."""
+    return F.substring(c, 1, 4).try_cast("int") * 12 + F.substring(c, 5, 2).try_cast("int") - 1
 
 
 def entity_indicators(df: DataFrame, *, tipo="tipo", code="tipo_movimentacao", uf="uf") -> DataFrame:
@@ -45,6 +45,11 @@ def age_band(c: Column) -> Column:
             .when(c < 50, "40_49").when(c < 65, "50_64").otherwise("65_mais"))
 
 
+def contract_type(intermittent: Column, hours: Column, part_time_below: float = 25.0) -> Column:
+    """Contract segment: intermittent flag first, then weekly hours below the part-time limit, else full time."""
+    return F.when(intermittent, "intermitente").when(hours < part_time_below, "parcial").otherwise("integral")
+
+
 def _balance_aggs(code: str, tipo: str, saldo: str):
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))

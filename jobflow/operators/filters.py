@@ -98,9 +98,25 @@ def period_predicate(*, years=None, months=None, start: str | None = None, end:
 
 def filter_period(df: DataFrame, *, years=None, months=None, start=None, end=None,
                   col: str = "competencia_mov", year_col: str = "ano", month_col: str = "mes") -> DataFrame:
-    """C3-C5.  Uses the competência column when present, else the ANO/MES columns."""
+    """C3-C5.  Uses the competência column when present, else the ANO/MES columns.
+
+    Where both are present, as in the written tipo/ano/mes layout, the year and month columns are asked as
+    well, so whole directories are left out of the scan.
+    """
     if col in df.columns:
         p = period_predicate(years=years, months=months, start=start, end=end, col=col)
+        coarse = []
+        if year_col in df.columns:
+            if years:
+                coarse.append(F.col(year_col).isin([int(y) for y in years]))
+            if start:
+                coarse.append(F.col(year_col) >= int(start[:4]))
+            if end:
+                coarse.append(F.col(year_col) <= int(end[:4]))
+        if months and month_col in df.columns:
+            coarse.append(F.col(month_col).isin([int(m) for m in months]))
+        if coarse:
+            p = _all(coarse) & p
     else:
         preds = []
         if years:
@@ -191,9 +207,12 @@ def range_predicate(rules: dict) -> Column | None:
     return _all(preds) if preds else None
 
 
-def range_rules(df: DataFrame, rules: dict) -> DataFrame:
-    """Keep rows inside every ``{col: {min, max}}`` rule; rules on absent columns are skipped."""
-    p = range_predicate({c: r for c, r in rules.items() if c in df.columns})
+def range_rules(df: DataFrame, rules: dict, *, skip_absent: bool = False) -> DataFrame:
+    """Keep rows inside every ``{col: {min, max}}`` rule; a rule on an absent column is an error unless ``skip_absent``."""
+    absent = [c for c in rules if c not in df.columns]
+    if absent and not skip_absent:
+        raise ValueError(f"range rule on absent column(s) {', '.join(absent)}")
+    p = range_predicate({c: r for c, r in rules.items() if c not in absent})
     return df if p is None else df.where(p)
 
 
@@ -208,11 +227,14 @@ def valid_key(df: DataFrame, col: str = "cnpj") -> DataFrame:
 class FilterChain:
     """Ordered filter steps; ``apply`` composes them, ``report`` counts all steps in one pass.
 
-    Each step is (name, required columns, predicate).  A step whose column is
-    missing from the frame is skipped, as in the reference.
+    Each step is (name, required columns, predicate).  A column that the frame
+    lacks is an error; with ``skip_absent`` its step does nothing and is reported as 'ignorado'.
+    A classification table marks the rows by a left join before the steps run.
     """
 
     steps: list[tuple[str, tuple[str, ...], Callable[[], Column]]] = field(default_factory=list)
+    tables: list[tuple[str, str, DataFrame]] = field(default_factory=list)
+    skip_absent: bool = False
 
     def add(self, name: str, columns, predicate: Column | Callable[[], Column]) -> "FilterChain":
         pred = predicate if callable(predicate) and not isinstance(predicate, Column) else (lambda p=predicate: p)
@@ -227,6 +249,12 @@ class FilterChain:
     def cnae(self, codes, col: str = "subclasse") -> "FilterChain":
         return self if not codes else self.add("cnae", [col], F.col(col).isin(list(codes)))
 
+    def cnae_table(self, codes: DataFrame, col: str = "subclasse") -> "FilterChain":
+        """Rows whose code is in the one-column frame ``code`` (see :func:`load_cnae`, :func:`cnae_codes`)."""
+        mark = f"__tabela_{len(self.tables)}"
+        self.tables.append((mark, col, codes))
+        return self.add("cnae_tabela", [col], F.coalesce(F.col(mark), F.lit(False)))
+
     def movement(self, types=None, only=None, code="tipo_movimentacao", saldo="saldo_movimentacao"):
         if types:
             self.add("tipo_movimentacao", [code], F.col(code).isin([str(t) for t in types]))
@@ -236,39 +264,67 @@ class FilterChain:
             self.add("desligamentos", [saldo], F.col(saldo) < 0)
         return self
 
-    def geo(self, ufs=None, regions=None, uf_col="uf", region_col="regiao"):
+    def geo(self, ufs=None, regions=None, municipalities=None, ceps=None, uf_col="uf", region_col="regiao",
+            municipality_col="municipio", cep_col="cep"):
         if ufs:
             self.add("uf", [uf_col], F.col(uf_col).isin(_upper_vals(ufs)))
         if regions:
             self.add("regiao", [region_col], F.col(region_col).isin(list(regions)))
+        if municipalities:
+            self.add("municipio", [municipality_col], F.col(municipality_col).isin(list(municipalities)))
+        if ceps:
+            self.add("cep", [cep_col], cep_predicate(ceps, cep_col))
+        return self
+
+    def ranges(self, rules: dict) -> "FilterChain":
+        """One step per ``{col: {min, max}}`` rule."""
+        for c, r in rules.items():
+            p = range_predicate({c: r})
+            if p is not None:
+                self.add(f"faixa_{c}", [c], p)
         return self
 
-    def _active(self, df: DataFrame):
-        return [(n, p()) for n, cols, p in self.steps if all(c in df.columns for c in cols)]
+    def _plan(self, df: DataFrame):
+        """The frame with its table marks, and (name, predicate or None where skipped) per step."""
+        steps = []
+        for name, cols, pred in self.steps:
+            absent = [c for c in cols if c not in df.columns]
+            if absent and not self.skip_absent:
+                raise ValueError(f"filter step '{name}' needs column(s) {', '.join(absent)}")
+            steps.append((name, None if absent else pred()))
+        for mark, col, codes in self.tables:
+            if col in df.columns:
+                known = codes.select(F.col("code").alias(f"{mark}_code")).distinct().withColumn(mark, F.lit(True))
+                df = df.join(known, F.col(col) == F.col(f"{mark}_code"), "left")
+        return df, steps
 
     def apply(self, df: DataFrame) -> DataFrame:
-        act = self._active(df)
-        return df if not act else df.where(_all([p for _, p in act]))
+        cols = df.columns
+        marked, steps = self._plan(df)
+        preds = [p for _, p in steps if p is not None]
+        return df if not preds else marked.where(_all(preds)).select(*cols)
 
     def report(self, df: DataFrame) -> DataFrame:
-        """Rows (passo, filtro, linhas_antes, linhas_depois, removidas, pct_removidas).
+        """Rows (passo, filtro, linhas_antes, linhas_depois, situacao, removidas, pct_removidas).
 
         One aggregate computes the running conjunction counts of every step.
         """
-        act = self._active(df)
+        marked, steps = self._plan(df)
         aggs = [F.count(F.lit(1)).alias("c0")]
-        running = None
-        for i, (_, p) in enumerate(act, start=1):
-            running = p if running is None else running & p
+        running = F.lit(True)
+        for i, (_, p) in enumerate(steps, start=1):
+            running = running if p is None else running & p
             aggs.append(F.count_if(running).alias(f"c{i}"))
-        counts = df.agg(*aggs)
-        if not act:
+        counts = marked.agg(*aggs)
+        if not steps:
             return counts.select(F.lit(0).alias("passo"), F.lit(None).cast("string").alias("filtro"),
                                  F.col("c0").alias("linhas_antes"), F.col("c0").alias("linhas_depois"),
-                                 F.lit(0).cast("bigint").alias("removidas"), F.lit(0.0).alias("pct_removidas"))
+                                 F.lit("vazio").alias("situacao"), F.lit(0).cast("bigint").alias("removidas"),
+                                 F.lit(0.0).alias("pct_removidas"))
         rows = F.array(*[F.struct(F.lit(i).alias("passo"), F.lit(n).alias("filtro"),
-                                  F.col(f"c{i - 1}").alias("linhas_antes"), F.col(f"c{i}").alias("linhas_depois"))
-                         for i, (n, _) in enumerate(act, start=1)])
+                                  F.col(f"c{i - 1}").alias("linhas_antes"), F.col(f"c{i}").alias("linhas_depois"),
+                                  F.lit("ignorado" if p is None else "aplicado").alias("situacao"))
+                         for i, (n, p) in enumerate(steps, start=1)])
         return (counts.select(F.inline(rows))
                 .withColumn("removidas", F.col("linhas_antes") - F.col("linhas_depois"))
                 .withColumn("pct_removidas", F.round(F.when(F.col("linhas_antes") > 0,

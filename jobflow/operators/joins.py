@@ -1,14 +1,12 @@
 """Matching steps as joins.
 
-Broadcast is hinted only for fixed dictionaries built from literal code
-lists (size known in advance).  Every other join is left to the planner:
-AQE broadcasts a side when its measured size is below
+No broadcast is hinted: AQE broadcasts a side when its measured size is below
 ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobflow.functions.codes import SEPARATION, direction
@@ -16,10 +14,10 @@ from jobflow.functions.codes import SEPARATION, direction
 
 def decode(df: DataFrame, col: str, dim: DataFrame, *, code: str = "code", label: str = "label",
            out: str | None = None) -> DataFrame:
-    """Add the label of a coded column from a fixed-size dictionary (broadcast left join)."""
+    """Add the label of a coded column from a dictionary (left join; an unknown code gets null)."""
     out = out or f"{col}_label"
     d = dim.select(F.col(code).alias("__code"), F.col(label).alias(out))
-    return df.join(F.broadcast(d), df[col] == d["__code"], "left").drop("__code")
+    return df.join(d, df[col] == d["__code"], "left").drop("__code")
 
 
 def stale_files(inputs: DataFrame, outputs: DataFrame, *, key: str = "file_id", in_mtime: str = "mtime",
@@ -45,18 +43,16 @@ def available(requested: DataFrame, present: DataFrame, *, month: str = "compete
 
 def prefer_source(df: DataFrame, key: list[str], *, rank: str = "origem_informacao",
                   tiebreak: list[str] | None = None) -> DataFrame:
-    """Keep one row per key: lowest source rank, then the tie-break columns.
+    """Keep one row per key: lowest source rank, then the tie-break columns, then the others.
 
-    Written as ``groupBy(key).agg(min(struct(rank, tiebreak..., rest...)))``
-    rather than ``row_number`` over a window: the aggregate combines map-side,
-    so a key holding a third of all rows is reduced to one row per input
-    partition before the shuffle instead of being sorted in one task.
+    ``row_number() = 1`` keeps at most one row per key and task before the shuffle (window group limit), so a
+    key holding a third of all rows reaches its task as a few rows.
     """
     rest = [c for c in df.columns if c not in key]
     order = [rank] + [c for c in (tiebreak or []) if c != rank]
     order += [c for c in rest if c not in order]
-    best = F.min(F.struct(*[F.col(c).alias(c) for c in order])).alias("__best")
-    return df.groupBy(*key).agg(best).select(*key, *[F.col(f"__best.{c}").alias(c) for c in rest])
+    best = Window.partitionBy(*key).orderBy(*[F.col(c).asc() for c in order])
+    return df.withColumn("__n", F.row_number().over(best)).where(F.col("__n") == 1).drop("__n")
 
 
 def impute_separations(main: DataFrame, ew: DataFrame, *, key: list[str], code: str = "tipo_movimentacao") -> DataFrame:
@@ -69,11 +65,11 @@ def impute_separations(main: DataFrame, ew: DataFrame, *, key: list[str], code:
 def impute_separations_in(df: DataFrame, *, key: list[str], is_main, code: str = "tipo_movimentacao") -> DataFrame:
     """D6 when both sources are rows of one table (``is_main`` marks the main sources).
 
-    Keys covered by a main source come from ONE map-side-combined aggregate
-    (a hot key collapses to one row per task before the shuffle); the rows
-    are joined back to that per-key flag, so the table is read twice, not three
-    times, and the join's build side has one row per key.
+    Main rows pass through unshuffled; only the other source's separations are
+    compared with the distinct keys of the main rows, which shrink to one row per key and task before
+    the shuffle.  Rows with a null in the key match nothing and stay.
     """
-    flag = df.groupBy(*key).agg(F.max(is_main).alias("__tem_principal"))
-    keep = is_main | ((direction(F.col(code)) == SEPARATION) & ~F.col("__tem_principal"))
-    return df.join(flag, key).where(keep).drop("__tem_principal")
+    main = df.where(is_main)
+    covered = main.select(*key).distinct()
+    other = df.where(~F.coalesce(is_main, F.lit(False)) & (direction(F.col(code)) == SEPARATION))
+    return main.unionByName(other.join(covered, key, "left_anti").select(*df.columns))

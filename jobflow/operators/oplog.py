@@ -8,6 +8,8 @@ reproducible.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,6 @@ CRITICAL_RATE = 0.5
 THROUGHPUT_MAX_FAILURE_PCT = 20.0
 THROUGHPUT_MAX_SECONDS = 300.0
 THROUGHPUT_MIN_FILES_PER_SEC = 0.5
-RECENT_KEEP = 1000
 
 
 def op_metrics(log: DataFrame) -> DataFrame:
@@ -56,17 +57,21 @@ def op_alerts(spark: SparkSession, log: DataFrame, limits: dict[str, float] | No
 
 
 def recent_ops(log: DataFrame, *, ref: _dt.datetime, hours: float = 24, operations=None,
-               keep: int = RECENT_KEEP) -> DataFrame:
-    """Operations in the ``hours`` before ``ref`` (inclusive), optionally by name; the newest
-    ``keep`` are returned (a bounded history, ties by id)."""
+               keep: int | None = None) -> DataFrame:
+    """Operations in the ``hours`` before ``ref`` (inclusive), newest first, ties by id.
+
+    ``operations``: keep names that contain any of these texts, whatever the case.  All operations of
+    the window are returned; ``keep`` asks for the newest ``keep`` only."""
     since = ref - _dt.timedelta(hours=hours)
     # wall-clock literals (TIMESTAMP_NTZ), so the window does not move with the session time zone
     lo = F.lit(since.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     hi = F.lit(ref.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
     df = log.where((F.col("ts") >= lo) & (F.col("ts") <= hi))
     if operations:
-        df = df.where(F.col("operation").isin(list(operations)))
-    return df.orderBy(F.col("ts").desc(), F.col("op_id").desc()).limit(keep)
+        name = F.lower(F.col("operation"))
+        df = df.where(reduce(or_, [name.contains(o.lower()) for o in operations]))
+    df = df.orderBy(F.col("ts").desc(), F.col("op_id").desc())
+    return df if keep is None else df.limit(keep)
 
 
 def throughput(log: DataFrame, *, remaining_items: int = 0, mb_field: str = "$.k") -> DataFrame:

@@ -283,15 +283,10 @@ def quarantine(df: DataFrame, checks: list[Check]) -> DataFrame:
 
 
 def outlier_checks(df: DataFrame, cols: list[str], tol=OUTLIER_LIMIT, *, exact: bool = True) -> list[Check]:
-    """J9 as row checks: fences from ONE quantile aggregate (a few numbers to the driver),
+    """J9 as row checks: fences first (a few numbers to the driver),
     then 'value outside the fences' joins the fused battery."""
-    fences = {r["coluna"]: r for r in A.iqr_bounds(df, cols, exact=exact).collect()}
-    out = []
-    for c in cols:
-        lo, hi = fences[c]["limite_inferior"], fences[c]["limite_superior"]
-        bad = F.lit(False) if lo is None else (F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))
-        out.append(Check("outliers", c, bad, None, tol))
-    return out
+    fences = A.iqr_fences(df, cols, exact=exact)
+    return [Check("outliers", c, A.outside(c, fences[c]), None, tol) for c in cols]
 
 
 def completeness_checks(cols: list[str], tol=COMPLETENESS_LIMIT) -> list[Check]:
@@ -313,11 +308,10 @@ def structure_rows(df: DataFrame, counted: DataFrame) -> DataFrame:
 class QualityReport:
     """Runs a check battery on one frame with a fixed number of passes, whatever the number of checks:
 
-    1. one quantile aggregate (only when outlier columns are given),
+    1. exact quartiles from value counts (only when outlier columns are given),
     2. ONE fused aggregate for every row-level, completeness and outlier check,
        which also yields the row count used by the structure check,
-    3. duplicates in two phases (96-bit row hash, then exact grouping of the
-       rows whose hash repeats) and one aggregate on the key columns.
+    3. one aggregate on all columns for duplicates and one on the key columns.
     The small intermediate results (one row; the ~40-row report) are
     checkpointed to the shared checkpoint folder, so deriving several report
     rows and the overall 'geral' row from them never re-runs a scan.
@@ -362,8 +356,6 @@ class QualityReport:
         if self.structure:
             parts.append(structure_rows(df, counted))
         if self.duplicate_keys is not None:
-            # duplicates: two-phase hash then exact (no whole-row shuffle); duplicate keys: one
-            # aggregate on the (narrow) key columns
             parts.append(duplicates(df))
             parts.append(duplicate_key_check(df, list(self.duplicate_keys)))
         report = union_reports(parts + self.extra).checkpoint(eager=True)

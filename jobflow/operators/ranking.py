@@ -46,8 +46,9 @@ def topk_per_group(df: DataFrame, group: list[str], key: str, k: int, *, tie: li
     return df.withColumn(out, F.row_number().over(w)).where(F.col(out) <= k)
 
 
-def slowest(log: DataFrame, k: int = 5, recent: int = 1000, *, ts: str = "ts", duration: str = "duration",
+def slowest(log: DataFrame, k: int, *, since: str, until: str, ts: str = "ts", duration: str = "duration",
             op_id: str = "op_id") -> DataFrame:
-    """The k slowest operations among the ``recent`` most recent ones."""
-    last = log.orderBy(F.col(ts).desc(), F.col(op_id).desc()).limit(recent)
-    return last.orderBy(F.col(duration).desc(), F.col(op_id).asc()).limit(k)
+    """The k slowest operations of the window ``since`` <= time <= ``until`` (wall-clock texts), ties by id."""
+    at = F.col(ts)
+    window = (at >= F.lit(since).cast("timestamp_ntz")) & (at <= F.lit(until).cast("timestamp_ntz"))
+    return log.where(window).orderBy(F.col(duration).desc(), F.col(op_id).asc()).limit(k)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 
 def month_date(c: Column) -> Column:
-    """'YYYYMM' text -> first day of the month as a date."""
-    return F.to_date(F.concat(c, F.lit("01")), "yyyyMMdd")
+    """'YYYYMM' text -> first day of the month as a date; null if it is no month."""
+    return F.try_to_date(F.concat(c, F.lit("01")), "yyyyMMdd")
 
 
 def month_text(d: Column) -> Column:
@@ -64,12 +64,11 @@ def month_gaps(df: DataFrame, *, month: str = "competencia_mov", by=()) -> DataF
     """Missing month ranges between consecutive present months (per ``by`` key).
 
     Returns (by..., inicio_lacuna, fim_lacuna, meses_faltantes); a dense series gives no rows.
+    Values that are no month are left out.
     """
-    months = df.select(*by, F.col(month).cast("string").alias("_m")).distinct()
-    w = Window.partitionBy(*by).orderBy("_m")
-    d = month_date(F.col("_m"))
-    nxt = F.lead(d).over(w)
-    g = months.select(*by, d.alias("_d"), nxt.alias("_next"))
+    months = df.select(*by, month_date(F.col(month).cast("string")).alias("_d")).where("_d IS NOT NULL").distinct()
+    w = Window.partitionBy(*by).orderBy("_d")
+    g = months.select(*by, "_d", F.lead("_d").over(w).alias("_next"))
     gap = F.months_between(F.col("_next"), F.col("_d")).cast("int")
     return (g.where(gap > 1)
             .select(*by, month_text(F.add_months("_d", 1)).alias("inicio_lacuna"),

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from jobflow.operators import aggregates as A
 from jobflow.plans.registry import query
 from jobflow.plans.sql import ESTAB, MOV, with_views
-from jobflow.sources.tables import estab, mov
+from jobflow.sources.tables import MOV_COLUMNS, estab, mov
+
+BALANCE_COLS = ["cnpj", "competencia", "admitidos", "desligados", "saldo"]
 
 # movement rows with nulls injected by rule (the driver tables have none)
 MOVN_SQL = """movn AS (SELECT id, competencia_mov, tipo,
@@ -22,18 +24,21 @@ MOVN_SQL = """movn AS (SELECT id, competencia_mov, tipo,
  FROM mov)"""
 
 
-def movn(spark, sf_dir):
-    m = mov(spark, sf_dir)
-    return m.select(
-        "id", "competencia_mov", "tipo",
-        F.when(F.col("tipo_movimentacao") != "XX", F.col("tipo_movimentacao")).alias("tipo_movimentacao"),
-        "saldo_movimentacao",
-        F.when(F.col("idade") <= 45, F.col("idade")).alias("idade"),
-        F.when(F.col("municipio") != 0, F.col("municipio")).alias("municipio"),
-        F.when(F.col("regiao") != 3, F.col("uf")).alias("uf"),
-        F.when(~F.col("secao").like("STANDARD%"), F.col("secao")).alias("secao"),
-        F.when(F.col("horas_contratuais") >= 3, F.col("salario")).alias("salario"),
-        "horas_contratuais", "cnpj", "cpf")
+_MOVN_NEEDS = {"municipio": ["municipio"], "uf": ["regiao", "uf"], "salario": ["horas_contratuais", "salario"]}
+
+
+def movn(spark, sf_dir, cols):
+    """The movement view with rule-made nulls, restricted to ``cols`` (and to the joins they need)."""
+    need = sorted({n for c in cols for n in _MOVN_NEEDS.get(c, [c])})
+    value = {
+        "tipo_movimentacao": lambda: F.when(F.col("tipo_movimentacao") != "XX", F.col("tipo_movimentacao")),
+        "idade": lambda: F.when(F.col("idade") <= 45, F.col("idade")),
+        "municipio": lambda: F.when(F.col("municipio") != 0, F.col("municipio")),
+        "uf": lambda: F.when(F.col("regiao") != 3, F.col("uf")),
+        "secao": lambda: F.when(~F.col("secao").like("STANDARD%"), F.col("secao")),
+        "salario": lambda: F.when(F.col("horas_contratuais") >= 3, F.col("salario")),
+    }
+    return mov(spark, sf_dir, need).select(*[value.get(c, lambda c=c: F.col(c))().alias(c) for c in cols])
 
 
 @query("e4_company_balance", with_views(MOV, ESTAB) + """
@@ -41,7 +46,7 @@ SELECT cnpj, substr(competencia,1,4) AS ano, CAST(sum(admitidos) AS BIGINT) AS a
  CAST(sum(desligados) AS BIGINT) AS desligamentos, CAST(sum(saldo) AS BIGINT) AS saldo
 FROM estab WHERE length(trim(cnpj)) > 0 GROUP BY cnpj, substr(competencia,1,4)""")
 def e4(spark, sf_dir):
-    e = estab(spark, sf_dir).withColumn("ano", F.substring("competencia", 1, 4))
+    e = estab(spark, sf_dir, BALANCE_COLS).withColumn("ano", F.substring("competencia", 1, 4))
     return A.company_balance(e, by=("cnpj", "ano"))
 
 
@@ -52,7 +57,7 @@ UNION ALL
 SELECT 'GERAL', CAST(sum(admitidos) AS BIGINT), CAST(sum(desligados) AS BIGINT), CAST(sum(saldo) AS BIGINT)
 FROM estab WHERE length(trim(cnpj)) > 0""")
 def e5(spark, sf_dir):
-    return A.company_balance_with_total(estab(spark, sf_dir))
+    return A.company_balance_with_total(estab(spark, sf_dir, BALANCE_COLS))
 
 
 IND_SQL = """ind AS (SELECT competencia, ta AS total_admitidos, td AS total_desligados, ts AS total_saldo, n AS total_registros,
@@ -107,10 +112,10 @@ NULL_COLS = ["tipo_movimentacao", "idade", "municipio", "uf", "secao", "salario"
     f"SELECT '{c}' AS coluna, CAST(count_if({c} IS NULL) AS BIGINT) AS nulos, count(*) AS total, "
     f"round(CAST(count_if({c} IS NULL) AS BIGINT) / count(*) * 100.0, 6) AS pct_nulos FROM movn" for c in NULL_COLS))
 def e15(spark, sf_dir):
-    return A.null_profile(movn(spark, sf_dir), NULL_COLS)
+    return A.null_profile(movn(spark, sf_dir, NULL_COLS), NULL_COLS)
 
 
-OUT_COLS = ["idade", "horas_contratuais"]
+OUT_COLS = ["idade", "horas_contratuais", "salario"]
 
 
 @query("e16_outliers", with_views(MOV) + ", b AS (" + " UNION ALL ".join(
@@ -126,7 +131,17 @@ def e16(spark, sf_dir):
     return A.iqr_outliers(mov(spark, sf_dir, OUT_COLS), OUT_COLS)
 
 
-@query("e17_checksum")
+_MOV_TYPES = {"id": "bigint", "competencia_mov": "string", "competencia_dec": "string", "tipo": "string",
+              "tipo_movimentacao": "string", "saldo_movimentacao": "int", "regiao": "int", "uf": "int", "cnpj": "bigint",
+              "cpf": "bigint", "municipio": "bigint", "secao": "string", "subclasse": "string", "idade": "int",
+              "horas_contratuais": "double", "salario": "double", "origem_informacao": "bigint"}
+_ROW_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce('=' || CAST({c} AS STRING), '~')" for c in MOV_COLUMNS) + ")"
+
+
+@query("e17_checksum", with_views(MOV) + f"""SELECT {len(MOV_COLUMNS)} AS colunas,
+ sha256('{",".join(f"{c}:{_MOV_TYPES[c]}" for c in sorted(_MOV_TYPES))}') AS assinatura_tipos, count(*) AS linhas,
+ CAST(sum(CAST(('0x' || substr(md5({_ROW_TEXT}), 1, 15)) AS BIGINT)) AS STRING) AS hash_linhas,
+ CAST(sum({" + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in MOV_COLUMNS)}) AS BIGINT) AS nulos FROM mov""")
 def e17(spark, sf_dir):
     return A.checksum(mov(spark, sf_dir))
 

@@ -46,10 +46,10 @@ def e20(spark, sf_dir):
 REF = _dt.datetime(2024, 1, 20, 12, 0, 0)
 
 
-@query("e21_recent", OV + """SELECT * FROM oplog WHERE ts >= TIMESTAMP '2024-01-18 12:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00'
- AND operation IN ('click', 'error') ORDER BY ts DESC, op_id DESC LIMIT 1000""")
+@query("e21_recent", OV + """SELECT * FROM oplog WHERE ts >= TIMESTAMP '2024-01-10 12:00:00' AND ts <= TIMESTAMP '2024-01-20 12:00:00'
+ AND (lower(operation) LIKE '%click%' OR lower(operation) LIKE '%rro%') ORDER BY ts DESC, op_id DESC""")
 def e21(spark, sf_dir):
-    return OL.recent_ops(oplog(spark, sf_dir), ref=REF, hours=48, operations=["click", "error"])
+    return OL.recent_ops(oplog(spark, sf_dir), ref=REF, hours=240, operations=["CLICK", "rro"])
 
 
 @query("e22_throughput", OV + """SELECT operation, itens, round(ok / itens * 100.0, 6) AS pct_sucesso, round(itens / segundos, 6) AS arquivos_por_s,
@@ -81,9 +81,9 @@ def e23(spark, sf_dir):
 
 
 @query("e23_checkpoints_list", with_views(CK_SQL) + "SELECT * FROM ck WHERE status IN ('falhou') AND tipo IN ('mensal') "
-       "ORDER BY ts DESC, id DESC LIMIT 20")
+       "ORDER BY ts DESC, id DESC")
 def e23l(spark, sf_dir):
-    return OL.checkpoints_filtered(checkpoint_log(spark, sf_dir), status=["falhou"], tipo=["mensal"], limit=20)
+    return OL.checkpoints_filtered(checkpoint_log(spark, sf_dir), status=["falhou"], tipo=["mensal"])
 
 
 # --- E10 ------------------------------------------------------------------------------------------------------
@@ -102,11 +102,13 @@ def e10(spark, sf_dir):
 
 # --- E24-E27 ------------------------------------------------------------------------------------------------------
 
-SEG_COLS = BAL_COLS + ["secao", "regiao", "uf", "idade", "origem_informacao"]
+SEG_COLS = BAL_COLS + ["secao", "regiao", "uf", "idade", "origem_informacao", "municipio", "cpf", "cnpj", "horas_contratuais"]
 _BAND = """CASE WHEN idade < 18 THEN 'ate_17' WHEN idade < 25 THEN '18_24' WHEN idade < 30 THEN '25_29' WHEN idade < 40 THEN '30_39'
  WHEN idade < 50 THEN '40_49' WHEN idade < 65 THEN '50_64' ELSE '65_mais' END"""
 _SEG_DIMS = {"secao": "secao", "regiao": "CAST(regiao AS STRING)", "uf": "CAST(uf AS STRING)", "faixa_etaria": _BAND,
-             "origem": "CAST(origem_informacao AS STRING)"}
+             "origem": "CAST(origem_informacao AS STRING)", "municipio": "CAST(municipio AS STRING)", "sexo": "CAST(cpf % 3 + 1 AS STRING)",
+             "grau_instrucao": "CAST(cpf % 9 + 1 AS STRING)",
+             "tipo_contrato": "CASE WHEN cnpj % 7 = 0 THEN 'intermitente' WHEN horas_contratuais < 25 THEN 'parcial' ELSE 'integral' END"}
 _SEG_K = f"""sk AS (SELECT *, ({dir_of()}) AS m, CASE WHEN tipo='EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END AS s FROM mov)"""
 _ADM = "CAST(coalesce(sum(CASE WHEN m='A' THEN s END), 0) AS BIGINT)"
 _DES = "CAST(abs(coalesce(sum(CASE WHEN m='D' THEN s END), 0)) AS BIGINT)"
@@ -118,7 +120,9 @@ _DES = "CAST(abs(coalesce(sum(CASE WHEN m='D' THEN s END), 0)) AS BIGINT)"
 def e24(spark, sf_dir):
     m = mov(spark, sf_dir, SEG_COLS)
     dims = {"secao": F.col("secao"), "regiao": F.col("regiao"), "uf": F.col("uf"),
-            "faixa_etaria": AN.age_band(F.col("idade")), "origem": F.col("origem_informacao")}
+            "faixa_etaria": AN.age_band(F.col("idade")), "origem": F.col("origem_informacao"), "municipio": F.col("municipio"),
+            "sexo": F.col("cpf") % 3 + 1, "grau_instrucao": F.col("cpf") % 9 + 1,
+            "tipo_contrato": AN.contract_type(F.col("cnpj") % 7 == 0, F.col("horas_contratuais"))}
     return AN.segments(m, dims)
 
 

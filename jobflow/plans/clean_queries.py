@@ -52,6 +52,32 @@ ALIAS_NAMES = {"uf": "Estado", "municipio": "Cidade", "idade": "Idade do Trabalh
                "subclasse": "CNAE Subclasse"}
 
 
+# raw names that must not be taken for a field they merely contain, and names that are one by whole words
+SIMILAR = {"cnpj": "Quantidade", "cpf": "Nacionalidade", "municipio": "Localidade", "idade": "Modalidade", "secao": "Intersecao",
+           "uf": "UF Residência", "regiao": "Região de Origem", "horas_contratuais": "Horas", "salario": "Valor do Salário Fixo Mensal",
+           "saldo_movimentacao": "Instrução", "tipo": "Cidade Natal", "competencia_mov": "Competência Mov."}
+
+
+@query("b5_similarity", with_views(MOV) + """SELECT cnpj AS QUANTIDADE, cpf AS NACIONALIDADE, municipio AS LOCALIDADE, idade AS MODALIDADE,
+ secao AS INTERSECAO, uf AS UF_RESIDENCIA, regiao AS REGIAO, horas_contratuais AS HORAS_CONTRATUAIS, salario AS VALOR_SALARIO_FIXO,
+ saldo_movimentacao AS GRAU_INSTRUCAO, tipo AS CIDADE_NATAL, competencia_mov AS COMPETENCIA_MOV FROM mov""")
+def b5(spark, sf_dir):
+    return NM.canonical_names(mov(spark, sf_dir, list(SIMILAR)).select(*[F.col(c).alias(n) for c, n in SIMILAR.items()]))
+
+
+FIELD_GROUPS = {"competencia": ["COMPETENCIA_MOV", "COMPETENCIA", "ANO_MES"], "municipio": ["MUNICIPIO", "CIDADE"],
+                "saldo_movimentacao": ["SALDO_MOVIMENTACAO", "SALDO"], "faixa_etaria": ["FAIXA_ETARIA", "IDADE"]}
+
+
+@query("b5_map_fields", with_views(MOV) + """SELECT competencia_mov AS COMPETENCIA, competencia_dec AS COMPETENCIA_1, municipio AS MUNICIPIO,
+ saldo_movimentacao AS SALDO_MOVIMENTACAO, idade AS FAIXA_ETARIA, cnpj AS QUANTIDADE FROM mov""")
+def b5m(spark, sf_dir):
+    raw = {"competencia_mov": "Competência", "competencia_dec": "Ano/Mês", "municipio": "Cidade Natal", "saldo_movimentacao": "saldo",
+           "idade": "Idade", "cnpj": "Quantidade"}
+    m = mov(spark, sf_dir, list(raw))
+    return m.toDF(*NM.map_fields(list(raw.values()), FIELD_GROUPS))
+
+
 @query("b4_alias_names", with_views(MOV) + """SELECT uf AS UF, municipio AS MUNICIPIO, idade AS IDADE,
  competencia_mov AS COMPETENCIA_MOV, saldo_movimentacao AS SALDO_MOVIMENTACAO, origem_informacao AS ORIGEM_INFORMACAO,
  secao AS SECAO, subclasse AS SUBCLASSE FROM mov""")
@@ -107,7 +133,7 @@ INFER_COLS = ["periodo", "sexo", "classe", "cbo", "horas_txt", "mes_txt", "subcl
       WHEN CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '^-?\d+(\.\d+)?$')) AS BIGINT) = 0 THEN 'float' ELSE 'text' END AS tipo_inferido
  FROM movq""" for c in INFER_COLS))
 def b11(spark, sf_dir):
-    return CL.infer_types(movq(spark, sf_dir), INFER_COLS)
+    return CL.infer_types(movq(spark, sf_dir, INFER_COLS), INFER_COLS)
 
 
 RAW_INT = """CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '-' WHEN 2 THEN '000'
@@ -164,7 +190,7 @@ def b12d(spark, sf_dir):
 @query("b13_norm_period", with_views(MOV, MOVQ_SQL) + """SELECT id, periodo,
  CASE WHEN length(periodo) = 6 THEN substr(periodo,1,4) || '-' || substr(periodo,5,2) ELSE periodo END AS competencia FROM movq""")
 def b13(spark, sf_dir):
-    return movq(spark, sf_dir).select("id", "periodo", CL.norm_period(F.col("periodo")).alias("competencia"))
+    return movq(spark, sf_dir, ["id", "periodo"]).select("id", "periodo", CL.norm_period(F.col("periodo")).alias("competencia"))
 
 
 @query("b17_parse_date", """SELECT o_orderkey, texto, CAST(coalesce(try_strptime(texto, '%Y-%m-%d'), try_strptime(texto, '%d/%m/%Y'),
@@ -239,7 +265,7 @@ def a3(spark, sf_dir):
 @query("a14_apply_schema", with_views(MOV, MOVQ_SQL) + """SELECT id, TRY_CAST(horas_txt AS BIGINT) AS horas_txt,
  TRY_CAST(mes_txt AS INTEGER) AS mes_txt FROM movq""")
 def a14(spark, sf_dir):
-    q = movq(spark, sf_dir).select("id", "horas_txt", "mes_txt")
+    q = movq(spark, sf_dir, ["id", "horas_txt", "mes_txt"])
     return CL.apply_schema(q, {"horas_txt": "bigint", "mes_txt": "int", "nao_existe": "int"})
 
 

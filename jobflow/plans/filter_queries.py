@@ -100,46 +100,69 @@ def c11(spark, sf_dir):
 
 
 @query("c12_cep", with_views(MOV) + f"""SELECT id, competencia_mov, cep FROM (SELECT id, competencia_mov, {CEP_EXPR} AS cep FROM mov)
-WHERE cep LIKE '0%' OR cep LIKE '1_3%' OR cep = '{{exact}}'""".replace("{exact}", "00000000"))
+WHERE cep LIKE '0%' OR cep LIKE '1_3%' OR cep = '10009616'""")
 def c12(spark, sf_dir):
     m = _m(spark, sf_dir, "cnpj").select("id", "competencia_mov", F.expr(CEP_EXPR).alias("cep"))
-    return C.filter_geo(m, ceps=["0*", "1?3*", "00000000"])
+    return C.filter_geo(m, ceps=["0*", "1?3*", "10009616"])  # the exact code is outside both wildcards
 
 
-def _chain():
+CHAIN_COLS = ["saldo_movimentacao", "regiao", "subclasse", "municipio", "cnpj", "idade"]
+CHAIN_CEPS = ["0*", "1*"]
+
+
+def _chain(spark, sf_dir):
     return (C.FilterChain()
             .period(years=[2021, 2022])
             .movement(only="admissions")
-            .geo(regions=[1, 2, 3])
-            .cnae(BRANDS + ["Brand#7", "Brand#13"]))
+            .geo(regions=[1, 2, 3], municipalities=list(range(60)), ceps=CHAIN_CEPS)
+            .cnae(BRANDS + ["Brand#7", "Brand#13", "Brand#31"])
+            .cnae_table(C.cnae_codes(cnae_table(spark, sf_dir)))
+            .ranges({"idade": {"min": 5, "max": 45}}))
+
 
+def _chain_frame(spark, sf_dir):
+    m = _m(spark, sf_dir, *CHAIN_COLS)
+    return m.withColumn("cep", F.expr(CEP_EXPR))
 
-CHAIN_WHERE = """substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)
- AND subclasse IN ('Brand#11','Brand#22','Brand#5','Brand#7','Brand#13')"""
 
+CHAIN_STEPS = [("periodo", "substr(competencia_mov,1,4) IN ('2021','2022')"), ("admissoes", "saldo_movimentacao > 0"),
+               ("regiao", "regiao IN (1,2,3)"), ("municipio", "municipio < 60"),
+               ("cep", "(cep LIKE '0%' OR cep LIKE '1%')"),
+               ("cnae", "subclasse IN ('Brand#11','Brand#22','Brand#5','Brand#7','Brand#13','Brand#31')"),
+               ("cnae_tabela", "subclasse IN (SELECT classe_cnae FROM cnae WHERE situacao = 1)"),
+               ("faixa_idade", "idade BETWEEN 5 AND 45")]
+CHAIN_VIEWS = with_views(MOV, CNAE_SQL, f"mc AS (SELECT *, {CEP_EXPR} AS cep FROM mov)")
 
-@query("c13_chain", with_views(MOV) + f"SELECT id, competencia_mov, saldo_movimentacao, regiao, subclasse FROM mov WHERE {CHAIN_WHERE}")
+
+@query("c13_chain", CHAIN_VIEWS + "SELECT id, competencia_mov, saldo_movimentacao, regiao, subclasse, municipio, cnpj, idade, cep FROM mc WHERE "
+       + " AND ".join(p for _, p in CHAIN_STEPS))
 def c13(spark, sf_dir):
-    return _chain().apply(_m(spark, sf_dir, "saldo_movimentacao", "regiao", "subclasse"))
-
-
-@query("c13_chain_report", with_views(MOV) + """, c AS (SELECT count(*) AS c0,
- CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022')) AS BIGINT) AS c1,
- CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0) AS BIGINT) AS c2,
- CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)) AS BIGINT) AS c3,
- CAST(count_if(substr(competencia_mov,1,4) IN ('2021','2022') AND saldo_movimentacao > 0 AND regiao IN (1,2,3)
-   AND subclasse IN ('Brand#11','Brand#22','Brand#5','Brand#7','Brand#13')) AS BIGINT) AS c4 FROM mov),
-s AS (SELECT 1 AS passo, 'periodo' AS filtro, c0 AS linhas_antes, c1 AS linhas_depois FROM c
- UNION ALL SELECT 2, 'admissoes', c1, c2 FROM c UNION ALL SELECT 3, 'regiao', c2, c3 FROM c
- UNION ALL SELECT 4, 'cnae', c3, c4 FROM c)
-SELECT passo, filtro, linhas_antes, linhas_depois, linhas_antes - linhas_depois AS removidas,
+    return _chain(spark, sf_dir).apply(_chain_frame(spark, sf_dir))
+
+
+_RUNNING = [" AND ".join(p for _, p in CHAIN_STEPS[:i]) or "TRUE" for i in range(len(CHAIN_STEPS) + 1)]
+
+
+@query("c13_chain_report", CHAIN_VIEWS + ", " + "c AS (SELECT " + ", ".join(
+    f"CAST(sum(CASE WHEN {w} THEN 1 ELSE 0 END) AS BIGINT) AS c{i}" for i, w in enumerate(_RUNNING)) + " FROM mc), s AS (" + " UNION ALL ".join(
+    f"SELECT {i} AS passo, '{n}' AS filtro, c{i - 1} AS linhas_antes, c{i} AS linhas_depois, 'aplicado' AS situacao FROM c"
+    for i, (n, _) in enumerate(CHAIN_STEPS, start=1)) + """)
+SELECT passo, filtro, linhas_antes, linhas_depois, situacao, linhas_antes - linhas_depois AS removidas,
  round(CASE WHEN linhas_antes > 0 THEN (linhas_antes - linhas_depois) / linhas_antes * 100.0 ELSE 0.0 END, 6) AS pct_removidas FROM s""")
 def c13r(spark, sf_dir):
-    return _chain().report(_m(spark, sf_dir, "saldo_movimentacao", "regiao", "subclasse"))
+    return _chain(spark, sf_dir).report(_chain_frame(spark, sf_dir))
 
 
 @query("c16_range_rules", with_views(MOV) + "SELECT id, competencia_mov, idade, horas_contratuais FROM mov "
        "WHERE idade BETWEEN 10 AND 40 AND horas_contratuais >= 5")
 def c16(spark, sf_dir):
     return C.range_rules(_m(spark, sf_dir, "idade", "horas_contratuais"),
-                         {"idade": {"min": 10, "max": 40}, "horas_contratuais": {"min": 5}, "absent": {"min": 0}})
+                         {"idade": {"min": 10, "max": 40}, "horas_contratuais": {"min": 5}})
+
+
+@query("c17_valid_key", "SELECT c_custkey, chave FROM (SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '  ' "
+       "ELSE c_name END AS chave FROM customer) WHERE chave IS NOT NULL AND length(trim(chave)) > 0")
+def c17(spark, sf_dir):
+    k = F.col("c_custkey") % 5
+    key = F.when(k == 1, "").when(k == 2, "  ").when(k > 2, F.col("c_name"))
+    return C.valid_key(table(spark, sf_dir, "customer").select("c_custkey", key.alias("chave")), "chave")

@@ -2,44 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from jobflow.session import ensure_checkpoint_dir
 from jobflow.functions import clean as CL
 from jobflow.functions import names as NM
 from jobflow.operators import balance as B
 from jobflow.operators import filters as C
 from jobflow.operators import quality as Q
+from jobflow.operators.windows import month_date
+from jobflow.session import scratch_path
 from jobflow.sources import files as FL
 from jobflow.sources import text as TX
 
 
-def monthly_job(spark: SparkSession, paths, out_root: str, *, sep: str = ";", types: dict[str, str] | None = None,
-                chain: C.FilterChain | None = None, report_checks: list[Q.Check] | None = None) -> DataFrame:
+INVALID_LINE, INVALID_MONTH = "linha_malformada", "competencia_invalida"
+
+
+def monthly_job(spark: SparkSession, paths, out_root: str, *, types: dict[str, str] | None = None,
+                chain: C.FilterChain | None = None, report_checks: list[Q.Check] | None = None,
+                month: str = "COMPETENCIA_MOV") -> DataFrame | None:
     """Read text -> canonical names -> typed columns -> filters -> quality report -> partitioned write.
 
-    One lazy plan.  When a report is requested the cleaned frame feeds two
-    actions (report and write), so it is checkpointed to the shared folder once
-    instead of being re-read and re-parsed twice; without a report the text is
-    read exactly once, by the write.  Returns the quality report (or None).
+    Files may differ in column order, separator and encoding; each is read by its own header.  The
+    period is the month column, or the one in the file's name (``MOV202103...``) where the column is absent
+    or empty.  Lines with a wrong number of fields and rows without a valid month go to
+    ``<out_root>_quarentena`` (arquivo, linha, motivo) instead of stopping the job.  Returns the quality
+    report (or None).  The rows are written to the shared folder once when several actions need them.
     """
-    raw = TX.read_delimited(spark, paths, sep=sep)
-    df = NM.canonical_names(raw)
+    raw = TX.read_grouped(spark, paths)
+    data = [c for c in raw.columns if c not in (TX.CORRUPT, "_arquivo")]
+    name = F.element_at(F.split("_arquivo", "/"), -1)
+    by_name = F.nullif(F.regexp_extract(name, r"(?:MOV|EXC|FOR)(\d{6})", 1), F.lit(""))
+    own = F.nullif(F.trim(F.col(month)), F.lit("")) if month in data else F.lit(None).cast("string")
+    period = F.coalesce(own, by_name)
+    reason = (F.when(F.col(TX.CORRUPT).isNotNull(), INVALID_LINE)
+              .when(month_date(period).isNull(), INVALID_MONTH))
+    rows = raw.withColumn(month, period).withColumn("__motivo", reason)
+    if "TIPO" not in data:
+        rows = rows.withColumn("TIPO", F.nullif(F.regexp_extract(name, r"(MOV|EXC|FOR)\d{6}", 1), F.lit("")))
+        data = [*data, "TIPO"]
+    data = list(dict.fromkeys([*data, month]))
+    seen = F.count_if(F.col("__motivo").isNotNull()).alias("rejeitadas")
+    watch = Observation()
+    df = rows.observe(watch, seen).where("__motivo IS NULL").select(*data)
+    df = NM.with_period(df, month_col=month)
     if types:
         df = CL.apply_schema(df, types)
     if chain is not None:
         df = chain.apply(df)
     report = None
     if report_checks:
-        ensure_checkpoint_dir(spark)
-        df = df.checkpoint(eager=True)
+        path = scratch_path(spark, "monthly")
+        df.write.parquet(path)
+        df = spark.read.parquet(path)
         report = Q.QualityReport(df, report_checks).run()
-    lower = df.select(*[F.col(c).alias(c.lower()) for c in df.columns])
-    FL.write_monthly(lower, out_root)
+    lower = df.select(*[F.col(c).alias(c.lower()) for c in df.columns]).drop("ano", "mes")
+    FL.write_monthly(lower, out_root, month=month.lower())
+    bad = rows.where("__motivo IS NOT NULL").select(
+        F.col("_arquivo").alias("arquivo"),
+        F.coalesce(F.col(TX.CORRUPT), F.to_json(F.struct(*data))).alias("linha"), F.col("__motivo").alias("motivo"))
+    if not watch.get["rejeitadas"]:  # nothing to read the text again for
+        bad = bad.limit(0)
+    bad.write.mode("overwrite").parquet(f"{out_root.rstrip('/')}_quarentena")
     return report
 
 
+def balance_from_layout(spark: SparkSession, root: str, periods: list[tuple[int, int]] | None = None, **kw) -> DataFrame:
+    """N2 from the written tipo/ano/mes layout: period scan (A7), the 33 standard columns (B10), and the three
+    sources tagged and stacked (B18, B19, H1) into the balance series."""
+    sources = {}
+    for tipo in ("MOV", "EXC", "FOR"):
+        part = FL.read_period(spark, root, periods, tipo).drop("tipo", "ano", "mes")
+        sources[tipo] = NM.align(NM.canonical_names(part))
+    stacked = B.union_sources(sources["MOV"], sources["EXC"], sources["FOR"], saldo="SALDO_MOVIMENTACAO")
+    lower = stacked.select(*[F.col(c).alias(c.lower()) for c in stacked.columns])
+    return B.balance_series(lower.withColumn("tipo", F.lit("MOV")), **kw)  # exclusions are inverted already
+
+
 def balance_series(mov: DataFrame, **kw) -> DataFrame:
     """N2 (alias of the operator chain)."""
     return B.balance_series(mov, **kw)

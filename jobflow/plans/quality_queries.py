@@ -35,29 +35,37 @@ MOVQ_SQL = """movq AS (SELECT id, competencia_mov, competencia_dec, tipo, tipo_m
  FROM mov)"""
 
 
-def movq(spark, sf_dir):
-    m = mov(spark, sf_dir)
+MOVQ_COLUMNS = ["id", "competencia_mov", "competencia_dec", "tipo", "tipo_movimentacao", "saldo_movimentacao", "cnpj", "cpf", "idade",
+                "salario", "horas_contratuais", "periodo", "uf", "municipio", "sexo", "classe", "subclasse_cnae", "cbo", "horas_txt",
+                "mes_txt", "telefone"]
+_NEEDS = {"periodo": ["id", "competencia_mov"], "uf": ["regiao", "uf"], "sexo": ["cpf"], "classe": ["cnpj"],
+          "subclasse_cnae": ["cnpj", "cpf"], "cbo": ["cpf", "idade"], "horas_txt": ["id", "horas_contratuais"],
+          "mes_txt": ["id", "competencia_mov"], "telefone": ["id"]}
+
+
+def movq(spark, sf_dir, cols=None):
+    """The movement view with rule-made defects, restricted to ``cols``: joins whose columns nobody asks for are not made."""
+    cols = list(cols or MOVQ_COLUMNS)
+    m = mov(spark, sf_dir, sorted({n for c in cols for n in _NEEDS.get(c, [c])}))
     c, cnpj, cpf, i = F.col("competencia_mov"), F.col("cnpj"), F.col("cpf"), F.col("id")
     y, mo = F.substring(c, 1, 4), F.substring(c, 5, 2)
     classe = (F.when(cnpj % 17 == 0, F.substring(F.lpad(cnpj.cast("string"), 5, "0"), 1, 4))
               .otherwise(F.lpad((cnpj % 100000).cast("string"), 5, "0")))
-    return m.select(
-        "id", "competencia_mov", "competencia_dec", "tipo", "tipo_movimentacao", "saldo_movimentacao", "cnpj", "cpf",
-        "idade", "salario", "horas_contratuais",
-        F.when(i % 4 == 0, c).when(i % 4 == 1, F.concat(y, F.lit("-"), mo)).when(i % 4 == 2, F.concat(y, F.lit("/"), mo))
-        .otherwise(F.concat(y, F.lit("."), mo)).alias("periodo"),
-        F.when(F.col("regiao") != 3, F.col("uf") + 11).alias("uf"),
-        F.when(F.col("municipio") != 0, F.col("municipio")).alias("municipio"),
-        F.when(cpf % 5 == 0, "1").when(cpf % 5 == 1, "2").when(cpf % 5 == 2, "M").when(cpf % 5 == 3, "F")
-        .otherwise("7").alias("sexo"),
-        classe.alias("classe"),
-        F.when(cpf % 10 == 0, F.lpad(cpf.cast("string"), 7, "9"))
-        .otherwise(F.concat(classe, F.lpad((cpf % 100).cast("string"), 2, "0"))).alias("subclasse_cnae"),
-        (cpf * 1000 + F.col("idade")).cast("string").alias("cbo"),
-        F.when(i % 50 == 0, F.lit("n/a")).otherwise(F.col("horas_contratuais").cast("bigint").cast("string")).alias("horas_txt"),
-        F.when(i % 29 == 0, F.lit("13")).otherwise(mo).alias("mes_txt"),
-        F.when(i % 5 >= 3, F.lit("x")).alias("telefone"),
-    )
+    made = {
+        "periodo": F.when(i % 4 == 0, c).when(i % 4 == 1, F.concat(y, F.lit("-"), mo)).when(i % 4 == 2, F.concat(y, F.lit("/"), mo))
+        .otherwise(F.concat(y, F.lit("."), mo)),
+        "uf": F.when(F.col("regiao") != 3, F.col("uf") + 11),
+        "municipio": F.when(F.col("municipio") != 0, F.col("municipio")),
+        "sexo": F.when(cpf % 5 == 0, "1").when(cpf % 5 == 1, "2").when(cpf % 5 == 2, "M").when(cpf % 5 == 3, "F").otherwise("7"),
+        "classe": classe,
+        "subclasse_cnae": F.when(cpf % 10 == 0, F.lpad(cpf.cast("string"), 7, "9"))
+        .otherwise(F.concat(classe, F.lpad((cpf % 100).cast("string"), 2, "0"))),
+        "cbo": (cpf * 1000 + F.col("idade")).cast("string"),
+        "horas_txt": F.when(i % 50 == 0, F.lit("n/a")).otherwise(F.col("horas_contratuais").cast("bigint").cast("string")),
+        "mes_txt": F.when(i % 29 == 0, F.lit("13")).otherwise(mo),
+        "telefone": F.when(i % 5 >= 3, F.lit("x")),
+    }
+    return m.select(*[made[x].alias(x) if x in made else F.col(x) for x in cols])
 
 
 # --- SQL side of the checks -------------------------------------------------------------------
@@ -137,7 +145,9 @@ S_J16 = _fin("""SELECT 'chaves_duplicadas' AS check_name, 'cnpj,cpf,competencia_
 S_J19 = _fin("""SELECT 'consistencia_mensal' AS check_name, 'saldo' AS column_name, CAST(count_if(s <> a - d) AS BIGINT) AS bad_rows,
  CAST(count(*) AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance FROM
  (SELECT competencia, sum(admitidos) AS a, sum(desligados) AS d, sum(saldo) AS s FROM estab GROUP BY competencia)""")
-OUT_COLS = ["idade", "horas_contratuais"]
+OUT_COLS = ["idade", "horas_contratuais", "salario"]
+DUP_KEYS = ["cnpj", "cpf", "competencia_mov"]
+BALANCE_COLS = ["cnpj", "competencia", "admitidos", "desligados", "saldo"]
 
 
 def s_outliers(cols):
@@ -151,17 +161,25 @@ def s_outliers(cols):
     return union(*parts)
 
 
-S_J10 = union(*[_fin(f"SELECT 'campo_essencial' AS check_name, '{g}' AS column_name, CAST(0 AS BIGINT) AS bad_rows, "
-                     f"CAST(1 AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance") for g in Q.ESSENTIAL_GROUPS],
-              _fin("SELECT 'colunas_minimas' AS check_name, '*' AS column_name, CAST(0 AS BIGINT) AS bad_rows, CAST(1 AS BIGINT) AS total_rows, "
-                   "CAST(0.0 AS DOUBLE) AS tolerance"),
-              # every movq column is lower-case, so all 21 fail the upper-case naming rule; all 4 groups are covered
-              _fin("SELECT 'nomes_invalidos' AS check_name, '*' AS column_name, CAST(21 AS BIGINT) AS bad_rows, CAST(21 AS BIGINT) AS total_rows, "
-                   "CAST(0.0 AS DOUBLE) AS tolerance"),
-              _fin("SELECT 'cobertura_essencial' AS check_name, '*' AS column_name, CAST(0 AS BIGINT) AS bad_rows, CAST(4 AS BIGINT) AS total_rows, "
-                   "CAST(0.0 AS DOUBLE) AS tolerance"),
-              _fin("SELECT 'nao_vazio' AS check_name, '*' AS column_name, CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS bad_rows, "
-                   "CAST(1 AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance FROM movq"))
+def s_structure(cols, src):
+    """Structure rows counted from the column names ``cols`` and the rows of ``src``."""
+    names = f"SELECT unnest([{', '.join(repr(c) for c in cols)}]) AS nome"
+    def row(check, column, bad, total):
+        return _fin(f"SELECT '{check}' AS check_name, '{column}' AS column_name, CAST({bad} AS BIGINT) AS bad_rows, "
+                    f"CAST({total} AS BIGINT) AS total_rows, CAST(0.0 AS DOUBLE) AS tolerance")
+    missing = {g: f"(SELECT CASE WHEN count_if(upper(nome) IN ({_IN(v)})) = 0 THEN 1 ELSE 0 END FROM ({names}))"
+               for g, v in Q.ESSENTIAL_GROUPS.items()}
+    return union(*[row("campo_essencial", g, bad, 1) for g, bad in missing.items()],
+                 row("colunas_minimas", "*", f"(SELECT CASE WHEN count(*) < 5 THEN 1 ELSE 0 END FROM ({names}))", 1),
+                 row("nomes_invalidos", "*", f"(SELECT count_if(NOT regexp_matches(nome, '^[A-Z_][A-Z0-9_]*$')) FROM ({names}))",
+                     f"(SELECT count(*) FROM ({names}))"),
+                 row("cobertura_essencial", "*", " + ".join(missing.values()), len(missing)),
+                 row("nao_vazio", "*", f"(SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END FROM {src})", 1))
+
+
+S_J10 = s_structure(MOVQ_COLUMNS, "movq")
+# a frame that breaks every structure rule: too few columns, bad names, missing groups, no rows
+BROKEN = ["COMPETENCIA_MOV", "2_SALDO", "uf"]
 
 # --- Spark side: the same batteries --------------------------------------------------------------
 
@@ -186,47 +204,56 @@ ROW_SQL = [S_J2, S_J3, *S_J5, *S_J8, *S_J11, S_J12, *S_J13, S_J14, S_J15, S_J17,
            S_J25_MONTH]
 
 
-def _run(spark, sf_dir, checks):
-    return Q.run_checks(movq(spark, sf_dir), checks)
+def _run(spark, sf_dir, checks, *cols):
+    return Q.run_checks(movq(spark, sf_dir, cols), checks)
 
 
 def _reg(key, sql, fn):
     query(key, sql)(fn)
 
 
-_reg("j1_balance_formula", EV + S_J1, lambda s, d: Q.run_checks(estab(s, d), [Q.balance_formula()]))
-_reg("j2_period_format", QV + S_J2, lambda s, d: _run(s, d, [Q.period_format("periodo")]))
-_reg("j3_period_range", QV + S_J3, lambda s, d: _run(s, d, [Q.period_range("periodo", as_of=AS_OF)]))
-_reg("j5_domains", QV + union(*S_J5), lambda s, d: _run(s, d, row_checks()[2:5]))
-_reg("j6_completeness", QV + s_completeness(COMPLETE_COLS), lambda s, d: Q.completeness(movq(s, d), COMPLETE_COLS))
+_reg("j1_balance_formula", EV + S_J1, lambda s, d: Q.run_checks(estab(s, d, BALANCE_COLS), [Q.balance_formula()]))
+_reg("j2_period_format", QV + S_J2, lambda s, d: _run(s, d, [Q.period_format("periodo")], "periodo"))
+_reg("j3_period_range", QV + S_J3, lambda s, d: _run(s, d, [Q.period_range("periodo", as_of=AS_OF)], "periodo"))
+_reg("j5_domains", QV + union(*S_J5), lambda s, d: _run(s, d, row_checks()[2:5], "uf", "sexo", "tipo_movimentacao"))
+_reg("j6_completeness", QV + s_completeness(COMPLETE_COLS), lambda s, d: Q.completeness(movq(s, d, COMPLETE_COLS), COMPLETE_COLS))
 _reg("j7_duplicates", QV + S_J7, lambda s, d: Q.duplicates(movq(s, d)))
-_reg("j8_castable", QV + union(*S_J8), lambda s, d: _run(s, d, [Q.castable("horas_txt"), Q.castable("mes_txt")]))
-_reg("j9_outlier_share", QV + s_outliers(OUT_COLS), lambda s, d: Q.outlier_share(movq(s, d), OUT_COLS))
+_reg("j8_castable", QV + union(*S_J8), lambda s, d: _run(s, d, [Q.castable("horas_txt"), Q.castable("mes_txt")], "horas_txt", "mes_txt"))
+_reg("j9_outlier_share", QV + s_outliers(OUT_COLS), lambda s, d: Q.outlier_share(movq(s, d, OUT_COLS), OUT_COLS))
 _reg("j10_structure", QV + S_J10, lambda s, d: Q.structure(movq(s, d)))
-_reg("j11_uf_municipality", QV + union(*S_J11), lambda s, d: _run(s, d, Q.uf_municipality()))
-_reg("j12_cnae_prefix", QV + S_J12, lambda s, d: _run(s, d, [Q.cnae_prefix("classe", "subclasse_cnae")]))
+
+
+def _broken(spark, sf_dir):
+    m = movq(spark, sf_dir, ["id", "competencia_mov", "saldo_movimentacao", "uf"]).where("id < 0")
+    return m.select(F.col("competencia_mov").alias(BROKEN[0]), F.col("saldo_movimentacao").alias(BROKEN[1]), F.col("uf").alias(BROKEN[2]))
+
+
+_reg("j10_structure_broken", QV + s_structure(BROKEN, "movq WHERE id < 0"), lambda s, d: Q.structure(_broken(s, d)))
+_reg("j11_uf_municipality", QV + union(*S_J11), lambda s, d: _run(s, d, Q.uf_municipality(), "uf", "municipio"))
+_reg("j12_cnae_prefix", QV + S_J12, lambda s, d: _run(s, d, [Q.cnae_prefix("classe", "subclasse_cnae")], "classe", "subclasse_cnae"))
 _reg("j13_cnae_length", QV + union(*S_J13),
-     lambda s, d: _run(s, d, [Q.cnae_length("classe", 5), Q.cnae_length("subclasse_cnae", 7)]))
-_reg("j14_cbo", QV + S_J14, lambda s, d: _run(s, d, [Q.cbo("cbo")]))
-_reg("j15_future", QV + S_J15, lambda s, d: _run(s, d, [Q.future("competencia_dec", as_of=AS_OF)]))
-_reg("j16_dup_keys", QV + S_J16, lambda s, d: Q.duplicate_key_check(movq(s, d), ["cnpj", "cpf", "competencia_mov"]))
-_reg("j17_bad_exclusions", QV + S_J17, lambda s, d: _run(s, d, [Q.bad_exclusions()]))
-_reg("j18_late_window", QV + S_J18, lambda s, d: _run(s, d, [Q.late_window("competencia_mov", as_of=AS_OF_WINDOW)]))
-_reg("j19_monthly_consistency", EV + S_J19, lambda s, d: Q.monthly_consistency(estab(s, d)))
+     lambda s, d: _run(s, d, [Q.cnae_length("classe", 5), Q.cnae_length("subclasse_cnae", 7)], "classe", "subclasse_cnae"))
+_reg("j14_cbo", QV + S_J14, lambda s, d: _run(s, d, [Q.cbo("cbo")], "cbo"))
+_reg("j15_future", QV + S_J15, lambda s, d: _run(s, d, [Q.future("competencia_dec", as_of=AS_OF)], "competencia_dec"))
+_reg("j16_dup_keys", QV + S_J16, lambda s, d: Q.duplicate_key_check(movq(s, d, DUP_KEYS), DUP_KEYS))
+_reg("j17_bad_exclusions", QV + S_J17, lambda s, d: _run(s, d, [Q.bad_exclusions()], "tipo", "tipo_movimentacao", "saldo_movimentacao"))
+_reg("j18_late_window", QV + S_J18, lambda s, d: _run(s, d, [Q.late_window("competencia_mov", as_of=AS_OF_WINDOW)], "competencia_mov"))
+_reg("j19_monthly_consistency", EV + S_J19, lambda s, d: Q.monthly_consistency(estab(s, d, BALANCE_COLS)))
 _reg("j20_negatives", QV + union(*S_J20),
-     lambda s, d: _run(s, d, [Q.negatives("saldo_movimentacao"), Q.negatives("idade"), Q.negatives("salario")]))
+     lambda s, d: _run(s, d, [Q.negatives("saldo_movimentacao"), Q.negatives("idade"), Q.negatives("salario")],
+                       "saldo_movimentacao", "idade", "salario"))
 _reg("j21_movement_types", QV + S_J21,
-     lambda s, d: _run(s, d, [Q.domain("tipo_movimentacao", Q.MOVEMENT_DOMAIN, "tipos_movimentacao")]))
+     lambda s, d: _run(s, d, [Q.domain("tipo_movimentacao", Q.MOVEMENT_DOMAIN, "tipos_movimentacao")], "tipo_movimentacao"))
 _reg("j22_entity_types", QV + union(*S_J22),
-     lambda s, d: _run(s, d, [Q.entity_nulls("cnpj"), Q.entity_nulls("cpf"), Q.entity_type()]))
-_reg("j23_entity_valid", QV + S_J23, lambda s, d: _run(s, d, [Q.entity_valid()]))
-_reg("j24_balance_valid", EV + S_J24, lambda s, d: Q.run_checks(estab(s, d), [Q.balance_row_valid()]))
+     lambda s, d: _run(s, d, [Q.entity_nulls("cnpj"), Q.entity_nulls("cpf"), Q.entity_type()], "cnpj", "cpf", "tipo_movimentacao"))
+_reg("j23_entity_valid", QV + S_J23, lambda s, d: _run(s, d, [Q.entity_valid()], "id", "competencia_mov", "tipo_movimentacao"))
+_reg("j24_balance_valid", EV + S_J24, lambda s, d: Q.run_checks(estab(s, d, BALANCE_COLS), [Q.balance_row_valid()]))
 
 FILE_COLS = ["uf", "municipio", "telefone", "horas_txt", "mes_txt"]
 
 
 def _j25(spark, sf_dir):
-    q = movq(spark, sf_dir)
+    q = movq(spark, sf_dir, FILE_COLS)
     return Q.run_checks(q, Q.completeness_checks(FILE_COLS) +
                         [Q.castable("horas_txt"), Q.castable("mes_txt"), Q.month_in_range("mes_txt")])
 
@@ -258,7 +285,8 @@ QUAR_CHECKS_SQL = [("formato_periodo:periodo", r"periodo IS NOT NULL AND NOT reg
 def _j27(spark, sf_dir):
     checks = [Q.period_format("periodo"), Q.domain("sexo", SEX_CODES + SEX_TEXT_ALIASES, "dominio_sexo"),
               Q.castable("horas_txt"), Q.cnae_prefix("classe", "subclasse_cnae")]
-    return Q.quarantine(movq(spark, sf_dir), checks).select("id", "competencia_mov", "valido", "motivos")
+    cols = ["id", "competencia_mov", "periodo", "sexo", "horas_txt", "classe", "subclasse_cnae"]
+    return Q.quarantine(movq(spark, sf_dir, cols), checks).select("id", "competencia_mov", "valido", "motivos")
 
 
 _reg("j27_quarantine", QV + "SELECT id, competencia_mov, motivos = '' AS valido, motivos FROM (SELECT id, competencia_mov, concat_ws(',', " +

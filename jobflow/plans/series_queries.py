@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobflow.functions import calendar as M
-from jobflow.functions.codes import MOVEMENT_TYPE_LABELS, REGION_LABELS, movement_type_dim, region_dim
+from jobflow.functions.codes import DICTIONARIES, MOVEMENT_TYPE_LABELS, REGION_LABELS, dictionary, movement_type_dim, region_dim
 from jobflow.operators import balance as B
 from jobflow.operators import joins as D
 from jobflow.operators import ranking as G
@@ -228,10 +228,10 @@ def g6u(spark, sf_dir):
     return G.topk_per_group(a, ["ano"], "n", 5, tie=["uf"])
 
 
-@query("g7_slowest", with_views(OPLOG) + """SELECT * FROM (SELECT * FROM oplog ORDER BY ts DESC, op_id DESC LIMIT 1000)
-ORDER BY duration DESC, op_id LIMIT 5""")
+@query("g7_slowest", with_views(OPLOG) + """SELECT * FROM oplog WHERE ts >= TIMESTAMP '2024-01-10 00:00:00'
+ AND ts <= TIMESTAMP '2024-01-20 00:00:00' ORDER BY duration DESC, op_id LIMIT 5""")
 def g7(spark, sf_dir):
-    return G.slowest(oplog(spark, sf_dir), 5, 1000)
+    return G.slowest(oplog(spark, sf_dir), 5, since="2024-01-10 00:00:00", until="2024-01-20 00:00:00")
 
 
 _REGION_VALUES = ", ".join(f"({c}, '{lbl}')" for c, lbl in REGION_LABELS)
@@ -242,3 +242,34 @@ SELECT m.regiao, d.label AS regiao_label, count(*) AS n_registros FROM mov m LEF
 def d1r(spark, sf_dir):
     m = D.decode(mov(spark, sf_dir, ["regiao"]), "regiao", region_dim(spark))
     return m.groupBy("regiao", "regiao_label").agg(F.count(F.lit(1)).alias("n_registros"))
+
+
+def _decode_sql(source: str, name: str) -> str:
+    """Counts per code and label of a derived code column ``source`` under dictionary ``name``."""
+    values = ", ".join(f"({c}, '{label}')" for c, label in DICTIONARIES[name])
+    return (with_views(MOV) + f", dim AS (SELECT * FROM (VALUES {values}) t(code, label)), c AS (SELECT CAST({source} AS INTEGER) AS codigo FROM mov) "
+            "SELECT c.codigo, d.label AS codigo_label, count(*) AS n_registros FROM c LEFT JOIN dim d ON c.codigo = d.code GROUP BY 1, 2")
+
+
+# codes of every dictionary, some of them unknown to it, from columns of the movement view
+DECODED = {
+    "uf": "uf + 11", "sexo": "cpf % 3 + 1", "grau_instrucao": "cpf % 11 + 1", "raca_cor": "cpf % 7", "categoria": "100 + cpf % 13",
+    "tipo_empregador": "cnpj % 4", "tipo_estabelecimento": "cnpj % 6", "tamanho_estabelecimento": "cnpj % 11",
+    "tipo_deficiencia": "cpf % 10", "unidade_salario": "cpf % 8", "origem_informacao": "origem_informacao",
+    "indicador_aprendiz": "cpf % 4", "indicador_exclusao": "cnpj % 3", "indicador_fora_prazo": "cpf % 3",
+    "indicador_trabalho_intermitente": "cpf % 5", "indicador_trabalho_parcial": "cnpj % 5",
+}
+
+
+def _decode_key(name: str, source: str) -> None:
+    def run(spark, sf_dir):
+        codes = mov(spark, sf_dir, ["cpf", "cnpj", "uf", "origem_informacao"]) if name == "uf" else \
+            mov(spark, sf_dir, ["cpf", "cnpj", "origem_informacao"])
+        m = D.decode(codes.select(F.expr(source).cast("int").alias("codigo")), "codigo", dictionary(spark, name))
+        return m.groupBy("codigo", "codigo_label").agg(F.count(F.lit(1)).alias("n_registros"))
+
+    query(f"d1_decode_{name}", _decode_sql(source, name))(run)
+
+
+for _name, _source in DECODED.items():
+    _decode_key(_name, _source)

@@ -3,14 +3,19 @@ and the file catalogue."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
+from jobflow.operators import filters as C
+from jobflow.operators import quality as Q
+from jobflow.plans.filter_queries import cnae_table
+from jobflow.plans.jobs import balance_from_layout
 from jobflow.session import scratch_path
 from jobflow.sources import catalog as CT
 from jobflow.sources import files as FL
 from jobflow.sources import text as TX
 from jobflow.plans.balance_queries import FLAGSHIP_SQL
-from jobflow.plans.quality_queries import MOVQ_SQL, movq
 from jobflow.plans.registry import query
 from jobflow.plans.sql import CATALOG, ESTAB, MOV, with_views
 from jobflow.sources.tables import catalog, estab, mov, table
@@ -49,10 +54,18 @@ def a1(spark, sf_dir):
     return TX.read_delimited(spark, _csv_dir(spark, sf_dir), sep=";", schema=RT_SCHEMA)
 
 
-@query("a16_file_profile", with_views(MOV) + "SELECT count(*) AS linhas_estimadas FROM mov")
+_LINE = "CAST(id AS STRING) || ';' || competencia_mov || ';' || CAST(saldo_movimentacao AS STRING)"
+
+
+@query("a16_file_profile", with_views(MOV) + f"""SELECT CAST(id % 4 AS INTEGER) AS parte, CAST(sum(length({_LINE}) + 1) + length('linha') + 1 AS BIGINT) AS bytes,
+ count(*) + 1 AS linhas, count(*) AS linhas_estimadas FROM mov GROUP BY 1""")
 def a16(spark, sf_dir):
-    prof = TX.file_profile(spark, _csv_dir(spark, sf_dir))
-    return prof.agg(F.sum("linhas_estimadas").alias("linhas_estimadas"))
+    path = scratch_path(spark, "profile")
+    m = mov(spark, sf_dir, RT_COLS).select(F.expr(_LINE).alias("linha"), (F.col("id") % 4).cast("int").alias("parte"))
+    # one file per part: its rows in one task
+    m.repartition(4, "parte").write.partitionBy("parte").option("header", True).csv(path)
+    prof = TX.file_profile(spark, path + "/*/*.csv")
+    return prof.select(F.regexp_extract("arquivo", r"parte=(\d+)", 1).cast("int").alias("parte"), "bytes", "linhas", "linhas_estimadas")
 
 
 JUNK_SQL = """SELECT '' AS value FROM customer UNION ALL SELECT '# ' || c_name FROM customer
@@ -84,7 +97,7 @@ POS_LINES = """SELECT cnpj || ';' || CAST(uf AS STRING) || ';' || CAST(CAST(cnpj
 
 
 def _pos_lines(spark, sf_dir):
-    e = estab(spark, sf_dir)
+    e = estab(spark, sf_dir, ["cnpj", "uf", "secao", "admitidos", "desligados"])
     c = table(spark, sf_dir, "customer")
     a_txt = F.when(F.col("admitidos") == 0, F.lit("x")).otherwise(F.col("admitidos").cast("string"))
     data = e.select(F.concat_ws(";", "cnpj", F.col("uf").cast("string"), (F.col("cnpj").cast("bigint") % 97).cast("string"),
@@ -173,6 +186,7 @@ def a11(spark, sf_dir):
 def a13(spark, sf_dir):
     pf = FL.per_file_counts(spark, _layout(spark, sf_dir) + "/*/*/*")
     p = F.col("arquivo")
+    pf = pf.where("motivo IS NULL")
     return (pf.select(F.regexp_extract(p, r"tipo=([A-Z]+)", 1).alias("tipo"),
                       F.regexp_extract(p, r"ano=(\d+)", 1).cast("int").alias("ano"),
                       F.regexp_extract(p, r"mes=(\d+)", 1).cast("int").alias("mes"), "linhas")
@@ -281,10 +295,115 @@ def a23(spark, sf_dir):
     return d.select("doc_id", TX.delimiter_of_header(d).alias("separador"))
 
 
-@query("a24_accept_recovered", with_views(MOV, MOVQ_SQL) + """SELECT least(count(*), 2) AS linhas_min, 21 AS colunas, 4 AS grupos,
- least(count(*), 2) >= 2 AS aceito FROM movq""")
+_GROUPS_SQL = " + ".join(
+    "CAST(" + " OR ".join(f"contains(nomes, '{v}')" for v in vs) + " AS INTEGER)" for vs in Q.ESSENTIAL_GROUPS.values())
+
+
+def _accept_sql(cols: list[str], rows: str) -> str:
+    """Acceptance computed from the column names and the row count of ``rows``."""
+    return (f"SELECT linhas_min, colunas, grupos, linhas_min >= 2 AND colunas >= 3 AND grupos >= 2 AS aceito FROM (SELECT linhas_min, "
+            f"len(string_split(nomes, ' ')) AS colunas, {_GROUPS_SQL} AS grupos FROM (SELECT upper('{' '.join(cols)}') AS nomes, "
+            f"(SELECT least(count(*), 2) FROM {rows}) AS linhas_min))")
+
+
+# a table of the layout, one with too few known fields, one with too few columns, one that is only a header
+RECOVERED = {"aceita": ["competencia_mov", "municipio", "saldo_movimentacao"], "sem_campos": ["cnpj", "secao", "idade", "municipio"],
+             "estreita": ["competencia_mov", "municipio"], "so_cabecalho": ["competencia_mov", "municipio", "cnpj"]}
+
+
+@query("a24_accept_recovered", with_views(MOV) + " UNION ALL ".join(
+    f"SELECT '{name}' AS caso, * FROM ({_accept_sql(cols, 'mov' if name != 'so_cabecalho' else 'mov WHERE id < 0')})"
+    for name, cols in RECOVERED.items()))
 def a24(spark, sf_dir):
-    return TX.accept_recovered(movq(spark, sf_dir))
+    parts = []
+    for name, cols in RECOVERED.items():
+        m = mov(spark, sf_dir, ["id", *cols])
+        m = m.where("id < 0") if name == "so_cabecalho" else m
+        got = TX.accept_recovered(m.select(*cols), Q.ESSENTIAL_GROUPS)
+        parts.append(got.select(F.lit(name).alias("caso"), F.col("linhas_min").cast("bigint").alias("linhas_min"),
+                                F.col("colunas").cast("bigint").alias("colunas"), "grupos", "aceito"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# --- landed files: A13 conversion, A17, A22, A23 ----------------------------------------------------------
+
+def _landed(spark, sf_dir):
+    """Files of three layouts written once per session: ';' text, ',' text with its columns in another order, and ISO-8859-1
+    text with accented names, each with malformed lines, plus a compressed file that cannot be read and an empty one."""
+    key = ("landed", spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        root = scratch_path(spark, "landed")
+        m = mov(spark, sf_dir, RT_COLS)
+        third = F.pmod("id", F.lit(3))
+        m.where(third == 0).write.option("header", True).option("sep", ";").csv(f"{root}/a")
+        m.where(third == 1).select(*reversed(RT_COLS)).write.option("header", True).option("sep", ",").csv(f"{root}/b")
+        accents = {"competencia_mov": "competênciamov", "tipo_movimentacao": "tipomovimentação", "salario": "salário"}
+        m.where(third == 2).select(*[F.col(c).alias(accents.get(c, c)) for c in RT_COLS]).write.option("header", True).option(
+            "sep", ";").option("encoding", "ISO-8859-1").csv(f"{root}/c")
+        c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("k"))
+        head = spark.createDataFrame([(0, ";".join(RT_COLS))], "n int, value string")
+        few = c.select(F.lit(1).alias("n"), F.concat("k", F.lit(";202101")).alias("value"))
+        bad = c.where("k % 4 = 0").select(F.lit(1).alias("n"), F.concat("k", F.lit(";2021;MOV;10;1;1;1.0")).alias("value"))
+        (head.unionByName(few).unionByName(bad).coalesce(1).sortWithinPartitions("n").select("value").write.text(f"{root}/d"))
+        broken = f"{root}/e"
+        spark.range(1).select(F.lit("isto nao e gzip").alias("value")).write.text(broken)
+        fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(broken).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for f in fs.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(broken)):
+            if f.getPath().getName().endswith(".txt"):
+                fs.rename(f.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{broken}/quebrado.txt.gz"))
+        _LAYOUTS[key] = root
+    return _LAYOUTS[key]
+
+
+_LANDED = "/{a,b,c,d,e}/*.{csv,txt,gz}"
+
+
+@query("a13_convert", with_views(MOV) + "SELECT 'convertidas' AS medida, (SELECT count(*) FROM mov) + "
+       "(SELECT count(*) FROM customer WHERE c_custkey % 4 = 0) AS n UNION ALL "
+       "SELECT 'quarentena', count(*) FROM customer UNION ALL SELECT 'ilegiveis', 1")
+def a13c(spark, sf_dir):
+    out = scratch_path(spark, "convert")
+    status = FL.convert_many(spark, _landed(spark, sf_dir) + _LANDED, out)
+    n = F.count(F.lit(1)).alias("n")
+    return (spark.read.parquet(out).agg(n).select(F.lit("convertidas").alias("medida"), "n")
+            .unionByName(spark.read.parquet(out + "_quarentena").agg(n).select(F.lit("quarentena").alias("medida"), "n"))
+            .unionByName(status.where("motivo IS NOT NULL AND arquivo LIKE '%.gz'").agg(n).select(F.lit("ilegiveis").alias("medida"), "n")))
+
+
+@query("a23_landed_headers", """SELECT * FROM (VALUES (';', 'UTF-8', 'id;competencia_mov;tipo;tipo_movimentacao;saldo_movimentacao;cnpj;salario'),
+ (',', 'UTF-8', 'salario,cnpj,saldo_movimentacao,tipo_movimentacao,tipo,competencia_mov,id'),
+ (';', 'ISO-8859-1', 'id;competênciamov;tipo;tipomovimentação;saldo_movimentacao;cnpj;salário')) t(separador, codificacao, cabecalho)""")
+def a23l(spark, sf_dir):
+    heads = TX.header_lines(spark, _landed(spark, sf_dir) + "/{a,b,c}/*.csv")
+    return heads.select("separador", "codificacao", "cabecalho").distinct()
+
+
+@query("a17_landed_cnae", """WITH cnae AS (SELECT DISTINCT p_brand AS classe_cnae,
+  CASE WHEN CAST(substr(p_brand, 7) AS INTEGER) % 3 = 0 THEN 0 ELSE 1 END AS situacao FROM part)
+SELECT classe_cnae AS code FROM cnae WHERE situacao = 1""")
+def a17l(spark, sf_dir):
+    path = scratch_path(spark, "cnae")
+    (cnae_table(spark, sf_dir).select(F.concat(F.lit(" "), "classe_cnae").alias("CLASSE_CNAE"), F.col("situacao").alias("SITUACAO"))
+     .write.option("header", True).option("sep", ";").csv(path))
+    return C.load_cnae(spark, path)
+
+
+@query("a22_landed_profile", with_views(MOV) + """SELECT separador, CAST(sum(linhas) AS BIGINT) AS linhas FROM (
+ SELECT ';' AS separador, count(*) AS linhas FROM mov WHERE id % 3 = 0 UNION ALL SELECT ',', count(*) FROM mov WHERE id % 3 = 1
+ UNION ALL SELECT ';', count(*) FROM mov WHERE id % 3 = 2) GROUP BY separador""")
+def a22l(spark, sf_dir):
+    prof = TX.profile_files(spark, _landed(spark, sf_dir) + "/{a,b,c}/*.csv").where("escolhido")
+    return prof.groupBy("separador").agg((F.sum("linhas") - F.count(F.lit(1))).alias("linhas"))  # one header line per file
+
+
+@query("c3_layout_years", with_views(MOV) + f"SELECT {_PCOLS} FROM mov WHERE substr(competencia_mov,1,4) IN ('2021','2023')")
+def c3l(spark, sf_dir):
+    return C.filter_period(spark.read.parquet(_layout(spark, sf_dir)), years=[2021, 2023]).select(*RT_COLS)
+
+
+@query("n2_from_layout", FLAGSHIP_SQL)
+def n2l(spark, sf_dir):
+    return balance_from_layout(spark, _layout(spark, sf_dir))
 
 
 # --- A12 / A18: sinks ------------------------------------------------------------------------------------

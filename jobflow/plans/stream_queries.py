@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from jobflow.operators import filters as C
 from jobflow.plans.balance_queries import BAL_COLS, FLAGSHIP_SQL
 from jobflow.plans.registry import query
-from jobflow.plans.source_queries import RT_COLS, _csv_dir, _layout
+from jobflow.plans.source_queries import _LANDED, RT_COLS, _landed, _layout
 from jobflow.plans.sql import MOV, with_views
 from jobflow.plans.jobs import monthly_job
 from jobflow.session import scratch_path
-from jobflow.sources.tables import mov
+from jobflow.sources.tables import mov, table
+from jobflow.sources.text import text_hashes
 from jobflow.streaming import incremental as INC
 
 _PART_SQL = "CAST(substr(competencia_mov,1,4) AS INTEGER) AS ano, CAST(substr(competencia_mov,5,2) AS INTEGER) AS mes"
@@ -43,21 +44,35 @@ def n3(spark, sf_dir):
     return INC.balance_incremental(state, m.where(F.col("competencia_dec") > "202312"))
 
 
-@query("n1_monthly", with_views(MOV) + f"SELECT tipo, {_PART_SQL}, count(*) AS linhas, CAST(sum(saldo_movimentacao) AS BIGINT) AS saldo "
+N1_YEARS = [2021, 2022]
+
+
+@query("n1_monthly", with_views(MOV) + f"SELECT tipo, {_PART_SQL}, count(*) AS linhas, CAST(sum(saldo_movimentacao) AS BIGINT) AS saldo, "
+       "CAST(round(sum(CAST(round(salario * 100) AS BIGINT)) / 100.0, 2) AS DOUBLE) AS salarios "
        "FROM mov WHERE substr(competencia_mov,1,4) IN ('2021','2022') GROUP BY ALL")
 def n1(spark, sf_dir):
+    """Files of different column order, separator and encoding, one with malformed lines and months, by one job."""
     out = scratch_path(spark, "n1")
-    chain = C.FilterChain().period(col="COMPETENCIA_MOV", years=[2021, 2022])
-    monthly_job(spark, _csv_dir(spark, sf_dir), out, types={"SALDO_MOVIMENTACAO": "int", "CNPJ": "bigint"}, chain=chain)
+    chain = C.FilterChain().period(col="COMPETENCIA_MOV", years=N1_YEARS)
+    monthly_job(spark, _landed(spark, sf_dir) + _LANDED, out, types={"SALDO_MOVIMENTACAO": "int", "CNPJ": "bigint", "SALARIO": "double"},
+                chain=chain)
     w = spark.read.parquet(out)
-    return w.groupBy("tipo", "ano", "mes").agg(F.count(F.lit(1)).alias("linhas"),
-                                               F.sum("saldo_movimentacao").cast("bigint").alias("saldo"))
+    cents = F.sum(F.round(F.col("salario") * 100).cast("bigint"))
+    return w.groupBy("tipo", "ano", "mes").agg(F.count(F.lit(1)).alias("linhas"), F.sum("saldo_movimentacao").cast("bigint").alias("saldo"),
+                                               F.round(cents / 100.0, 2).alias("salarios"))
+
+
+@query("n1_quarantine", "SELECT 'linha_malformada' AS motivo, count(*) AS n FROM customer UNION ALL "
+       "SELECT 'competencia_invalida', count(*) FROM customer WHERE c_custkey % 4 = 0")
+def n1q(spark, sf_dir):
+    out = scratch_path(spark, "n1q")
+    monthly_job(spark, _landed(spark, sf_dir) + _LANDED, out, types={"SALDO_MOVIMENTACAO": "int"})
+    return spark.read.parquet(out + "_quarentena").groupBy("motivo").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("e18_hash")
+@query("e18_hash", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256, md5(text) AS md5 FROM documents")
 def e18(spark, sf_dir):
-    from jobflow.sources.text import file_hashes
-    return file_hashes(spark, _csv_dir(spark, sf_dir) + "/*.csv")
+    return text_hashes(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
 
 
 def _n1_checks():
@@ -88,6 +103,6 @@ def _n1_report_sql():
 def n1r(spark, sf_dir):
     out = scratch_path(spark, "n1r")
     chain = C.FilterChain().period(col="COMPETENCIA_MOV", years=[2021, 2022])
-    return monthly_job(spark, _csv_dir(spark, sf_dir), out,
+    return monthly_job(spark, _landed(spark, sf_dir) + _LANDED, out,
                        types={"SALDO_MOVIMENTACAO": "int", "CNPJ": "bigint", "SALARIO": "double"},
                        chain=chain, report_checks=_n1_checks())

@@ -40,9 +40,11 @@ def get_spark(app: str = "jobflow", cpus: int | str = "*", shuffle_partitions: i
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only when unset."""
+    """Return the shared checkpoint folder; only a ``local`` session gets one of its own when it is unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="jobflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -14,14 +14,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobflow.operators.windows import month_date
+from jobflow.sources.text import CORRUPT, read_grouped
+
 PARTITIONS = ["tipo", "ano", "mes"]
 
 
 def with_partition_columns(df: DataFrame, *, month: str = "competencia_mov", tipo: str = "tipo") -> DataFrame:
-    """Derive (tipo, ano, mes) partition values; type defaults to MOV."""
-    c = F.col(month).cast("string")
+    """Derive (tipo, ano, mes) partition values; type defaults to MOV, a value that is no month gives nulls."""
+    c = month_date(F.col(month).cast("string"))
     t = F.coalesce(F.col(tipo), F.lit("MOV")) if tipo in df.columns else F.lit("MOV")
-    return df.withColumns({"tipo": t, "ano": F.substring(c, 1, 4).cast("int"), "mes": F.substring(c, 5, 2).cast("int")})
+    return df.withColumns({"tipo": t, "ano": F.year(c), "mes": F.month(c)})
 
 
 def write_monthly(df: DataFrame, root: str, *, compression: str = "snappy", month: str = "competencia_mov") -> None:
@@ -92,9 +95,38 @@ def consolidate(spark: SparkSession, root: str, years: list[int], out: str, *, c
 
 
 def per_file_counts(spark: SparkSession, paths, *, fmt: str = "parquet") -> DataFrame:
-    """Read many files at once, skipping unreadable ones, with per-file row counts."""
+    """Read many files at once with per-file row counts; an unreadable or empty file is listed with
+    0 rows and its reason instead of vanishing."""
     df = spark.read.format(fmt).option("ignoreCorruptFiles", "true").load(paths)
-    return df.groupBy(F.col("_metadata.file_path").alias("arquivo")).agg(F.count(F.lit(1)).alias("linhas"))
+    counted = df.groupBy(F.col("_metadata.file_path").alias("arquivo")).agg(F.count(F.lit(1)).alias("linhas"))
+    return with_reasons(spark, paths, counted)
+
+
+def with_reasons(spark: SparkSession, paths, counted: DataFrame) -> DataFrame:
+    """All files under ``paths`` (metadata only) with their counted rows, and a reason where there are none."""
+    listing = spark.read.format("binaryFile").load(paths).select(
+        F.regexp_replace("path", "^file:/+", "file:///").alias("arquivo"), F.col("length").alias("bytes"))
+    reason = F.when(F.col("linhas").isNull(), F.when(F.col("bytes") == 0, "vazio").otherwise("ilegivel_ou_sem_linhas"))
+    return (listing.join(counted, "arquivo", "left").select(
+        "arquivo", "bytes", F.coalesce("linhas", F.lit(0).cast("bigint")).alias("linhas"), reason.alias("motivo")))
+
+
+def convert_many(spark: SparkSession, paths, out_root: str) -> DataFrame:
+    """Convert delimited files of any header, separator and encoding to Parquet, one directory per file.
+
+    Returns one row per input file: arquivo, bytes, linhas (converted), motivo (null, or why nothing
+    was converted).  Lines with a wrong number of fields go to ``<out_root>_quarentena``.
+    """
+    rows = read_grouped(spark, paths)
+    data = [c for c in rows.columns if c not in (CORRUPT, "_arquivo")]
+    good = rows.where(F.col(CORRUPT).isNull()).select(*data, F.col("_arquivo").alias("arquivo"))
+    if data:
+        (good.withColumn("arquivo", F.regexp_replace(F.element_at(F.split("arquivo", "/"), -1), r"\.[^.]*$", ""))
+         .hint("rebalance", "arquivo").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("arquivo").parquet(out_root))
+    (rows.where(F.col(CORRUPT).isNotNull()).select(F.col("_arquivo").alias("arquivo"), F.col(CORRUPT).alias("linha"))
+     .write.mode("overwrite").parquet(f"{out_root.rstrip('/')}_quarentena"))
+    return with_reasons(spark, paths, good.groupBy("arquivo").agg(F.count(F.lit(1)).alias("linhas")))
 
 
 def preview(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
@@ -108,5 +140,5 @@ def write_balance(df: DataFrame, path: str) -> DataFrame:
     Writing to a new path (never over the table being read) keeps a failed
     run from leaving a half-written series.
     """
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -37,27 +37,9 @@ _PART = {"secao", "subclasse", "idade"}
 YEAR_SHIFT = 25
 
 
-# fact-sized driver tables: worth spreading over the cores when their scan is too coarse
-FACT_TABLES = {"lineitem", "events", "documents"}   # orders is usually a broadcast build side
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table.
-
-    Parquet splits only at row-group boundaries; the driver's files are a single
-    row group each, so a fact table would be scanned - and every per-row step
-    after the scan (joins, expressions, partial aggregation) run - by ONE task.
-    When a fact table's scan yields fewer partitions than the session's
-    parallelism, it is round-robin repartitioned to that parallelism (Spark sorts
-    before round-robin, so retries are deterministic).  On a cluster reading many
-    files the scan already has thousands of splits and this is a no-op.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name in FACT_TABLES:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
-            df = df.repartition(cores)
-    return df
+    """Read one driver table; file splits and AQE decide the parallelism."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _bucketed_name(sf_dir: str, name: str) -> str:
@@ -146,19 +128,26 @@ def mov(spark: SparkSession, sf_dir: str, cols: list[str] | None = None, *, buck
     return df.select(*[exprs[c].alias(c) for c in want])
 
 
-def estab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Establishment layout: one row per (company, month) with admitted/separated/balance.
+ESTAB_COLUMNS = ["cnpj", "competencia", "uf", "secao", "admitidos", "desligados", "saldo"]
+
+
+def estab(spark: SparkSession, sf_dir: str, cols: list[str] | None = None) -> DataFrame:
+    """Establishment layout: one row per (company, month), restricted to ``cols``.
 
     ``saldo`` nets exclusions (sign-inverted) while ``admitidos``/``desligados``
     count raw rows, so the balance-formula checks see real inconsistencies.
+    Place and sector need two more joins each, done only when asked for.
     """
-    m = mov(spark, sf_dir, ["cnpj", "competencia_mov", "tipo", "saldo_movimentacao", "uf", "secao"])
+    want = list(cols or ESTAB_COLUMNS)
+    extra = [c for c in ("uf", "secao") if c in want]
+    m = mov(spark, sf_dir, ["cnpj", "competencia_mov", "tipo", "saldo_movimentacao", *extra])
     s = F.col("saldo_movimentacao")
     return (m.groupBy(F.col("cnpj").cast("string").alias("cnpj"), F.col("competencia_mov").alias("competencia"))
-            .agg(F.min("uf").alias("uf"), F.min("secao").alias("secao"),
+            .agg(*[F.min(c).alias(c) for c in extra],
                  F.count_if(s == 1).alias("admitidos"),
                  F.count_if(s == -1).alias("desligados"),
-                 F.sum(F.when(F.col("tipo") == "EXC", -s).otherwise(s)).cast("bigint").alias("saldo")))
+                 F.sum(F.when(F.col("tipo") == "EXC", -s).otherwise(s)).cast("bigint").alias("saldo"))
+            .select(*want))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,13 @@ the driver except header metadata.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from jobflow.functions.names import canonical_name, dedupe_names
 
 CORRUPT = "_linha_corrompida"
 
@@ -55,29 +59,36 @@ def delimiter_of_header(df: DataFrame, line: str = "value") -> Column:
     return expr
 
 
+def header_separator(header: str) -> str:
+    """A4: ';' if the header has one, else ',', else tab."""
+    return ";" if ";" in header else "," if "," in header else "\t"
+
+
 def salvage_lines(spark: SparkSession, path: str, header: str | None = None, *, sep: str | None = None) -> DataFrame:
     """A4: keep only non-empty lines containing ; , or tab (header lines excluded), split by the
     header's separator into the header's columns (missing fields null, extra fields dropped).
 
-    Without ``header``, the most common first line among the files is used
-    (:func:`header_lines`; one string reaches the driver).  No line cap: every
-    line of every file is examined, in parallel.
+    Without ``header`` every file is split by its own first line and the files are stacked by
+    column name; one row per distinct header reaches the driver.  No line cap: every line
+    of every file is examined, in parallel.
     """
-    if header is None:
-        top = (header_lines(spark, path).groupBy("cabecalho").count()
-               .orderBy(F.col("count").desc(), F.col("cabecalho")).first())
-        if top is None:
-            raise ValueError(f"no lines under {path}")
-        header = top["cabecalho"]
-    if sep is None:
-        counts = {s: header.count(s) for s in HEADER_SEPARATORS}
-        sep = max(HEADER_SEPARATORS, key=lambda s: (counts[s], -HEADER_SEPARATORS.index(s)))
-    names = header.split(sep)
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("__file"))
     v = F.col("value")
-    keep = (F.length(F.trim(v)) > 0) & v.rlike(SALVAGE_PATTERN) & (v != F.lit(header))
-    parts = F.split(v, _regex_escape(sep), -1)
-    return lines.where(keep).select(*[F.get(parts, i).alias(n) for i, n in enumerate(names)])
+
+    def split_by(rows: DataFrame, header: str) -> DataFrame:
+        by = sep or header_separator(header)
+        keep = (F.length(F.trim(v)) > 0) & v.rlike(SALVAGE_PATTERN) & (v != F.lit(header))
+        parts = F.split(v, _regex_escape(by), -1)
+        return rows.where(keep).select(*[F.get(parts, i).alias(n) for i, n in enumerate(header.split(by))])
+
+    if header is not None:
+        return split_by(lines, header)
+    own = header_lines(spark, path).select(F.col("arquivo").alias("__file"), "cabecalho")
+    headers = [r["cabecalho"] for r in own.select("cabecalho").distinct().orderBy("cabecalho").collect()]
+    if not headers:
+        raise ValueError(f"no lines under {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [split_by(lines.join(own.where(F.col("cabecalho") == h), "__file", "left_semi"), h) for h in headers])
 
 
 def _regex_escape(s: str) -> str:
@@ -148,10 +159,10 @@ def delimiter_profile(lines: DataFrame, *, file: str = "arquivo", line: str = "v
     > 2 modal columns; otherwise the best score among candidates with
     consistency >= 0.7 and >= 2 columns.
     """
-    cand = F.array(*[F.struct(F.lit(i).alias("ordem"), F.lit(s).alias("separador")) for i, s in enumerate(candidates)])
-    x = (lines.select(F.col(file).alias("arquivo"), F.col(line).alias("l"))
-         .select("arquivo", "l", F.inline(cand))
-         .withColumn("n", count_fields(F.col("l"), F.col("separador"))))
+    # six counts per line first; only they are stacked, not the line
+    cand = F.array(*[F.struct(F.lit(i).alias("ordem"), F.lit(s).alias("separador"), count_fields(F.col(line), F.lit(s)).alias("n"))
+                     for i, s in enumerate(candidates)])
+    x = lines.select(F.col(file).alias("arquivo"), F.inline(cand))
     per_count = x.groupBy("arquivo", "ordem", "separador", "n").agg(F.count(F.lit(1)).alias("k"))
     stats = per_count.groupBy("arquivo", "ordem", "separador").agg(
         (F.sum(F.col("n") * F.col("k")) / F.sum("k")).alias("media"),
@@ -179,29 +190,38 @@ def delimiter_profile(lines: DataFrame, *, file: str = "arquivo", line: str = "v
     return ranked.withColumn("escolhido", chosen).drop("_r")
 
 
-# fixed values: field groups required in a recovered table
-RECOVERY_GROUPS = {
-    "competencia": ["COMPETENCIA_MOV", "COMPETENCIA", "ANO_MES", "ANO", "MES"],
-    "movimentacao": ["TIPO_MOVIMENTACAO", "SALDO_MOVIMENTACAO", "ADMITIDOS", "DESLIGADOS", "SALDO"],
-    "localizacao": ["UF", "MUNICIPIO", "REGIAO"],
-    "empresa": ["CNPJ", "CNPJ_RAIZ", "SECAO", "SUBCLASSE"],
-}
+def accept_recovered(df: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
+    """One row: rows >= 2, columns >= 3 and a spelling of >= 2 of the field ``groups`` in the column names."""
+    names = " ".join(df.columns).upper()
+    found = sum(any(v in names for v in vs) for vs in groups.values())
+    n = df.limit(2).agg(F.count(F.lit(1)).alias("linhas_min"))
+    return n.select("linhas_min", F.lit(len(df.columns)).alias("colunas"), F.lit(found).alias("grupos"),
+                    ((F.col("linhas_min") >= 2) & F.lit(len(df.columns) >= 3) & F.lit(found >= 2)).alias("aceito"))
 
 
-def accept_recovered(df: DataFrame) -> DataFrame:
-    """One row: rows >= 2, columns >= 3 and >= 2 essential field groups present."""
-    up = {c.upper() for c in df.columns}
-    groups = sum(1 for vs in RECOVERY_GROUPS.values() if any(v in up for v in vs))
-    n = df.limit(2).agg(F.count(F.lit(1)).alias("linhas_min"))
-    return n.select("linhas_min", F.lit(len(df.columns)).alias("colunas"), F.lit(groups).alias("grupos"),
-                    ((F.col("linhas_min") >= 2) & F.lit(len(df.columns) >= 3) & F.lit(groups >= 2)).alias("aceito"))
+def text_hashes(df: DataFrame, col: str, *, keep: list[str] = ()) -> DataFrame:
+    """E18 over a column: byte length, sha256 and md5 of each value's UTF-8 bytes (null stays null)."""
+    return df.select(*keep, F.octet_length(col).cast("bigint").alias("bytes"), F.sha2(F.col(col), 256).alias("sha256"),
+                     F.md5(F.col(col)).alias("md5"))
+
+
+# a file is hashed as one value, and a value is an array of at most 2^31 bytes
+HASH_LIMIT = 1 << 30
 
 
-def file_hashes(spark: SparkSession, paths) -> DataFrame:
-    """Per file: size, sha256 and md5 of the bytes (``binaryFile`` source, one task per file)."""
+def file_hashes(spark: SparkSession, paths, limit: int = HASH_LIMIT) -> DataFrame:
+    """Per file: size, sha256 and md5 of the bytes (``binaryFile`` source, one task per file).
+
+    Files above ``limit`` bytes are listed with null hashes and are not read.
+    """
     b = spark.read.format("binaryFile").load(paths)
-    return b.select(F.col("path").alias("arquivo"), F.col("length").alias("bytes"),
-                    F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    small = b.where(F.col("length") <= limit).select(
+        F.col("path").alias("arquivo"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"),
+        F.md5("content").alias("md5"))
+    large = b.where(F.col("length") > limit).select(
+        F.col("path").alias("arquivo"), F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"),
+        F.lit(None).cast("string").alias("md5"))
+    return small.unionByName(large)
 
 
 def profile_files(spark: SparkSession, paths, candidates=PROFILE_SEPARATORS) -> DataFrame:
@@ -215,16 +235,47 @@ def profile_files(spark: SparkSession, paths, candidates=PROFILE_SEPARATORS) ->
 
 
 def header_lines(spark: SparkSession, paths) -> DataFrame:
-    """First line of every landed file, with its separator (A23 over files).
+    """First line of every landed file with its separator (A23 over files) and encoding.
 
     The first line lives in the split that starts at byte 0 of the file; within
     a split lines keep their order, so the line with the smallest row id of
-    that split is the header.  One small aggregate per file, no file read on
-    the driver.
+    that split is the header.  The encoding is UTF-8 if every line of the file is, else ISO-8859-1, so
+    the one scan reads whole files, but ships one small aggregate per file and split.
     """
-    t = spark.read.text(paths).select(
+    t = spark.read.option("ignoreCorruptFiles", "true").text(paths).select(
         "value", F.col("_metadata.file_path").alias("arquivo"),
         F.col("_metadata.file_block_start").alias("_inicio"), F.monotonically_increasing_id().alias("_i"))
-    first = t.where(F.col("_inicio") == 0).groupBy("arquivo").agg(F.min_by("value", "_i").alias("value"))
-    return first.select("arquivo", F.col("value").alias("cabecalho"),
-                        delimiter_of_header(first).alias("separador"))
+    first = t.groupBy("arquivo").agg(
+        F.min_by("value", F.when(F.col("_inicio") == 0, F.col("_i"))).alias("_bytes"),
+        F.bool_and(F.is_valid_utf8("value")).alias("_utf8"))
+    latin = F.decode(F.col("_bytes").cast("binary"), "ISO-8859-1")
+    first = first.select("arquivo", F.when(F.is_valid_utf8("_bytes"), F.col("_bytes")).otherwise(latin).alias("value"),
+                         F.when(F.col("_utf8"), "UTF-8").otherwise("ISO-8859-1").alias("codificacao"))
+    return first.select("arquivo", F.regexp_replace("value", "^\ufeff", "").alias("cabecalho"),
+                        delimiter_of_header(first).alias("separador"), "codificacao")
+
+
+def read_grouped(spark: SparkSession, paths) -> DataFrame:
+    """Landed files whose headers, separators and encodings differ, stacked by canonical column name.
+
+    Files are grouped by (header, separator, encoding), each group is read with its own names, so the
+    order of columns may differ from file to file.  All columns are text; ``_arquivo`` names
+    the file and ``_linha_corrompida`` holds a line with too few or too many fields verbatim.  The driver
+    gets one row per distinct header with its file names.
+    """
+    heads = header_lines(spark, paths).where("separador IS NOT NULL")
+    groups = (heads.groupBy("cabecalho", "separador", "codificacao").agg(F.sort_array(F.collect_list("arquivo")).alias("arquivos"))
+              .orderBy("cabecalho", "codificacao").collect())
+    frames = []
+    for g in groups:
+        names = dedupe_names([canonical_name(c.strip().strip('"')) for c in g["cabecalho"].split(g["separador"])])
+        schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
+        df = (spark.read.option("header", True).option("sep", g["separador"]).option("encoding", g["codificacao"])
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("ignoreCorruptFiles", "true").schema(schema).csv(g["arquivos"]))
+        # fields are only counted where all columns are read, so the malformed line asks for all of them
+        whole = F.length(F.concat_ws("", *names)) >= 0
+        frames.append(df.select(*names, F.when(whole, F.col(CORRUPT)).alias(CORRUPT), F.col("_metadata.file_path").alias("_arquivo")))
+    if not frames:
+        return spark.createDataFrame([], StructType([StructField(CORRUPT, StringType()), StructField("_arquivo", StringType())]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

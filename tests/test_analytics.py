@@ -65,6 +65,36 @@ def test_approximate_options_close_to_exact(spark):
     assert ex.total_cnpjs_distintos == 50 and abs(ap.total_cnpjs_distintos - 50) <= 3
     assert ex.total_ufs_distintas == ap.total_ufs_distintas == 7
     q = spark.range(1000).withColumn("v", F.col("id").cast("double"))
-    exact = {r.coluna: (r.q1, r.q3) for r in A.iqr_bounds(q, ["v"]).collect()}["v"]
-    approx = {r.coluna: (r.q1, r.q3) for r in A.iqr_bounds(q, ["v"], exact=False).collect()}["v"]
+    exact = A.iqr_fences(q, ["v"])["v"][:2]
+    approx = A.iqr_fences(q, ["v"], exact=False)["v"][:2]
     assert exact == (249.75, 749.25) and abs(approx[0] - 249.75) <= 2 and abs(approx[1] - 749.25) <= 2
+
+
+def test_exact_quantiles_match_sorting(spark):
+    import random
+    from jobflow.operators import aggregates as A
+    rng = random.Random(4)
+    rows = [(rng.choice([None, float(rng.randrange(40))]), round(rng.gauss(0, 1e4), 2), None) for _ in range(3001)]
+    d = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
+    got = A.exact_quantiles(d, ["a", "b", "c"], (0.0, 0.25, 0.5, 0.9, 1.0))
+    for i, c in enumerate("ab"):
+        v = sorted(r[i] for r in rows if r[i] is not None)
+        for q, x in zip((0.0, 0.25, 0.5, 0.9, 1.0), got[c], strict=True):
+            at = q * (len(v) - 1)
+            lo, hi = v[int(at)], v[min(int(at) + 1, len(v) - 1)]
+            assert abs(x - (lo + (hi - lo) * (at - int(at)))) < 1e-9
+    assert got["c"] == [None] * 5
+
+
+def test_checksum_tells_null_places_apart(spark):
+    from jobflow.operators import aggregates as A
+    one = spark.createDataFrame([(None, "x")], "a string, b string")
+    two = spark.createDataFrame([("x", None)], "a string, b string")
+    assert A.checksum(one).first().hash_linhas != A.checksum(two).first().hash_linhas
+
+
+def test_recent_operations_have_no_cap(spark):
+    ref = dt.datetime(2024, 1, 10, 12)
+    log = spark.range(5000).selectExpr("id AS op_id", "'Download' AS operation", "TIMESTAMP_NTZ '2024-01-10 11:00:00' AS ts")
+    assert OL.recent_ops(log, ref=ref, operations=["down"]).count() == 5000
+    assert OL.recent_ops(log, ref=ref, keep=7).count() == 7

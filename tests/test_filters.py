@@ -52,7 +52,31 @@ def test_chain_report_matches_sequential_filters(spark):
     assert chain.apply(d).count() == seq[-1]
 
 
-def test_chain_skips_absent_columns(spark):
+def test_chain_fails_on_absent_columns_unless_told(spark):
     d = _df(spark)
     chain = C.FilterChain().geo(regions=[1])
-    assert chain.apply(d).count() == d.count()
+    with pytest.raises(ValueError, match="regiao"):
+        chain.apply(d)
+    lenient = C.FilterChain(skip_absent=True).geo(regions=[1])
+    assert lenient.apply(d).count() == d.count()
+    assert [(r.filtro, r.situacao, r.removidas) for r in lenient.report(d).collect()] == [("regiao", "ignorado", 0)]
+    with pytest.raises(ValueError, match="nada"):
+        C.range_rules(d, {"nada": {"min": 1}})
+
+
+def test_chain_table_step_keeps_each_row_once(spark):
+    d = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, None)], "id long, subclasse string")
+    codes = spark.createDataFrame([("a",), ("a",), ("z",)], "code string")
+    chain = C.FilterChain().cnae_table(codes)
+    assert sorted(r.id for r in chain.apply(d).collect()) == [1, 3] and chain.apply(d).columns == d.columns
+    assert chain.report(d).first().linhas_depois == 2
+
+
+def test_year_filter_prunes_directories(spark):
+    from jobflow.session import scratch_path
+    path = scratch_path(spark, "t-prune")
+    rows = [(f"{y}{m:02d}", y, m) for y in (2020, 2021, 2022) for m in (1, 2)]
+    spark.createDataFrame(rows, "competencia_mov string, ano int, mes int").write.partitionBy("ano", "mes").parquet(path)
+    d = C.filter_period(spark.read.parquet(path), years=[2021], months=[2])
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ano" in plan.replace("isnotnull(mes#", "isnotnull(ano#") and d.count() == 1

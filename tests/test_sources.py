@@ -123,3 +123,38 @@ def test_header_lines_per_file(spark):
             f.write(head + "\n" + "".join(f"{i}{sep}{i}\n" for i in range(50)))
     got = {r.arquivo.rsplit("/", 1)[-1]: (r.cabecalho, r.separador) for r in TX.header_lines(spark, root).collect()}
     assert got == {"a.csv": ("x;y;z", ";"), "b.csv": ("p,q", ","), "c.csv": ("k\tv", "\t")}
+
+
+def test_salvage_splits_by_the_reference_order_and_each_files_header(spark):
+    root = scratch_path(spark, "t-salvage2")
+    spark.createDataFrame([("a;b,c,d",), ("1;2,3,4",)], "value string").coalesce(1).write.text(root + "/x")
+    spark.createDataFrame([("b,a",), ("9,8",)], "value string").coalesce(1).write.text(root + "/y")
+    got = {tuple(r.asDict().items()) for r in TX.salvage_lines(spark, root + "/*").collect()}
+    assert got == {(("a", "1"), ("b,c,d", "2,3,4"), ("b", None)), (("a", "8"), ("b,c,d", None), ("b", "9"))}
+
+
+def test_monthly_job_reads_swapped_columns_by_name(spark):
+    from jobflow.plans.jobs import monthly_job
+    root, out = scratch_path(spark, "t-n1"), scratch_path(spark, "t-n1-out")
+    spark.createDataFrame([("uf;região;competênciamov",), ("35;3;202101",), ("35;3;2021",)], "value string").coalesce(1).write.text(root + "/a")
+    spark.createDataFrame([("região;uf;competênciamov",), ("3;33;202102",), ("1;2",)], "value string").coalesce(1).write.text(root + "/b")
+    assert monthly_job(spark, root + "/*/*.txt", out) is None
+    got = {(r.uf, r.regiao, r.ano, r.mes) for r in spark.read.parquet(out).collect()}
+    assert got == {("35", "3", 2021, 1), ("33", "3", 2021, 2)}
+    bad = sorted((r.motivo, r.linha) for r in spark.read.parquet(out + "_quarentena").collect())
+    assert [m for m, _ in bad] == ["competencia_invalida", "linha_malformada"] and bad[1][1] == "1;2"
+
+
+def test_whole_words_name_fields():
+    from jobflow.functions import names as NM
+    assert [NM.canonical_name(n) for n in ("Quantidade", "Localidade", "Cidade", "Unidade Federação", "Idade", "Straße")] == [
+        "QUANTIDADE", "LOCALIDADE", "MUNICIPIO", "UF", "IDADE", "STRA"]
+    assert NM.normalize_name("Straße  nº1") == "STRA_E_N_1" and NM.normalize_name("--") == "COLUNA_SEM_NOME"
+
+
+def test_file_hashes_leave_large_files_unread(spark):
+    root = scratch_path(spark, "t-hash")
+    spark.createDataFrame([("abc",)], "value string").coalesce(1).write.text(root)
+    small = TX.file_hashes(spark, root + "/*.txt").first()
+    assert small.bytes == 4 and small.md5 == "0bee89b07a248e27c83fc3d5951213c1"
+    assert TX.file_hashes(spark, root + "/*.txt", limit=3).first().sha256 is None
