@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from jobflow.llm.common import WindowNames, materialize, slices, table_of, utf8_view
 
-Q = 16
-RATE = 0.05
+Q = 10
+RATE = 0.08
 GROUP_BYTES = 4 << 20
 FILTER_BITS = 22
 HITS_AT_ONCE = 1 << 20
@@ -90,19 +90,22 @@ def aligned(item: bytes, region: bytes, k: int, low: int, high: int) -> tuple[in
     cost = np.where((d >= 0) & (d <= n), 0, far)
     begin = d.copy()
     step = np.arange(width)
+    edge = np.full(1, far + 1)
     for i, c in enumerate(item):
         diag = cost + (text[i: i + width] != c)
-        up = np.append(cost[1:], far) + 1
+        up = np.concatenate([cost[1:] + 1, edge])
+        take_up = up < diag
         new = np.minimum(diag, up)
-        src = np.where(diag <= up, begin, np.append(begin[1:], 0))
-        j = d + i + 1
-        new = np.where((j >= 0) & (j <= n), np.minimum(new, far), far)
+        src = np.where(take_up, np.concatenate([begin[1:], begin[-1:]]), begin)
+        if d[0] + i + 1 < 0 or d[-1] + i + 1 > n:  # cells beside the region
+            inside = (d + i + 1 >= 0) & (d + i + 1 <= n)
+            new = np.where(inside, np.minimum(new, far), far)
         # insertions run along the row: cost at x from cost at y < x plus x - y
-        key = (new - step) * width + step  # smallest first, ties to the left
-        best = np.minimum.accumulate(key) % width
-        run = new[best] + step - best
-        begin = np.where(run < new, src[best], src)
-        cost = np.minimum(new, run)
+        best = np.minimum.accumulate((new - step) * width + step) % width  # smallest first, ties to the left
+        cost = np.minimum(new[best] + step - best, far)
+        begin = src[best]
+        if i % 8 == 7 and cost.min() > k:
+            return None
     x = int(cost.argmin())
     if cost[x] > k:
         return None
@@ -127,8 +130,10 @@ def matches(items: Items, texts: list[bytes]) -> list[tuple[int, int, int, int,
     row = np.searchsorted(off, hit, side="right") - 1
     inside = hit + q <= off[row + 1]
     hit, lo, hi, row = hit[inside], lo[inside], hi[inside], row[inside]
-    counts: dict[tuple[int, int, int], int] = {}
+    keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
     ends = np.cumsum(hi - lo)
+    low = int(items.m.max()) + 1  # bands from before a text's start on count from here
+    wide = int(size.max()) + 2 * low
     at = 0
     while at < len(hit):  # hits expand to their items' positions a bounded number at a time
         to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HITS_AT_ONCE)))
@@ -137,18 +142,19 @@ def matches(items: Items, texts: list[bytes]) -> list[tuple[int, int, int, int,
         gram = np.repeat(lo[at:to], n) + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
         item = items.which[gram]
         # band b of width 2w holds diagonals [b w, b w + 2 w) with w = 2 k + 1: any 2k + 1 neighbours share one
-        w = 2 * items.k[item] + 1
-        band = (hit[each] - off[row[each]] - items.place[gram]) // w
-        key = np.stack([row[each], item, band], 1)
-        key = np.concatenate([key, key - [0, 0, 1]])
-        found, times = np.unique(key, axis=0, return_counts=True)
-        for r, i, b, t in zip(*found.T.tolist(), times.tolist(), strict=True):
-            counts[r, i, b] = counts.get((r, i, b), 0) + t
+        band = (hit[each] - off[row[each]] - items.place[gram]) // (2 * items.k[item] + 1)
+        key = (row[each] * len(items.ids) + item) * wide + band + low
+        found, n = np.unique(key, return_counts=True)
+        keys, of = np.unique(np.concatenate([keys, found]), return_inverse=True)
+        times = np.bincount(of, np.concatenate([times, n]), len(keys)).astype(np.int64)
         at = to
+    # a band also counts the hits of the next one
+    both, of = np.unique(np.concatenate([keys, keys - 1]), return_inverse=True)
+    times = np.bincount(of, np.concatenate([times, times]), len(both)).astype(np.int64)
+    enough = times >= items.bound[both // wide % len(items.ids)]
     best: dict[tuple[int, int], list] = {}
-    for (r, i, b), t in sorted(counts.items()):
-        if t < items.bound[i]:
-            continue
+    for key in both[enough].tolist():
+        r, i, b = key // wide // len(items.ids), key // wide % len(items.ids), key % wide - low
         k, m, w = int(items.k[i]), int(items.m[i]), 2 * int(items.k[i]) + 1
         first = max(0, b * w - k)
         body = norm[off[r]: off[r + 1]][first: b * w + 2 * w + m + k].tobytes()
