@@ -112,24 +112,39 @@ def any_of(preds: list[Column]) -> Column:
 
 INT_PATTERN = r"^-?\d+$"
 FLOAT_PATTERN = r"^-?\d+(\.\d+)?$"
+# fixed values: words of a column name that suggest a whole number or a decimal one
+INT_WORDS = ["ADMITIDO", "ADMITIDOS", "DESLIGADO", "DESLIGADOS", "SALDO", "QUANTIDADE", "TOTAL", "VALOR", "COUNT", "ADMIT", "DESLIG",
+             "QTD", "NUM", "ANO", "MES", "IDADE"]
+FLOAT_WORDS = ["SALARIO", "REMUNERACAO", "PERCENTUAL", "TAXA", "INDICE", "MEDIA", "VARIACAO", "PROPORCAO"]
 
 
-def infer_types(df: DataFrame, cols: list[str]) -> DataFrame:
+def suggested_type(name: str) -> str:
+    """Int, float or text by the words of a column name (whole words, whole numbers first)."""
+    words = set(name.upper().split("_"))
+    return "int" if words & set(INT_WORDS) else "float" if words & set(FLOAT_WORDS) else "text"
+
+
+def infer_types(df: DataFrame, cols: list[str], *, by_name: bool = False) -> DataFrame:
     """Per text column, the narrowest of int / float / text that fits every non-null value.
 
     One aggregate over the whole column (not a sample): counts of values that
-    are not integers and not decimals, then the demotion int -> float -> text.
+    are not integers (of 64 bits) and not decimals, then the demotion int -> float -> text.  ``by_name`` starts
+    from the type that the column's name suggests, and a column of nulls only is text.
     """
     aggs = []
     for i, c in enumerate(cols):
         v = F.col(c).cast("string")
-        aggs += [F.count_if(v.isNotNull() & ~v.rlike(INT_PATTERN)).alias(f"ni{i}"),
-                 F.count_if(v.isNotNull() & ~v.rlike(FLOAT_PATTERN)).alias(f"nf{i}")]
-    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(f"ni{i}").alias("n_nao_int"),
-                              F.col(f"nf{i}").alias("n_nao_float")) for i, c in enumerate(cols)])
+        whole = v.rlike(INT_PATTERN) & v.try_cast("bigint").isNotNull()
+        aggs += [F.count_if(v.isNotNull() & ~whole).alias(f"ni{i}"),
+                 F.count_if(v.isNotNull() & ~v.rlike(FLOAT_PATTERN)).alias(f"nf{i}"), F.count(v).alias(f"n{i}")]
+    rows = F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(f"ni{i}").alias("n_nao_int"), F.col(f"nf{i}").alias("n_nao_float"),
+                              F.lit(suggested_type(c) if by_name else "int").alias("__s"), F.col(f"n{i}").alias("__n"))
+                     for i, c in enumerate(cols)])
     out = df.agg(*aggs).select(F.inline(rows))
-    return out.withColumn("tipo_inferido", F.when(F.col("n_nao_int") == 0, "int")
-                          .when(F.col("n_nao_float") == 0, "float").otherwise("text"))
+    empty = (F.col("__n") == 0) & F.lit(by_name)
+    kind = (F.when((F.col("__s") == "text") | empty, "text").when((F.col("__s") == "int") & (F.col("n_nao_int") == 0), "int")
+            .when(F.col("n_nao_float") == 0, "float").otherwise("text"))
+    return out.withColumn("tipo_inferido", kind).drop("__s", "__n")
 
 
 def pick(df: DataFrame, candidates: list[str]) -> Column:

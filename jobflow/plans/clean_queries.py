@@ -136,6 +136,25 @@ def b11(spark, sf_dir):
     return CL.infer_types(movq(spark, sf_dir, INFER_COLS), INFER_COLS)
 
 
+NAMED = {"CNPJ_RAIZ": "classe", "TOTAL_HORAS": "CASE WHEN id % 50 = 0 THEN NULL ELSE horas_txt END", "VALOR_HORA": "mes_txt || '.5'",
+         "SALARIO": "mes_txt", "SALDO": "horas_txt", "QUANTIDADE": "'9' || lpad(mes_txt, 19, '9')", "PERIODO": "mes_txt",
+         "IDADE": "CASE WHEN id < 0 THEN '1' END"}
+_WANTED = {"CNPJ_RAIZ": "text", "TOTAL_HORAS": "int", "VALOR_HORA": "int", "SALARIO": "float", "SALDO": "int", "QUANTIDADE": "int",
+           "PERIODO": "text", "IDADE": "int"}
+
+
+@query("b11_types_by_name", with_views(MOV, MOVQ_SQL) + ", n AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in NAMED.items()) + " FROM movq) "
+       + " UNION ALL ".join(rf"""SELECT '{c}' AS coluna, CAST(coalesce(count_if({c} IS NOT NULL AND (TRY_CAST({c} AS BIGINT) IS NULL OR contains({c}, '.'))), 0) AS BIGINT) AS n_nao_int,
+ CAST(coalesce(count_if({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL), 0) AS BIGINT) AS n_nao_float,
+ CASE WHEN '{w}' = 'text' OR count({c}) = 0 THEN 'text'
+  WHEN '{w}' = 'int' AND count_if({c} IS NOT NULL AND (TRY_CAST({c} AS BIGINT) IS NULL OR contains({c}, '.'))) = 0 THEN 'int'
+  WHEN count_if({c} IS NOT NULL AND TRY_CAST({c} AS DOUBLE) IS NULL) = 0 THEN 'float' ELSE 'text' END AS tipo_inferido FROM n"""
+                            for c, w in _WANTED.items()))
+def b11n(spark, sf_dir):
+    q = movq(spark, sf_dir, ["id", "classe", "horas_txt", "mes_txt"])
+    return CL.infer_types(q.select(*[F.expr(e).alias(c) for c, e in NAMED.items()]), list(NAMED), by_name=True)
+
+
 RAW_INT = """CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '-' WHEN 2 THEN '000'
  ELSE CAST(user_id AS STRING) || '-' || CAST(event_id % 10 AS STRING) END"""
 

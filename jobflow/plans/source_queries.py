@@ -346,7 +346,7 @@ def _landed(spark, sf_dir):
         bad = c.where("k % 4 = 0").select(F.lit(1).alias("n"), F.concat("k", F.lit(";2021;MOV;10;1;1;1.0")).alias("value"))
         (head.unionByName(few).unionByName(bad).coalesce(1).sortWithinPartitions("n").select("value").write.text(f"{root}/d"))
         broken = f"{root}/e"
-        spark.range(1).select(F.lit("isto nao e gzip").alias("value")).write.text(broken)
+        spark.range(1).coalesce(1).select(F.lit("isto nao e gzip").alias("value")).write.text(broken)
         fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(broken).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         for f in fs.listStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(broken)):
             if f.getPath().getName().endswith(".txt"):

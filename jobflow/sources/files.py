@@ -104,10 +104,13 @@ def per_file_counts(spark: SparkSession, paths, *, fmt: str = "parquet") -> Data
 
 def with_reasons(spark: SparkSession, paths, counted: DataFrame) -> DataFrame:
     """All files under ``paths`` (metadata only) with their counted rows, and a reason where there are none."""
+    # the two readers spell a path's scheme differently (file:/x and file:///x)
+    plain = lambda c: F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
     listing = spark.read.format("binaryFile").load(paths).select(
-        F.regexp_replace("path", "^file:/+", "file:///").alias("arquivo"), F.col("length").alias("bytes"))
+        F.col("path").alias("arquivo"), plain("path").alias("__path"), F.col("length").alias("bytes"))
+    counted = counted.select(plain("arquivo").alias("__path"), "linhas")
     reason = F.when(F.col("linhas").isNull(), F.when(F.col("bytes") == 0, "vazio").otherwise("ilegivel_ou_sem_linhas"))
-    return (listing.join(counted, "arquivo", "left").select(
+    return (listing.join(counted, "__path", "left").select(
         "arquivo", "bytes", F.coalesce("linhas", F.lit(0).cast("bigint")).alias("linhas"), reason.alias("motivo")))
 
 
