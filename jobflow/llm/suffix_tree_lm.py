@@ -8,7 +8,8 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
+The buckets of one context length are asked in ``PASSES`` rounds, one after the other, so that only a part of all pairs is
+on disk at a time.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
 so their partial gains are summed on the driver.
 """
 
@@ -25,6 +26,7 @@ from jobflow.llm.common import WindowNames, bucket_bits, fold, materialize, mix,
 
 UNIT_BYTES = 4 << 20
 HOT_SHARE = 4096
+PASSES = 2
 HOT_LEAST = 50_000
 END = np.uint64(0x5DEECE66D)
 QUANTUM = 0.05  # step in which a bucket sees the parent's log10 probability
@@ -176,13 +178,15 @@ class Unit:
         inverse[order] = np.cumsum(new) - 1
         return at, context, n, pair, spread, first, inverse, hot
 
-    def ask(self):
-        """Rows (bucket, contexts, pairs per context, N per context, pairs, counts, parent's log10 p in quanta)."""
+    def ask(self, turn: int, passes: int):
+        """Rows of the buckets of this turn: (bucket, contexts, pairs per context, N per context, pairs, counts, parent's log10 p in quanta)."""
         at, context, n, pair, spread, first, inverse, hot = self.layout()
         count = np.bincount(inverse[self.train[at]], minlength=len(first))
         quanta = np.minimum(np.round(-np.log10(self.p[at[first]]) / QUANTUM), 255).astype(np.uint8)
         got, cut = self._cut(spread[first])
         for g, a, b in zip(got, cut, cut[1:], strict=False):
+            if g % passes != turn:
+                continue
             c, s = context[first[a:b]], spread[first[a:b]]
             own = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
             yield (int(g), c[own], np.diff(np.append(own, b - a)).astype(np.uint32), n[first[a:b]][own],
@@ -316,20 +320,25 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
             got = got.unionByName(more)
         return blocks.groupBy("unit").cogroup(got.groupBy("unit")).applyInPandas(step, schema)
 
-    for level in range(1, depth + 1):
+    def asking(turn: int):
         def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-            rows = list(rebuilt(block.iloc[0], got, hot_kept).ask())
+            rows = list(rebuilt(block.iloc[0], got, hot_kept).ask(turn, PASSES))
             cells = [[g, *(x.tobytes() for x in rest)] for g, *rest in rows]
             out = pd.DataFrame(cells, columns=["bucket", "contexts", "fan", "n", "pairs", "counts", "quanta"])
             return out.assign(unit=block.unit.iloc[0])
+        return ask
 
-        asked = joined(ask, "unit long, bucket int, contexts binary, fan binary, n binary, pairs binary, counts binary, quanta binary")
-        answers = materialize(asked.groupBy("bucket").applyInPandas(_sum_pairs(level, lam, least_gain, hot), ANSWER), "pairs")
-        every.append(answers.filter("unit >= 0"))
+    for level in range(1, depth + 1):
         gains: dict[int, float] = {}
-        for r in answers.filter("unit = -1 AND length(sums) > 0").collect():  # at most HOT_SHARE contexts, in parts
-            for c, g in zip(np.frombuffer(bytes(r.sums), np.uint64).tolist(), np.frombuffer(bytes(r.kept), float), strict=True):
-                gains[c] = gains.get(c, 0.0) + float(g)
+        answers = []
+        for turn in range(PASSES):
+            asked = joined(asking(turn), "unit long, bucket int, contexts binary, fan binary, n binary, pairs binary, counts binary, quanta binary")
+            told = materialize(asked.groupBy("bucket").applyInPandas(_sum_pairs(level, lam, least_gain, hot), ANSWER), "pairs")
+            answers.append(told.filter("unit >= 0"))
+            for r in told.filter("unit = -1 AND length(sums) > 0").collect():  # at most HOT_SHARE contexts, in parts
+                for c, g in zip(np.frombuffer(bytes(r.sums), np.uint64).tolist(), np.frombuffer(bytes(r.kept), float), strict=True):
+                    gains[c] = gains.get(c, 0.0) + float(g)
+        every += answers
         hot_kept.append(frozenset(c for c, g in gains.items() if g > least_gain))
 
     def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:

@@ -236,7 +236,7 @@ def test_suffix_tree_matches_brute_force(spark, odd_texts, unit, monkeypatch):
     frame = spark.createDataFrame([(i, t, h, 1, "k") for i, (t, h) in enumerate(rows)],
                                   "doc_id long, text string, held_out boolean, unit int, rows string").repartition(3)
     monkeypatch.setattr(suffix_tree_lm, "HOT_LEAST", 40)  # many contexts count as hot and are split
-    got = {r.doc_id: r for r in suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, unit_bytes=unit).collect()}
+    got = {r.doc_id: r for r in suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, least_gain=2.0, unit_bytes=unit).collect()}
     want, n, kept = brute_suffix_tree(rows, 2, 4, 3.0, 2.0)
     assert {len(s) for s in kept} == {1, 2}
     for i, (tokens, known, base, score) in enumerate(want):
