@@ -19,19 +19,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobflow.llm import bpe, decontaminate, langid, simhash, suffix_dedup
-from jobflow.llm.common import materialize, table
+from jobflow.llm.common import importable, materialize, table
 
 MIN_CONFIDENCE = 0.5
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     model = langid.train(docs)
     kept = langid.predict(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
     return kept.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_CONFIDENCE)).select(*docs.columns)
 
 
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     classes = simhash.near_duplicates(docs, shingle=3, distance=3)
     stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
     kept = docs.join(stay, F.col("doc_id") == F.col("__stay")).drop("__stay")
@@ -39,6 +41,7 @@ def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def stage_suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     cut = suffix_dedup.cut_repeats(docs)
     # bytes of a character that was cut in two are no longer UTF-8
     text = F.expr("replace(decode(kept, 'UTF-8'), '\\uFFFD', '')")
@@ -48,12 +51,14 @@ def stage_suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    importable(spark)
     return bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN,
                                 keep=tuple(docs.columns), digests=True)
 

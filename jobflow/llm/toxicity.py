@@ -84,7 +84,7 @@ class Index:
     post: np.ndarray
     example: np.ndarray
     weight: np.ndarray
-    curve: tuple[float, float] = (0.0, 0.0)
+    curve: tuple[float, ...] = (0.0, 1.0, 0.0)
     share: float = 0.0
 
     @classmethod
@@ -140,33 +140,35 @@ class Index:
         some = some[np.lexsort([some, -score[some]])][:k]
         return some, np.minimum(score[some], 1.0)
 
-    def vote(self, found: np.ndarray, cosine: np.ndarray) -> float:
-        """Log odds of the toxic share of the neighbours' votes, each weighted by the inverse of its distance."""
+    def vote(self, found: np.ndarray, cosine: np.ndarray) -> tuple[float, float]:
+        """Log odds of the toxic share of the neighbours' votes, each weighted by the inverse of its distance, and
+        that times how near the nearest is: a far neighbour proves less."""
         if not len(found):
-            return -4.0
+            return -4.0, 0.0
         weight = cosine / (1.0 - cosine + 0.05)
         share = (weight * self.toxic[found]).sum() / weight.sum()
-        return float(np.log((share + 0.01) / (1 - share + 0.01)))
+        odds = float(np.log((share + 0.01) / (1 - share + 0.01)))
+        return odds, odds * float(cosine[0])
 
-    def probability(self, vote):
-        return 1 / (1 + np.exp(-np.clip(self.curve[0] + self.curve[1] * np.asarray(vote), -30, 30)))
+    def probability(self, votes) -> np.ndarray:
+        z = np.array(votes, float).reshape(-1, 2) @ np.array(self.curve[1:]) + self.curve[0]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
     def calibrate(self, row, term, count, k: int, weights: np.ndarray) -> None:
         """Logistic curve from the examples' left-one-out votes, weighted back to the labels' true shares."""
         cut = np.searchsorted(row, np.arange(len(self.ids) + 1))
-        v = np.array([self.vote(*self.nearest(term[a:b], count[a:b], k, skip=i))
+        v = np.array([(1.0, *self.vote(*self.nearest(term[a:b], count[a:b], k, skip=i)))
                       for i, (a, b) in enumerate(zip(cut, cut[1:], strict=False))])
-        a, b = 0.0, 1.0
-        for _ in range(50):  # Newton's steps with a small ridge towards (0, 1)
-            p = 1 / (1 + np.exp(-np.clip(a + b * v, -30, 30)))
-            g, h = weights * (self.toxic - p), weights * p * (1 - p)
-            grad = np.array([g.sum() - 0.01 * a, (g * v).sum() - 0.01 * (b - 1)])
-            hess = np.array([[h.sum() + 0.01, (h * v).sum()], [(h * v).sum(), (h * v * v).sum() + 0.01]])
-            step = np.linalg.solve(hess, grad)
-            a, b = a + step[0], b + step[1]
+        prior = np.array([0.0, 1.0, 0.0])
+        w = prior.copy()
+        for _ in range(50):  # Newton's steps with a small ridge towards the plain vote
+            p = 1 / (1 + np.exp(-np.clip(v @ w, -30, 30)))
+            grad = v.T @ (weights * (self.toxic - p)) - 0.01 * (w - prior)
+            step = np.linalg.solve((v * (weights * p * (1 - p))[:, None]).T @ v + 0.01 * np.eye(3), grad)
+            w = w + step
             if abs(step).max() < 1e-9:
                 break
-        self.curve = (float(a), float(b))
+        self.curve = tuple(float(x) for x in w)
 
 
 def telling(row: np.ndarray, term: np.ndarray, toxic: np.ndarray, n_terms: int) -> np.ndarray:
