@@ -6,7 +6,7 @@ A stage takes what its predecessor kept, as the columns of ``documents``, and wo
    or whose best language is less likely than ``MIN_CONFIDENCE``, go.
 2. ``simhash``: of each class of fingerprints linked at three bits (three-word shingles) the smallest doc_id stays.
 3. ``suffix_dedup``: bytes under any 200-byte string that occurs more than once are cut from the text.
-   A character cut in two goes whole.  A row stays even if its whole text goes.
+   Bytes left of a character that was cut go with it.  A row stays even if its whole text goes.
 4. ``decontaminate``: rows in which a benchmark item is found go.
 5. ``bpe``: the token ids of every text, with the columns of ``documents``.
 
@@ -43,9 +43,7 @@ def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def stage_suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
     cut = suffix_dedup.cut_repeats(docs)
-    # bytes of a character that was cut in two are no longer UTF-8
-    text = F.expr("replace(decode(kept, 'UTF-8'), '\\uFFFD', '')")
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(text)
+    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.col("kept_text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(
         docs.schema["n_chars"].dataType)).select(*docs.columns)
 

@@ -227,21 +227,22 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
 
 
 def cut_repeats(docs: DataFrame, text: str = "text", length: int = 200) -> DataFrame:
-    """All columns of ``docs`` and, for every row, ``spans`` and ``kept``.
+    """All columns of ``docs`` and, for every row, ``spans``, ``kept`` and ``kept_text``.
 
-    ``spans`` are the maximal stretches [first, end) of removed bytes, ``kept`` the remaining bytes.
+    ``spans`` are the maximal stretches [first, end) of removed bytes, ``kept`` the remaining bytes,
+    ``kept_text`` the whole characters among them.
     A byte is removed if a ``length``-byte string over it also starts anywhere else: in another row, an
     equal row or the same row; overlaps count.  Matches never cross rows.  A null text counts as
-    empty; texts shorter than ``length`` bytes stay whole.  Input columns of the two new names are replaced.
+    empty; texts shorter than ``length`` bytes stay whole.  Input columns of the new names are replaced.
     """
     found = repeated_spans(docs, text, length).select(
         F.col("sha").alias("__sha"), F.col("n_copies").alias("__copies"), F.col("ties").alias("__ties"))
-    docs = docs.drop("spans", "kept")
+    docs = docs.drop("spans", "kept", "kept_text")
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.withColumn("__body", body).withColumn("__key", F.unhex(F.sha2("__body", 256))).join(
         found, F.col("__key") == F.col("__sha"), "left").drop("__key", "__sha")
     pair = T.ArrayType(T.StructType().add("first", "long").add("end", "long"))
-    schema = T.StructType([*docs.schema.fields]).add("spans", pair).add("kept", "binary")
+    schema = T.StructType([*docs.schema.fields]).add("spans", pair).add("kept", "binary").add("kept_text", "string")
     names = docs.columns
 
     def run(batches):
@@ -272,7 +273,8 @@ def cut_repeats(docs: DataFrame, text: str = "text", length: int = 200) -> DataF
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in names),
                  pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept, pa.binary())], names=[*names, "spans", "kept"])
+                 pa.array(kept, pa.binary()), pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string())],
+                names=[*names, "spans", "kept", "kept_text"])
 
     return rows.mapInArrow(run, schema)
 

@@ -29,7 +29,7 @@ def test_suffix_dedup_matches_brute_force(odd_docs, odd_texts, unit, monkeypatch
 
 def test_suffix_dedup_spans_and_columns(odd_docs, no_docs):
     cut = suffix_dedup.cut_repeats(odd_docs)
-    assert cut.columns == [*odd_docs.columns, "spans", "kept"]
+    assert cut.columns == [*odd_docs.columns, "spans", "kept", "kept_text"]
     row = cut.filter("doc_id = 18").first()
     assert [(s.first, s.end) for s in row.spans] == [(0, 900)] and bytes(row.kept) == b""
     assert suffix_dedup.digests(no_docs).count() == 0
