@@ -250,7 +250,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
         return pd.DataFrame({"query_id": q_ids[q[top]], "vec_id": vec[top], "score": s[top]})
 
     held = placed.mapInPandas(chunk_rows, "id long, v binary, leaf int, cell int, chunk int")
-    asked = usable(queries).filter(F.size("v") == dim).dropDuplicates(["id"]).mapInPandas(
+    # queries are small but their walks are not, so they are dealt out evenly instead of by bytes
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = usable(queries).filter(F.size("v") == dim).repartition(parts, "id").dropDuplicates(["id"]).mapInPandas(
         ask, "id long, v binary, leaves binary, cell int, chunk int")
     some = asked.groupBy("cell", "chunk").cogroup(held.groupBy("cell", "chunk")).applyInPandas(
         best, "query_id long, vec_id long, score double")
