@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from jobflow.operators import filters as C
