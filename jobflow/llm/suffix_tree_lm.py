@@ -38,6 +38,25 @@ _space = (_b == 32) | ((_b >= 9) & (_b <= 13))
 _lower = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Counts as one byte each, those above 255 listed in front with their places."""
+    big = np.flatnonzero(x > 255)
+    return b"".join([np.int64([len(big)]).tobytes(), big.astype(np.int64).tobytes(), x[big].astype(np.int64).tobytes(),
+                     np.minimum(x, 255).astype(np.uint8).tobytes()])
+
+
+def unpacked(blobs) -> np.ndarray:
+    """The counts of several ``packed`` blobs, one after the other."""
+    out = [np.zeros(0, np.int64)]
+    for b in blobs:
+        n = int(np.frombuffer(b, np.int64, 1)[0])
+        big, value = np.frombuffer(b, np.int64, 2 * n, 8).reshape(2, n)
+        x = np.frombuffer(b, np.uint8, offset=8 + 16 * n).astype(np.int64)
+        x[big] = value
+        out.append(x)
+    return np.concatenate(out)
+
+
 def word_names(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Names of all words (runs without ASCII white space, ASCII letters lowered) and the words per row."""
     if not len(data):
@@ -189,8 +208,8 @@ class Unit:
                 continue
             c, s = context[first[a:b]], spread[first[a:b]]
             own = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
-            yield (int(g), c[own], np.diff(np.append(own, b - a)).astype(np.uint32), n[first[a:b]][own],
-                   pair[first[a:b]], count[a:b].astype(np.uint32), quanta[a:b])
+            yield (int(g), c[own], np.diff(np.append(own, b - a)), n[first[a:b]][own],
+                   pair[first[a:b]], count[a:b], quanta[a:b])
 
     def take(self, sums: np.ndarray, kept: np.ndarray, hot_kept: frozenset) -> None:
         """Step one level down with the answers, in the order of ``layout``; kept is 0, 1, or 2 for a split context."""
@@ -229,10 +248,10 @@ def _sum_words(pdf: pd.DataFrame) -> pd.DataFrame:
     n = np.array([len(x) // 8 for x in pdf.words])
     words, of = np.unique(np.frombuffer(b"".join(pdf.words), np.uint64), return_inverse=True)
     sums = np.zeros(len(words), np.int64)
-    np.add.at(sums, of, np.frombuffer(b"".join(pdf.counts), np.int64))
+    np.add.at(sums, of, unpacked(pdf.counts))
     cut = np.cumsum(n)
     out = pd.DataFrame({"unit": pdf.unit, "level": 0, "bucket": pdf.bucket,
-                        "sums": [sums[of[b - k:b]].tobytes() for b, k in zip(cut, n, strict=True)], "kept": b""})
+                        "sums": [packed(sums[of[b - k:b]]) for b, k in zip(cut, n, strict=True)], "kept": b""})
     return pd.concat([out, pd.DataFrame({"unit": [-1], "level": [0], "bucket": [pdf.bucket.iloc[0]], "sums": [
         np.array([sums.sum(), (sums > 0).sum()], np.int64).tobytes()], "kept": [b""]})])
 
@@ -242,12 +261,12 @@ def _sum_pairs(level: int, lam: float, least_gain: float, hot: int):
         def flat(c, kind):
             return np.frombuffer(b"".join(pdf[c]), kind)
 
-        contexts, fan, n = flat("contexts", np.uint64), flat("fan", np.uint32).astype(np.int64), flat("n", np.int64)
-        pairs, counts, quanta = flat("pairs", np.uint64), flat("counts", np.uint32), flat("quanta", np.uint8)
+        contexts, fan, n = flat("contexts", np.uint64), unpacked(pdf.fan), unpacked(pdf.n)
+        pairs, counts, quanta = flat("pairs", np.uint64), unpacked(pdf.counts), flat("quanta", np.uint8)
         of_entry = np.repeat(np.arange(len(contexts)), fan)
         order = np.argsort(pairs)
         new = np.append(True, pairs[order][1:] != pairs[order][:-1])
-        sums = np.add.reduceat(counts[order].astype(np.int64), np.flatnonzero(new))
+        sums = np.add.reduceat(counts[order], np.flatnonzero(new))
         rank = np.empty(len(order), np.int64)
         rank[order] = np.cumsum(new) - 1
         one = order[new]  # one entry of each distinct pair
@@ -264,7 +283,7 @@ def _sum_pairs(level: int, lam: float, least_gain: float, hot: int):
         first, begin = np.append(0, ends[:-1]), np.append(0, last[:-1])
         by_entry, by_context = sums[rank], verdict[of_context]
         out = pd.DataFrame({"unit": pdf.unit, "level": level, "bucket": pdf.bucket,
-                            "sums": [by_entry[a:b].tobytes() for a, b in zip(first, ends, strict=True)],
+                            "sums": [packed(by_entry[a:b]) for a, b in zip(first, ends, strict=True)],
                             "kept": [by_context[a:b].tobytes() for a, b in zip(begin, last, strict=True)]})
         part = pd.DataFrame({"unit": -1, "level": level, "bucket": pdf.bucket.iloc[0],
                              "sums": [names[split].tobytes()], "kept": [gain[split].tobytes()]})
@@ -292,7 +311,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 got = Unit(block, bits, None, least, lam).ask_words()
                 yield pd.DataFrame({"unit": block["unit"], "bucket": [g for g, _, _ in got],
                                     "words": [w.tobytes() for _, w, _ in got],
-                                    "counts": [c.astype(np.int64).tobytes() for _, _, c in got]})
+                                    "counts": [packed(c) for _, _, c in got]})
 
     answers = materialize(blocks.mapInPandas(ask_words, "unit long, bucket int, words binary, counts binary")
                           .groupBy("bucket").applyInPandas(_sum_words, ANSWER), "words")
@@ -307,7 +326,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         got = got.sort_values(["level", "bucket"])
         for level in range(len(kept_hot) + 1):
             own = got[got.level == level]
-            sums = np.frombuffer(b"".join(own.sums), np.int64)
+            sums = unpacked(own.sums)
             if level:
                 unit.take(sums, np.frombuffer(b"".join(own.kept), np.uint8), kept_hot[level - 1])
             else:
@@ -323,7 +342,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     def asking(turn: int):
         def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
             rows = list(rebuilt(block.iloc[0], got, hot_kept).ask(turn, PASSES))
-            cells = [[g, *(x.tobytes() for x in rest)] for g, *rest in rows]
+            cells = [[g, c.tobytes(), packed(fan), packed(n), p.tobytes(), packed(k), q.tobytes()] for g, c, fan, n, p, k, q in rows]
             out = pd.DataFrame(cells, columns=["bucket", "contexts", "fan", "n", "pairs", "counts", "quanta"])
             return out.assign(unit=block.unit.iloc[0])
         return ask
