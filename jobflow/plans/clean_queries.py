@@ -59,7 +59,7 @@ SIMILAR = {"cnpj": "Quantidade", "cpf": "Nacionalidade", "municipio": "Localidad
 
 
 @query("b5_similarity", with_views(MOV) + """SELECT cnpj AS QUANTIDADE, cpf AS NACIONALIDADE, municipio AS LOCALIDADE, idade AS MODALIDADE,
- secao AS INTERSECAO, uf AS UF_RESIDENCIA, regiao AS REGIAO, horas_contratuais AS HORAS_CONTRATUAIS, salario AS VALOR_SALARIO_FIXO,
+ secao AS INTERSECAO, uf AS UF_RESIDENCIA, regiao AS REGIAO, horas_contratuais AS HORAS, salario AS VALOR_SALARIO_FIXO,
  saldo_movimentacao AS GRAU_INSTRUCAO, tipo AS CIDADE_NATAL, competencia_mov AS COMPETENCIA_MOV FROM mov""")
 def b5(spark, sf_dir):
     return NM.canonical_names(mov(spark, sf_dir, list(SIMILAR)).select(*[F.col(c).alias(n) for c, n in SIMILAR.items()]))
