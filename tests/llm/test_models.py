@@ -89,6 +89,15 @@ def test_block_max_search_is_exact(spark, monkeypatch):
         assert np.allclose(want[found], cosine) and len(found) == min(12, (want > 1e-12).sum())
 
 
+def test_a_copy_of_an_example_finds_it(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    index = toxicity.train(docs, labels)
+    copies = docs.filter(F.col("doc_id").cast("string").isin(index.ids) & F.col("text").rlike("[A-Za-z]")).select(
+        (-1 - F.col("doc_id")).alias("doc_id"), "text")
+    got = toxicity.predict(copies, index).collect()
+    assert len(got) > 300 and all(r.evidence and r.evidence[0].cosine == pytest.approx(1) for r in got)
+
+
 def test_document_frequencies_count_all_rows(spark):
     docs = spark.createDataFrame([("one two two",), ("two three",), (None,), ("",)], "text string")
     raw = b"one two three"
