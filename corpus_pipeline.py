@@ -4,7 +4,9 @@ A stage takes what its predecessor kept, as the columns of ``documents``, and wo
 
 1. ``language_id``: the language model is learned from the rows with a language; rows without a letter,
    or whose best language is less likely than ``MIN_CONFIDENCE``, go.
-2. ``simhash``: of each class of fingerprints linked at three bits (three-word shingles) the smallest doc_id stays.
+2. ``simhash``: of each class of fingerprints linked at three bits (three-word shingles) the row of smallest
+   doc_id stays, a null doc_id only if its class has no other; rows that share it are told apart by text hash
+   and other columns, and one stays.
 3. ``suffix_dedup``: bytes under any 200-byte string that occurs more than once are cut from the text.
    Bytes left of a character that was cut go with it.  A row stays even if its whole text goes.
 4. ``decontaminate``: rows in which a benchmark item is found go.
@@ -34,10 +36,7 @@ def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     importable(spark)
-    classes = simhash.near_duplicates(docs, shingle=3, distance=3)
-    stay = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay")).drop("__stay")
-    return kept.dropDuplicates(["doc_id"])  # equal rows are one group as well
+    return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
 def stage_suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobflow.llm.common import bucket_bits, materialize, table_of, utf8_view
 
@@ -75,23 +76,28 @@ def fingerprints_of(texts: list[bytes], shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``key`` and ``fp`` (the 64 bits as a signed long) for every row.
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key``, ``fp`` (the 64 bits as a signed long) and the columns ``keep`` for every row.
 
     Upper-case ASCII letters are lowered, words are runs without ASCII white
     space, repeated shingles count each time.  Fewer words than a shingle hash as
     one sequence; a null, empty or blank text has fingerprint zero.
     """
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"), *keep)
+    schema = T.StructType().add("key", "long").add("fp", "long")
+    for c in keep:
+        schema = schema.add(docs.schema[c])
 
     def run(batches):
         for b in batches:
             data, off = utf8_view(b.column("text"))
             raw, off = data.tobytes(), off.tolist()
             texts = [raw[i:j] for i, j in zip(off, off[1:], strict=False)]
-            yield table_of(key=b.column("key"), fp=fingerprints_of(texts, shingle).view(np.int64))
+            yield table_of(key=b.column("key"), fp=fingerprints_of(texts, shingle).view(np.int64),
+                           **{c: b.column(c) for c in keep})
 
-    return rows.mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def _roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,3 +231,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         "fp", F.coalesce("least", "low").alias("component_id"))
     return fps.join(alone, "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """The rows of ``docs``, one of each class of fingerprints linked at ``distance`` bits.
+
+    The row of smallest key stays, a null key only if its class has no other; among rows that share the key, null or not,
+    the one of smallest text hash, then of smallest other columns.  Rows equal in every column are one row.  Columns
+    must have an order (no maps).
+    """
+    rest = [F.col(c) for c in docs.columns if c not in (key, text)]
+    named = docs.withColumn("__row", F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"),
+                                              F.unhex(F.sha2(F.col(text), 256)).alias("digest"), *rest))
+    fps = materialize(fingerprints(named, key, text, shingle, keep=("__row",)), "simhash")
+    distinct = fps.groupBy("fp").agg(F.min("__row").alias("low"))
+    classes = connected(links(distinct, distance))
+    stay = (distinct.join(classes, distinct.fp == classes.node, "left").groupBy(F.coalesce("root", "fp").alias("class"))
+            .agg(F.min("low").alias("low")))
+    kept = named.join(stay, F.col("__row") == F.col("low"), "left_semi")  # fields that are null in both are equal
+    return kept.dropDuplicates(["__row"]).drop("__row")

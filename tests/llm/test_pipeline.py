@@ -64,6 +64,19 @@ def test_stages_match_plain_python(spark, folder):
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
 
 
+def test_simhash_keeps_one_row_of_each_class_whatever_its_id(spark):
+    words = [f"{w} " * 3 + f"{w}{w}" for w in ("alder", "birch", "cedar", "dogwood", "elm", "fir")]
+    rows = [(None, words[0], None, "s", 1), (None, words[0], None, "s", 1), (None, words[1], "en", "s", 1),  # null ids only
+            (7, words[2], "en", "s", 1), (7, words[3], "en", "s", 1), (7, words[3], "en", "s", 1),  # one id, two texts
+            (None, words[4], "en", "s", 1), (9, words[4], "en", "s", 1), (8, words[4], "de", "s", 1), (8, words[4], "en", None, 1),
+            (None, words[5], "en", None, 1), (None, words[5], None, "s", 1), (5, None, "en", "s", 0), (None, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(5)
+    assert len(components({fingerprint(w) for w in words})) == len(set(components({fingerprint(w) for w in words}).values())) == 6
+    got = {tuple(r) for r in corpus_pipeline.stage_simhash(spark, docs, "").collect()}
+    assert got == {rows[i] for i in (0, 2, 3, 4, 8, 11, 12)}
+    assert corpus_pipeline.stage_simhash(spark, docs, "").count() == 7
+
+
 def test_run_applies_all_stages(spark, folder):
     got = corpus_pipeline.run(spark, SF_SMALL).collect()
     ids = [r.doc_id for r in got]
