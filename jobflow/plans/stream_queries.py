@@ -12,7 +12,7 @@ from jobflow.plans.sql import MOV, with_views
 from jobflow.plans.jobs import monthly_job
 from jobflow.session import scratch_path
 from jobflow.sources.tables import mov, table
-from jobflow.sources.text import text_hashes
+from jobflow.sources.text import file_hashes, text_hashes
 from jobflow.streaming import incremental as INC
 
 _PART_SQL = "CAST(substr(competencia_mov,1,4) AS INTEGER) AS ano, CAST(substr(competencia_mov,5,2) AS INTEGER) AS mes"
@@ -75,6 +75,14 @@ def e18(spark, sf_dir):
     return text_hashes(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
 
 
+@query("e18_file_hash", "SELECT CAST(strlen(t) AS BIGINT) AS bytes, sha256(t) AS sha256, md5(t) AS md5 FROM "
+       "(SELECT string_agg(n_name || chr(10), '' ORDER BY n_name) AS t FROM nation)")
+def e18f(spark, sf_dir):
+    out = scratch_path(spark, "e18")
+    table(spark, sf_dir, "nation").select("n_name").coalesce(1).sortWithinPartitions("n_name").write.text(out)
+    return file_hashes(spark, out + "/*.txt").drop("arquivo")
+
+
 def _n1_checks():
     from jobflow.operators import quality as Q
     return [Q.domain("TIPO_MOVIMENTACAO", Q.MOVEMENT_DOMAIN, "tipos_movimentacao"), Q.negatives("SALARIO"),

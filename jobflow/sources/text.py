@@ -7,8 +7,10 @@ the driver except header metadata.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -205,23 +207,54 @@ def text_hashes(df: DataFrame, col: str, *, keep: list[str] = ()) -> DataFrame:
                      F.md5(F.col(col)).alias("md5"))
 
 
-# a file is hashed as one value, and a value is an array of at most 2^31 bytes
+# a file up to this is hashed as one value (an array of at most 2^31 bytes), a larger one in chunks
 HASH_LIMIT = 1 << 30
-
-
-def file_hashes(spark: SparkSession, paths, limit: int = HASH_LIMIT) -> DataFrame:
-    """Per file: size, sha256 and md5 of the bytes (``binaryFile`` source, one task per file).
-
-    Files above ``limit`` bytes are listed with null hashes and are not read.
+HASH_CHUNK = 1 << 20
+
+
+def _open(path: str):
+    if path.startswith("file:") or "://" not in path:
+        return open(path.removeprefix("file:"), "rb")
+    from pyarrow import fs
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_stream(inside)
+
+
+def _hash_in_chunks(batches):
+    for b in batches:
+        for path, size in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            sha, md5, n = hashlib.sha256(), hashlib.md5(usedforsecurity=False), 0
+            with _open(path) as f:
+                while chunk := f.read(HASH_CHUNK):
+                    sha.update(chunk)
+                    md5.update(chunk)
+                    n += len(chunk)
+            if n != size:
+                raise OSError(f"{path}: read {n} of {size} bytes")
+            yield pa.RecordBatch.from_pydict({"arquivo": [path], "bytes": pa.array([n], pa.int64()),
+                                              "sha256": [sha.hexdigest()], "md5": [md5.hexdigest()]})
+
+
+def file_hashes(spark: SparkSession, paths, limit: int | None = None, whole: int = HASH_LIMIT) -> DataFrame:
+    """Per file: size, sha256 and md5 of the bytes, whatever the size.
+
+    Files up to ``whole`` bytes are read by the ``binaryFile`` source.  Larger ones are dealt to tasks by path and read
+    there in chunks of 1 MB, from a local path or a store that ``pyarrow.fs`` opens; in any other store they
+    raise an error.  Only with a ``limit`` are files above it listed with null hashes and not read.
     """
     b = spark.read.format("binaryFile").load(paths)
-    small = b.where(F.col("length") <= limit).select(
-        F.col("path").alias("arquivo"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"),
-        F.md5("content").alias("md5"))
-    large = b.where(F.col("length") > limit).select(
-        F.col("path").alias("arquivo"), F.col("length").alias("bytes"), F.lit(None).cast("string").alias("sha256"),
-        F.lit(None).cast("string").alias("md5"))
-    return small.unionByName(large)
+    skipped = F.lit(False) if limit is None else F.col("length") > limit
+    path, size = F.col("path").alias("arquivo"), F.col("length").alias("bytes")
+    small = b.where(~skipped & (F.col("length") <= whole)).select(
+        path, size, F.sha2("content", 256).alias("sha256"), F.md5("content").alias("md5"))
+    large = b.where(~skipped & (F.col("length") > whole)).select(path, size).repartition(
+        spark.sparkContext.defaultParallelism, "arquivo").mapInArrow(
+        _hash_in_chunks, "arquivo string, bytes long, sha256 string, md5 string")
+    found = small.unionByName(large)
+    if limit is None:
+        return found
+    none = F.lit(None).cast("string")
+    return found.unionByName(b.where(skipped).select(path, size, none.alias("sha256"), none.alias("md5")))
 
 
 def profile_files(spark: SparkSession, paths, candidates=PROFILE_SEPARATORS) -> DataFrame:

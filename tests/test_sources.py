@@ -158,3 +158,14 @@ def test_file_hashes_leave_large_files_unread(spark):
     small = TX.file_hashes(spark, root + "/*.txt").first()
     assert small.bytes == 4 and small.md5 == "0bee89b07a248e27c83fc3d5951213c1"
     assert TX.file_hashes(spark, root + "/*.txt", limit=3).first().sha256 is None
+
+
+def test_file_hashes_read_files_of_any_size(spark):
+    import hashlib
+    root = scratch_path(spark, "t-hash-large")
+    spark.range(400000).selectExpr("repeat(id, 2) AS value").coalesce(1).write.text(root)
+    want = TX.file_hashes(spark, root + "/*.txt").first()
+    data = open(want.arquivo.removeprefix("file:"), "rb").read()
+    assert len(data) > 3 * TX.HASH_CHUNK and want.sha256 == hashlib.sha256(data).hexdigest()
+    assert TX.file_hashes(spark, root + "/*.txt", whole=3).first() == want  # in chunks
+    assert TX.file_hashes.__defaults__[0] is None  # by default no file is left unread
