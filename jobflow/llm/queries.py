@@ -6,7 +6,10 @@ from jobflow.llm import (
     ann,
     bpe,
     decontaminate,
+    exact_dedup,
+    filter_audit,
     langid,
+    manifest,
     quality,
     simhash,
     suffix_dedup,
@@ -64,7 +67,22 @@ def op10_language_id(spark, sf_dir):
     return langid.language_id(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return manifest.document_proofs(table(spark, sf_dir, "documents"))
+
+
+def op12_exact_dedup(spark, sf_dir):
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark, sf_dir):
+    return filter_audit.filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_suffix_dedup, op2_byte_bpe, op3_quality, op4_nearest, op5_simhash, op6_toxicity, op7_token_counts,
-    op8_suffix_tree, op9_decontaminate, op10_language_id)}
-ORACLE = {"op7_token_counts": token_counts.ORACLE}
+    op8_suffix_tree, op9_decontaminate, op10_language_id, op11_merkle_manifest,
+    op12_exact_dedup, op13_filter_audit)}
+ORACLE = {
+    "op7_token_counts": token_counts.ORACLE, "op11_merkle_manifest": manifest.ORACLE,
+    "op12_exact_dedup": exact_dedup.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
