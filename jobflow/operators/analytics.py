@@ -213,11 +213,22 @@ def mean_tenure(spells: DataFrame) -> DataFrame:
                                                         F.count(F.lit(1)).alias("desligamentos"))
 
 
-def lateness(df: DataFrame, *, mov_month="competencia_mov", dec_month="competencia_dec") -> DataFrame:
-    """K3: months between declaration and movement; on-time flag; late share per month."""
+def lateness_counts(df: DataFrame, *, mov_month="competencia_mov", dec_month="competencia_dec") -> DataFrame:
+    """Per month the sums that lateness is made of; they add up over arrivals, in a batch or in a stream."""
     lag = month_index(F.col(dec_month)) - month_index(F.col(mov_month))
     return (df.select(F.col(mov_month).alias("competencia"), lag.alias("atraso"))
             .groupBy("competencia").agg(
                 F.count(F.lit(1)).alias("registros"), F.count_if(F.col("atraso") <= 0).alias("no_prazo"),
-                F.max("atraso").alias("atraso_max"), F.round(F.avg("atraso"), 6).alias("atraso_medio"),
-                F.round(F.count_if(F.col("atraso") > 0) / F.count(F.lit(1)) * 100.0, 6).alias("pct_atrasado")))
+                F.count_if(F.col("atraso") > 0).alias("atrasados"), F.count("atraso").alias("medidos"),
+                F.sum("atraso").alias("meses"), F.max("atraso").alias("atraso_max")))
+
+
+def lateness_of(counts: DataFrame) -> DataFrame:
+    """K3 from its sums."""
+    return counts.select("competencia", "registros", "no_prazo", "atraso_max", F.round(F.col("meses") / F.col("medidos"), 6).alias("atraso_medio"),
+                         F.round(F.col("atrasados") / F.col("registros") * 100.0, 6).alias("pct_atrasado"))
+
+
+def lateness(df: DataFrame, *, mov_month="competencia_mov", dec_month="competencia_dec") -> DataFrame:
+    """K3: months between declaration and movement; on-time flag; late share per month."""
+    return lateness_of(lateness_counts(df, mov_month=mov_month, dec_month=dec_month))

@@ -3,10 +3,10 @@
 Late declarations and exclusions can change months years back, so a
 watermark would drop valid rows.  Instead each micro-batch is reduced to a
 per-month delta (a tiny frame: one row per month touched) and merged into
-the stored series; the stock is recomputed on the small series.  State lives
-in versioned tables under the shared checkpoint folder: version k+1 is
-written from version k plus batch k, so a replayed batch rewrites the same
-version (idempotent).
+the stored series; the stock is recomputed on the small series.  State is a
+versioned dataset (``sources.versions``): version k+1 is
+published from version k plus batch k, a replayed batch finds its version
+there and changes nothing, and only the last few versions stay.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobflow.functions.codes import ADMISSION, SEPARATION, direction
+from jobflow.operators.analytics import lateness_counts, lateness_of
 from jobflow.operators.balance import running_stock, signed_balance
+from jobflow.sources import versions as VS
 
 SIGNED = ["competencia", "adm_liq", "desl_liq"]
 
@@ -35,11 +37,11 @@ def incremental_read(spark: SparkSession, root: str, checkpoint: str, sink: str,
 
 
 def signed_delta(df: DataFrame, *, month="competencia_mov", code="tipo_movimentacao", tipo="tipo",
-                 saldo="saldo_movimentacao") -> DataFrame:
-    """Per-month signed sums of admissions and separations (the mergeable state of E2)."""
+                 saldo="saldo_movimentacao", by=()) -> DataFrame:
+    """Per-month signed sums of admissions and separations (the mergeable state of E2), kept apart by the ``by`` columns."""
     d = direction(F.col(code))
     s = signed_balance(F.col(tipo), F.col(saldo))
-    return (df.where(d.isNotNull()).groupBy(F.col(month).cast("string").alias("competencia"))
+    return (df.where(d.isNotNull()).groupBy(*by, F.col(month).cast("string").alias("competencia"))
             .agg(F.sum(F.when(d == ADMISSION, s).otherwise(0)).cast("bigint").alias("adm_liq"),
                  F.sum(F.when(d == SEPARATION, s).otherwise(0)).cast("bigint").alias("desl_liq")))
 
@@ -58,20 +60,14 @@ def series_from_state(state: DataFrame, **stock_kw) -> DataFrame:
     return running_stock(bal, **stock_kw)
 
 
-def _version(base: str, k: int) -> str:
-    return f"{base.rstrip('/')}/version={k}"
-
-
 def write_state(state: DataFrame, state_dir: str, version: int = 0) -> None:
-    """Write one version of the signed state (version 0 = the initial series)."""
-    state.select(*SIGNED).write.mode("overwrite").parquet(_version(state_dir, version))
+    """Publish one version of the signed state (version 0 = the initial series)."""
+    VS.publish(state.sparkSession, state_dir, {"estado": state.select(*SIGNED)}, version=version)
 
 
 def latest_state(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The highest version of the state (partition pruning keeps the read to one directory)."""
-    allv = spark.read.parquet(state_dir)
-    top = allv.agg(F.max("version").alias("v")).first()["v"]
-    return allv.where(F.col("version") == top).select(*SIGNED)
+    """The current version of the state."""
+    return VS.read(spark, state_dir, "estado").select(*SIGNED)
 
 
 def retro_update(spark: SparkSession, landing: str, state_dir: str, checkpoint: str, schema, *,
@@ -81,9 +77,10 @@ def retro_update(spark: SparkSession, landing: str, state_dir: str, checkpoint:
     Returns the final balance series with the stock recomputed."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        prev = spark.read.parquet(_version(state_dir, batch_id)).select(*SIGNED)
-        nxt = merge_delta(prev, signed_delta(batch))
-        nxt.write.mode("overwrite").parquet(_version(state_dir, batch_id + 1))
+        if batch_id + 1 in VS.versions(spark, state_dir):
+            return  # a replay
+        prev = VS.read(spark, state_dir, "estado", batch_id).select(*SIGNED)
+        write_state(merge_delta(prev, signed_delta(batch)), state_dir, batch_id + 1)
 
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -94,6 +91,27 @@ def retro_update(spark: SparkSession, landing: str, state_dir: str, checkpoint:
     return series_from_state(latest_state(spark, state_dir))
 
 
+def lateness_stream(spark: SparkSession, landing: str, out: str, checkpoint: str, schema, *,
+                    max_files_per_trigger: int | None = None, keep: int = 3) -> DataFrame:
+    """K3 on a stream: files that land under ``landing`` are added to per-month sums kept in the state store; every micro-batch
+    publishes the whole result (a row per month) as a version of ``out``.  Returns the lateness after all files seen so far.
+
+    There is no watermark, since late rows may reach any month; the state is one row per month.  A
+    replayed batch finds its version published.  Calling again continues from the checkpoint.
+    """
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        VS.publish(spark, out, {"atraso": batch}, version=batch_id, keep=keep)
+
+    r = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (lateness_counts(r.parquet(landing)).writeStream.outputMode("complete").foreachBatch(emit)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return lateness_of(VS.read(spark, out, "atraso"))
+
+
 def balance_incremental(state: DataFrame, new_rows: DataFrame, **stock_kw) -> DataFrame:
     """N3 in batch: stored signed state + rows declared since it was computed (any movement
     month, so late rows reach old months) -> full series with stock recomputed."""
