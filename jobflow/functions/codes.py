@@ -30,6 +30,10 @@ RACE_CODES = ["1", "2", "3", "4", "5", "9"]
 ESTABLISHMENT_SIZE_CODES = ["0", "1", "2", "3", "4", "5", "6", "7", "8", "9", "99"]
 UF_CODES = ["11", "12", "13", "14", "15", "16", "17", "21", "22", "23", "24", "25", "26", "27",
             "28", "29", "31", "32", "33", "35", "41", "42", "43", "50", "51", "52", "53", "99"]
+# Two letters of each state, by code.
+UF_LETTERS = {11: "RO", 12: "AC", 13: "AM", 14: "RR", 15: "PA", 16: "AP", 17: "TO", 21: "MA", 22: "PI", 23: "CE", 24: "RN",
+              25: "PB", 26: "PE", 27: "AL", 28: "SE", 29: "BA", 31: "MG", 32: "ES", 33: "RJ", 35: "SP", 41: "PR", 42: "SC",
+              43: "RS", 50: "MS", 51: "MT", 52: "GO", 53: "DF"}
 # Source-of-information precedence: 1 = eSocial, 2 = legacy declaration, 3 = Employer Web.
 SOURCE_PRECEDENCE = {1: 1, 2: 2, 3: 3}
 

@@ -6,10 +6,11 @@ No broadcast is hinted: AQE broadcasts a side when its measured size is below
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobflow.functions.codes import SEPARATION, direction
+from jobflow.sources.catalog import match_keys
 
 
 def decode(df: DataFrame, col: str, dim: DataFrame, *, code: str = "code", label: str = "label",
@@ -31,6 +32,63 @@ def stale_files(inputs: DataFrame, outputs: DataFrame, *, key: str = "file_id",
     return j.withColumn("motivo", reason).where(F.col("motivo").isNotNull()).drop("__k", "__om", "__or")
 
 
+def _served(k: Column, has_month: Column, has_uf: Column, other_month: bool, other_uf: bool) -> Column:
+    """Key of the parts that a name shares with a partner that states a month and a state, or not."""
+    return F.struct(F.lit(other_month).alias("om"), F.lit(other_uf).alias("ou"), has_month.alias("m"), has_uf.alias("u"),
+                    k["ano"].alias("ano"), k["tipo"].alias("tipo"), F.when(has_month & F.lit(other_month), k["mes"]).alias("mes"),
+                    F.when(has_uf & F.lit(other_uf), k["uf"]).alias("uf"))
+
+
+def _match_keys(names: DataFrame, *, asks: bool) -> DataFrame:
+    """Every name with its (key, rank) pairs: its base name, and one key for each way a partner may state month and state."""
+    k = match_keys(F.col("name"))
+    m, u = k["mes"].isNotNull(), k["uf"].isNotNull()
+    keys = [F.struct(F.lit(1).alias("rank"), F.to_json(F.struct(k["base"].alias("base"))).alias("key"))]
+    for om in (True, False):
+        for ou in (True, False):
+            # both sides name a pair of states in the same order: who asks first
+            own = _served(k, m, u, om, ou)
+            a, b = [own["m"], own["u"]], [own["om"], own["ou"]]
+            ask, give = (a, b) if asks else (b, a)
+            key = F.to_json(F.struct(ask[0].alias("am"), ask[1].alias("au"), give[0].alias("gm"), give[1].alias("gu"),
+                                     own["ano"].alias("ano"), own["tipo"].alias("tipo"), own["mes"].alias("mes"), own["uf"].alias("uf")))
+            rank = 5 - 2 * (m & F.lit(om)).cast("int") - (u & F.lit(ou)).cast("int")
+            keys.append(F.when(k["ano"].isNotNull(), F.struct(rank.alias("rank"), key.alias("key"))))
+    return names.select("*", F.inline(F.filter(F.array(*keys), lambda x: x.isNotNull())))
+
+
+def match_outputs(inputs: DataFrame, outputs: DataFrame, *, name: str = "file_name", out_name: str = "out_name",
+                  out_mtime: str = "out_mtime", out_rows: str = "out_rows") -> DataFrame:
+    """D3: every input with its best output: ``__rank``, ``__name``, ``__mtime``, ``__rows`` (null where none matches).
+
+    Ranks: 1 the same base name; then the same year and equivalent type with the same month and state (2), the same month (3),
+    the same state (4), neither (5).  A month or state that one side does not state agrees with any.  Outputs with
+    rows come before empty ones, then the lowest rank, the newest, the last name.
+
+    Both sides become keys.  Outputs shrink to the best of a key before the join (partial aggregates), so a
+    month with very many files meets its inputs as one row and pairs are never listed.
+    """
+    best = F.struct((F.col("__rows") > 0).alias("full"), F.col("__mtime").alias("mtime"), F.col("__name").alias("name"), F.col("__rows").alias("rows"))
+    o = outputs.select(F.col(out_name).alias("name"), F.col(out_name).alias("__name"), F.col(out_mtime).alias("__mtime"),
+                       F.col(out_rows).alias("__rows"))
+    o = _match_keys(o, asks=False).groupBy(F.col("key").alias("__key"), F.col("rank").alias("__r")).agg(F.max(best).alias("best"))
+    i = _match_keys(inputs.select(F.col(name).alias("name")).distinct(), asks=True)
+    found = i.join(o, (F.col("key") == F.col("__key")) & (F.col("rank") == F.col("__r"))).groupBy("name").agg(F.max(F.struct(
+        F.col("best.full").alias("full"), (-F.col("rank")).alias("rank"), F.col("best.mtime").alias("mtime"),
+        F.col("best.name").alias("name"), F.col("best.rows").alias("rows"))).alias("b"))
+    found = found.select(F.col("name").alias("__of"), (-F.col("b.rank")).alias("__rank"), F.col("b.name").alias("__name"),
+                         F.col("b.mtime").alias("__mtime"), F.col("b.rows").alias("__rows"))
+    return inputs.join(found, inputs[name] == F.col("__of"), "left").drop("__of")
+
+
+def stale_by_match(inputs: DataFrame, outputs: DataFrame, *, in_mtime: str = "mtime", **names) -> DataFrame:
+    """D3 by the match rule: the inputs that need (re)processing, with the reason, the rank and the name of the output that was looked at."""
+    reason = (F.when(F.col("__rank").isNull(), F.lit("sem_saida")).when(F.col("__rows") <= 0, F.lit("vazia"))
+              .when(F.col("__mtime") < F.col(in_mtime), F.lit("desatualizada")))
+    return (match_outputs(inputs, outputs, **names).withColumn("motivo", reason).where("motivo IS NOT NULL")
+            .withColumnsRenamed({"__rank": "nivel", "__name": "saida"}).drop("__mtime", "__rows"))
+
+
 def new_periods(requested: DataFrame, done: DataFrame, *, month: str = "competencia") -> DataFrame:
     """Requested months not yet processed (left anti join)."""
     return requested.join(done.select(F.col(month).alias("__m")), requested[month] == F.col("__m"), "left_anti")

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from jobflow.functions import calendar as M
-from jobflow.functions.codes import DICTIONARIES, MOVEMENT_TYPE_LABELS, REGION_LABELS, dictionary, movement_type_dim, region_dim
+from jobflow.functions.codes import (
+    DICTIONARIES,
+    MOVEMENT_TYPE_LABELS,
+    REGION_LABELS,
+    UF_LETTERS,
+    dictionary,
+    movement_type_dim,
+    region_dim,
+)
 from jobflow.operators import balance as B
 from jobflow.operators import joins as D
 from jobflow.operators import ranking as G
@@ -131,6 +139,50 @@ def d3(spark, sf_dir):
     return D.stale_files(inputs, outputs)
 
 
+# --- D3 by the match rule: names that state a state or not, outputs under other names --------------------
+
+_LETTERS = list(UF_LETTERS.values())
+_WORDS = {"MOV": "MOVIMENTACAO", "EXC": "EXCLUSAO", "FOR": "FORA_PRAZO"}
+_LETTER = "list_extract([" + ", ".join(f"'{x}'" for x in _LETTERS) + "], uf + 1)"
+
+
+@query("d3_match", with_views(CATALOG) + f""", c AS (SELECT file_id, substr(file_name, 1, 3) AS tipo, substr(file_name, 4, 6) AS comp,
+  substr(file_name, 4, 4) AS ano, {_LETTER} AS sigla, CAST(mtime AS DATE) AS mtime, size_bytes, processed FROM catalog),
+i AS (SELECT file_id, tipo, ano, substr(comp, 5, 2) AS mes, CASE WHEN file_id % 3 > 0 THEN sigla END AS uf, mtime,
+  tipo || comp || '_' || CASE WHEN file_id % 3 > 0 THEN sigla || '_' ELSE '' END || CAST(file_id AS STRING) AS base FROM c),
+w AS (SELECT *, CASE tipo WHEN 'MOV' THEN 'MOVIMENTACAO' WHEN 'EXC' THEN 'EXCLUSAO' ELSE 'FORA_PRAZO' END AS palavra FROM c
+  WHERE processed AND file_id % 11 > 4 AND NOT (tipo = 'EXC' AND CAST(ano AS INTEGER) % 2 = 0)),
+o AS (SELECT tipo, ano, CASE WHEN file_id % 5 < 3 THEN substr(comp, 5, 2) END AS mes,
+  CASE WHEN file_id % 5 = 0 AND file_id % 3 > 0 OR file_id % 5 IN (1, 3) THEN sigla END AS uf,
+  CASE file_id % 5 WHEN 0 THEN tipo || comp || '_' || CASE WHEN file_id % 3 > 0 THEN sigla || '_' ELSE '' END || CAST(file_id AS STRING)
+   WHEN 1 THEN palavra || comp || '_' || sigla WHEN 2 THEN palavra || comp WHEN 3 THEN palavra || '_' || ano || '_' || sigla
+   ELSE palavra || '_' || ano END AS base, mtime + CAST(file_id % 7 - 3 AS INTEGER) AS out_mtime, size_bytes % 13 AS out_rows FROM w),
+p AS (SELECT i.file_id, i.base, i.mtime, o.base AS o_base, out_mtime, out_rows, CASE WHEN i.base = o.base THEN 1
+   ELSE 5 - 2 * CAST(i.mes IS NOT NULL AND o.mes IS NOT NULL AS INTEGER) - CAST(i.uf IS NOT NULL AND o.uf IS NOT NULL AS INTEGER) END AS nivel
+  FROM i JOIN o ON i.ano = o.ano AND i.tipo = o.tipo AND (i.mes = o.mes OR o.mes IS NULL) AND (i.uf = o.uf OR i.uf IS NULL OR o.uf IS NULL)),
+b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY file_id ORDER BY out_rows > 0 DESC, nivel, out_mtime DESC, o_base DESC, out_rows DESC) = 1),
+r AS (SELECT i.file_id, i.base || '.7z' AS file_name, CASE WHEN b.file_id IS NULL THEN 'sem_saida' WHEN b.out_rows <= 0 THEN 'vazia'
+  WHEN b.out_mtime < i.mtime THEN 'desatualizada' END AS motivo, nivel, b.o_base || '.csv' AS saida FROM i LEFT JOIN b USING (file_id))
+SELECT * FROM r WHERE motivo IS NOT NULL""")
+def d3m(spark, sf_dir):
+    cat, k = catalog(spark, sf_dir), F.col("file_id")
+    tipo, comp, ano = F.substring("file_name", 1, 3), F.substring("file_name", 4, 6), F.substring("file_name", 4, 4)
+    sigla = F.get(F.array(*[F.lit(x) for x in _LETTERS]), F.col("uf"))
+    word = F.lit(_WORDS["FOR"])
+    for t in ("MOV", "EXC"):
+        word = F.when(tipo == t, _WORDS[t]).otherwise(word)
+    under = F.lit("_")
+    base = F.concat(tipo, comp, under, F.when(k % 3 > 0, F.concat(sigla, under)).otherwise(F.lit("")), k.cast("string"))
+    inputs = cat.select("file_id", F.concat(base, F.lit(".7z")).alias("file_name"), F.to_date("mtime").alias("mtime"))
+    case = k % 5
+    other = (F.when(case == 0, base).when(case == 1, F.concat(word, comp, under, sigla)).when(case == 2, F.concat(word, comp))
+             .when(case == 3, F.concat(word, under, ano, under, sigla)).otherwise(F.concat(word, under, ano)))
+    made = cat.where(F.col("processed") & (k % 11 > 4) & ~((tipo == "EXC") & (ano.cast("int") % 2 == 0)))
+    outputs = made.select(F.concat(other, F.lit(".csv")).alias("out_name"),
+                          F.date_add(F.to_date("mtime"), (k % 7 - 3).cast("int")).alias("out_mtime"), (F.col("size_bytes") % 13).alias("out_rows"))
+    return D.stale_by_match(inputs, outputs).select("file_id", "file_name", "motivo", "nivel", "saida")
+
+
 @query("d4_new_periods", with_views(MOV, K, BAL) + """, cal AS (SELECT strftime(d, '%Y%m') AS competencia FROM (
  SELECT unnest(generate_series(min(CAST(strptime(competencia_dec || '01', '%Y%m%d') AS DATE)),
    max(CAST(strptime(competencia_dec || '01', '%Y%m%d') AS DATE)), INTERVAL 1 MONTH)) AS d FROM mov))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobflow.functions.codes import UF_LETTERS
+
 NAME_PATTERN = r"(MOV|EXC|FOR)(\d{4})(\d{2})"
 
 
@@ -27,6 +29,29 @@ def parse_file_name(name: Column) -> Column:
         .when(ext == "parquet", "parquet").otherwise("outro").alias("modalidade"))
 
 
+# fixed values: spellings of the file types in names, in the order in which they are tried
+TYPE_WORDS = {"MOV": ["MOVIMENTACAO", "MOVIMENTAÇÃO", "MOVIMENT", "MOV"], "EXC": ["EXCLUSAO", "EXCLUSÃO", "EXCL", "EXC"],
+              "FOR": ["FORA_PRAZO", "FORA PRAZO", "FORAPRAZO", "FOR", "FP"]}
+
+
+def match_keys(name: Column) -> Column:
+    """D3: struct(base, ano, mes, uf, tipo) that a file name gives for matching; parts that it does not state are null.
+
+    The year is the first 20YY, the month the two digits after it if they are 01 to 12, the state two letters that no other
+    letter touches, the type the first of the equivalent spellings (MOV, EXC, FOR; 'outros' if none).
+    """
+    plain = F.element_at(F.split(name, "/"), -1)
+    base = F.regexp_replace(plain, r"\.[A-Za-z0-9]+$", "")
+    up = F.upper(base)
+    year, month = F.regexp_extract(up, r"(20\d{2})", 1), F.regexp_extract(up, r"20\d{2}(0[1-9]|1[0-2])", 1)
+    uf = F.regexp_extract(up, "(?<![A-Z])(" + "|".join(UF_LETTERS.values()) + ")(?![A-Z])", 1)
+    kind = F.lit("outros")
+    for tipo in reversed(TYPE_WORDS):
+        kind = F.when(up.rlike("(?<![A-Z])(" + "|".join(TYPE_WORDS[tipo]) + ")(?![A-Z])"), tipo).otherwise(kind)
+    return F.struct(up.alias("base"), F.nullif(year, F.lit("")).alias("ano"), F.nullif(month, F.lit("")).alias("mes"),
+                    F.nullif(uf, F.lit("")).alias("uf"), kind.alias("tipo"))
+
+
 def with_file_meta(cat: DataFrame, name: str = "file_name") -> DataFrame:
     return cat.withColumn("_meta", parse_file_name(F.col(name))).select("*", "_meta.*").drop("_meta")
 
