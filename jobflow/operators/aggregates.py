@@ -209,11 +209,13 @@ def iqr_outliers(df: DataFrame, cols: list[str], *, exact: bool = True) -> DataF
 def checksum(df: DataFrame) -> DataFrame:
     """Order-independent dataset checksum: columns, type signature, rows, row-hash sum, nulls.
 
-    A row is hashed as text in which a null differs from any value and columns cannot run together.
+    A row is hashed as text in which a null differs from any value; each cell begins with its length, so columns
+    cannot run together whatever they hold.
     """
     cols = df.columns
-    cells = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in cols]
-    sixty_bits = F.conv(F.substring(F.md5(F.concat_ws("\x1f", *cells)), 1, 15), 16, 10).cast("decimal(38,0)")
+    texts = [F.col(c).cast("string") for c in cols]
+    cells = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit("="), t), F.lit("~")) for t in texts]
+    sixty_bits = F.conv(F.substring(F.md5(F.concat(*cells)), 1, 15), 16, 10).cast("decimal(38,0)")
     sig = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(df.schema.fields, key=lambda f: f.name))
     nulls = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols], F.lit(0).cast("long"))
     return df.agg(F.count(F.lit(1)).alias("linhas"), F.coalesce(F.sum(sixty_bits), F.lit(0)).cast("string").alias("hash_linhas"),

@@ -135,7 +135,8 @@ _MOV_TYPES = {"id": "bigint", "competencia_mov": "string", "competencia_dec": "s
               "tipo_movimentacao": "string", "saldo_movimentacao": "int", "regiao": "int", "uf": "int", "cnpj": "bigint",
               "cpf": "bigint", "municipio": "bigint", "secao": "string", "subclasse": "string", "idade": "int",
               "horas_contratuais": "double", "salario": "double", "origem_informacao": "bigint"}
-_ROW_TEXT = "concat_ws(chr(31), " + ", ".join(f"coalesce('=' || CAST({c} AS STRING), '~')" for c in MOV_COLUMNS) + ")"
+_ROW_TEXT = "concat(" + ", ".join(
+    f"coalesce(CAST(length(CAST({c} AS STRING)) AS STRING) || '=' || CAST({c} AS STRING), '~')" for c in MOV_COLUMNS) + ")"
 
 
 @query("e17_checksum", with_views(MOV) + f"""SELECT {len(MOV_COLUMNS)} AS colunas,

@@ -267,6 +267,12 @@ def b21(spark, sf_dir):
     return EN.with_surrogate_id(flagship(spark, sf_dir), ["competencia"])
 
 
+@query("b21_fact_ids", with_views(MOV) + """SELECT row_number() OVER (ORDER BY competencia_mov, cnpj, id) AS numero, competencia_mov, cnpj, id
+FROM mov""")
+def b21f(spark, sf_dir):
+    return EN.with_dense_id(mov(spark, sf_dir, ["competencia_mov", "cnpj", "id"]), ["competencia_mov", "cnpj", "id"], out="numero")
+
+
 # --- A3, A14 ------------------------------------------------------------------------------------------
 
 RAW_NULLS = """CASE c_custkey % 7 WHEN 0 THEN 'NA' WHEN 1 THEN 'N/A' WHEN 2 THEN '' WHEN 3 THEN 'NULL' WHEN 4 THEN '#N/A'
