@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from jobflow.operators import balance as B
 from jobflow.operators import filters as C
 from jobflow.operators import quality as Q
 from jobflow.plans.filter_queries import cnae_table
@@ -15,7 +16,7 @@ from jobflow.session import scratch_path
 from jobflow.sources import catalog as CT
 from jobflow.sources import files as FL
 from jobflow.sources import text as TX
-from jobflow.plans.balance_queries import FLAGSHIP_SQL
+from jobflow.plans.balance_queries import BAL_COLS, FLAGSHIP_SQL
 from jobflow.plans.registry import query
 from jobflow.plans.sql import CATALOG, ESTAB, MOV, with_views
 from jobflow.sources.tables import catalog, estab, mov, table
@@ -119,6 +120,38 @@ def a5(spark, sf_dir):
     return TX.parse_positional(_pos_lines(spark, sf_dir))
 
 
+def _keyed_files(spark, sf_dir):
+    """Keyed CSV: names with a separator between quotes, lines with a field too many (every fifth) or too few (every seventh)."""
+    key = ("keyed", spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        root, k = scratch_path(spark, "keyed"), F.col("c_custkey")
+        name = F.concat(F.lit('"'), F.replace("c_name", F.lit("#"), F.lit(';""')), F.lit('"'))
+        whole = F.concat_ws(";", k.cast("string"), F.lit("SP"), name, (k % 9).cast("string"))
+        line = F.when(k % 5 == 0, F.concat(whole, F.lit(";9;9"))).when(k % 7 == 0, F.concat_ws(";", k.cast("string"), F.lit("SP"))).otherwise(whole)
+        c = table(spark, sf_dir, "customer").select(F.lit(1).alias("n"), line.alias("value"))
+        head = spark.range(1).select(F.lit(0).alias("n"), F.lit("CNPJ;UF;Município;admissoes").alias("value"))
+        head.unionByName(c).coalesce(1).sortWithinPartitions("n").select("value").write.text(root)
+        _LAYOUTS[key] = root
+    return _LAYOUTS[key]
+
+
+@query("a6_read_keyed", """SELECT CAST(c_custkey AS STRING) AS cnpj, 'SP' AS uf, CASE WHEN c_custkey % 7 <> 0 THEN replace(c_name, '#', ';"') END AS municipio,
+ CASE WHEN c_custkey % 7 = 0 THEN 0 ELSE c_custkey % 9 END AS admissoes FROM customer WHERE c_custkey % 5 <> 0""")
+def a6f(spark, sf_dir):
+    return TX.read_keyed(spark, _keyed_files(spark, sf_dir))
+
+
+@query("a6_bad_lines", "SELECT count(*) AS linhas, CAST(count_if(c_custkey % 5 = 0) AS BIGINT) AS ruins FROM customer")
+def a6b(spark, sf_dir):
+    return TX.bad_lines(spark, _keyed_files(spark, sf_dir)).select("linhas", "ruins")
+
+
+@query("a4_quoted", """SELECT CAST(c_custkey AS STRING) AS "CNPJ", 'SP' AS "UF", CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 <> 0 THEN replace(c_name, '#', ';"') END
+ AS "Município", CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 <> 0 THEN CAST(c_custkey % 9 AS STRING) END AS admissoes FROM customer""")
+def a4q(spark, sf_dir):
+    return TX.salvage_lines(spark, _keyed_files(spark, sf_dir))
+
+
 KEYED_SRC = """SELECT cnpj AS CNPJ, CAST(uf AS STRING) AS UF, secao AS "Município",
   CASE WHEN admitidos % 4 = 0 THEN CAST(admitidos AS STRING) || ',5' ELSE CAST(admitidos AS STRING) END AS admissoes,
   CASE WHEN desligados = 0 THEN 'n/d' ELSE CAST(desligados AS STRING) || '.0' END AS desligamentos,
@@ -193,6 +226,58 @@ def a13(spark, sf_dir):
             .groupBy("tipo", "ano", "mes").agg(F.sum("linhas").alias("linhas")))
 
 
+# --- months whose columns and types differ ---------------------------------------------------------------
+
+DRIFT_COLS = [*RT_COLS, "horas_contratuais"]
+
+
+def _drift(spark, sf_dir):
+    """The layout in three generations: no salary until 2018; salary in whole cents until 2020; then with two decimals, with contract
+    hours, the company as text and a wider balance."""
+    key = ("drift", spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        root, m, y = scratch_path(spark, "drift"), mov(spark, sf_dir, DRIFT_COLS), F.substring("competencia_mov", 1, 4)
+        FL.write_monthly(m.where(y <= "2018").drop("salario", "horas_contratuais"), root)
+        FL.write_monthly(m.where((y > "2018") & (y <= "2020")).drop("horas_contratuais").withColumn(
+            "salario", F.round(F.col("salario") * 100).cast("bigint")), root)
+        FL.write_monthly(m.where(y > "2020").withColumns({
+            "cnpj": F.col("cnpj").cast("string"), "saldo_movimentacao": F.col("saldo_movimentacao").cast("bigint")}), root)
+        _LAYOUTS[key] = root
+    return _LAYOUTS[key]
+
+
+def _drift_sql(years: str) -> str:
+    y = "substr(competencia_mov, 1, 4)"
+    return (with_views(MOV) + f"""SELECT id, competencia_mov, tipo, tipo_movimentacao, CAST(saldo_movimentacao AS BIGINT) AS saldo_movimentacao,
+ CAST(cnpj AS STRING) AS cnpj, CASE WHEN {y} > '2020' THEN salario WHEN {y} > '2018' THEN CAST(round(salario * 100) AS DOUBLE) END AS salario,
+ CASE WHEN {y} > '2020' THEN horas_contratuais END AS horas_contratuais, {_PART_SQL} FROM mov WHERE {y} IN ({years})""")
+
+
+_ALL_YEARS = ", ".join(f"'{y}'" for y in range(2010, 2040))
+
+
+@query("a7_schema_drift", _drift_sql(_ALL_YEARS))
+def a7d(spark, sf_dir):
+    return FL.read_period(spark, _drift(spark, sf_dir)).select(*DRIFT_COLS, "ano", "mes")
+
+
+@query("a7_drift_months", with_views(MOV) + f"SELECT {', '.join(c for c in RT_COLS if c != 'salario')}, {_PART_SQL}, "
+       "CAST(round(salario * 100) AS BIGINT) AS salario FROM mov WHERE tipo IN ('MOV', 'EXC') AND competencia_mov IN ('201904', '202011')")
+def a7m(spark, sf_dir):
+    return FL.read_period(spark, _drift(spark, sf_dir), [(2019, 4), (2020, 11)], ["MOV", "EXC"]).select(*RT_COLS, "ano", "mes")
+
+
+@query("a10_schema_drift", _drift_sql("'2018', '2019', '2021'"))
+def a10d(spark, sf_dir):
+    out = FL.consolidate(spark, _drift(spark, sf_dir), [2018, 2019, 2021], scratch_path(spark, "drift-faixa"))
+    return spark.read.parquet(out).select(*DRIFT_COLS, "ano", "mes")
+
+
+@query("n2_schema_drift", FLAGSHIP_SQL)
+def n2d(spark, sf_dir):
+    return balance_from_layout(spark, _drift(spark, sf_dir))
+
+
 @query("a15_preview", with_views(MOV) + f"SELECT {_PCOLS} FROM mov ORDER BY {_PCOLS} LIMIT 5")
 def a15(spark, sf_dir):
     return FL.preview(mov(spark, sf_dir, RT_COLS), 5)
@@ -358,6 +443,42 @@ def _landed(spark, sf_dir):
 _LANDED = "/{a,b,c,d,e}/*.{csv,txt,gz}"
 
 
+def _damaged(spark, sf_dir):
+    """Per region: a whole gzip file of its movements, the first half of it, text named as gzip, a file of an unknown separator,
+    one that is only a header, and an empty one."""
+    key = ("damaged", spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYOUTS:
+        root = scratch_path(spark, "damaged")
+        m = mov(spark, sf_dir, [*RT_COLS, "regiao"]).withColumnRenamed("regiao", "r").repartition("r")
+        for name, sep, codec in (("inteiros", ";", "gzip"), ("dois_pontos", ":", "none")):
+            m.write.partitionBy("r").option("header", True).option("sep", sep).option("compression", codec).csv(f"{root}/{name}")
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path
+        fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        line = ";".join(RT_COLS).encode()
+        for f in fs.globStatus(path(f"{root}/inteiros/*/*.gz")):
+            r = f.getPath().getParent().getName()
+            half = jvm.org.apache.commons.io.input.BoundedInputStream(fs.open(f.getPath()), f.getLen() // 2)
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(half, fs.create(path(f"{root}/cortados/{r}.csv.gz")), 1 << 16, True)
+            for name, data in ((f"texto/{r}.csv.gz", line + b"\n" + line), (f"titulo/{r}.csv", line), (f"vazios/{r}.csv", b"")):
+                out = fs.create(path(f"{root}/{name}"))
+                out.write(data)
+                out.close()
+        _LAYOUTS[key] = root
+    return _LAYOUTS[key]
+
+
+_DAMAGED = "/{inteiros/*,cortados,texto,dois_pontos/*,titulo,vazios}/*.{csv,gz}"
+DAMAGED_SQL = """(SELECT regiao FROM mov GROUP BY regiao) g, (VALUES ('truncado'), ('ilegivel'), ('separador_desconhecido'), ('vazio'){}) v(motivo)"""
+
+
+@query("a13_rejects", with_views(MOV) + "SELECT motivo, count(*) AS arquivos, CAST(0 AS BIGINT) AS linhas, CAST(0 AS BIGINT) AS ruins FROM "
+       + DAMAGED_SQL.format(", ('so_cabecalho')") + " GROUP BY motivo UNION ALL SELECT NULL, count(DISTINCT regiao), count(*), 0 FROM mov")
+def a13r(spark, sf_dir):
+    status = FL.convert_many(spark, _damaged(spark, sf_dir) + _DAMAGED, scratch_path(spark, "convert"))
+    return status.groupBy("motivo").agg(F.count("*").alias("arquivos"), F.sum("linhas").alias("linhas"), F.sum("ruins").alias("ruins"))
+
+
 @query("a13_convert", with_views(MOV) + "SELECT 'convertidas' AS medida, (SELECT count(*) FROM mov) + "
        "(SELECT count(*) FROM customer WHERE c_custkey % 4 = 0) AS n UNION ALL "
        "SELECT 'quarentena', count(*) FROM customer UNION ALL SELECT 'ilegiveis', 1")
@@ -418,8 +539,16 @@ def a12(spark, sf_dir):
 
 def _a18(spark, sf_dir):
     from jobflow.plans.balance_queries import flagship
-    # write to a fresh path and read back: a failed run never leaves a half-written series
     return FL.write_balance(flagship(spark, sf_dir), scratch_path(spark, "saldo"))
 
 
 query("a18_write_balance", FLAGSHIP_SQL)(_a18)
+
+
+@query("a18_republish", FLAGSHIP_SQL)
+def a18r(spark, sf_dir):
+    """The second version is computed from the first, which its readers keep."""
+    root = scratch_path(spark, "saldo")
+    FL.write_balance(B.monthly_balance(mov(spark, sf_dir, BAL_COLS)), root)
+    FL.write_balance(B.running_stock(FL.read_balance(spark, root)), root)
+    return FL.read_balance(spark, root)

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from jobflow.operators import filters as C
 from jobflow.plans.balance_queries import BAL_COLS, FLAGSHIP_SQL
+from jobflow.plans import analytics_queries  # noqa: F401 - its oracle of K3 is shared
+from jobflow.plans import registry
 from jobflow.plans.registry import query
-from jobflow.plans.source_queries import _LANDED, RT_COLS, _landed, _layout
+from jobflow.plans.source_queries import _DAMAGED, _LANDED, DAMAGED_SQL, RT_COLS, _damaged, _landed, _layout
 from jobflow.plans.sql import MOV, with_views
-from jobflow.plans.jobs import monthly_job
+from jobflow.plans.jobs import balance_job, monthly_job, rejected
 from jobflow.session import scratch_path
+from jobflow.sources import files as FL
 from jobflow.sources.tables import mov, table
 from jobflow.sources.text import file_hashes, text_hashes
 from jobflow.streaming import incremental as INC
@@ -44,6 +47,30 @@ def n3(spark, sf_dir):
     return INC.balance_incremental(state, m.where(F.col("competencia_dec") > "202312"))
 
 
+@query("n3_job", FLAGSHIP_SQL)
+def n3j(spark, sf_dir):
+    """Three runs of the job: the months until 2021, one of them without its late rows; the later months; then that month again, whole."""
+    root, store, m = scratch_path(spark, "n3-layout"), scratch_path(spark, "n3-store"), mov(spark, sf_dir, RT_COLS)
+    month, late = F.col("competencia_mov"), F.lit("202103")
+    FL.write_monthly(m.where((month <= "202112") & ((month != late) | (F.col("tipo") == "MOV"))), root)
+    balance_job(spark, root, store)
+    FL.write_monthly(m.where(month > "202112"), root)
+    balance_job(spark, root, store)
+    FL.write_monthly(m.where(month == late), root)
+    return balance_job(spark, root, store)
+
+
+@query("k3_stream", registry.ORACLE["k3_lateness"])
+def k3s(spark, sf_dir):
+    """Two arrivals, each its own run of the stream."""
+    m = mov(spark, sf_dir, ["id", "competencia_mov", "competencia_dec"])
+    landing, out, ckpt = (scratch_path(spark, f"k3-{x}") for x in ("landing", "out", "ckpt"))
+    for k in (0, 1):
+        m.where(F.pmod("id", F.lit(3)).isin([0] if k else [1, 2])).write.parquet(f"{landing}/chegada={k}")
+        got = INC.lateness_stream(spark, landing, out, ckpt, m.schema, max_files_per_trigger=2)
+    return got
+
+
 N1_YEARS = [2021, 2022]
 
 
@@ -67,7 +94,19 @@ def n1(spark, sf_dir):
 def n1q(spark, sf_dir):
     out = scratch_path(spark, "n1q")
     monthly_job(spark, _landed(spark, sf_dir) + _LANDED, out, types={"SALDO_MOVIMENTACAO": "int"})
-    return spark.read.parquet(out + "_quarentena").groupBy("motivo").agg(F.count(F.lit(1)).alias("n"))
+    return rejected(spark, out).where("linha IS NOT NULL").groupBy("motivo").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("n1_rejected", with_views(MOV) + "SELECT motivo, CAST(1 AS BIGINT) AS execucao, count(*) AS n FROM " + DAMAGED_SQL.format(", ('so_cabecalho')") +
+       """ GROUP BY motivo UNION ALL SELECT 'linha_malformada', 2, count(*) FROM customer
+ UNION ALL SELECT 'competencia_invalida', 2, count(*) FROM customer WHERE c_custkey % 4 = 0""")
+def n1x(spark, sf_dir):
+    """Two runs of the job into one layout: rejected files of the first, rejected lines of the second."""
+    out = scratch_path(spark, "n1x")
+    monthly_job(spark, _damaged(spark, sf_dir) + _DAMAGED, out, run="1")
+    monthly_job(spark, _landed(spark, sf_dir) + "/{a,b,c,d}/*.{csv,txt}", out, run="2")
+    r = rejected(spark, out).withColumn("execucao", F.col("execucao").cast("bigint"))
+    return r.where("execucao = 1 OR linha IS NOT NULL").groupBy("motivo", "execucao").agg(F.count("*").alias("n"))
 
 
 @query("e18_hash", "SELECT doc_id, CAST(strlen(text) AS BIGINT) AS bytes, sha256(text) AS sha256, md5(text) AS md5 FROM documents")

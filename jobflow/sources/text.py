@@ -8,14 +8,19 @@ the driver except header metadata.
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from jobflow.functions.names import canonical_name, dedupe_names
+from jobflow.session import scratch_path
 
 CORRUPT = "_linha_corrompida"
 
@@ -66,9 +71,22 @@ def header_separator(header: str) -> str:
     return ";" if ";" in header else "," if "," in header else "\t"
 
 
+def field_count(line: Column, sep: str) -> Column:
+    """Fields of a line; separators between quotes do not count (a doubled quote is a quote)."""
+    return count_fields(F.regexp_replace(line, '"[^"]*"', ""), sep) + 1
+
+
+def split_fields(line: Column, names: list[str], sep: str) -> list[Column]:
+    """The fields of a line as text columns: quotes removed, missing and empty fields null, extra fields dropped."""
+    schema = ", ".join(f"f{i} string" for i in range(len(names)))
+    parsed = F.from_csv(line, schema, {"sep": sep, "escape": '"', "mode": "PERMISSIVE"})
+    return [parsed[f"f{i}"].alias(n) for i, n in enumerate(names)]
+
+
 def salvage_lines(spark: SparkSession, path: str, header: str | None = None, *, sep: str | None = None) -> DataFrame:
     """A4: keep only non-empty lines containing ; , or tab (header lines excluded), split by the
-    header's separator into the header's columns (missing fields null, extra fields dropped).
+    header's separator into the header's columns (missing fields null, extra fields dropped, a separator between
+    quotes kept in its field).
 
     Without ``header`` every file is split by its own first line and the files are stacked by
     column name; one row per distinct header reaches the driver.  No line cap: every line
@@ -80,8 +98,7 @@ def salvage_lines(spark: SparkSession, path: str, header: str | None = None, *,
     def split_by(rows: DataFrame, header: str) -> DataFrame:
         by = sep or header_separator(header)
         keep = (F.length(F.trim(v)) > 0) & v.rlike(SALVAGE_PATTERN) & (v != F.lit(header))
-        parts = F.split(v, _regex_escape(by), -1)
-        return rows.where(keep).select(*[F.get(parts, i).alias(n) for i, n in enumerate(header.split(by))])
+        return rows.where(keep).select(*split_fields(v, header.split(by), by))
 
     if header is not None:
         return split_by(lines, header)
@@ -93,29 +110,25 @@ def salvage_lines(spark: SparkSession, path: str, header: str | None = None, *,
                   [split_by(lines.join(own.where(F.col("cabecalho") == h), "__file", "left_semi"), h) for h in headers])
 
 
-def _regex_escape(s: str) -> str:
-    return "".join("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch for ch in s)
-
-
 POSITIONAL_FIELDS = ["cnpj", "uf", "municipio", "estabelecimento"]
 
 
 def parse_positional(df_text: DataFrame, line: str = "value") -> DataFrame:
     """A5: fixed 6-field ';' layout: cnpj;uf;municipio;estabelecimento;admissoes;desligamentos.
 
-    Blank and '#' lines skipped, fewer than 6 fields skipped; non-digit counts
-    -> 0; saldo only when both counts are digits, else 0.
+    Blank and '#' lines skipped, fewer than 6 fields skipped; a count that is not digits or
+    exceeds 64 bits -> 0; saldo only when both counts are numbers, else 0.
     """
     v = F.trim(F.col(line))
     f = F.split(v, ";", -1)
     ok = (F.length(v) > 0) & ~v.startswith("#") & (F.size(f) >= 6)
     a, d = F.trim(F.get(f, 4)), F.trim(F.get(f, 5))
-    dig = r"^[0-9]+$"
+    whole = [F.when(x.rlike(r"^[0-9]+$"), x.try_cast("bigint")) for x in (a, d)]
+    none = F.lit(0).cast("bigint")
     return df_text.where(ok).select(
         *[F.trim(F.get(f, i)).alias(n) for i, n in enumerate(POSITIONAL_FIELDS)],
-        F.when(a.rlike(dig), a.cast("bigint")).otherwise(0).alias("admissoes"),
-        F.when(d.rlike(dig), d.cast("bigint")).otherwise(0).alias("desligamentos"),
-        F.when(a.rlike(dig) & d.rlike(dig), a.cast("bigint") - d.cast("bigint")).otherwise(0).alias("saldo"))
+        F.coalesce(whole[0], none).alias("admissoes"), F.coalesce(whole[1], none).alias("desligamentos"),
+        F.coalesce(whole[0] - whole[1], none).alias("saldo"))
 
 
 # fixed values: accepted header spellings of the keyed layout
@@ -124,9 +137,37 @@ KEYED_NUMERIC = ["admissoes", "desligamentos", "saldo", "saldo_inicial", "saldo_
 
 
 def _to_int_lenient(c: Column) -> Column:
-    """int(float(x.replace(',', '.'))) with failure -> 0 (truncates toward zero)."""
+    """Number with a comma or a dot as decimal mark, truncated toward zero; no number, or one beyond 64 bits -> 0."""
     x = F.regexp_replace(F.trim(c.cast("string")), ",", ".").try_cast("double")
-    return F.when(x.isNull() | F.isnan(x), F.lit(0).cast("bigint")).otherwise(x.cast("bigint"))
+    return F.coalesce(x.try_cast("bigint"), F.lit(0).cast("bigint"))
+
+
+def keyed_lines(spark: SparkSession, paths, *, sep: str = ";") -> DataFrame:
+    """Lines of keyed CSV files, each with ``arquivo``, its file's ``cabecalho`` and whether it is bad: more fields than the header."""
+    lines = spark.read.text(paths).select(F.regexp_replace("value", "\r$", "").alias("linha"), F.col("_metadata.file_path").alias("arquivo"))
+    heads = header_lines(spark, paths).select("arquivo", "cabecalho")
+    return lines.join(heads, "arquivo").where((F.length(F.trim("linha")) > 0) & (F.regexp_replace("linha", "^\ufeff", "") != F.col("cabecalho"))).withColumn(
+        "ruim", field_count(F.col("linha"), sep) > field_count(F.col("cabecalho"), sep))
+
+
+def read_keyed(spark: SparkSession, paths, *, sep: str = ";") -> DataFrame:
+    """A6 over files: each file is read by its own header, a separator between quotes stays in its field, lines with too few fields
+    are filled with nulls, lines with too many are skipped (``bad_lines`` counts them), and the rows are parsed."""
+    lines = keyed_lines(spark, paths, sep=sep).where(~F.col("ruim"))
+    headers = [r["cabecalho"] for r in header_lines(spark, paths).select("cabecalho").distinct().orderBy("cabecalho").collect()]
+    if not headers:
+        raise ValueError(f"no lines under {paths}")
+    frames = []
+    for h in headers:
+        names = dedupe_names([n.strip().strip('"') for n in h.split(sep)])
+        frames.append(parse_keyed(lines.where(F.col("cabecalho") == h).select(*split_fields(F.col("linha"), names, sep))))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def bad_lines(spark: SparkSession, paths, *, sep: str = ";") -> DataFrame:
+    """Lines of each keyed CSV file, and how many of them :func:`read_keyed` skips."""
+    return keyed_lines(spark, paths, sep=sep).groupBy("arquivo").agg(
+        F.count("*").alias("linhas"), F.count_if("ruim").alias("ruins"))
 
 
 def parse_keyed(df: DataFrame) -> DataFrame:
@@ -288,15 +329,97 @@ def header_lines(spark: SparkSession, paths) -> DataFrame:
                         delimiter_of_header(first).alias("separador"), "codificacao")
 
 
-def read_grouped(spark: SparkSession, paths) -> DataFrame:
+# fixed values: why a landed file is not converted
+EMPTY, UNREADABLE, TRUNCATED, NO_SEPARATOR, ONLY_HEADER = "vazio", "ilegivel", "truncado", "separador_desconhecido", "so_cabecalho"
+COMPRESSED = r"\.(gz|bz2|deflate|snappy|lz4|zst|zstd|xz)$"
+# the size trailer of a gzip file up to this is read with the file as one value
+TRAILER_LIMIT = 256 << 20
+
+
+def plain_path(c: Column | str) -> Column:
+    """A path with its scheme written in one way (file:/x and file:///x are the same file)."""
+    return F.regexp_replace(c, "^([a-z0-9]+):/+", "$1:/")
+
+
+def listed_files(spark: SparkSession, paths) -> DataFrame:
+    """Every file under ``paths``: arquivo, _p (its plain path), bytes.  Only the listing is read; a scan alone would leave out files
+    without a byte."""
+    b = spark.read.format("binaryFile").load(paths)
+    names = spark.createDataFrame([(unquote(f),) for f in b.inputFiles()], "arquivo string").withColumn("_p", plain_path("arquivo"))
+    sizes = b.select(plain_path("path").alias("_p"), F.col("length").alias("_n"))
+    return names.join(sizes, "_p", "left").select("arquivo", "_p", F.coalesce("_n", F.lit(0)).alias("bytes"))
+
+
+def _reads_whole(spark: SparkSession, files: list[str]) -> set[str]:
+    """The files that decode to their end, found by reading them strictly: all at once, and each alone if that fails."""
+    def reads(some: list[str]) -> bool:
+        try:
+            spark.read.option("ignoreCorruptFiles", "false").text(some).agg(F.count("value")).first()
+        except (PySparkException, Py4JJavaError):
+            return False
+        return True
+
+    if not files or reads(files):
+        return set(files)
+    with ThreadPoolExecutor(8) as pool:  # the jobs run on the cluster; one file each
+        return {f for f, whole in zip(files, pool.map(lambda f: reads([f]), files), strict=True) if whole}
+
+
+def file_status(spark: SparkSession, paths) -> DataFrame:
+    """One row per landed file: arquivo, bytes, cabecalho, separador, codificacao, linhas, motivo.
+
+    ``motivo`` is null for a file that can be converted, else why not: empty, unreadable, truncated, no known separator in its
+    first line, or only a first line.  One scan of the text gives the first line, the encoding and the bytes decoded.
+    A file is whole if these are the bytes expected: its size, or for gzip the size in its trailer.
+    Files for which that proves nothing (other codecs, several gzip members, trailers that do not agree) are read
+    once more, strictly, and are whole if that reaches their end.  The driver gets the names of those only.
+    """
+    t = spark.read.option("ignoreCorruptFiles", "true").option("lineSep", "\n").text(paths).select(
+        "value", F.col("_metadata.file_path").alias("arquivo"),
+        F.col("_metadata.file_block_start").alias("_inicio"), F.monotonically_increasing_id().alias("_i"))
+    seen = t.groupBy(plain_path("arquivo").alias("_p")).agg(
+        F.min_by("value", F.when(F.col("_inicio") == 0, F.col("_i"))).alias("_b"), F.bool_and(F.is_valid_utf8("value")).alias("_utf8"),
+        F.count("*").alias("linhas"), F.sum(F.octet_length("value") + 1).alias("_lidos"))
+    files = listed_files(spark, paths)
+    last = [F.hex(F.substring("content", -k, 1)) for k in (1, 2, 3, 4)]  # little endian
+    trailer = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(paths).where(F.col("length") <= TRAILER_LIMIT).select(
+        plain_path("path").alias("_p"), F.conv(F.concat(*last), 16, 10).cast("bigint").alias("_fim"))
+    j = files.join(trailer, "_p", "left").join(seen, "_p", "left")
+    read, gzip = F.coalesce("_lidos", F.lit(0)), F.lower("arquivo").endswith(".gz")
+    expected = F.when(~F.lower("arquivo").rlike(COMPRESSED), F.col("bytes")).when(gzip, F.col("_fim"))
+    # the last line may lack its line feed; a gzip trailer counts modulo 2^32
+    modulo = lambda n: F.when(gzip, F.pmod(n, F.lit(1 << 32))).otherwise(n)
+    proved = F.coalesce((expected == modulo(read)) | (expected == modulo(read - 1)), F.lit(False))
+    j = j.withColumn("_inteiro", proved).persist()
+    # a gzip file that gives no line though its trailer says otherwise needs no second look
+    unsure = ~F.col("_inteiro") & (F.col("bytes") > 0) & (F.col("linhas").isNotNull() | ~gzip)
+    doubtful = [r["arquivo"] for r in j.where(unsure).select("arquivo").collect()]
+    whole = sorted(_reads_whole(spark, doubtful))
+    first = F.regexp_replace(F.when(F.is_valid_utf8("_b"), F.col("_b")).otherwise(F.decode(F.col("_b").cast("binary"), "ISO-8859-1")),
+                             "^\ufeff|\r.*$", "")
+    j = j.withColumn("_inteiro", F.col("_inteiro") | F.col("arquivo").isin(whole)).withColumn("cabecalho", first)
+    sep = delimiter_of_header(j, "cabecalho")
+    why = (F.when((F.col("bytes") == 0) | (F.col("_inteiro") & F.col("linhas").isNull()), EMPTY)
+           .when(~F.col("_inteiro"), F.when(F.col("linhas").isNull(), UNREADABLE).otherwise(TRUNCATED))
+           .when(sep.isNull(), NO_SEPARATOR).when(F.col("linhas") < 2, ONLY_HEADER))
+    out = j.select("arquivo", "bytes", "cabecalho", sep.alias("separador"),
+                   F.when(F.col("_utf8"), "UTF-8").otherwise("ISO-8859-1").alias("codificacao"),
+                   F.coalesce("linhas", F.lit(0)).alias("linhas"), why.alias("motivo"))
+    path = scratch_path(spark, "file-status")
+    out.write.parquet(path)
+    j.unpersist()
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def read_grouped(spark: SparkSession, paths, status: DataFrame | None = None) -> DataFrame:
     """Landed files whose headers, separators and encodings differ, stacked by canonical column name.
 
     Files are grouped by (header, separator, encoding), each group is read with its own names, so the
     order of columns may differ from file to file.  All columns are text; ``_arquivo`` names
-    the file and ``_linha_corrompida`` holds a line with too few or too many fields verbatim.  The driver
-    gets one row per distinct header with its file names.
+    the file and ``_linha_corrompida`` holds a line with too few or too many fields verbatim.  Files for which ``status``
+    (``file_status``) has a reason are left out, whole.  The driver gets one row per distinct header with its file names.
     """
-    heads = header_lines(spark, paths).where("separador IS NOT NULL")
+    heads = (file_status(spark, paths) if status is None else status).where(f"motivo IS NULL OR motivo = '{ONLY_HEADER}'")
     groups = (heads.groupBy("cabecalho", "separador", "codificacao").agg(F.sort_array(F.collect_list("arquivo")).alias("arquivos"))
               .orderBy("cabecalho", "codificacao").collect())
     frames = []
@@ -305,7 +428,7 @@ def read_grouped(spark: SparkSession, paths) -> DataFrame:
         schema = StructType([StructField(n, StringType()) for n in [*names, CORRUPT]])
         df = (spark.read.option("header", True).option("sep", g["separador"]).option("encoding", g["codificacao"])
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("ignoreCorruptFiles", "true").schema(schema).csv(g["arquivos"]))
+              .option("escape", '"').schema(schema).csv(g["arquivos"]))
         # fields are only counted where all columns are read, so the malformed line asks for all of them
         whole = F.length(F.concat_ws("", *names)) >= 0
         frames.append(df.select(*names, F.when(whole, F.col(CORRUPT)).alias(CORRUPT), F.col("_metadata.file_path").alias("_arquivo")))
