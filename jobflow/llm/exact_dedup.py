@@ -49,7 +49,8 @@ def _bit(size: Column | str, prefix: Column | str, bits: int) -> Column:
 def survivors(slim: DataFrame, bits: int = BITS) -> DataFrame:
     """Bitmap rows (bucket, bitmap) of the (length, prefix) pairs that more than one row has."""
     lengths = slim.groupBy("size").agg(F.count("*").alias("n")).filter("n > 1").select("size")
-    pairs = slim.join(lengths, "size", "left_semi").groupBy("size", "prefix").agg(F.count("*").alias("n")).filter("n > 1")
+    # summed before they meet the lengths: a pair that very many rows have is one row there
+    pairs = slim.groupBy("size", "prefix").agg(F.count("*").alias("n")).join(lengths, "size", "left_semi").filter("n > 1")
     bit = _bit("size", "prefix", bits)
     return pairs.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at")).groupBy(
         "bucket").agg(F.bitmap_construct_agg("at").alias("bitmap"))
