@@ -73,7 +73,36 @@ class session_conf:
         return False
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path inside the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+    """A fresh, never-reused path inside the shared checkpoint folder; ``clear_scratch`` removes what stands there."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder whose rows are no longer needed; a missing one is no error."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _SCRATCH:
+        _SCRATCH.remove(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every scratch folder that this process has named; frames that read them can't be used afterwards."""
+    for path in list(_SCRATCH):
+        remove(spark, path)
+
+
+def side_session(spark: SparkSession, **conf: str) -> SparkSession:
+    """A session of its own with ``spark``'s settings and some others, so that no concurrent query sees these."""
+    side = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if k.startswith("spark.sql.") and side.conf.isModifiable(k):
+            side.conf.set(k, v)
+    for k, v in conf.items():
+        side.conf.set(k.replace("__", "."), v)
+    return side

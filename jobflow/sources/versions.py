@@ -26,14 +26,15 @@ class StaleVersionError(RuntimeError):
     """Another writer has published since the caller read the dataset."""
 
 
-def _folder(spark: SparkSession, path: str):
+def handle(spark: SparkSession, path: str):
     """A path and its file system, whatever the store."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _names(spark: SparkSession, path: str) -> list[tuple[str, float]]:
-    p, fs = _folder(spark, path)
+def listing(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Names in a folder with their modification times in seconds; none if it does not exist."""
+    p, fs = handle(spark, path)
     if not fs.exists(p):
         return []
     return [(s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(p)]
@@ -42,7 +43,7 @@ def _names(spark: SparkSession, path: str) -> list[tuple[str, float]]:
 def versions(spark: SparkSession, root: str) -> dict[int, str]:
     """Visible versions: number -> folder, in order."""
     found = {}
-    for name, _ in sorted(_names(spark, f"{root.rstrip('/')}/{POINTERS}")):
+    for name, _ in sorted(listing(spark, f"{root.rstrip('/')}/{POINTERS}")):
         number, _, folder = name.partition(".")
         if number.isdigit() and folder:
             found[int(number)] = f"{root.rstrip('/')}/{DATA}{folder}"
@@ -70,7 +71,7 @@ def publish(spark: SparkSession, root: str, tables: Mapping[str, DataFrame], *,
         df.write.parquet(f"{root}/{DATA}{name}/{table}")
     if expected is not None and (now := current(spark, root)) != (None if expected < 0 else expected):
         raise StaleVersionError(f"{root}: version {now} is current, {expected} was read")
-    pointer, fs = _folder(spark, f"{root}/{POINTERS}/{number:012d}.{name}")
+    pointer, fs = handle(spark, f"{root}/{POINTERS}/{number:012d}.{name}")
     fs.create(pointer, False).close()
     expire(spark, root, keep=keep)
     return number
@@ -82,11 +83,11 @@ def expire(spark: SparkSession, root: str, *, keep: int, orphan_seconds: float =
     old = list(seen)[:-keep] if keep > 0 else []
     for number in old:  # data first: a crash in between leaves a pointer to remove again, not a lost folder
         for path in (seen[number], f"{root}/{POINTERS}/{number:012d}.{seen[number].rpartition(DATA)[2]}"):
-            p, fs = _folder(spark, path)
+            p, fs = handle(spark, path)
             fs.delete(p, True)
-    for name, changed in _names(spark, root):
+    for name, changed in listing(spark, root):
         if name.startswith(DATA) and f"{root}/{name}" not in seen.values() and changed < time.time() - orphan_seconds:
-            p, fs = _folder(spark, f"{root}/{name}")
+            p, fs = handle(spark, f"{root}/{name}")
             fs.delete(p, True)
     return old
 

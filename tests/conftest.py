@@ -13,4 +13,6 @@ def spark():
     from jobflow.session import get_spark
     s = get_spark(app="jobflow-tests", cpus="*", shuffle_partitions=8, driver_memory="4g")
     yield s
+    from jobflow.session import clear_scratch
+    clear_scratch(s)
     s.stop()
