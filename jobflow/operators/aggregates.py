@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobflow.operators.filters import valid_key
-from jobflow.session import scratch_path
+from jobflow.session import remove, scratch_path
 
 GERAL = "GERAL"
 
@@ -155,6 +155,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.75)) -> dict[
                         break
                     before += k
     if not wanted:
+        remove(spark, path)
         return {c: [None] * len(probs) for c in cols}
     pick = reduce(or_, [(F.col("c") == i) & (F.col("p") == p) for i, p in wanted])
     upto = F.sum("n").over(Window.partitionBy("c", "p").orderBy("v"))
@@ -169,6 +170,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.75)) -> dict[
     for i, c in enumerate(cols):
         ends = [(found[local[i, lo]], found[local[i, hi]], part) for lo, hi, part in places.get(i, [])]
         out[c] = [lo + (hi - lo) * part for lo, hi, part in ends] or [None] * len(probs)
+    remove(spark, path)
     return out
 
 
@@ -237,6 +239,35 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
                        (F.col("total_linhas") - F.col("linhas_distintas")).alias("linhas_duplicadas"))
 
 
+def duplicates_and_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """H3 and H4 together, exact: total_linhas, linhas_distintas and linhas_duplicadas, chaves_distintas, chaves_duplicadas.
+
+    One pass counts rows by their keys and a 64-bit hash of all columns, so narrow rows are shuffled, not whole ones.  Only rows whose
+    keys and hash repeat are compared as whole rows (a second read, of nothing where no row repeats); two
+    different rows of equal keys and hash are told apart there.
+    """
+    spark = df.sparkSession
+    names = [f"__k{i}" for i in range(len(keys))]
+    mark = F.xxhash64(*df.columns).alias("__h")
+    path = scratch_path(spark, "row-marks")
+    df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], mark).groupBy(*names, "__h").agg(F.count("*").alias("__n")).write.parquet(path)
+    marks = spark.read.parquet(path)
+    total = marks.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("total"), F.count("*").alias("marks"), F.count_if(F.col("__n") > 1).alias("repeated"))
+    per_key = marks.groupBy(*names).agg(F.sum("__n").alias("__n")).agg(
+        F.count("*").alias("chaves_distintas"), F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("chaves_duplicadas"))
+    t, k = total.first(), per_key.first()  # one row each
+    distinct = t["marks"]
+    if t["repeated"]:
+        twice = marks.where(F.col("__n") > 1).select(F.struct("__h", *names).alias("__m"))
+        own = F.struct(mark, *[F.col(k).alias(n) for k, n in zip(keys, names)])
+        rows = df.withColumn("__own", own).join(twice, F.col("__own") == F.col("__m"), "left_semi").drop("__own")
+        distinct += rows.groupBy(*df.columns).agg(F.count("*").alias("__n")).count() - t["repeated"]
+    return spark.range(1).select(F.lit(t["total"]).cast("bigint").alias("total_linhas"), F.lit(distinct).cast("bigint").alias("linhas_distintas"),
+                                 F.lit(t["total"] - distinct).cast("bigint").alias("linhas_duplicadas"),
+                                 F.lit(k["chaves_distintas"]).cast("bigint").alias("chaves_distintas"),
+                                 F.lit(k["chaves_duplicadas"]).cast("bigint").alias("chaves_duplicadas"))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """H4: rows, distinct keys, rows beyond the first per key, keys that repeat."""
     g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from jobflow.functions.clean import norm_period
 from jobflow.functions.codes import OFFICIAL_ADMISSION_CODES, OFFICIAL_SEPARATION_CODES, direction
 from jobflow.operators import aggregates as A
-from jobflow.session import ensure_checkpoint_dir, scratch_path, session_conf
+from jobflow.session import ensure_checkpoint_dir, remove, scratch_path, side_session
 
 # fixed values: tolerances (%) and patterns of the validation rules
 BALANCE_TOLERANCE = 5.0
@@ -311,7 +311,7 @@ class QualityReport:
     1. exact quartiles from value counts (only when outlier columns are given),
     2. ONE fused aggregate for every row-level, completeness and outlier check,
        which also yields the row count used by the structure check,
-    3. one aggregate on all columns for duplicates and one on the key columns.
+    3. one pass of narrow rows for duplicate rows and duplicate keys.
     The small intermediate results (one row; the ~40-row report) are
     checkpointed to the shared checkpoint folder, so deriving several report
     rows and the overall 'geral' row from them never re-runs a scan.
@@ -326,15 +326,16 @@ class QualityReport:
         self.duplicate_keys, self.structure = duplicate_keys, structure
 
     def run(self) -> DataFrame:
-        df = self.df
-        ensure_checkpoint_dir(df.sparkSession)
+        df, path = self.df, None
+        spark = df.sparkSession
+        ensure_checkpoint_dir(spark)
         if self.materialize:
             # The input is an expensive derived frame (joins): write it once as Parquet to the
             # shared checkpoint folder and run the three passes over that table instead of
             # recomputing the joins three times.  Not needed when the input is already a table.
-            path = scratch_path(df.sparkSession, "quality-input")
+            path = scratch_path(spark, "quality-input")
             df.write.parquet(path)
-            df = df.sparkSession.read.parquet(path)
+            df = spark.read.schema(df.schema).parquet(path)
         checks = self.checks + completeness_checks(self.completeness_cols)
         if self.outlier_cols:
             checks += outlier_checks(df, self.outlier_cols)
@@ -344,10 +345,15 @@ class QualityReport:
             aggs += [F.count_if(elig).alias(f"t{i}"), F.count_if(elig & F.coalesce(c.bad, F.lit(False))).alias(f"b{i}")]
         # one row; checkpointed (shared checkpoint folder) so the rows derived from it
         # below do not re-run the scan.  Dozens of conditional counts fused with the
-        # scan generate a method above the JVM's 8 KB JIT limit; for this one action
-        # Spark is told to fall back to non-fused code, which the JIT compiles.
-        with session_conf(df.sparkSession, spark__sql__codegen__hugeMethodLimit="8000"):
+        # scan generate a method above the JVM's 8 KB JIT limit; over a stored table
+        # a session of its own is told to fall back to non-fused code, which the JIT compiles.
+        if path is None:
             counted = df.agg(*aggs).checkpoint(eager=True)
+        else:
+            one = scratch_path(spark, "quality-counts")
+            side = side_session(spark, spark__sql__codegen__hugeMethodLimit="8000")
+            side.read.schema(df.schema).parquet(path).agg(*aggs).write.parquet(one)
+            counted = spark.read.parquet(one)
         rows = F.array(*[F.struct(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
                                   F.col(f"b{i}").cast("bigint").alias("bad_rows"),
                                   F.col(f"t{i}").cast("bigint").alias("total_rows"),
@@ -356,7 +362,13 @@ class QualityReport:
         if self.structure:
             parts.append(structure_rows(df, counted))
         if self.duplicate_keys is not None:
-            parts.append(duplicates(df))
-            parts.append(duplicate_key_check(df, list(self.duplicate_keys)))
+            keys = [k for k in self.duplicate_keys if k in df.columns]
+            if len(keys) < 2:
+                raise ValueError("duplicate key check needs at least two of the key columns")
+            d = A.duplicates_and_keys(df, keys)
+            parts.append(_rows(d, "duplicatas", "*", F.col("linhas_duplicadas"), F.col("total_linhas"), 0.0))
+            parts.append(_rows(d, "chaves_duplicadas", ",".join(keys), F.col("chaves_duplicadas"), F.col("total_linhas"), 0.0))
         report = union_reports(parts + self.extra).checkpoint(eager=True)
+        if path is not None:
+            remove(spark, path)
         return with_overall(report)

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from jobflow.operators import analytics as AN
 from jobflow.operators import oplog as OL
+from jobflow.operators import profiles as PR
 from jobflow.plans.balance_queries import BAL_COLS, flagship
 from jobflow.plans.registry import query
 from jobflow.plans.sql import BAL, K, MOV, OPLOG, STOCK, dir_of, with_views
+from jobflow.session import scratch_path
 from jobflow.sources.tables import mov, oplog, table
 
 OV = with_views(OPLOG)
@@ -218,6 +220,50 @@ _LAG = ("(CAST(substr(competencia_dec,1,4) AS INTEGER) * 12 + CAST(substr(compet
         "(CAST(substr(competencia_mov,1,4) AS INTEGER) * 12 + CAST(substr(competencia_mov,5,2) AS INTEGER))")
 
 
+# --- E8 over any range, N4, N5 ---------------------------------------------------------------------------
+
+SKETCHED = ["uf", "cnpj", "subclasse"]
+
+
+@query("e8_distinct_years", with_views(MOV) + " UNION ALL ".join(
+    f"SELECT substr(competencia_mov, 1, 4) AS ano, '{c}' AS coluna, count(DISTINCT {c}) AS distintos, true AS no_limite FROM mov GROUP BY 1" for c in SKETCHED))
+def e8s(spark, sf_dir):
+    """Years from the sketches of their months, held against exact counts: within four standard errors."""
+    m = mov(spark, sf_dir, ["competencia_mov", *SKETCHED])
+    path = scratch_path(spark, "sketches")
+    PR.distinct_sketches(m, SKETCHED).write.parquet(path)
+    year = F.substring("competencia", 1, 4)
+    guess = PR.distinct_over(spark.read.parquet(path), SKETCHED, year, "ano")
+    exact = m.groupBy(F.substring("competencia_mov", 1, 4).alias("ano")).agg(*[F.count_distinct(c).alias(c) for c in SKETCHED])
+    exact = exact.unpivot(["ano"], SKETCHED, "coluna", "distintos")
+    near = F.abs(F.col("distintos_estimados") - F.col("distintos")) <= 4 * 1.04 / 2 ** (PR.SKETCH_BITS / 2) * F.col("distintos")
+    return exact.join(guess, ["ano", "coluna"]).select("ano", "coluna", "distintos", near.alias("no_limite"))
+
+
+@query("n5_trend", with_views(MOV) + f""", m AS (SELECT uf, CAST(substr(competencia_mov, 1, 4) AS BIGINT) * 12 + CAST(substr(competencia_mov, 5, 2) AS BIGINT) AS t,
+  sum(CASE WHEN tipo = 'EXC' THEN -saldo_movimentacao ELSE saldo_movimentacao END) AS y FROM mov WHERE {dir_of()} IS NOT NULL GROUP BY ALL),
+x AS (SELECT uf, t - min(t) OVER (PARTITION BY uf) AS x, y FROM m),
+r AS (SELECT uf, count(*) AS meses, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, regr_r2(y, x) AS r2 FROM x GROUP BY uf)
+SELECT uf, meses, round(b, 6) AS inclinacao, round(a, 6) AS nivel_inicial, round(r2, 6) AS r2,
+ CASE WHEN b > 0.1 THEN 'alta' WHEN b < -0.1 THEN 'queda' ELSE 'estavel' END AS tendencia FROM r""")
+def n5(spark, sf_dir):
+    return PR.segment_trend(mov(spark, sf_dir, ["uf", *BAL_COLS]), "uf")
+
+
+@query("n4_features", with_views(MOV) + f"""SELECT cnpj, CAST(count_if({dir_of()} = 'A') AS DOUBLE) AS admissoes, CAST(count_if({dir_of()} = 'D') AS DOUBLE) AS desligamentos,
+ CAST(count(DISTINCT competencia_mov) AS DOUBLE) AS meses_ativos, sum(CAST(round(salario * 100) AS BIGINT)) / count(salario) / 100.0 AS salario_medio
+FROM mov GROUP BY cnpj""")
+def n4f(spark, sf_dir):
+    return PR.company_features(mov(spark, sf_dir, ["cnpj", "competencia_mov", "tipo_movimentacao", "salario"]))
+
+
+@query("n4_kmeans_profiles")
+def n4(spark, sf_dir):
+    """Groups of companies; no SQL says what k-means finds, so rows only (planted groups are tested)."""
+    found = PR.company_profiles(n4f(spark, sf_dir), 5)
+    return found.groupBy("perfil").agg(F.count("*").alias("empresas"), *[F.avg(c).alias(c) for c in PR.PROFILE_FEATURES])
+
+
 @query("k3_lateness", with_views(MOV) + f"""SELECT competencia_mov AS competencia, count(*) AS registros, CAST(count_if(a <= 0) AS BIGINT) AS no_prazo,
  max(a) AS atraso_max, round(avg(a), 6) AS atraso_medio, round(CAST(count_if(a > 0) AS BIGINT) / count(*) * 100.0, 6) AS pct_atrasado
 FROM (SELECT competencia_mov, {_LAG} AS a FROM mov) GROUP BY competencia_mov""")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from jobflow.functions.codes import UF_LETTERS
 from jobflow.operators import filters as C
 from jobflow.plans.registry import query
 from jobflow.plans.sql import MOV, with_views
@@ -89,6 +90,17 @@ def c9(spark, sf_dir):
     return C.filter_geo(_m(spark, sf_dir, "uf"), ufs=[1, 3, 24])
 
 
+_LETTERS = list(UF_LETTERS.values())
+
+
+@query("c9_uf_text", with_views(MOV) + ", t AS (SELECT id, competencia_mov, list_extract([" + ", ".join(f"'{x}'" for x in _LETTERS) +
+       "], uf + 1) AS uf FROM mov) SELECT * FROM t WHERE uf IN ('SP', 'AC', 'CE', 'PB')")
+def c9t(spark, sf_dir):
+    """States as two letters, asked for in either case."""
+    m = _m(spark, sf_dir, "uf").withColumn("uf", F.get(F.array(*[F.lit(x) for x in _LETTERS]), F.col("uf")))
+    return C.filter_geo(m, ufs=["sp", "AC", "ce", "Pb"])
+
+
 @query("c10_region", with_views(MOV) + "SELECT id, competencia_mov, regiao FROM mov WHERE regiao IN (2, 5)")
 def c10(spark, sf_dir):
     return C.filter_geo(_m(spark, sf_dir, "regiao"), regions=[2, 5])

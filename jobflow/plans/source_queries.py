@@ -499,6 +499,14 @@ def a23l(spark, sf_dir):
     return heads.select("separador", "codificacao", "cabecalho").distinct()
 
 
+@query("a23_landed_lines", with_views(MOV) + """SELECT CASE id % 3 WHEN 1 THEN ',' ELSE ';' END AS separador,
+ CASE id % 3 WHEN 2 THEN 'ISO-8859-1' ELSE 'UTF-8' END AS codificacao, CAST(count(*) AS BIGINT) AS linhas FROM mov GROUP BY ALL""")
+def a23n(spark, sf_dir):
+    """Data lines of the landed files by the separator and encoding found for their file."""
+    status = TX.file_status(spark, _landed(spark, sf_dir) + "/{a,b,c}/*.csv")
+    return status.groupBy("separador", "codificacao").agg(F.sum(F.col("linhas") - 1).alias("linhas")).where("linhas > 0")
+
+
 @query("a17_landed_cnae", """WITH cnae AS (SELECT DISTINCT p_brand AS classe_cnae,
   CASE WHEN CAST(substr(p_brand, 7) AS INTEGER) % 3 = 0 THEN 0 ELSE 1 END AS situacao FROM part)
 SELECT classe_cnae AS code FROM cnae WHERE situacao = 1""")
@@ -537,6 +545,15 @@ def a12(spark, sf_dir):
     return df.groupBy("tipo", "ano", "mes").agg(F.count(F.lit(1)).alias("linhas"))
 
 
+@query("a12_codec_values", RT_SQL)
+def a12v(spark, sf_dir):
+    """All values through two codecs, one after the other."""
+    first, second = scratch_path(spark, "zstd"), scratch_path(spark, "gzip")
+    FL.write_monthly(mov(spark, sf_dir, RT_COLS), first, compression="zstd")
+    FL.write_monthly(FL.read_period(spark, first), second, compression="gzip")
+    return FL.read_period(spark, second).select(*RT_COLS)
+
+
 def _a18(spark, sf_dir):
     from jobflow.plans.balance_queries import flagship
     return FL.write_balance(flagship(spark, sf_dir), scratch_path(spark, "saldo"))

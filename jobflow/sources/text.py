@@ -390,7 +390,10 @@ def file_status(spark: SparkSession, paths) -> DataFrame:
     # the last line may lack its line feed; a gzip trailer counts modulo 2^32
     modulo = lambda n: F.when(gzip, F.pmod(n, F.lit(1 << 32))).otherwise(n)
     proved = F.coalesce((expected == modulo(read)) | (expected == modulo(read - 1)), F.lit(False))
-    j = j.withColumn("_inteiro", proved).persist()
+    path = scratch_path(spark, "file-status")
+    j = j.select("arquivo", "bytes", "linhas", "_utf8", "_b", proved.alias("_inteiro"))
+    j.write.parquet(path)
+    j = spark.read.schema(j.schema).parquet(path)
     # a gzip file that gives no line though its trailer says otherwise needs no second look
     unsure = ~F.col("_inteiro") & (F.col("bytes") > 0) & (F.col("linhas").isNotNull() | ~gzip)
     doubtful = [r["arquivo"] for r in j.where(unsure).select("arquivo").collect()]
@@ -402,13 +405,9 @@ def file_status(spark: SparkSession, paths) -> DataFrame:
     why = (F.when((F.col("bytes") == 0) | (F.col("_inteiro") & F.col("linhas").isNull()), EMPTY)
            .when(~F.col("_inteiro"), F.when(F.col("linhas").isNull(), UNREADABLE).otherwise(TRUNCATED))
            .when(sep.isNull(), NO_SEPARATOR).when(F.col("linhas") < 2, ONLY_HEADER))
-    out = j.select("arquivo", "bytes", "cabecalho", sep.alias("separador"),
-                   F.when(F.col("_utf8"), "UTF-8").otherwise("ISO-8859-1").alias("codificacao"),
-                   F.coalesce("linhas", F.lit(0)).alias("linhas"), why.alias("motivo"))
-    path = scratch_path(spark, "file-status")
-    out.write.parquet(path)
-    j.unpersist()
-    return spark.read.schema(out.schema).parquet(path)
+    return j.select("arquivo", "bytes", "cabecalho", sep.alias("separador"),
+                    F.when(F.col("_utf8"), "UTF-8").otherwise("ISO-8859-1").alias("codificacao"),
+                    F.coalesce("linhas", F.lit(0)).alias("linhas"), why.alias("motivo"))
 
 
 def read_grouped(spark: SparkSession, paths, status: DataFrame | None = None) -> DataFrame:

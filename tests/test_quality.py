@@ -38,3 +38,31 @@ def test_structure_without_data_scan_for_schema(spark):
     assert rows[("campo_essencial", "competencia")] == 0     # PERIODO
     assert rows[("campo_essencial", "municipio")] == 1
     assert rows[("nao_vazio", "*")] == 0
+
+
+def test_duplicates_and_keys_equal_their_own_operators(spark):
+    from pyspark.sql import functions as F
+
+    from jobflow.operators import aggregates as A
+    rows = [(1, "a", 1.0), (1, "a", 1.0), (1, "a", 2.0), (2, None, None), (2, None, None), (2, None, None), (None, "b", 3.0), (3, "c", 4.0)]
+    df = spark.createDataFrame(rows, "k long, t string, v double")
+    for frame in (df, df.limit(0), df.where("k = 3"), df.withColumn("same", F.lit(1))):
+        got = A.duplicates_and_keys(frame, ["k", "t"]).first()
+        whole, keys = A.duplicate_rows(frame).first(), A.duplicate_keys(frame, ["k", "t"]).first()
+        assert got[:3] == whole[:] and got.chaves_distintas == keys.chaves_distintas
+        assert got.chaves_duplicadas == (keys.linhas_duplicadas or 0)
+
+
+def test_report_removes_its_copy_and_leaves_the_session_alone(spark):
+    import os
+
+    from jobflow import session
+    from jobflow.operators import quality as Q
+    df = spark.createDataFrame([(1, "MOV"), (2, "XX")], "id long, tipo string")
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    before = set(session._SCRATCH)
+    r = Q.QualityReport(df, [Q.domain("tipo", ["MOV"], "tipos")], materialize=True, duplicate_keys=["id", "tipo"]).run()
+    assert {x.check_name: x.bad_rows for x in r.collect()} == {"tipos": 1, "duplicatas": 0, "chaves_duplicadas": 0, "geral": 1}
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+    new = [p for p in set(session._SCRATCH) - before if "quality-input" in p]
+    assert not new and not [f for f in os.listdir(session.ensure_checkpoint_dir(spark).removeprefix("file:")) if f.startswith("quality-input")]
