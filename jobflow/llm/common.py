@@ -42,6 +42,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     This cuts the lineage (a lost executor re-reads files instead of re-running
     the steps before) and lets Spark delete the write's own shuffle files.
     """
+    return stored(df, name)[0]
+
+
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``materialize`` that also tells the folder, so that it can be removed once its rows are replaced."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     old = spark.conf.get(CLEANUP, None)
@@ -53,16 +58,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, old)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
 
+BUCKET_BYTES = 64 << 20
 
-def bucket_bits(spark: SparkSession) -> int:
-    """log2 of the number of name buckets: one or two per shuffle partition, 256 at least.
+
+def bucket_bits(spark: SparkSession, size: int) -> int:
+    """log2 of the number of buckets for ``size`` bytes of packed names: 256 at least, one for each shuffle partition at least, and as many as
+    keep a bucket, which is one group in one task, at ``BUCKET_BYTES`` or less.
 
     A packed row stands for one task batch and one bucket, so more buckets mean more and smaller rows.
     """
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(16, max(8, math.ceil(math.log2(max(1, parts)))))
+    return max(8, math.ceil(math.log2(max(1, parts))), math.ceil(math.log2(max(1, size / BUCKET_BYTES))))
+
+
+def even_keys(spark: SparkSession, bits: int) -> np.ndarray:
+    """A grouping key for each of 2**bits buckets, such that the shuffle's hash deals the buckets evenly to its partitions.
+
+    Hashing the bucket numbers themselves would give some partitions several times the mean.
+    """
+    parts, n = int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << bits
+    want = np.bincount((np.arange(n) * parts) >> bits, minlength=parts)
+    tried = 2 * n + 64 * parts
+    while True:
+        to = spark.range(tried).select(F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("to")).toPandas()["to"].to_numpy()
+        if (np.bincount(to, minlength=parts) >= want).all():
+            break
+        tried *= 2
+    order = np.argsort(to, kind="stable")  # the first keys of each partition, partitions in the order of their buckets
+    first = np.searchsorted(to[order], np.arange(parts))
+    return np.concatenate([order[f:f + k] for f, k in zip(first, want, strict=True)]).astype(np.int32)
 
 
 def utf8_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -109,11 +136,11 @@ class WindowNames:
     powers = inverses = np.ones(1, np.uint64)
 
     def __init__(self, data: np.ndarray):
-        n = len(data)
-        if len(WindowNames.powers) < n + 1:
+        n, own = len(data), type(self)
+        if len(own.powers) < n + 1:
             size = n + n // 4 + 1
-            WindowNames.powers = self._powers(self.BASE, size)
-            WindowNames.inverses = self._powers(pow(self.BASE, -1, 1 << 64), size)
+            own.powers = self._powers(self.BASE, size)
+            own.inverses = self._powers(pow(self.BASE, -1, 1 << 64), size)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.CODES[data] * self.powers[:n], out=self.sums[1:])
 
@@ -127,6 +154,13 @@ class WindowNames:
         return mix((self.sums[pos + length] - self.sums[pos]) * self.inverses[pos])
 
 
+class OtherNames(WindowNames):
+    """Names of the same windows by another base and other codes, so that the two do not collide together."""
+
+    BASE = 0xC2B2AE3D27D4EB4F
+    CODES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x165667B19E3779F9)) | np.uint64(1)
+
+
 def table_of(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()],
                                       names=list(columns))

