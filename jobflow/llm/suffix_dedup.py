@@ -13,9 +13,11 @@ difference-cover construction:
    73 bytes.  Candidates are dealt into buckets, one bucket is sorted at a time, and neighbours that
    tie at the full depth are repeated strings.
 
-Long ties are never compared byte by byte: a suffix is sorted by the 64-bit name of its leading
-bytes, so a bucket holds about nine bytes per suffix and no text.  A name
-that repeats within a task leaves it once; its other positions are known ties.
+Long ties are never compared byte by byte: a suffix is sorted by the name (hash) of its leading bytes instead of by its letters,
+so a bucket holds about nine bytes per sample suffix, thirteen per candidate, and no text.  Sample names have 64 bits; two that
+collide only make more candidates.  Candidate names have 96 bits from two independent hashes: among n candidates two
+different strings share one with a chance of about n^2 / 2^97 (6e-10 at 10^10).  A name that repeats within a task
+leaves it once; its other positions are known ties.
 """
 
 from __future__ import annotations
@@ -30,12 +32,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobflow.llm.common import WindowNames, bucket_bits, materialize, table_of, utf8_view
+from jobflow.llm.common import OtherNames, WindowNames, bucket_bits, even_keys, materialize, table_of, utf8_view
 
 PERIOD = 73
 COVER = (1, 2, 4, 8, 16, 32, 37, 55, 64)  # every difference modulo 73 exactly once
 UNIT_BYTES = 2 << 20
-ENTRY = "unit long, kind int, bucket int, names binary, places binary"
+ENTRY = "unit long, kind int, bucket int, names binary, more binary, places binary"
+
+
+def _sorted(names: np.ndarray, more: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal names are neighbours, and whether each is equal to the one before."""
+    order = np.argsort(names)
+    same = names[order][1:] == names[order][:-1]
+    if len(more):
+        if (same & (more[order][1:] != more[order][:-1])).any():  # equal first parts of different names: sort by both
+            order = np.lexsort([more, names])
+            same = names[order][1:] == names[order][:-1]
+        same &= more[order][1:] == more[order][:-1]
+    return order, np.append(False, same)[:len(order)]
 
 
 def _steps(pos: np.ndarray) -> bytes:
@@ -93,29 +107,31 @@ def _units(batches, overlap: int, with_ties: bool):
         yield unit
 
 
-def _deal(unit: _Unit, number: int, pos: np.ndarray, names: np.ndarray, bits: int):
-    """Rows of one unit: kind 1 describes its pieces, kind 2 has ties known here, kind 0 one bucket's suffixes."""
-    order = np.argsort(names)
-    s = names[order]
-    first = np.ones(len(s), bool)
-    first[1:] = s[1:] != s[:-1]
-    tied = ~first
-    tied[:-1] |= ~first[1:]
+def _deal(unit: _Unit, number: int, pos: np.ndarray, names: np.ndarray, more: np.ndarray, keys: np.ndarray):
+    """Rows of one unit: kind 1 describes its pieces, kind 2 has ties known here, kind 0 one bucket's suffixes.
+
+    ``more`` widens the names; empty where 64 bits are enough.  ``keys`` has a grouping key for each bucket.
+    """
+    bits = len(keys).bit_length() - 1
+    order, again = _sorted(names, more)
+    tied = again.copy()
+    tied[:-1] |= again[1:]
     known = np.sort(pos[order[tied]])
-    once = np.sort(order[first])
-    pos, names = pos[once], names[once]
-    bucket = (names >> np.uint64(64 - bits)).astype(np.uint16)
+    once = np.sort(order[~again])
+    pos, names, more = pos[once], names[once], more[once] if len(more) else more
+    bucket = (names >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
     order = np.argsort(bucket, kind="stable")
-    pos, names, bucket = pos[order], names[order], bucket[order]
+    pos, names, more, bucket = pos[order], names[order], more[order] if len(more) else more, bucket[order]
     cut = np.searchsorted(bucket, np.arange((1 << bits) + 1))
     got = np.flatnonzero(np.diff(cut)).tolist()
-    low = names.view(np.uint8).reshape(-1, 8)[:, :7]  # the bucket number tells the rest
+    low = names.view(np.uint8).reshape(-1, 8)[:, :7]  # the bucket tells the rest
     info = b"".join(unit.sha) + np.array([unit.start, unit.starts, [len(d) for d in unit.data]], np.int64).tobytes()
-    kinds, buckets = [1, 2] + [0] * len(got), [number % (1 << bits)] * 2 + got
+    kinds, buckets = [1, 2] + [0] * len(got), [int(keys[number % len(keys)])] * 2 + keys[got].tolist()
     blobs = [info, b""] + [low[cut[k]:cut[k + 1]].tobytes() for k in got]
+    wider = [b"", b""] + [more[cut[k]:cut[k + 1]].tobytes() if len(more) else b"" for k in got]
     places = [b"", _steps(known)] + [_steps(pos[cut[k]:cut[k + 1]]) for k in got]
     return table_of(unit=pa.array([number] * len(kinds), pa.int64()), kind=pa.array(kinds, pa.int32()),
-                    bucket=pa.array(buckets, pa.int32()), names=pa.array(blobs, pa.binary()),
+                    bucket=pa.array(buckets, pa.int32()), names=pa.array(blobs, pa.binary()), more=pa.array(wider, pa.binary()),
                     places=pa.array(places, pa.binary()))
 
 
@@ -129,20 +145,18 @@ def _sort_bucket(pdf: pd.DataFrame) -> pd.DataFrame:
     if len(full):
         full[:, :7] = np.frombuffer(b"".join(pdf.names), np.uint8).reshape(-1, 7)
     names = full.view(np.uint64).ravel()
-    order = np.argsort(names)
-    s = names[order]
-    same = s[1:] == s[:-1]
-    tie = np.zeros(len(s), bool)
-    tie[order[1:][same]] = True
-    tie[order[:-1][same]] = True
+    order, again = _sorted(names, np.frombuffer(b"".join(pdf.more), np.uint32))
+    tie = np.zeros(len(names), bool)
+    tie[order[again]] = True
+    tie[order[:-1][again[1:]]] = True
     ends = np.cumsum(n)
     keep, places = [], []
     for k, (raw, lo, hi) in enumerate(zip(pdf.places, ends - n, ends, strict=True)):
         if tie[lo:hi].any():
             keep.append(k)
             places.append(_steps(_positions(raw)[tie[lo:hi]]))
-    out = pdf.iloc[keep].assign(places=places, names=b"")
-    return pd.concat([rest, out])[["unit", "kind", "bucket", "names", "places"]]
+    out = pdf.iloc[keep].assign(places=places, names=b"", more=b"")
+    return pd.concat([rest, out])[["unit", "kind", "bucket", "names", "more", "places"]]
 
 
 def _gather(shape):
@@ -177,7 +191,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
     if length <= PERIOD:
         raise ValueError(f"the cover sample needs strings longer than {PERIOD} bytes")
     depth = length - PERIOD + 1
-    bits = bucket_bits(docs.sparkSession)
+    spark = docs.sparkSession
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
 
@@ -192,7 +206,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
             piece = np.searchsorted(at, pos, side="right") - 1
             inside = (pos - at[piece] < np.array(unit.starts)[piece]) & (pos + depth <= (at + size)[piece])
             pos = pos[inside]
-            yield _deal(unit, number() + k, pos, WindowNames(data).at(pos, depth), bits)
+            yield _deal(unit, number() + k, pos, WindowNames(data).at(pos, depth), np.zeros(0, np.uint32), keys)
 
     def deal_candidates(batches):
         for k, unit in enumerate(_units(batches, length - 1, True)):
@@ -207,7 +221,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
                 np.add.at(marks, a + np.minimum(np.maximum(near - PERIOD + 1, 0), last[j]), 1)
                 np.add.at(marks, a + np.minimum(near + 1, last[j]), -1)
             pos = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-            yield _deal(unit, number() + k, pos, WindowNames(data).at(pos, length), bits)
+            more = OtherNames(data).at(pos, length) if len(pos) else np.zeros(0, np.uint64)
+            yield _deal(unit, number() + k, pos, WindowNames(data).at(pos, length), (more >> np.uint64(32)).astype(np.uint32), keys)
 
     def spans(pos: np.ndarray) -> bytes:
         new = np.flatnonzero(np.diff(pos, prepend=-length - 1) > length)
@@ -216,6 +231,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
 
     # rows of one text collapse before they travel: a copied text is sorted once
     coded = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    # a candidate takes 13 bytes at most, and every byte may start one
+    size = coded.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    keys = even_keys(spark, bucket_bits(spark, 13 * size))
     distinct = (coded.filter(F.octet_length("text") >= length)
                 .select(F.unhex(F.sha2("text", 256)).alias("sha"), "text")
                 .groupBy("sha").agg(F.first("text").alias("text"), F.count("*").alias("n_copies")))

@@ -27,6 +27,17 @@ def test_suffix_dedup_matches_brute_force(odd_docs, odd_texts, unit, monkeypatch
     assert got == want
 
 
+def test_colliding_names_remove_nothing(odd_docs, odd_texts, monkeypatch, spark):
+    """The first 64 bits of every name are forced to a handful of values; the other hash tells the strings apart."""
+    own = suffix_dedup._deal
+    monkeypatch.setattr(suffix_dedup, "_deal", lambda unit, number, pos, names, more, keys: own(
+        unit, number, pos, names & np.uint64(0x8000000000000003), more, keys))
+    raw = [(t or "").encode() for _, t in odd_texts]
+    got = sorted((str(r.doc_id), r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.digests(odd_docs).collect())
+    want = sorted((str(i), *b) for (i, _), b in zip(odd_texts, suffix_dedup.brute_force(raw), strict=True))
+    assert got == want
+
+
 def test_suffix_dedup_spans_and_columns(odd_docs, no_docs):
     cut = suffix_dedup.cut_repeats(odd_docs)
     assert cut.columns == [*odd_docs.columns, "spans", "kept", "kept_text"]
