@@ -134,7 +134,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
 
     ``queries`` has the same two columns.  Rows whose id or vector is null, whose vector is empty, zero,
     holds a null or a non-finite component, or is not as long as the most frequent length, take no part.  A query never
-    finds its own id.  Rows that repeat an id and its vector count once.  Of equal vectors only
+    finds its own id.  Rows that repeat an id and its vector count once; a query id with several vectors asks with the
+    smallest, compared component by component.  Of equal vectors only
     the ``k + 1`` smallest ids are scored, as no other can be among a query's best ``k``.
     """
     spark = vectors.sparkSession
@@ -252,7 +253,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     held = placed.mapInPandas(chunk_rows, "id long, v binary, leaf int, cell int, chunk int")
     # queries are small but their walks are not, so they are dealt out evenly instead of by bytes
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    asked = usable(queries).filter(F.size("v") == dim).repartition(parts, "id").dropDuplicates(["id"]).mapInPandas(
+    asked = usable(queries).filter(F.size("v") == dim).repartition(parts, "id").groupBy("id").agg(F.min("v").alias("v")).mapInPandas(
         ask, "id long, v binary, leaves binary, cell int, chunk int")
     some = asked.groupBy("cell", "chunk").cogroup(held.groupBy("cell", "chunk")).applyInPandas(
         best, "query_id long, vec_id long, score double")

@@ -224,13 +224,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
           most_rows: int = MOST_ROWS) -> Gam:
     """Fit on the rows of ``docs`` whose key has a label 0 or 1.
 
-    ``most_rows`` bounds the sample: the labelled keys of smallest hash are taken.  Null keys and other labels are left out.
+    ``most_rows`` bounds the sample: the labelled keys of smallest hash are taken, and of their rows (a key may have many) the feature rows of
+    smallest hash.  Null keys and other labels are left out.
     """
     some = (labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("y"))
             .filter("y in (0, 1)").dropna().distinct().orderBy(F.xxhash64("__key"), "__key", "y").limit(most_rows))
     rows = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text")).join(
         F.broadcast(some), "__key").select("y", "__text")  # at most most_rows small rows
-    got = _featured(rows, "y", "y int, x binary").toPandas()
+    got = _featured(rows, "y", "y int, x binary").orderBy(F.xxhash64("x", "y"), "x", "y").limit(most_rows).toPandas()
     got = got.sort_values(["x", "y"])  # the fit must not depend on the order in which tasks end
     x = np.frombuffer(b"".join(got.x), float).reshape(-1, len(FEATURES))
     return fit(x, got.y.to_numpy().astype(float))
