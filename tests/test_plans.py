@@ -23,7 +23,8 @@ def test_every_query_has_a_callable_and_most_have_oracles():
 
 
 # keys that write files or run an action before they return
-ACTING = ("a4_", "a7_", "a8_", "a9_", "a1", "a22_landed", "a23_landed", "c3_layout", "e16_", "j9_", "j26_", "k1_", "k2_", "n1_", "n2_from")
+ACTING = ("a4_", "a7_", "a8_", "a9_", "a1", "a22_landed", "a23_landed", "c3_layout", "e16_", "j9_", "j26_", "k1_", "k2_", "n1_", "n2_from",
+          "a6_", "n2_schema", "n3_job", "k3_stream", "b21_fact", "e8_distinct", "n4_")
 
 
 def test_no_python_udf_in_registered_plans(spark):
