@@ -25,15 +25,16 @@ SIGNED = ["competencia", "adm_liq", "desl_liq"]
 def incremental_read(spark: SparkSession, root: str, checkpoint: str, sink: str, *,
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """K1: pick up every file not yet seen under ``root`` (file-source checkpoint), append it to
-    ``sink`` exactly once, stop when caught up (``availableNow``), and return the sink contents."""
-    schema = spark.read.parquet(root).schema
+    ``sink`` exactly once, stop when caught up (``availableNow``), and return the sink contents.  Columns that only some
+    months have are kept; months that disagree about a type are an error."""
+    schema = spark.read.option("mergeSchema", "true").parquet(root).schema
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     q = (r.parquet(root).writeStream.format("parquet").option("checkpointLocation", checkpoint)
          .option("path", sink).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return spark.read.schema(schema).parquet(sink)
 
 
 def signed_delta(df: DataFrame, *, month="competencia_mov", code="tipo_movimentacao", tipo="tipo",

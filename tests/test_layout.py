@@ -305,6 +305,16 @@ def test_dense_ids_have_no_gaps(spark):
     assert plan.count("SinglePartition") <= 1 and "Window" in plan       # only the offsets meet in one task
 
 
+def test_pick_up_keeps_columns_of_later_months(spark):
+    from jobflow.streaming import incremental as INC
+    root, ckpt, sink = (scratch_path(spark, f"t-k1-{x}") for x in "abc")
+    FL.write_monthly(months(spark, [(1, "202101")], "id int, competencia_mov string"), root)
+    assert INC.incremental_read(spark, root, ckpt, sink).count() == 1
+    FL.write_monthly(months(spark, [(2, "202102", 9.5)], "id int, competencia_mov string, salario double"), root)
+    got = {r["id"]: r["salario"] for r in INC.incremental_read(spark, root, ckpt, sink).collect()}
+    assert got == {1: None, 2: 9.5}
+
+
 def test_lateness_on_a_stream_equals_the_batch(spark):
     from jobflow.operators.analytics import lateness
     from jobflow.streaming import incremental as INC
