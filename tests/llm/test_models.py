@@ -1,12 +1,15 @@
 """Quality, toxicity, nearest neighbours, token counts and suffix-tree scores."""
 
+import base64
 import math
 import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from jobflow.llm import ann, quality, suffix_tree_lm, token_counts, toxicity
 from jobflow.llm.common import table
 from jobflow.session import scratch_path
@@ -139,6 +142,9 @@ def test_nearest_on_odd_vectors(spark):
     got = ann.nearest(frame, frame.filter("vec_id % 20 = 0"), recall=1.0).collect()
     queries = [(i, v) for i, v in good if i % 20 == 0]
     assert sorted(map(tuple, got)) == sorted(brute_nearest(good, queries, 20))
+    two = spark.createDataFrame([(20, [2.0, 0.0, 1.0]), (20, [1.0, 5.0, 0.0]), (20, [1.0, 4.0, 9.0])], "vec_id long, embedding array<double>")
+    got = ann.nearest(frame, two, recall=1.0).collect()
+    assert sorted(map(tuple, got)) == sorted(brute_nearest(good, [(20, [1.0, 4.0, 9.0])], 20))
     few = spark.createDataFrame(good[:3], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, ann.nearest(few, few).collect())) == sorted(brute_nearest(good[:3], good[:3], 20))
     assert ann.nearest(few.limit(0), few).count() == 0
@@ -167,35 +173,69 @@ def test_cells_and_chunks_lose_nothing(spark, monkeypatch):
 
 
 def test_rollup_commits_are_idempotent(spark, odd_docs, no_docs):
-    roll = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
+    path = scratch_path(spark, "rollup")
+    roll = token_counts.Rollup(spark, path)
     assert roll.totals().count() == 0
-    n = token_counts.count_tokens(F.col("text"), token_counts.WORDS_1)
+    n = F.coalesce(F.length("text"), F.lit(0)).cast("long")
     for _ in range(2):
         roll.commit("a", token_counts.inserts(odd_docs, "v1", n))
-    roll.commit("b", token_counts.inserts(no_docs, "v1", n))
+    roll.commit("b/1", token_counts.inserts(no_docs, "v1", n))
     want = odd_docs.groupBy("source", "lang").agg(F.count("*").alias("d"), F.sum(n).alias("t")).collect()
     want = {(r.source, r.lang, "v1", r.d, r.t) for r in want}
-    assert {tuple(r) for r in roll.totals().collect()} == want
+
+    def totals(r):
+        return {tuple(x) for x in r.totals().collect()}
+    assert totals(roll) == want and set(roll.log()) == {"a", "b/1"}
+    roll = token_counts.Rollup(spark, path)  # a restarted writer finds all commits
+    assert totals(roll) == want
     roll.commit("c", token_counts.revisions(odd_docs, "v1", n, n + 2))
-    assert {tuple(r) for r in roll.totals().collect()} == {(s, c, v, d, t + 2 * d) for s, c, v, d, t in want}
-    roll.commit("c", token_counts.revisions(odd_docs, "v1", n, n))
-    small = roll.compact()
-    assert {tuple(r) for r in small.totals().collect()} == want
-    small.commit("d", token_counts.deletes(odd_docs, "v1", n))
-    assert small.totals().count() == 0
+    assert totals(roll) == {(s, c, v, d, t + 2 * d) for s, c, v, d, t in want}
+    roll.commit("c", token_counts.revisions(odd_docs, "v1", n, n))  # the same batch again, mended
+    assert totals(roll) == want
+    token_counts.inserts(odd_docs, "v1", n).write.parquet(f"{path}/deltas/half-done")  # a writer lost before its log entry
+    assert totals(token_counts.Rollup(spark, path)) == want
+    roll.compact()
+    assert not roll.log() and totals(token_counts.Rollup(spark, path)) == want
+    roll.commit("a", token_counts.inserts(odd_docs, "v1", n))  # folded: a late replay changes nothing
+    roll.commit("d", token_counts.inserts(odd_docs.limit(1), "v2", F.lit(7)))
+    assert len(totals(roll)) == len(want) + 1
+    roll.commit("d", token_counts.inserts(no_docs, "v2", n))
+    roll.compact()
+    roll.commit("e", token_counts.deletes(odd_docs, "v1", n))
+    assert token_counts.Rollup(spark, path).totals().count() == 0
+
+
+def test_corpus_rollup_matches_the_library(spark, odd_docs, no_docs):
+    names = ("byte_bpe_50k", "byte_bpe_multi_50k")
+    files = {x: public_tokenizers.path(f"{x}.tiktoken") for x in names}
+    docs = odd_docs.unionByName(spark.createDataFrame([(None, "twice", "en", "s0"), (None, "twice", "en", "s0"), (None, None, None, None)],
+                                                      "doc_id long, text string, lang string, source string"), allowMissingColumns=True)
+    want, seen = Counter(), {}
+    for r in docs.collect():
+        place = (r.doc_id is None, r.doc_id or 0)
+        if place < seen.get(r.text or "", ((True, 1 << 60), None))[0]:
+            seen[r.text or ""] = (place, (r.source, r.lang))
+    for t, (_, (source, lang)) in seen.items():
+        for x in names:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(files[x], "rb"))}
+            lib = tiktoken.Encoding(x, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            want[source, lang, x, "d"] += 1
+            want[source, lang, x, "t"] += len(lib.encode_ordinary(t))
+    got = token_counts.corpus_rollup(docs, scratch_path(spark, "rollup"), files, public_tokenizers.PATTERN).totals().collect()
+    assert {(r.source, r.lang, r.version): (r.n_docs, r.n_tokens) for r in got} == {
+        (s, c, x): (want[s, c, x, "d"], want[s, c, x, "t"]) for s, c, x, k in want if k == "d"}
+    assert token_counts.corpus_rollup(no_docs, scratch_path(spark, "rollup"), files, public_tokenizers.PATTERN).totals().count() == 0
 
 
 def brute_suffix_tree(rows, depth, least, lam, least_gain):
     """The same model from plain dictionaries: (n_tokens, n_known, base, score) per row."""
     texts = [((t or "").encode().lower().split(), held) for t, held in rows]
-    count, nexts = Counter(), [None, defaultdict(Counter), defaultdict(Counter)]
+    longest = max(len(w) for w, _ in texts)
+    depth = longest if depth is None else depth
+    count, nexts = Counter(), [None, defaultdict(Counter)]
     for w, held in texts:
         if not held:
-            seq = [*w, None]
-            count.update(seq)
-            for d in range(1, depth + 1):
-                for i in range(d, len(seq)):
-                    nexts[d][tuple(seq[i - d:i])][seq[i]] += 1
+            count.update([*w, None])
     n, v = sum(count.values()), len(count)
 
     def base(x):
@@ -214,40 +254,46 @@ def brute_suffix_tree(rows, depth, least, lam, least_gain):
 
     for d in range(1, depth + 1):
         new = set()
+        for seq in ([*w, None] for w, held in texts if not held):
+            for i in range(d, len(seq)):
+                nexts[d][tuple(seq[i - d:i])][seq[i]] += 1
+        nexts.append(defaultdict(Counter))
         for s, f in nexts[d].items():
             total = sum(f.values())
             if total >= least and (d == 1 or s[1:] in kept):
-                q = {x: 10 ** (-0.05 * min(round(-math.log10(prob(s[1:], x)) / 0.05), 255)) for x in f}
+                q = {x: float(np.float32(prob(s[1:], x))) for x in f}
                 gain = sum(c * math.log((c - 1 + lam * q[x]) / (total - 1 + lam) / q[x]) for x, c in f.items())
                 if gain > least_gain:
                     new.add(s)
+        if not new:
+            break
         kept |= new
     out = []
     for w, _ in texts:
         seq = [*w, None]
         out.append((len(seq), sum(count[x] > 0 for x in seq), sum(math.log10(base(x)) for x in seq),
-                    sum(math.log10(prob(seq[max(0, i - depth):i], x)) for i, x in enumerate(seq))))
+                    sum(math.log10(prob(seq[max(0, i - len(nexts)):i], x)) for i, x in enumerate(seq))))
     return out, n, kept
 
 
-@pytest.mark.parametrize("unit", [1 << 22, 300])
-def test_suffix_tree_matches_brute_force(spark, odd_texts, unit, monkeypatch):
+@pytest.mark.parametrize(("unit", "depth"), [(1 << 22, None), (300, None), (300, 1)])
+def test_suffix_tree_matches_brute_force(spark, odd_texts, unit, depth, monkeypatch):
     rng = random.Random(9)
-    chain = {w: [rng.choice("abcdefgh") for _ in range(3)] for w in "abcdefgh"}
+    chain = defaultdict(lambda: [rng.choice("abcd") for _ in range(2)])
     texts = []
     for _ in range(60):
-        w = [rng.choice("abcdefgh")]
-        for _ in range(rng.randrange(80)):
-            w.append(rng.choice(chain[w[-1]]))
+        w = [rng.choice("abcd")]
+        for _ in range(rng.randrange(80)):  # the next word depends on three
+            w.append(rng.choice(chain[tuple(w[-3:])]))
         texts.append(" ".join(w).upper())
     texts += [t for _, t in odd_texts]
     rows = [(t, zlib.crc32(str(i).encode()) % 7 == 2) for i, t in enumerate(texts)]
     frame = spark.createDataFrame([(i, t, h, 1, "k") for i, (t, h) in enumerate(rows)],
                                   "doc_id long, text string, held_out boolean, unit int, rows string").repartition(3)
     monkeypatch.setattr(suffix_tree_lm, "HOT_LEAST", 40)  # many contexts count as hot and are split
-    got = {r.doc_id: r for r in suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, least_gain=2.0, unit_bytes=unit).collect()}
-    want, n, kept = brute_suffix_tree(rows, 2, 4, 3.0, 2.0)
-    assert {len(s) for s in kept} == {1, 2}
+    got = {r.doc_id: r for r in suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, least_gain=2.0, unit_bytes=unit, depth=depth).collect()}
+    want, n, kept = brute_suffix_tree(rows, depth, 4, 3.0, 2.0)
+    assert max(len(s) for s in kept) > 2 if depth is None else {len(s) for s in kept} == {1}
     for i, (tokens, known, base, score) in enumerate(want):
         r = got[i]
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (tokens, known, n, rows[i][1])
