@@ -4,7 +4,10 @@ An occurrence of an item of m characters within k edits shares at least m - q +
 item's q-grams with the text, all on diagonals at most 2k apart.  Every text is scanned once: rolling
 q-gram names are looked up among the items' q-grams, hits are counted in overlapping
 diagonal bands, bands that reach the bound are kept, and each kept region is verified by a
-banded alignment.  Items travel to the tasks in groups of bounded size.
+banded alignment.
+
+Equal items are one item, under their smallest id.  Items are dealt into groups of about ``GROUP_BYTES`` by the hash of their text;
+the driver and the tasks hold one group at a time, since a group's results are stored before the next is read.
 """
 
 from __future__ import annotations
@@ -182,41 +185,72 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     Compared are texts with ASCII letters lowered and runs of other ASCII characters as one blank.
     An item may differ by ``rate`` of its length in edits, or by as many as still leave
     a shared q-gram by the lemma.  Null or empty texts hold nothing; items under ``q`` normalised
-    bytes say too little to prove a leak and are left out.  A repeated item or row reports each time.
+    bytes say too little to prove a leak and are left out.  A repeated row reports each time.
     """
     rows = docs.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("__text"))
-    bench = benchmark.select(F.col(item).cast("long").alias("item"),
-                             F.col(item_text).cast("string").alias("item_text")).dropna(subset=["item_text"])
-    size = bench.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
-    groups = max(1, -(-size // GROUP_BYTES))
     schema = rows.select(F.col("__key").alias(key)).schema.add("item_id", "long").add(
         "first", "long").add("end", "long").add("edits", "integer")
-    spark = docs.sparkSession
+
+    def scan(batches, shared):
+        items = Items(shared.value, q, rate)
+        for b, got in _scanned(batches, items, "__text"):
+            if got:
+                r, i, s, e, d = zip(*got, strict=True)
+                yield table_of(**{key: b.column("__key").take(pa.array(r, pa.int64())),
+                                  "item_id": pa.array(i, pa.int64()), "first": pa.array(s, pa.int64()),
+                                  "end": pa.array(e, pa.int64()), "edits": pa.array(d, pa.int32())})
+
     found = None
-    for g in range(groups):
-        part = bench.filter(F.pmod(F.xxhash64("item_text"), F.lit(groups)) == g).collect()
-        shared = spark.sparkContext.broadcast([(r.item, r.item_text) for r in part])
-
-        def scan(batches, shared=shared):
-            items = Items(shared.value, q, rate)
-            for b in slices(batches, "__text", 2 << 20):
-                data, off = utf8_view(b.column("__text"))
-                raw = data.tobytes()
-                got = matches(items, [raw[i:j] for i, j in zip(off[:-1], off[1:], strict=True)])
-                if got:
-                    r, i, s, e, d = zip(*got, strict=True)
-                    yield table_of(**{key: b.column("__key").take(pa.array(r, pa.int64())),
-                                      "item_id": pa.array(i, pa.int64()), "first": pa.array(s, pa.int64()),
-                                      "end": pa.array(e, pa.int64()), "edits": pa.array(d, pa.int32())})
-
-        one = rows.mapInArrow(scan, schema)
+    for shared, last in _groups(benchmark, item, item_text):
+        one = rows.mapInArrow(lambda batches, shared=shared: scan(batches, shared), schema)
+        if not (found is None and last):  # more than one group: each is done before the next is read
+            one = materialize(one, "leaks")
+            shared.destroy()
         found = one if found is None else found.unionByName(one)
     return found
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows in which a benchmark item was found; a row with a null key stays."""
-    bad = materialize(contaminated(docs, benchmark, key, **options).select(F.col(key).alias("__bad")).distinct(), "leaks")
-    return docs.join(bad, F.col(key) == F.col("__bad"), "left_anti")
+def _groups(benchmark: DataFrame, item: str, item_text: str):
+    """(broadcast of a group's (item id, text), whether it is the last) for every group of distinct item texts."""
+    spark = benchmark.sparkSession
+    bench = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).cast("string").alias("item_text")).dropna(
+        subset=["item_text"]).groupBy("item_text").agg(F.min("item").alias("item"))
+    size = bench.agg(F.coalesce(F.sum(F.octet_length("item_text")), F.lit(0))).first()[0]
+    groups = max(1, -(-size // GROUP_BYTES))
+    if groups > 1:
+        bench = materialize(bench, "items")
+    for g in range(groups):
+        part = bench.filter(F.pmod(F.xxhash64("item_text"), F.lit(groups)) == g).collect()
+        yield spark.sparkContext.broadcast([(r.item, r.item_text) for r in part]), g == groups - 1
+
+
+def _scanned(batches, items: Items, column: str):
+    """Slices of the batches with the matches of their texts."""
+    for b in slices(batches, column, 2 << 20):
+        data, off = utf8_view(b.column(column))
+        raw = data.tobytes()
+        yield b, matches(items, [raw[i:j] for i, j in zip(off[:-1], off[1:], strict=True)])
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
+          q: int = Q, rate: float = RATE) -> DataFrame:
+    """The rows of ``docs`` in whose text no benchmark item is found (``contaminated``), with all their columns.
+
+    Each row is judged by its own text, whatever its id: rows that share an id or have none are told apart.  The
+    texts are read once for every group of items; nothing is shuffled.
+    """
+    def keep(batches, shared):
+        items = Items(shared.value, q, rate)
+        for b, got in _scanned(batches, items, text):
+            stay = np.ones(b.num_rows, bool)
+            stay[[r for r, *_ in got]] = False
+            yield b.filter(pa.array(stay))
+
+    for shared, last in _groups(benchmark, item, item_text):
+        docs = docs.mapInArrow(lambda batches, shared=shared: keep(batches, shared), docs.schema)
+        if not last:
+            docs = materialize(docs, "clean")
+            shared.destroy()
+    return docs
 
 

@@ -1,6 +1,8 @@
 """Decontamination and language ID."""
 
+import math
 import random
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -66,8 +68,10 @@ def test_regions_match_brute_force(spark, no_docs):
 def test_item_groups_cover_the_benchmark(spark, monkeypatch):
     docs, bench = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "benchmark")
     one = sorted(map(tuple, decontaminate.contaminated(docs, bench).collect()))
+    whole = sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect())
     monkeypatch.setattr(decontaminate, "GROUP_BYTES", 2000)
     assert sorted(map(tuple, decontaminate.contaminated(docs, bench).collect())) == one
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == whole
 
 
 def test_language_id(spark, odd_docs, odd_texts, no_docs):
@@ -88,7 +92,7 @@ def test_language_id(spark, odd_docs, odd_texts, no_docs):
 @pytest.mark.parametrize("bits", [12, 15])
 def test_counts_match_brute_force(spark, bits):
     docs = table(spark, SF_SMALL, "documents")
-    model = langid.train(docs, bits=bits)
+    model = next(langid.train(docs, bits=bits).blocks())
     rows = docs.select("text", "lang").collect()
     want = np.zeros((1 << bits, len(model.langs)))
     for r in rows:
@@ -96,3 +100,77 @@ def test_counts_match_brute_force(spark, bits):
             np.add.at(want[:, model.langs.index(r.lang)], h, 1)
     want = np.log((want + 0.5) / (want.sum(0) + 0.5 * (1 << bits)))
     assert np.allclose(model.logp, want, atol=1e-4)
+
+
+def plain_bayes(rows, text, bits, alpha=0.5):
+    """Language and tempered posterior of a text by dictionaries: the same hash of every 1- to 3-gram, counted one by one."""
+    def hashed(t):
+        s = "".join(c if c.isalpha() else " " for c in f" {t.lower()} ")
+        s = "".join(c for i, c in enumerate(s) if c != " " or i == 0 or s[i + 1:i + 2].strip())
+        out = []
+        for n in (1, 2, 3):
+            for i in range(len(s) - n + 1):
+                h = 0
+                for c in s[i:i + n]:
+                    h = (h * 0x9E3779B97F4A7C15 + ord(c) + 1) % 2**64
+                out.append(h * 0xD6E8FEB86659FD93 % 2**64 >> (64 - bits))
+        return out
+    counts, seen = defaultdict(Counter), Counter()
+    for t, lang in rows:
+        if t is not None and lang is not None:
+            counts[lang].update(hashed(t))
+            seen[lang] += 1
+    grams = hashed(text)
+    joint = {}
+    for lang in sorted(seen):
+        total = sum(counts[lang].values()) + alpha * 2**bits
+        log = math.log(seen[lang] / sum(seen.values())) + sum(math.log((counts[lang][g] + alpha) / total) for g in grams)
+        joint[lang] = log / math.sqrt(max(1, len(grams)))
+    best = max(sorted(joint), key=lambda k: joint[k])
+    return best, math.exp(joint[best]) / sum(math.exp(v) for v in joint.values())
+
+
+@pytest.mark.parametrize("most", [1024, 2])
+def test_predictions_match_plain_bayes(spark, most, monkeypatch):
+    monkeypatch.setattr(langid, "MOST_LANGS", most)  # two: several blocks
+    rows = [("der Hund und die Katze", "de"), ("das Haus ist klein", "de"), ("the dog and the cat", "en"), ("a small house", "en"), ("tiny", "en"),
+            ("el perro y el gato", "es"), ("la casa es pequeña", "es"), ("le chien et le chat", "fr"), ("e", "xx"), (None, "en"), ("no label", None)]
+    rows += [("common words here", "en")] * 20
+    train = spark.createDataFrame(rows, "text string, lang string")
+    texts = ["der kleine Hund", "e", "the", "perro", "común", "x y z", "chat", "", None, "12", "und the"]
+    docs = spark.createDataFrame([(i, t, 0.5, "k", 3) for i, t in enumerate(texts)], "doc_id long, text string, total double, lang string, row int").repartition(3)
+    model = langid.train(train, bits=12)
+    got = {r.doc_id: r for r in langid.predict(docs, model, bits=12, keep=("total", "lang", "row")).collect()}
+    for i, t in enumerate(texts):
+        if not t or not any(c.isalpha() for c in t):
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+        else:
+            lang, score = plain_bayes(rows, t, 12)
+            assert got[i].lang_pred == lang and got[i].score == pytest.approx(score, abs=1e-4)
+        assert (got[i].total, got[i].lang, got[i].row) == (0.5, "k", 3)
+
+
+def test_the_prior_counts_in_full(spark):
+    """Priors 0.95 and 0.05, and a text that is only a little likelier in the rare language: Bayes picks the common one."""
+    model = langid.Model(["common", "rare"], np.zeros((4096, 2), np.float32), np.log([0.95, 0.05]))
+    model.logp[:, 1] = 0.05
+    names, best, total = langid.score_texts(model, 12, ["abcdefghij"])
+    n = sum(len(r) for _, r in langid.grams(["abcdefghij"], 12)[0])
+    assert names == ["common"] and 0.05 * n < np.log(0.95 / 0.05)
+    names, *_ = langid.score_texts(model, 12, ["abcdefghij" * 10])
+    assert names == ["rare"]
+
+
+def test_decontamination_edges(spark):
+    item = "a long enough benchmark item about seventeen silver herons"
+    long = "filler words " * 200_000
+    docs = spark.createDataFrame([(1, f"x {item.upper()} y", 1, "r"), (1, "another text of the same id", 2, "r"), (None, item, 3, "r"),
+                                  (None, "clean without an id", 4, "r"), (2, long + item, 5, "r"), (2, long + item, 6, "r"), (3, long, 7, "r"), (4, None, 8, "r")],
+                                 "doc_id long, text string, first long, item string").repartition(4)
+    bench = spark.createDataFrame([(9, item), (5, item), (5, item), (7, "tiny"), (8, None), (None, item)], "item_id long, text string")
+    clean = decontaminate.clean(docs, bench)
+    assert clean.columns == docs.columns and sorted(r.first for r in clean.collect()) == [2, 4, 7, 8]
+    found = decontaminate.contaminated(docs, bench).collect()
+    assert {r.item_id for r in found} == {5} and sorted(str(r.doc_id) for r in found) == ["1", "2", "2", "None"]
+    assert [r.first for r in found if r.doc_id == 2] == [len(long)] * 2
+    assert decontaminate.clean(docs.limit(0), bench).count() == 0
