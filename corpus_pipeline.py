@@ -12,11 +12,15 @@ A stage takes what its predecessor kept, as the columns of ``documents``, and wo
 4. ``decontaminate``: rows in which a benchmark item is found go.
 5. ``bpe``: the token ids of every text, with the columns of ``documents``.
 
-Null texts have no language and go in the first stage.  ``n_chars`` follows the text.
+Null texts have no language and go in the first stage.  ``n_chars`` follows the text.  Columns beyond those of ``documents`` stay with
+their rows, whatever their names; one that is named like a result of the last stage comes back as ``<name>_in``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,37 +29,60 @@ from jobflow.llm.common import importable, materialize, table
 
 MIN_CONFIDENCE = 0.5
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _apart(stage: Stage) -> Stage:
+    """``stage`` with the other columns of its input under names of their own, so that they can't clash with the operators' columns."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        importable(spark)
+        inner = {c: c if c in COLUMNS else f"__other_{i}" for i, c in enumerate(docs.columns)}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(name) for c, name in inner.items()]), sf_dir)
+        new = [c for c in out.columns if c not in inner.values()]
+        names, taken = [], {c.lower() for c in (*docs.columns, *new)}
+        for c in inner:
+            name = c
+            while name.lower() in {x.lower() for x in new} or name != c and name.lower() in taken:
+                name += "_in"
+            taken.add(name.lower())
+            names.append(name)
+        return out.select(*[F.col(inner[c]).alias(name) for c, name in zip(inner, names, strict=True)], *new)
+
+    return run_stage
 
 
+@_apart
 def stage_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
     model = langid.train(docs)
     kept = langid.predict(docs, model, keep=tuple(c for c in docs.columns if c != "doc_id"))
     return kept.filter((F.col("lang_pred") != "und") & (F.col("score") >= MIN_CONFIDENCE)).select(*docs.columns)
 
 
+@_apart
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
     return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
+@_apart
 def stage_suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
     cut = suffix_dedup.cut_repeats(docs)
     text = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.col("kept_text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast(
         docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+@_apart
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_apart
 def stage_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    importable(spark)
     return bpe.encode_documents(docs, public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN,
                                 keep=tuple(docs.columns), digests=True)
 
