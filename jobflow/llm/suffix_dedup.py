@@ -126,7 +126,7 @@ def _deal(unit: _Unit, number: int, pos: np.ndarray, names: np.ndarray, more: np
     got = np.flatnonzero(np.diff(cut)).tolist()
     low = names.view(np.uint8).reshape(-1, 8)[:, :7]  # the bucket tells the rest
     info = b"".join(unit.sha) + np.array([unit.start, unit.starts, [len(d) for d in unit.data]], np.int64).tobytes()
-    kinds, buckets = [1, 2] + [0] * len(got), [int(keys[number % len(keys)])] * 2 + keys[got].tolist()
+    kinds, buckets = [1, 2] + [0] * len(got), [int(keys[((number >> 32) * 7919 + number) % len(keys)])] * 2 + keys[got].tolist()
     blobs = [info, b""] + [low[cut[k]:cut[k + 1]].tobytes() for k in got]
     wider = [b"", b""] + [more[cut[k]:cut[k + 1]].tobytes() if len(more) else b"" for k in got]
     places = [b"", _steps(known)] + [_steps(pos[cut[k]:cut[k + 1]]) for k in got]

@@ -88,3 +88,24 @@ def test_empty_tables(spark, folder):
     docs = spark.read.parquet(folder + "/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_stages_keep_other_columns_whatever_their_names(spark, folder):
+    names = ["score", "lang_pred", "spans", "kept", "kept_text", "n_tokens", "ids_sha256", "n_tokens_in", "Decoded_SHA256", "fp", "row", "__row", "__best"]
+    docs = spark.read.parquet(folder + "/documents.parquet").select(*[F.lit(f"mine {c}").alias(c) for c in names[:7]], "*",
+                                                                     *[F.lit(f"mine {c}").alias(c) for c in names[7:]])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, folder)
+        if name != "bpe":
+            assert out.columns == docs.columns
+        docs = spark.read.parquet(_written(spark, out))
+        assert docs.count() > 0
+    own = {"n_tokens": "n_tokens_in_in", "ids_sha256": "ids_sha256_in", "Decoded_SHA256": "Decoded_SHA256_in"}
+    for r in docs.collect():
+        assert all(r[own.get(c, c)] == f"mine {c}" for c in names) and isinstance(r["n_tokens"], int)
+
+
+def _written(spark, df):
+    path = scratch_path(spark, "stage")
+    df.write.parquet(path)
+    return path
