@@ -2,20 +2,23 @@
 
 Examples (a bounded sample of labelled rows) form an inverted index: postings by term, cut into blocks of examples,
 with each block's largest weight per term.  A text's terms bound every block's best cosine from
-above; blocks are scored in order of that bound until none can reach the k-th best cosine, so the k
-nearest are exact.  Distance-weighted votes of the neighbours become a probability by a
+above; only blocks whose bound reaches the k-th best cosine are scored, so the k
+nearest are exact.  Similar examples stand in one block, which keeps the bounds low.  Distance-weighted votes of the neighbours become a probability by a
 curve fitted on the examples' own left-one-out votes; the neighbours are the evidence.
 
 Terms are all words and word beginnings of the examples; their document frequencies count all documents.  A term
-whose share of examples does not differ between the labels beyond chance (G2 test) weighs ``PLAIN`` of its
-inverse frequency, in texts and examples alike, so a copy of an example has cosine 1 with it.  The ``DENSE`` terms
-held by most examples are scored against all of them by one matrix product per ``ROWS`` texts; blocks bound
-and score the others.
+whose share of examples does not differ between the labels beyond chance (G2 test) weighs a part of its
+inverse frequency, in texts and examples alike, so a copy of an example has cosine 1 with it; which part of ``PLAIN`` is the one
+whose left-one-out votes fit the examples' labels best.  The ``DENSE`` terms held by most examples have postings in nearly every block:
+they are summed for all blocks at once by a matrix product in single precision, blocks bound and score the other terms, and
+what may be among the nearest is summed exactly.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -25,15 +28,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobflow.llm.common import WindowNames, fold, mix, slices, table_of, utf8_view
+from jobflow.llm.common import WindowNames, fold, materialize, mix, slices, table_of, utf8_view
 
 MOST_TOXIC, MOST_CLEAN = 2000, 4000
 BLOCK = 64
+WHOLE = 0.4  # share of blocks needed from which a term's whole posting list is read
+SLACK = 1e-4  # single-precision sums of at most 1024 products are nearer than this
 NEIGHBOURS = 12
 PART = 1 << 16
 STEM = 4
 LEAST_G2 = 24.0  # chance of a term this uneven by luck: about one in a million
-PLAIN = 0.1
+PLAIN = (1.0, 0.3, 0.1, 0.03)
+TRIED = 1000  # examples whose left-one-out votes choose among them
 DENSE, ROWS = 1024, 64
 
 _b = np.arange(256)
@@ -80,7 +86,8 @@ def bags(data: np.ndarray, off: np.ndarray, vocabulary: np.ndarray):
 class Index:
     """Postings by (term, block): ``entry`` delimits a term's blocks, ``post`` an entry's postings.
 
-    ``dense`` holds the weights of the commonest terms by (term, example) as well; ``column`` is a term's row in it or -1.
+    ``dense`` holds the weights of the commonest terms by (term, example) as well, ``rough`` the same in single precision; ``column`` is a
+    term's row in them or -1.  ``peak`` has the largest weight of each (term, block).
     """
     vocabulary: np.ndarray
     idf: np.ndarray
@@ -88,19 +95,20 @@ class Index:
     toxic: np.ndarray
     entry: np.ndarray
     block: np.ndarray
-    most: np.ndarray
     post: np.ndarray
     example: np.ndarray
     weight: np.ndarray
     column: np.ndarray
     dense: np.ndarray
+    rough: np.ndarray
+    peak: np.ndarray
     curve: tuple[float, ...] = (0.0, 1.0, 0.0)
     share: float = 0.0
 
     @classmethod
-    def build(cls, vocabulary, df, n_docs, ids, toxic, row, term, count) -> Index:
+    def build(cls, vocabulary, df, n_docs, ids, toxic, row, term, count, plain: float) -> Index:
         idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
-        idf = idf * np.where(telling(row, term, toxic, len(vocabulary)), 1.0, PLAIN)
+        idf = idf * np.where(telling(row, term, toxic, len(vocabulary)), 1.0, plain)
         w = (1 + np.log(count)) * idf[term]
         norm = np.sqrt(np.bincount(row, w * w, len(ids)))
         w = w / np.maximum(norm[row], 1e-300)
@@ -115,6 +123,8 @@ class Index:
         term = np.repeat(np.arange(len(vocabulary)), held)
         first = np.flatnonzero(np.diff(term * blocks + row // BLOCK, prepend=-1))
         most = np.maximum.reduceat(w, first) if len(first) else w
+        peak = np.zeros((len(vocabulary), blocks), np.float32)
+        peak[term[first], row[first] // BLOCK] = most
         column = np.full(len(vocabulary), -1)
         common = np.argsort(-held, kind="stable")[:DENSE]
         column[common] = np.arange(len(common))
@@ -122,7 +132,8 @@ class Index:
         some = column[term] >= 0
         dense[column[term[some]], row[some]] = w[some]
         return cls(vocabulary, idf, ids, toxic, np.searchsorted(term[first], np.arange(len(vocabulary) + 1)),
-                   row[first] // BLOCK, most, np.append(first, len(row)), row, w, column, dense)
+                   row[first] // BLOCK, np.append(first, len(row)), row, w, column, dense,
+                   dense.astype(np.float32), peak)
 
     def __getstate__(self):  # blocks and dense rows are made anew where it is read: a quarter of the bytes travels
         return (self.vocabulary, self.idf, self.ids, self.toxic, np.diff(self.post[self.entry]).astype(np.int32),
@@ -157,43 +168,43 @@ class Index:
             c, some = at[own], common[own]
             q = np.zeros((hi - lo, len(self.dense)))
             q[row[own][some] - lo, c[some]] = w[own][some]
-            scores = q @ self.dense
+            rough = q.astype(np.float32) @ self.rough
             for i in range(lo, hi):
                 bag = slice(cut[i], cut[i + 1])
                 rare = ~common[bag]
-                yield self._best(scores[i - lo], term[bag][rare], w[bag][rare], k, -1 if skip is None else skip[i])
+                yield self._best(rough[i - lo], q[i - lo], term[bag][rare], w[bag][rare], k, -1 if skip is None else skip[i])
 
-    def _best(self, score: np.ndarray, term: np.ndarray, w: np.ndarray, k: int, skip: int):
-        """The nearest of one bag from its ``score`` by the dense terms and the weights of the others."""
+    def _best(self, rough: np.ndarray, q: np.ndarray, term: np.ndarray, w: np.ndarray, k: int, skip: int):
+        """The nearest of one bag from its ``rough`` sums over the commonest terms (``q``), within SLACK of the exact ones, and the weights of the
+        others: blocks whose bound reaches the k-th best are scored; what may be among the best is summed exactly."""
+        score = rough.astype(float)
         if skip >= 0:
-            score[skip] = 0
+            score[skip] = -1
+        bound = w.astype(np.float32) @ self.peak[term] + score.reshape(-1, BLOCK).max(1)
+        least = np.partition(score, -k)[-k] if k <= len(score) else 0.0
+        needed = (bound > 0) & (bound >= least - SLACK)  # the k-th best can only rise
         lo, n = self.entry[term], self.entry[term + 1] - self.entry[term]
-        ends = np.cumsum(n)
-        entry = np.repeat(lo - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
-        weight = np.repeat(w, n)
-        block = self.block[entry]
-        bound = np.bincount(block, weight * self.most[entry], self.blocks) + score.reshape(-1, BLOCK).max(1)
-        best_first = np.argsort(-bound, kind="stable")
-        done, step = 0, 8
+        if needed.mean() > WHOLE:  # nearly whole posting lists: cheaper than picking their blocks out
+            a, m, v = self.post[lo], self.post[lo + n] - self.post[lo], w
+        else:
+            ends = np.cumsum(n)
+            entry = np.repeat(lo - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+            take = needed[self.block[entry]]
+            entry, v = entry[take], np.repeat(w, n)[take]
+            a, m = self.post[entry], self.post[entry + 1] - self.post[entry]
+        to = np.cumsum(m)
+        if len(to):
+            at = np.repeat(a - to + m, m) + np.arange(to[-1])
+            score += np.bincount(self.example[at], np.repeat(v, m) * self.weight[at], len(score))
+        if skip >= 0:
+            score[skip] = -1
         least = np.partition(score, -k)[-k] if k <= len(score) else 0.0
-        while done < self.blocks and bound[best_first[done]] > 0 and bound[best_first[done]] >= least * (1 - 1e-12):
-            wanted = np.zeros(self.blocks, bool)
-            wanted[best_first[done:done + step]] = True
-            take = wanted[block]
-            a = self.post[entry[take]]
-            m = self.post[entry[take] + 1] - a
-            to = np.cumsum(m)
-            if len(to):
-                at = np.repeat(a - to + m, m) + np.arange(to[-1])
-                score += np.bincount(self.example[at], np.repeat(weight[take], m) * self.weight[at], len(score))
-            if skip >= 0:
-                score[skip] = 0
-            done += step
-            step *= 4
-            least = np.partition(score, -k)[-k] if k <= len(score) else 0.0
-        some = np.flatnonzero(score >= max(least, 1e-300))
-        some = some[np.lexsort([some, -score[some]])][:k]
-        return some, np.minimum(score[some], 1.0)
+        some = np.flatnonzero(score >= max(least - SLACK, 1e-300))
+        own = np.flatnonzero(q)
+        exact = q[own] @ self.dense[np.ix_(own, some)] + (score[some] - rough[some])
+        some, exact = some[exact > 1e-300], exact[exact > 1e-300]
+        best = np.lexsort([some, -exact])[:k]
+        return some[best], np.minimum(exact[best], 1.0)
 
     def vote(self, found: np.ndarray, cosine: np.ndarray) -> tuple[float, float]:
         """Log odds of the toxic share of the neighbours' votes, each weighted by the inverse of its distance, and
@@ -209,20 +220,43 @@ class Index:
         z = np.array(votes, float).reshape(-1, 2) @ np.array(self.curve[1:]) + self.curve[0]
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def calibrate(self, row, term, count, k: int, weights: np.ndarray) -> None:
-        """Logistic curve from the examples' left-one-out votes, weighted back to the labels' true shares."""
-        n = len(self.ids)
-        v = np.array([(1.0, *self.vote(*x)) for x in self.search(row, term, count, n, k, np.arange(n))])
+    def calibrate(self, row, term, count, k: int, weights: np.ndarray, some: np.ndarray) -> float:
+        """Logistic curve from the left-one-out votes of ``some`` examples, weighted back to the labels' true shares; returns the mean loss."""
+        number = np.full(len(self.ids), -1)
+        number[some] = np.arange(len(some))
+        own = number[row] >= 0
+        v = np.array([(1.0, *self.vote(*x)) for x in self.search(number[row[own]], term[own], count[own], len(some), k, some)])
+        toxic, weights = self.toxic[some], weights[some]
         prior = np.array([0.0, 1.0, 0.0])
         w = prior.copy()
         for _ in range(50):  # Newton's steps with a small ridge towards the plain vote
             p = 1 / (1 + np.exp(-np.clip(v @ w, -30, 30)))
-            grad = v.T @ (weights * (self.toxic - p)) - 0.01 * (w - prior)
+            grad = v.T @ (weights * (toxic - p)) - 0.01 * (w - prior)
             step = np.linalg.solve((v * (weights * p * (1 - p))[:, None]).T @ v + 0.01 * np.eye(3), grad)
             w = w + step
             if abs(step).max() < 1e-9:
                 break
         self.curve = tuple(float(x) for x in w)
+        p = np.clip(1 / (1 + np.exp(-np.clip(v @ w, -30, 30))), 1e-9, 1 - 1e-9)
+        return float(-(weights * (toxic * np.log(p) + (1 - toxic) * np.log(1 - p))).sum() / weights.sum())
+
+
+def alike(row: np.ndarray, term: np.ndarray, weight: np.ndarray, vocabulary: np.ndarray, n: int) -> np.ndarray:
+    """An order of the ``n`` examples in which similar ones are neighbours: sign projections, grouped by a few rounds of k-means."""
+    signs = ((mix(vocabulary)[:, None] >> np.arange(16, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) * 2 - 1
+    x = np.zeros((n, 16))
+    cut = np.searchsorted(row, np.arange(0, n + 256, 256))
+    for k, (lo, hi) in enumerate(zip(cut, cut[1:], strict=False)):
+        part = signs[term[lo:hi]] * weight[lo:hi, None]
+        for d in range(16):
+            x[k * 256:(k + 1) * 256, d] = np.bincount(row[lo:hi] - k * 256, part[:, d], 256)[:n - k * 256]
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    centre = x[np.linspace(0, n - 1, min(n, 48)).astype(int)]
+    for _ in range(8):
+        of = (x @ centre.T).argmax(1)
+        for c in np.unique(of):
+            centre[c] = x[of == c].mean(0)
+    return np.lexsort([x[:, 0], of])
 
 
 def telling(row: np.ndarray, term: np.ndarray, toxic: np.ndarray, n_terms: int) -> np.ndarray:
@@ -271,10 +305,11 @@ def frequencies(docs: DataFrame, vocabulary: np.ndarray, text: str = "text") ->
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text",
-          most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, k: int = NEIGHBOURS) -> Index | float:
+          most_toxic: int = MOST_TOXIC, most_clean: int = MOST_CLEAN, k: int = NEIGHBOURS) -> Fitted | float:
     """Index over a bounded sample of labelled rows; without both labels, the smoothed share of label 1.
 
-    The sample holds the labelled keys of smallest hash, ``most_toxic`` of label 1 and ``most_clean`` of label 0.
+    The sample holds the labelled keys of smallest hash, ``most_toxic`` of label 1 and ``most_clean`` of label 0, and of their rows (a
+    key may have many) as many, those of smallest hash.
     """
     known = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("y")).filter("y in (0, 1)").dropna()
     totals = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
@@ -298,24 +333,66 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
                            names=pa.array([x for x, _ in out], pa.binary()),
                            counts=pa.array([x for _, x in out], pa.binary()))
 
-    got = rows.mapInArrow(words, "k string, y int, names binary, counts binary").toPandas()
-    got = got.sort_values(["names", "counts", "y", "k"]).reset_index(drop=True)
-    if got.y.nunique() < 2:
+    found = materialize(rows.mapInArrow(words, "k string, y int, names binary, counts binary"), "examples")
+    mark = F.xxhash64("k", "names", "counts")
+    chosen = [found.filter(F.col("y") == y).orderBy(mark, "k").limit(n) for y, n in ((1, most_toxic), (0, most_clean))]
+    sample = materialize(chosen[0].unionByName(chosen[1]), "sample")  # most_toxic + most_clean rows
+    if sample.select("y").distinct().count() < 2:
         return (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
-    names = [np.frombuffer(x, np.uint64) for x in got.names]
-    count = np.concatenate([np.frombuffer(x, np.int64) for x in got.counts])
-    row = np.repeat(np.arange(len(names)), [len(x) for x in names])
-    vocabulary, term = np.unique(np.concatenate(names), return_inverse=True)
-    toxic = got.y.to_numpy().astype(float)
+    held = [np.zeros(0, np.uint64)]
+    for r in sample.select("names").toLocalIterator():
+        held.append(np.frombuffer(bytes(r.names), np.uint64))
+        if len(held) > 512:
+            held = [np.unique(np.concatenate(held))]
+    vocabulary = np.unique(np.concatenate(held))
     df, n = frequencies(docs, vocabulary, text)
-    index = Index.build(vocabulary, df, n, got.k.tolist(), toxic, row, term, count)
+    known_terms = docs.sparkSession.sparkContext.broadcast((vocabulary, df))
+
+    def learn(batches):
+        got = pd.concat(list(batches))
+        if len(got):
+            yield pd.DataFrame({"model": [pickle.dumps(fit(got, *known_terms.value, n, totals, k))]})
+
+    # the sample is bounded; one task fits it, so that the driver only passes the model on
+    return Fitted(bytes(sample.repartition(1).mapInPandas(learn, "model binary").first().model))
+
+
+@dataclass
+class Fitted:
+    """An index as bytes; it is laid out where it is first used, once in a worker."""
+    data: bytes
+
+    @cached_property
+    def index(self) -> Index:
+        return pickle.loads(self.data)
+
+
+def fit(got: pd.DataFrame, vocabulary: np.ndarray, df: np.ndarray, n: int, totals: dict[int, int], k: int) -> Index:
+    """Index and curve from the examples (k, y, names, counts), with the weight of plain terms whose left-one-out votes fit best."""
+    got = got.sort_values(["names", "counts", "y", "k"]).reset_index(drop=True)
+    size = np.array([len(x) // 8 for x in got.names])
+    term = np.searchsorted(vocabulary, np.frombuffer(b"".join(got.names), np.uint64))
+    count = np.frombuffer(b"".join(got.counts), np.int64)
+    row, toxic = np.repeat(np.arange(len(got)), size), got.y.to_numpy().astype(float)
+    order = alike(row, term, (1 + np.log(count)) * np.log((n + 1) / (df[term] + 1)), vocabulary, len(got))
+    place = np.argsort(order)
+    sort = np.argsort(place[row], kind="stable")
+    row, term, count, toxic, ids = place[row][sort], term[sort], count[sort], toxic[order], got.k.to_numpy()[order].tolist()
     own = {y: (toxic == y).sum() for y in (0, 1)}
-    index.calibrate(row, term, count, k, np.array([totals[int(y)] / own[y] for y in toxic]))
+    weights, every = np.array([totals[int(y)] / own[y] for y in toxic]), np.arange(len(ids))
+    tried = every[np.linspace(0, len(ids) - 1, min(len(ids), TRIED)).astype(int)]
+
+    def built(plain: float) -> Index:
+        return Index.build(vocabulary, df, n, ids, toxic, row, term, count, plain)
+
+    loss = {plain: built(plain).calibrate(row, term, count, k, weights, tried) for plain in PLAIN}
+    index = built(min(PLAIN, key=lambda plain: loss[plain]))
+    index.calibrate(row, term, count, k, weights, every)
     index.share = totals[1] / sum(totals.values())
     return index
 
 
-def predict(docs: DataFrame, model: Index | float, key: str = "doc_id", text: str = "text",
+def predict(docs: DataFrame, model: Fitted | float, key: str = "doc_id", text: str = "text",
             k: int = NEIGHBOURS) -> DataFrame:
     """``key``, ``score`` and ``evidence`` (neighbours as key, label, cosine) for every row.
 
@@ -328,7 +405,7 @@ def predict(docs: DataFrame, model: Index | float, key: str = "doc_id", text: st
     kind = pa.list_(pa.struct([("key", pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def run(batches):
-        model = shared.value
+        model = shared.value if isinstance(shared.value, float) else shared.value.index
         for b in slices(batches, "__text", 1 << 21):
             if isinstance(model, float):
                 score, evidence = np.full(b.num_rows, model), [[]] * b.num_rows

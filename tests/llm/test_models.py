@@ -76,10 +76,11 @@ def cosines(index, bags):
     return out
 
 
-def test_block_max_search_is_exact(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "LEAST_G2", 0.5)
+@pytest.mark.parametrize("whole", [-1.0, 0.4, 2.0])
+def test_block_max_search_is_exact(spark, whole, monkeypatch):
+    monkeypatch.setattr(toxicity, "WHOLE", whole)  # always whole posting lists, as in production, always picked blocks
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    index = toxicity.train(docs, labels)
+    index = toxicity.train(docs, labels).index
     assert index.blocks > 3
     texts = [r.text.encode() for r in docs.orderBy("doc_id").limit(150).collect()]
     off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
@@ -94,10 +95,10 @@ def test_block_max_search_is_exact(spark, monkeypatch):
 
 def test_a_copy_of_an_example_finds_it(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
-    index = toxicity.train(docs, labels)
-    copies = docs.filter(F.col("doc_id").cast("string").isin(index.ids) & F.col("text").rlike("[A-Za-z]")).select(
+    model = toxicity.train(docs, labels)
+    copies = docs.filter(F.col("doc_id").cast("string").isin(model.index.ids) & F.col("text").rlike("[A-Za-z]")).select(
         (-1 - F.col("doc_id")).alias("doc_id"), "text")
-    got = toxicity.predict(copies, index).collect()
+    got = toxicity.predict(copies, model).collect()
     assert len(got) > 300 and all(r.evidence and r.evidence[0].cosine == pytest.approx(1) for r in got)
 
 
