@@ -77,8 +77,9 @@ def refine(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     marked = rows.join(owed, "bucket", "left").select(
         "row", "id", F.when(hit, F.unhex(F.sha2("norm", 256))).alias("hash"), *extra)
     marked = materialize(marked, "dedup-hash")
-    groups = marked.filter("hash IS NOT NULL").groupBy("hash").agg(
-        F.count("*").alias("n"), F.max(F.struct("id", "row")).alias("top")).filter("n > 1")
+    # stored, so that the join has an exchange on either side and a hot group's rows can be split
+    groups = materialize(marked.filter("hash IS NOT NULL").groupBy("hash").agg(
+        F.count("*").alias("n"), F.max(F.struct("id", "row")).alias("top")).filter("n > 1"), "dedup-groups")
     back = [F.col(e).alias(name) for e, name in zip(extra, also, strict=True)]
     alone = marked.filter("hash IS NULL").select(
         F.col("id").alias(id_col), F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),

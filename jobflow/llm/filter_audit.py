@@ -56,12 +56,14 @@ def mask_cells(docs: DataFrame, labels: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = materialize(docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
                                    own_mask(text).alias("own"), F.unhex(F.sha2(text, 256)).alias("hash")), "audit-rows")
-    first = rows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).filter(
-        "copies > 1 AND first IS NOT NULL").select("hash", "first")
+    # stored, so that the joins have an exchange on either side and a hot key's rows can be split
+    first = materialize(rows.groupBy("hash").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")).filter(
+        "copies > 1 AND first IS NOT NULL").select("hash", "first"), "audit-first")
     rows = rows.join(first, "hash", "left").select("doc_id", "part", (F.col("own") + F.when(
         F.col("doc_id") > F.col("first"), 16).otherwise(0)).alias("mask"))
     marks = labels.groupBy("doc_id").agg(F.coalesce(F.bool_or(F.col("quality") == 1), F.lit(False)).alias("good"),
                                          F.coalesce(F.bool_or(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
+    marks = materialize(marks.filter("good OR toxic"), "audit-labels")
     return rows.join(marks, "doc_id", "left").groupBy("part", "mask").agg(
         F.count("*").alias("n"), F.count_if("good").alias("good"), F.count_if("toxic").alias("toxic"))
 

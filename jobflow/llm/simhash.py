@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobflow.llm.common import bucket_bits, materialize, table_of, utf8_view
+from jobflow.llm.common import bucket_bits, even_keys, materialize, table_of, utf8_view
 
 BITS = 64
 ONE = np.uint64(1)
@@ -124,8 +124,9 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
     """
     if not 0 <= distance <= 3:
         raise ValueError("the balls of radius two and one find distances up to 3")
-    bits = bucket_bits(fps.sparkSession)
     large, small = ball(2), ball(1)
+    keys = even_keys(fps.sparkSession, bucket_bits(fps.sparkSession, 10 * len(large) * fps.count()))
+    bits = len(keys).bit_length() - 1
 
     def emit(batches):
         for batch in batches:
@@ -138,11 +139,11 @@ def links(fps: DataFrame, distance: int = 3) -> DataFrame:
                                        np.tile(np.arange(len(small), dtype=np.uint16), int(odd.sum()))])
                 # a variant's bucket is its mixed low bits, as fingerprints need not be spread evenly
                 spread = (variant * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-                order = np.argsort(spread.astype(np.uint16), kind="stable")
+                order = np.argsort(spread.astype(np.uint16 if bits <= 16 else np.uint32), kind="stable")
                 variant, code, spread = variant[order], code[order], spread[order]
                 cut = np.searchsorted(spread, np.arange((1 << bits) + 1, dtype=np.uint64))
                 got = np.flatnonzero(np.diff(cut))
-                yield table_of(bucket=pa.array(got.astype(np.int32)),
+                yield table_of(bucket=pa.array(keys[got]),
                                variants=pa.array([variant[cut[k]:cut[k + 1]].tobytes() for k in got], pa.binary()),
                                codes=pa.array([code[cut[k]:cut[k + 1]].tobytes() for k in got], pa.binary()))
 
@@ -227,8 +228,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     linked = distinct.join(classes, distinct.fp == classes.node).select("fp", "low", "root")
     lows = linked.groupBy("root").agg(F.min("low").alias("least"))
     of_class = linked.join(lows, "root").select(F.col("fp").alias("linked_fp"), "least")
-    alone = distinct.join(of_class, distinct.fp == of_class.linked_fp, "left").select(
-        "fp", F.coalesce("least", "low").alias("component_id"))
+    # stored, so that the join has an exchange on either side and a very common fingerprint's rows can be split
+    alone = materialize(distinct.join(of_class, distinct.fp == of_class.linked_fp, "left").select(
+        "fp", F.coalesce("least", "low").alias("component_id")), "simhash-classes")
     return fps.join(alone, "fp").select(
         key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
