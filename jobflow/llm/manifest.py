@@ -33,6 +33,7 @@ from jobflow.llm.common import fold as crc_fold
 from jobflow.llm.common import materialize
 
 ARITY = 3
+STORED = 4  # levels on the way down between two written tables: keeps the plans short
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 PATH = "array<struct<left: binary, right: binary>>"
 
@@ -140,6 +141,8 @@ def proofs(tree: Tree, tops: DataFrame, leaves: DataFrame) -> DataFrame:
     for k in range(top - 1, 0, -1):
         nodes = tree.levels[k]
         above = at_root(nodes, own).unionByName(attach(nodes, above, ARITY ** (k + 1), own))
+        if (top - k) % STORED == 0:
+            above = materialize(above, "manifest-paths")
     return at_root(leaves, leaves.columns).unionByName(attach(leaves, above, ARITY, leaves.columns))
 
 
