@@ -15,28 +15,31 @@ difference-cover construction:
 
 Long ties are never compared byte by byte: a suffix is sorted by the name (hash) of its leading bytes instead of by its letters,
 so a bucket holds about nine bytes per sample suffix, thirteen per candidate, and no text.  Sample names have 64 bits; two that
-collide only make more candidates.  Candidate names have 96 bits from two independent hashes: among n candidates two
-different strings share one with a chance of about n^2 / 2^97 (6e-10 at 10^10).  A name that repeats within a task
-leaves it once; its other positions are known ties.
+collide only make more candidates.  Candidate names are 96 bits of XXH3 under a seed drawn anew for each run, so that no text can be
+made to collide with another: among n candidates two different strings share one with a chance of about n^2 / 2^97 (6e-10 at 10^10).
+A name that repeats within a task leaves it once; its other positions are known ties.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobflow.llm.common import OtherNames, WindowNames, bucket_bits, even_keys, materialize, table_of, utf8_view
+from jobflow.llm.common import WindowNames, bucket_bits, even_keys, materialize, table_of, utf8_view
 
 PERIOD = 73
 COVER = (1, 2, 4, 8, 16, 32, 37, 55, 64)  # every difference modulo 73 exactly once
 UNIT_BYTES = 2 << 20
+NAMES_AT_ONCE = 1 << 16
 ENTRY = "unit long, kind int, bucket int, names binary, more binary, places binary"
 
 
@@ -67,6 +70,16 @@ def _positions(raw: bytes) -> np.ndarray:
     return np.cumsum(step, dtype=np.int64)[step != 0xFFFF]
 
 
+def _seeded_names(data: np.ndarray, pos: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """96 bits of XXH3 of the windows: the first 64 as names, the others as ``more``."""
+    raw, digest = data.tobytes(), xxhash.xxh3_128_digest
+    out = np.zeros((len(pos), 2), np.uint64)
+    for at in range(0, len(pos), NAMES_AT_ONCE):
+        some = pos[at:at + NAMES_AT_ONCE].tolist()
+        out[at:at + len(some)] = np.frombuffer(b"".join([digest(raw[p:p + length], seed) for p in some]), np.uint64).reshape(-1, 2)
+    return out[:, 0].copy(), (out[:, 1] >> np.uint64(32)).astype(np.uint32)
+
+
 class _Unit:
     """Text pieces laid end to end; a piece is up to UNIT_BYTES starts of one text and the overlap behind them."""
 
@@ -191,6 +204,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
     if length <= PERIOD:
         raise ValueError(f"the cover sample needs strings longer than {PERIOD} bytes")
     depth = length - PERIOD + 1
+    seed = secrets.randbits(64)
     spark = docs.sparkSession
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
@@ -221,8 +235,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 200) -> Da
                 np.add.at(marks, a + np.minimum(np.maximum(near - PERIOD + 1, 0), last[j]), 1)
                 np.add.at(marks, a + np.minimum(near + 1, last[j]), -1)
             pos = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
-            more = OtherNames(data).at(pos, length) if len(pos) else np.zeros(0, np.uint64)
-            yield _deal(unit, number() + k, pos, WindowNames(data).at(pos, length), (more >> np.uint64(32)).astype(np.uint32), keys)
+            yield _deal(unit, number() + k, pos, *_seeded_names(data, pos, length, seed), keys)
 
     def spans(pos: np.ndarray) -> bytes:
         new = np.flatnonzero(np.diff(pos, prepend=-length - 1) > length)

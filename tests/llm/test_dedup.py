@@ -38,6 +38,26 @@ def test_colliding_names_remove_nothing(odd_docs, odd_texts, monkeypatch, spark)
     assert got == want
 
 
+# pairs of strings whose windows share both linear names, the second one's base being its own or the first one's
+COLLIDING = [
+    ((b"nt6ssciIupBDRZOvysWepbHGmmapKmnkxkq2UWCcwbq67 l2vfAOpdljXpQr. FHS ZdX4 0BWadgBtqc .Y8cPtPKwsO0dRmOuO"
+          b"c8H8mcLZ3qKpns an35b6RMhWLm7yslr6yYNffd4p5ChSSsLQLUqNUjFZdtdKBwgZpC2LYlSDY83G u7qP.JM0lZe2Er-collide"),
+     (b"MKEYnI4 nFxMyygda1FE.XNzg9iryaSzCIKXJhVAXAXdBFw4Ps FgHYOuiEFvNvKLlW3WsmHPYA jJJo9VbkxCMS1rS77U9nmc78"
+          b"A.26owRzORcykdBfTRhch7NaRUCqovqG1t6p6ko G68bUB9q7F8hn5wc2wval0CB6 Ou.oSbhGaB0ULhQiMAR2y8jbDA-collide")),
+    ((b"lfPR2JY13nf0UyzFaL0b.Ss4rkLoXAwHDfYgcDSrFdjMBM0hoNTgVeXlYjVJ.py8IhMvQICyWk3FOcRYc3DcdnkkcBGwP.toxTI5"
+          b"jhvP2loMv6Anxqc2kKvGXCDcB5V4r.n9azIJb1JneCGwJUgSruMHso481 Bi3lREckpW0crz8rh7EgGvI9IoJbJK8uyx-collide"),
+     (b"JK rzrJTnoJUl8jFMqKeSKUSdqRPkikurfxDfdkRFZJn1Ie4tNL09EpDmVKRirO7Lr99BplQN.I iJEOoJH4L4qGFxA7csijK5kB"
+          b"zNJMYZ5Tj3dwfyEDBSBK5XeEyEs9RYv9UUpsiR8IGxorinER9Y1pFS2YZIpehYrHUhoetj1ddYxWL7SqQqNkDfiblbEF-collide"))]
+
+
+@pytest.mark.parametrize("pair", COLLIDING)
+def test_crafted_strings_are_told_apart(spark, pair):
+    """A byte changed at the end keeps the samples of both strings tied, so both are candidates."""
+    texts = [t.decode() for s in pair for t in (s, s[:-1] + b"!")]
+    got = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.n_removed for r in suffix_dedup.digests(got.coalesce(1)).orderBy("doc_id").collect()] == [0, 0, 0, 0]
+
+
 def test_suffix_dedup_spans_and_columns(odd_docs, no_docs):
     cut = suffix_dedup.cut_repeats(odd_docs)
     assert cut.columns == [*odd_docs.columns, "spans", "kept", "kept_text"]
