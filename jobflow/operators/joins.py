@@ -39,11 +39,11 @@ def _served(k: Column, has_month: Column, has_uf: Column, other_month: bool, oth
                     F.when(has_uf & F.lit(other_uf), k["uf"]).alias("uf"))
 
 
-def _match_keys(names: DataFrame, *, asks: bool) -> DataFrame:
-    """Every name with its (key, rank) pairs: its base name, and one key for each way a partner may state month and state."""
-    k = match_keys(F.col("name"))
+def _class_keys(classes: DataFrame, *, asks: bool) -> DataFrame:
+    """Every class (ano, tipo, mes, uf; null where not stated) with its (key, rank) pairs: one for each way a partner may state month and state."""
+    k = F.struct("ano", "tipo", "mes", "uf")
     m, u = k["mes"].isNotNull(), k["uf"].isNotNull()
-    keys = [F.struct(F.lit(1).alias("rank"), F.to_json(F.struct(k["base"].alias("base"))).alias("key"))]
+    keys = []
     for om in (True, False):
         for ou in (True, False):
             # both sides name a pair of states in the same order: who asks first
@@ -52,9 +52,11 @@ def _match_keys(names: DataFrame, *, asks: bool) -> DataFrame:
             ask, give = (a, b) if asks else (b, a)
             key = F.to_json(F.struct(ask[0].alias("am"), ask[1].alias("au"), give[0].alias("gm"), give[1].alias("gu"),
                                      own["ano"].alias("ano"), own["tipo"].alias("tipo"), own["mes"].alias("mes"), own["uf"].alias("uf")))
-            rank = 5 - 2 * (m & F.lit(om)).cast("int") - (u & F.lit(ou)).cast("int")
-            keys.append(F.when(k["ano"].isNotNull(), F.struct(rank.alias("rank"), key.alias("key"))))
-    return names.select("*", F.inline(F.filter(F.array(*keys), lambda x: x.isNotNull())))
+            keys.append(F.struct((5 - 2 * (m & F.lit(om)).cast("int") - (u & F.lit(ou)).cast("int")).alias("rank"), key.alias("key")))
+    return classes.where("ano IS NOT NULL").select("*", F.inline(F.array(*keys)))
+
+
+_CLASS = ["ano", "tipo", "mes", "uf"]
 
 
 def match_outputs(inputs: DataFrame, outputs: DataFrame, *, name: str = "file_name", out_name: str = "out_name",
@@ -65,20 +67,35 @@ def match_outputs(inputs: DataFrame, outputs: DataFrame, *, name: str = "file_na
     the same state (4), neither (5).  A month or state that one side does not state agrees with any.  Outputs with
     rows come before empty ones, then the lowest rank, the newest, the last name.
 
-    Both sides become keys.  Outputs shrink to the best of a key before the join (partial aggregates), so a
-    month with very many files meets its inputs as one row and pairs are never listed.
+    All files that state the same year, type, month and state are one class, of which there are few whatever the number of
+    files.  Outputs shrink to the best of a class and of a base name (partial aggregates), classes are matched with each other, and
+    an input meets two rows: its class's best and its base name's.  Pairs are never listed.
     """
-    best = F.struct((F.col("__rows") > 0).alias("full"), F.col("__mtime").alias("mtime"), F.col("__name").alias("name"), F.col("__rows").alias("rows"))
-    o = outputs.select(F.col(out_name).alias("name"), F.col(out_name).alias("__name"), F.col(out_mtime).alias("__mtime"),
-                       F.col(out_rows).alias("__rows"))
-    o = _match_keys(o, asks=False).groupBy(F.col("key").alias("__key"), F.col("rank").alias("__r")).agg(F.max(best).alias("best"))
-    i = _match_keys(inputs.select(F.col(name).alias("name")).distinct(), asks=True)
-    found = i.join(o, (F.col("key") == F.col("__key")) & (F.col("rank") == F.col("__r"))).groupBy("name").agg(F.max(F.struct(
-        F.col("best.full").alias("full"), (-F.col("rank")).alias("rank"), F.col("best.mtime").alias("mtime"),
-        F.col("best.name").alias("name"), F.col("best.rows").alias("rows"))).alias("b"))
-    found = found.select(F.col("name").alias("__of"), (-F.col("b.rank")).alias("__rank"), F.col("b.name").alias("__name"),
-                         F.col("b.mtime").alias("__mtime"), F.col("b.rows").alias("__rows"))
-    return inputs.join(found, inputs[name] == F.col("__of"), "left").drop("__of")
+    def stated(c: str):
+        k = match_keys(F.col(c))
+        return [k[x].alias(f"__{x}") for x in ("base", *_CLASS)]
+
+    best = F.max(F.struct((F.col("__rows") > 0).alias("full"), F.col("__mtime").alias("mtime"), F.col("__name").alias("name"),
+                          F.col("__rows").alias("rows"))).alias("best")
+    renamed = [F.col(f"__{x}").alias(x) for x in _CLASS]
+
+    def ranked(rank):
+        return F.struct(F.col("best.full").alias("full"), (-rank).alias("rank"), F.col("best.mtime").alias("mtime"),
+                        F.col("best.name").alias("name"), F.col("best.rows").alias("rows"))
+
+    o = outputs.select(F.col(out_name).alias("__name"), F.col(out_mtime).alias("__mtime"), F.col(out_rows).alias("__rows"), *stated(out_name))
+    same = o.groupBy(F.col("__base").alias("__of")).agg(best).select("__of", ranked(F.lit(1)).alias("__same"))
+    given = _class_keys(o.groupBy(*renamed).agg(best), asks=False).groupBy(F.col("key").alias("__key"), F.col("rank").alias("__r")).agg(
+        F.max("best").alias("best"))
+    i = inputs.select("*", *stated(name))
+    asked = _class_keys(i.select(*renamed).distinct(), asks=True)
+    alike = asked.join(given, (F.col("key") == F.col("__key")) & (F.col("rank") == F.col("__r"))).groupBy(
+        *[F.col(x).alias(f"__of_{x}") for x in _CLASS]).agg(F.max(ranked(F.col("rank"))).alias("__alike"))
+    found = i.join(same, F.col("__base") == F.col("__of"), "left").join(
+        alike, (F.col("__ano") == F.col("__of_ano")) & (F.col("__tipo") == F.col("__of_tipo")) & F.col("__mes").eqNullSafe(F.col("__of_mes"))
+        & F.col("__uf").eqNullSafe(F.col("__of_uf")), "left").withColumn("__b", F.greatest("__same", "__alike"))
+    return found.select(*inputs.columns, (-F.col("__b.rank")).alias("__rank"), F.col("__b.name").alias("__name"),
+                        F.col("__b.mtime").alias("__mtime"), F.col("__b.rows").alias("__rows"))
 
 
 def stale_by_match(inputs: DataFrame, outputs: DataFrame, *, in_mtime: str = "mtime", **names) -> DataFrame:

@@ -34,3 +34,20 @@ def test_impute_in_one_table_equals_two_frame_form(spark):
     one = sorted(r.id for r in D.impute_separations_in(df, key=key, is_main=F.col("origem").isin(1, 2)).collect())
     two = sorted(r.id for r in D.impute_separations(df.where("origem in (1, 2)"), df.where("origem = 3"), key=key).collect())
     assert one == two == [1, 3, 5]
+
+
+def test_matching_lists_keys_of_classes_not_of_files(spark):
+    """Only what remains after grouping is turned into keys, so their number does not grow with the files."""
+    inputs = spark.createDataFrame([(f"MOV2021{k % 12 + 1:02d}_SP_{k}.7z",) for k in range(50)], "file_name string")
+    outputs = spark.createDataFrame([("MOV202103_SP_2.csv", 1, 5), ("MOVIMENTACAO_2021.csv", 2, 0)], "out_name string, out_mtime int, out_rows int")
+    got = D.match_outputs(inputs, outputs)
+    lines = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    generates = [k for k, x in enumerate(lines) if "Generate" in x]
+    assert generates
+    for k in generates:
+        below = next((n for n in range(k + 1, len(lines)) if depth[n] <= depth[k]), len(lines))
+        assert any("Aggregate" in x for x in lines[k:below])
+    found = {r.file_name: (r["__rank"], r["__name"]) for r in got.collect()}
+    assert found["MOV202103_SP_2.7z"] == (1, "MOV202103_SP_2.csv") and found["MOV202103_SP_14.7z"] == (2, "MOV202103_SP_2.csv")
+    assert found["MOV202101_SP_0.7z"] == (5, "MOVIMENTACAO_2021.csv")
