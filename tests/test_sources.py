@@ -169,3 +169,30 @@ def test_file_hashes_read_files_of_any_size(spark):
     assert len(data) > 3 * TX.HASH_CHUNK and want.sha256 == hashlib.sha256(data).hexdigest()
     assert TX.file_hashes(spark, root + "/*.txt", whole=3).first() == want  # in chunks
     assert TX.file_hashes.__defaults__[0] is None  # by default no file is left unread
+
+
+def test_built_inputs_share_one_stored_join(spark, monkeypatch):
+    from jobflow.plans import source_queries as SQ
+    monkeypatch.setattr(SQ, "_LAYOUTS", {})
+    seen = []
+    monkeypatch.setattr(SQ.FL, "write_monthly", lambda df, root, **kw: seen.append(df))
+    SQ._drift(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 3 and not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+
+
+def test_malformed_lines_are_written_by_many_tasks(spark, monkeypatch):
+    from jobflow.plans import source_queries as SQ
+    monkeypatch.setattr(SQ, "_LAYOUTS", {})
+    root = SQ._landed(spark, "/root/testdata/sf0.001")
+    lines = spark.read.text(f"{root}/d/*.csv").collect()
+    files = spark.read.text(f"{root}/d/*.csv").inputFiles()
+    assert len(files) > 1 and sum(r.value == ";".join(SQ.RT_COLS) for r in lines) == len(files)
+
+
+def test_few_partition_values_are_written_unsorted(spark):
+    from jobflow.plans import source_queries as SQ
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with SQ._unsorted(spark):
+        assert int(spark.conf.get(name)) >= 5
+    assert spark.conf.get(name) == before
