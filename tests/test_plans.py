@@ -89,3 +89,34 @@ def test_bucketed_fixture_join_has_no_exchange(spark):
     b = sorted(map(tuple, B.balance_series(mov(spark, SF_SMALL, ["competencia_mov", "tipo_movimentacao", "tipo",
                                                                    "saldo_movimentacao"])).collect()))
     assert a == b
+
+
+def test_the_movement_join_carries_codes_and_months(spark):
+    plan = _plan(mov(spark, SF_SMALL, ["id", "competencia_mov", "tipo", "tipo_movimentacao"], shuffled=True))
+    joined = plan[plan.index("SortMergeJoin"):]
+    dealt = [line for line in joined.splitlines() if "Sort [" in line]
+    below = [line for line in joined.splitlines() if "Project [" in line]
+    assert len(dealt) == 2 and any(" AS code#" in line and " AS ship_ym#" in line for line in below)
+    assert not any("BroadcastHashJoin" in line for line in plan.splitlines())
+
+
+def test_movements_are_the_same_by_a_shuffle(spark):
+    a, b = mov(spark, SF_SMALL), mov(spark, SF_SMALL, shuffled=True)
+    assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_derived_movement_columns_of_missing_cells(spark, tmp_path):
+    import datetime as dt
+    d, other = dt.datetime(1996, 12, 31), dt.datetime(1997, 1, 1)
+    lines = [(1, 1, 6, 3, "R", "F", d), (1, 2, 0, 10, None, None, other), (1, 3, None, None, "N", "F", None), (2, 1, 5, 5, "A", "O", d),
+             (None, 1, 5, 5, "A", "O", d), (3, 1, 1, None, "N", "O", d)]
+    spark.createDataFrame([(*x, 1.0, 2.0) for x in lines], "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_returnflag string, "
+                          "l_linestatus string, l_shipdate timestamp_ntz, l_quantity double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 7, d), (2, 8, None), (None, 9, d)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(
+        f"{tmp_path}/orders.parquet")
+    for shuffled in (False, True):
+        got = mov(spark, str(tmp_path), ["id", "competencia_mov", "competencia_dec", "tipo", "tipo_movimentacao", "saldo_movimentacao"],
+                  shuffled=shuffled)
+        assert sorted(map(tuple, got.collect())) == [
+            (11, "202112", "202112", "EXC", "XX", 1), (12, "202112", "202201", "FOR", "98", -1), (13, "202112", None, "MOV", "XX", 1),
+            (21, None, "202112", "MOV", "45", -1)]

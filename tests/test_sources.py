@@ -196,3 +196,17 @@ def test_few_partition_values_are_written_unsorted(spark):
     with SQ._unsorted(spark):
         assert int(spark.conf.get(name)) >= 5
     assert spark.conf.get(name) == before
+
+
+def test_the_stored_join_is_planned_alike_at_any_size(spark, monkeypatch):
+    from jobflow.plans import source_queries as SQ
+    plans, own = [], SQ.mov
+    monkeypatch.setattr(SQ, "_LAYOUTS", {})
+
+    def seen(*args, **kw):
+        df = own(*args, **kw)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+    monkeypatch.setattr(SQ, "mov", seen)
+    SQ.moves(spark, "/root/testdata/sf0.001", SQ.RT_COLS)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
