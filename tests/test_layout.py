@@ -327,3 +327,24 @@ def test_lateness_on_a_stream_equals_the_batch(spark):
     again = INC.lateness_stream(spark, landing, out, ckpt, df.schema)     # nothing new
     want = sorted(map(tuple, lateness(df).collect()))
     assert sorted(map(tuple, got.collect())) == want == sorted(map(tuple, again.collect()))
+
+
+def test_lines_are_not_sorted_by_their_file(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+    from jobflow.sources import text as TX
+    os.makedirs(tmp_path / "in")
+    files = {"a.csv": "é;b\n1;2\n".encode(), "b.csv": b"x;\xe9\n1;2\n", "c.csv": b"x,y\n1,\xe9\n", "d.csv": b""}
+    for name, data in files.items():
+        (tmp_path / "in" / name).write_bytes(data)
+    heads, own, plans = TX.header_lines(spark, f"{tmp_path}/in/*"), DataFrameWriter.parquet, []
+
+    def seen(self, *args, **kw):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return own(self, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    status = TX.file_status(spark, f"{tmp_path}/in/*")
+    for plan in (heads._jdf.queryExecution().executedPlan().toString(), *plans):
+        assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+    want = {"a.csv": ("é;b", "UTF-8"), "b.csv": ("x;é", "ISO-8859-1"), "c.csv": ("x,y", "ISO-8859-1")}
+    assert len(plans) == 1 and {r.arquivo.rpartition("/")[2]: (r.cabecalho, r.codificacao) for r in heads.collect()} == want
+    assert {r.arquivo.rpartition("/")[2]: (r.cabecalho, r.codificacao) for r in status.where("motivo IS NULL").collect()} == want
