@@ -41,6 +41,7 @@ LEAST_G2 = 24.0  # chance of a term this uneven by luck: about one in a million
 PLAIN = (1.0, 0.3, 0.1, 0.03)
 TRIED = 1000  # examples whose left-one-out votes choose among them
 DENSE, ROWS = 1024, 64
+PIECE, PARTS, CUT = 1 << 19, 16, "at long, size long, piece binary"  # bytes in a row of the model, and files of these rows
 
 _b = np.arange(256)
 _lower = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
@@ -82,6 +83,11 @@ def bags(data: np.ndarray, off: np.ndarray, vocabulary: np.ndarray):
     return key // max(1, len(vocabulary)), key % max(1, len(vocabulary)), count
 
 
+def small(x: np.ndarray) -> np.ndarray:
+    """Counts in the narrowest type that holds them."""
+    return x.astype(np.min_scalar_type(x.max(initial=0)))
+
+
 @dataclass
 class Index:
     """Postings by (term, block): ``entry`` delimits a term's blocks, ``post`` an entry's postings.
@@ -97,6 +103,7 @@ class Index:
     block: np.ndarray
     post: np.ndarray
     example: np.ndarray
+    count: np.ndarray
     weight: np.ndarray
     column: np.ndarray
     dense: np.ndarray
@@ -109,18 +116,17 @@ class Index:
     def build(cls, vocabulary, df, n_docs, ids, toxic, row, term, count, plain: float) -> Index:
         idf = np.log((n_docs + 1) / (df + 1)) + 1e-3
         idf = idf * np.where(telling(row, term, toxic, len(vocabulary)), 1.0, plain)
-        w = (1 + np.log(count)) * idf[term]
-        norm = np.sqrt(np.bincount(row, w * w, len(ids)))
-        w = w / np.maximum(norm[row], 1e-300)
         order = np.lexsort([row, term])
-        row, term, w = row[order], term[order], w[order]
-        return cls.of(vocabulary, idf, ids, toxic, np.bincount(term, minlength=len(vocabulary)), row, w)
+        return cls.of(vocabulary, idf, ids, toxic, np.bincount(term, minlength=len(vocabulary)), row[order], count[order])
 
     @classmethod
-    def of(cls, vocabulary, idf, ids, toxic, held, row, w) -> Index:
-        """The index of ``held`` postings for each term in turn, as examples and weights."""
+    def of(cls, vocabulary, idf, ids, toxic, held, row, count) -> Index:
+        """The index of ``held`` postings for each term in turn, as examples and counts."""
         blocks = len(ids) // BLOCK + 1
         term = np.repeat(np.arange(len(vocabulary)), held)
+        w = (1 + np.log(count)) * idf[term]
+        norm = np.sqrt(np.bincount(row, w * w, len(ids)))
+        w = w / np.maximum(norm[row], 1e-300)
         first = np.flatnonzero(np.diff(term * blocks + row // BLOCK, prepend=-1))
         most = np.maximum.reduceat(w, first) if len(first) else w
         peak = np.zeros((len(vocabulary), blocks), np.float32)
@@ -132,17 +138,17 @@ class Index:
         some = column[term] >= 0
         dense[column[term[some]], row[some]] = w[some]
         return cls(vocabulary, idf, ids, toxic, np.searchsorted(term[first], np.arange(len(vocabulary) + 1)),
-                   row[first] // BLOCK, np.append(first, len(row)), row, w, column, dense,
+                   row[first] // BLOCK, np.append(first, len(row)), row, count, w, column, dense,
                    dense.astype(np.float32), peak)
 
-    def __getstate__(self):  # blocks and dense rows are made anew where it is read: a quarter of the bytes travels
-        return (self.vocabulary, self.idf, self.ids, self.toxic, np.diff(self.post[self.entry]).astype(np.int32),
-                self.example.astype(np.int32), self.weight), self.curve, self.share
+    def __getstate__(self):  # weights, blocks and dense rows are made anew where it is read: a tenth of the bytes travels
+        return (self.vocabulary, self.idf, self.ids, self.toxic, small(np.diff(self.post[self.entry])),
+                small(self.example), small(self.count)), self.curve, self.share
 
     def __setstate__(self, state):
         parts, curve, share = state
-        vocabulary, idf, ids, toxic, held, row, w = parts
-        made = Index.of(vocabulary, idf, ids, toxic, held.astype(np.int64), row.astype(np.int64), w)
+        vocabulary, idf, ids, toxic, held, row, count = parts
+        made = Index.of(vocabulary, idf, ids, toxic, held.astype(np.int64), row.astype(np.int64), count.astype(np.int64))
         self.__dict__.update(made.__dict__ | {"curve": curve, "share": share})
 
     @property
@@ -339,22 +345,46 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "
     sample = materialize(chosen[0].unionByName(chosen[1]), "sample")  # most_toxic + most_clean rows
     if sample.select("y").distinct().count() < 2:
         return (totals.get(1, 0) + 0.5) / (sum(totals.values()) + 1)
-    held = [np.zeros(0, np.uint64)]
-    for r in sample.select("names").toLocalIterator():
-        held.append(np.frombuffer(bytes(r.names), np.uint64))
-        if len(held) > 512:
-            held = [np.unique(np.concatenate(held))]
-    vocabulary = np.unique(np.concatenate(held))
+
+    def distinct(batches):
+        names = [np.unique(np.frombuffer(b"".join(pdf.names), np.uint64)) for pdf in batches]
+        if names:
+            yield from cuts(np.unique(np.concatenate(names)).tobytes())
+
+    # the sample is bounded; one task reads it, and the driver passes on what it finds, a piece at a time
+    vocabulary = np.frombuffer(whole(in_pieces(sample.select("names").repartition(1).mapInPandas(distinct, CUT), "vocabulary")), np.uint64)
     df, n = frequencies(docs, vocabulary, text)
     known_terms = docs.sparkSession.sparkContext.broadcast((vocabulary, df))
 
     def learn(batches):
         got = pd.concat(list(batches))
         if len(got):
-            yield pd.DataFrame({"model": [pickle.dumps(fit(got, *known_terms.value, n, totals, k))]})
+            yield from cuts(pickle.dumps(fit(got, *known_terms.value, n, totals, k)))
+
+    return Fitted(whole(in_pieces(sample.repartition(1).mapInPandas(learn, CUT), "model")))
+
+
+def cuts(data: bytes):
+    """Rows of ``PIECE`` bytes at most; one without bytes if there are none."""
+    for at in range(0, max(1, len(data)), PIECE):
+        yield pd.DataFrame({"at": [at], "size": [len(data)], "piece": [data[at:at + PIECE]]})
+
 
-    # the sample is bounded; one task fits it, so that the driver only passes the model on
-    return Fitted(bytes(sample.repartition(1).mapInPandas(learn, "model binary").first().model))
+def in_pieces(pieces: DataFrame, name: str) -> DataFrame:
+    """``cuts`` stored in several files, so that the driver gets a few of them at a time."""
+    return materialize(pieces.repartition(PARTS, "at"), name)
+
+
+def whole(pieces: DataFrame) -> bytes:
+    """The bytes of which ``pieces`` are ``cuts``.
+
+    A collected frame comes over a socket, and if the driver's JVM runs out of memory while it sends, the rows just end.
+    """
+    got = sorted((r["at"], r["size"], bytes(r.piece)) for r in pieces.toLocalIterator())
+    data = b"".join(x for *_, x in got)
+    if not got or len(data) != got[0][1]:
+        raise RuntimeError(f"only {len(data)} of {got[0][1] if got else 'all'} bytes of the model came to the driver")
+    return data
 
 
 @dataclass

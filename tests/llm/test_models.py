@@ -102,6 +102,22 @@ def test_a_copy_of_an_example_finds_it(spark):
     assert len(got) > 300 and all(r.evidence and r.evidence[0].cosine == pytest.approx(1) for r in got)
 
 
+def test_the_model_comes_whole_or_not_at_all(spark, monkeypatch):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    monkeypatch.setattr(toxicity, "PIECE", 10_000)
+    one = toxicity.train(docs, labels)
+    index = one.index
+    assert len(one.data) < 12 * len(index.weight)  # counts travel, weights are made anew
+    w = (1 + np.log(index.count)) * index.idf[np.repeat(np.arange(len(index.vocabulary)), np.diff(index.post[index.entry]))]
+    assert np.allclose(index.weight, w / np.sqrt(np.bincount(index.example, w * w))[index.example])
+    data = bytes(range(256)) * 100
+    rows = spark.createDataFrame([(at, len(data), data[at:at + 1000]) for at in range(0, len(data), 1000)], toxicity.CUT).repartition(5)
+    assert toxicity.whole(rows) == data
+    for some in (rows.filter("at > 0"), rows.limit(0)):  # the serving thread died: the rows just ended
+        with pytest.raises(RuntimeError, match="bytes of the model"):
+            toxicity.whole(some)
+
+
 def test_document_frequencies_count_all_rows(spark):
     docs = spark.createDataFrame([("one two two",), ("two three",), (None,), ("",)], "text string")
     raw = b"one two three"
