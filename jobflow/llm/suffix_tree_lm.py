@@ -8,9 +8,10 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-The buckets of a short context length are asked in ``PASSES`` rounds, one after the other, so that only a part of all pairs is
-on disk at a time.  From ``STORED`` words on a unit keeps a state: the tokens whose context may still grow, and per text the
-score of the others; longer contexts are asked and answered from it, and what they have replaced is removed.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
+The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
+rounds, one after the other, so that only a part of all pairs is on disk at a time.  From ``STORED`` words on a unit keeps a state: the tokens
+whose context may still grow, and per text the score of the others; it is written together with what the unit asks next, and what
+it has replaced is removed.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
 so their partial gains are summed on the driver.
 """
 
@@ -23,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobflow.llm.common import WindowNames, bucket_bits, even_keys, fold, materialize, mix, stored, table_of, utf8_view
-from jobflow.session import remove
+from jobflow.llm.common import BUCKET_BYTES, WindowNames, bucket_bits, even_keys, fold, mix, stored, table_of, utf8_view
+from jobflow.session import remove, scratch_path
 
 UNIT_BYTES = 4 << 20
 LEADS = 64  # words that a later piece of a text beyond a unit sees before its own; a kept context of that length is an error there
 HOT_SHARE = 4096
-PASSES = 3
+PASSES = 2
 STORED = 2
 HOT_LEAST = 50_000
 END = np.uint64(0x5DEECE66D)
@@ -37,6 +38,8 @@ K = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = "unit long, rows binary, ids binary, held binary, sizes binary, leads binary, ends binary, words binary, low binary, high binary"
 ANSWER = "unit long, level int, bucket int, sums binary, kept binary"
 STATES, STATE = ANSWER + ", places binary, p binary, done binary", -1  # a unit's state travels like an answer of level -1
+PAIRS = "contexts binary, lives binary, fan binary, n binary, pairs binary, counts binary, parent binary"
+ASKED, ASK = f"unit long, bucket int, deal int, {PAIRS}", -2  # level of the rows that ask, where they stand among states
 _b = np.arange(256)
 _space = (_b == 32) | ((_b >= 9) & (_b <= 13))
 _lower = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
@@ -90,7 +93,22 @@ def _pieces(data: bytes, most: int):
     yield data[at:]
 
 
-def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int) -> DataFrame:
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _bucketed(df: DataFrame, name: str, by: str, n: int) -> DataFrame:
+    """``df`` stored in ``n`` buckets of ``by``: what is joined to it on ``by`` is shuffled, not the frame itself."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = f"{name}_{path.rsplit('-', 1)[1]}"
+    df.repartition(n, by).write.bucketBy(n, by).option("compression", "zstd").option("path", path).saveAsTable(entry)
+    got = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where the frame reads them
+    return got
+
+
+def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, buckets: int) -> DataFrame:
     """Token units: rows, their words as numbers into the unit's distinct words, and the words that lead a later piece."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"),
                        F.col(held).alias("held"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -120,7 +138,7 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int) ->
             ids = ",".join("" if h[1] is None else str(h[1]) for h in held).encode()
             cells |= {"unit": pa.array([number], pa.int64()), "ids": pa.array([ids], pa.binary())}
             number += 1
-            return table_of(**{c.split()[0]: cells[c.split()[0]] for c in BLOCK.split(", ")})
+            return table_of(**{c: cells[c] for c in _names(BLOCK)})
 
         for b in batches:
             data, off = utf8_view(b.column("text"))
@@ -139,7 +157,7 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int) ->
         if held:
             yield flush()
 
-    return materialize(rows.mapInArrow(pack, BLOCK), "tokens")
+    return _bucketed(rows.mapInArrow(pack, BLOCK), "tokens", "unit", buckets)
 
 
 class Unit:
@@ -197,13 +215,21 @@ class Unit:
         context = mix(self.context[at] * K + self.words[self.index[at - d]] + np.uint64(d))
         pair = mix(context * K + self.words[self.index[at]])
         hot = max(HOT_LEAST, self.totals[0] // HOT_SHARE)
-        part = np.where(n > hot, pair % (1 + n // hot).astype(np.uint64) + np.uint64(1), np.uint64(0))
-        spread = mix(context + part * K)
-        # one sort by the upper halves of both; contexts that share theirs may alternate, which their bucket puts right
-        upper = np.uint64(32)
-        order = np.argsort((spread >> upper << upper) | (pair >> upper))
+        spread = mix(context)
+        split = np.flatnonzero(n > hot)
+        part = pair[split] % (1 + n[split] // hot).astype(np.uint64) + np.uint64(1)
+        spread[split] = mix(context[split] + part * K)
+        # one sort by the leading bits of both, the places in the last ones (sorting values is several times faster than argsort);
+        # contexts and pairs that share theirs may alternate, which their bucket puts right
+        low = len(at).bit_length()
+        top = np.uint64(64 - max(self.bits, (64 - low) // 2))
+        key = (spread >> top << top) | (pair >> (np.uint64(64) - top) >> np.uint64(low) << np.uint64(low))
+        key |= np.arange(len(at), dtype=np.uint64)
+        key.sort()
+        order = (key & np.uint64((1 << low) - 1)).astype(np.int64)
+        ordered = pair[order]
         new = np.ones(len(order), bool)
-        new[1:] = pair[order][1:] != pair[order][:-1]
+        new[1:] = ordered[1:] != ordered[:-1]
         first = order[new]
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(new) - 1
@@ -363,7 +389,8 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     size, longest = docs.agg(F.coalesce(F.sum(length), F.lit(0)), F.coalesce(F.max(length), F.lit(0))).first()
     keys = even_keys(spark, bucket_bits(spark, 4 * size // PASSES))  # a token's pair takes about 20 bytes, a token 5 and more
     bits = len(keys).bit_length() - 1
-    blocks = _blocks(docs, key, text, held, unit_bytes)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _blocks(docs, key, text, held, unit_bytes, max(parts, size // BUCKET_BYTES + 1))
     totals: tuple[int, int] = (0, 0)
     hot_kept: list[frozenset] = []
 
@@ -378,11 +405,10 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     answers, path = stored(blocks.mapInPandas(ask_words, "unit long, bucket int, deal int, words binary, counts binary")
                             .groupBy("deal").applyInPandas(_sum_words, ANSWER), "words")
     # two numbers per bucket, and there are 2**bits buckets
-    parts = [np.frombuffer(bytes(r.sums), np.int64) for r in answers.filter("unit = -1").collect()]
-    totals = (int(sum(p[0] for p in parts)), int(sum(p[1] for p in parts)))
+    found = [np.frombuffer(bytes(r.sums), np.int64) for r in answers.filter("unit = -1").collect()]
+    totals = (int(sum(p[0] for p in found)), int(sum(p[1] for p in found)))
     hot = max(HOT_LEAST, totals[0] // HOT_SHARE)
     every, old = [answers.filter("unit >= 0")], [path]  # the answers that rebuild a unit, and where they stand
-    state: DataFrame | None = None
 
     def rebuilt(block, got: pd.DataFrame, kept_hot: list[frozenset]) -> Unit:
         """The unit after the answers in ``got``, from its state if there is one."""
@@ -403,27 +429,37 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
             got = got.unionByName(more, allowMissingColumns=True)
         return blocks.groupBy("unit").cogroup(got.groupBy("unit")).applyInPandas(step, schema)
 
+    def asks(unit: Unit, number: int, turn: int = 0, passes: int = 1) -> pd.DataFrame:
+        cells = [[g, c.tobytes(), a.tobytes(), packed(fan), packed(n), p.tobytes(), packed(k), q.tobytes()]
+                 for g, c, a, fan, n, p, k, q in unit.ask(turn, passes)]
+        out = pd.DataFrame(cells, columns=["bucket", "contexts", "lives", "fan", "n", "pairs", "counts", "parent"])
+        return out.assign(unit=number, deal=keys[out.bucket.astype(int)])
+
     def asking(turn: int, passes: int):
         def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-            rows = list(rebuilt(block.iloc[0], got, hot_kept).ask(turn, passes))
-            cells = [[g, c.tobytes(), a.tobytes(), packed(fan), packed(n), p.tobytes(), packed(k), q.tobytes()]
-                     for g, c, a, fan, n, p, k, q in rows]
-            out = pd.DataFrame(cells, columns=["bucket", "contexts", "lives", "fan", "n", "pairs", "counts", "parent"])
-            return out.assign(unit=block.unit.iloc[0], deal=keys[out.bucket.astype(int)])
+            return asks(rebuilt(block.iloc[0], got, hot_kept), block.unit.iloc[0], turn, passes)
         return ask
 
-    def keep_state(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        unit = rebuilt(block.iloc[0], got, hot_kept)
-        return pd.DataFrame([unit.state()]).assign(unit=block.unit.iloc[0], level=STATE)
+    def stepping(last: bool):
+        def step(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+            """A row with the unit's state, and the rows that ask for the next length."""
+            number, unit = block.unit.iloc[0], rebuilt(block.iloc[0], got, hot_kept)
+            state = pd.DataFrame([unit.state()]).assign(unit=number, level=STATE, deal=0, **dict.fromkeys(_names(PAIRS)))
+            if last:
+                return state
+            rows = asks(unit, number).assign(level=ASK, **dict.fromkeys(("sums", "kept", "places", "p", "done")))
+            return pd.concat([state, rows[state.columns]]) if len(rows) else state
+        return step
 
     level = 0
+    waiting: DataFrame | None = None  # what the units ask next, if their last step wrote it
     while depth is None or level < depth:
         level += 1
         gains: dict[int, float] = {}
-        n_kept, passes = 0, PASSES if state is None else 1
+        n_kept, passes = 0, PASSES if level <= STORED else 1
         told, paths = [], []
         for turn in range(passes):
-            asked = joined(asking(turn, passes), "unit long, bucket int, deal int, contexts binary, lives binary, fan binary, n binary, pairs binary, counts binary, parent binary")
+            asked = waiting if waiting is not None else joined(asking(turn, passes), ASKED)
             some, path = stored(asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, hot), ANSWER), "pairs")
             told.append(some.filter("unit >= 0"))
             paths.append(path)
@@ -441,10 +477,11 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         every, old = [*every, *told], [*old, *paths]
         hot_kept.append(split)
         if level >= STORED:
-            state, path = stored(joined(keep_state, STATES), "states")
+            both, path = stored(joined(stepping(level == depth), f"{STATES}, deal int, {PAIRS}"), "states")
             for p in old:  # the state replaces them
                 remove(spark, p)
-            every, old = [state], [path]
+            every, old = [both.filter(F.col("level") == STATE).select(*_names(STATES))], [path]
+            waiting = both.filter(F.col("level") == ASK).select(*_names(ASKED))
 
     def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         return rebuilt(block.iloc[0], got, hot_kept).scores()

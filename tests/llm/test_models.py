@@ -317,6 +317,14 @@ def test_suffix_tree_matches_brute_force(spark, odd_texts, unit, depth, monkeypa
         assert r.base_score == pytest.approx(base, abs=1e-8) and r.score == pytest.approx(score, abs=1e-8)
 
 
+def test_suffix_tree_units_are_not_shuffled(spark, odd_docs):
+    scores = suffix_tree_lm.document_scores(odd_docs)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    units, answers = plan.split("FlatMapCoGroupsInPandas")[1].split("+- Exchange")[0], plan.split("FlatMapCoGroupsInPandas")[1]
+    assert "Bucketed: true" in units and "Exchange" not in units and answers.count("Exchange") == 1
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tokens_")]
+
+
 def test_suffix_tree_edges(spark, odd_docs, no_docs):
     got = suffix_tree_lm.document_scores(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r.score <= 0 and r.n_tokens > 0 for r in got)
