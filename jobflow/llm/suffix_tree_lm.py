@@ -8,7 +8,7 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
+The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of fewer than ``STORED`` words are asked in ``PASSES``
 rounds, one after the other, so that only a part of all pairs is on disk at a time.  From ``STORED`` words on a unit keeps a state: the tokens
 whose context may still grow, and per text the score of the others; it is written together with what the unit asks next, and what
 it has replaced is removed.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
@@ -64,6 +64,28 @@ def unpacked(blobs) -> np.ndarray:
     return np.concatenate(out)
 
 
+def ordered(x: np.ndarray) -> np.ndarray:
+    """An order in which ``x`` ascends, by sorting its leading bits with the places in the last ones: several times faster than argsort."""
+    low = len(x).bit_length()
+    key = (x >> np.uint64(low) << np.uint64(low)) | np.arange(len(x), dtype=np.uint64)
+    key.sort()
+    order = (key & np.uint64((1 << low) - 1)).astype(np.int64)
+    got = x[order]
+    return np.argsort(x) if (got[1:] < got[:-1]).any() else order  # different values may share their leading bits
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ascending distinct values, the number of each entry's value, the order of the entries and where a value begins in it."""
+    order = ordered(x)
+    got = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = got[1:] != got[:-1]
+    of = np.empty(len(x), np.int64)
+    of[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return got[first], of, order, first
+
+
 def word_names(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Names of all words (runs without ASCII white space, ASCII letters lowered) and the words per row."""
     if not len(data):
@@ -129,7 +151,7 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, bu
             for k, (*_, x, e, _) in enumerate(held):  # lead words, own words, end of text
                 out += [x, names[at: at + sizes[k]], np.array([END] if e else [], np.uint64)]
                 at += sizes[k]
-            words, index = np.unique(np.concatenate(out), return_inverse=True)
+            words, index, *_ = distinct(np.concatenate(out))
             index = index.astype(np.uint32)
             one = {"rows": np.array([h[0] for h in held], np.int64), "held": np.array([h[2] for h in held], bool),
                    "sizes": sizes + lead + end, "leads": lead, "ends": end, "words": words,
@@ -321,7 +343,7 @@ class Unit:
 
 def _sum_words(pdf: pd.DataFrame) -> pd.DataFrame:
     n = np.array([len(x) // 8 for x in pdf.words])
-    words, of = np.unique(np.frombuffer(b"".join(pdf.words), np.uint64), return_inverse=True)
+    words, of, *_ = distinct(np.frombuffer(b"".join(pdf.words), np.uint64))
     sums = np.zeros(len(words), np.int64)
     np.add.at(sums, of, unpacked(pdf.counts))
     cut = np.cumsum(n)
@@ -341,13 +363,10 @@ def _sum_pairs(level: int, lam: float, least_gain: float, hot: int):
                                                     for x, c in zip(pdf.lives, pdf.contexts, strict=True))])
         pairs, counts, parent = flat("pairs", np.uint64), unpacked(pdf.counts), flat("parent", np.float32)
         of_entry = np.repeat(np.arange(len(contexts)), fan)
-        order = np.argsort(pairs)
-        new = np.append(True, pairs[order][1:] != pairs[order][:-1])
-        sums = np.add.reduceat(counts[order], np.flatnonzero(new))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new) - 1
-        one = order[new]  # one entry of each distinct pair
-        names, of_context = np.unique(contexts, return_inverse=True)
+        _, rank, order, begins = distinct(pairs)
+        sums = np.add.reduceat(counts[order], begins)
+        one = order[begins]  # one entry of each distinct pair
+        names, of_context, *_ = distinct(contexts)
         seen = sums > 0
         p = parent[one][seen].astype(float)
         total, s = n[of_entry[one]][seen], sums[seen]
@@ -456,7 +475,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     while depth is None or level < depth:
         level += 1
         gains: dict[int, float] = {}
-        n_kept, passes = 0, PASSES if level <= STORED else 1
+        n_kept, passes = 0, PASSES if level < STORED else 1
         told, paths = [], []
         for turn in range(passes):
             asked = waiting if waiting is not None else joined(asking(turn, passes), ASKED)

@@ -317,6 +317,16 @@ def test_suffix_tree_matches_brute_force(spark, odd_texts, unit, depth, monkeypa
         assert r.base_score == pytest.approx(base, abs=1e-8) and r.score == pytest.approx(score, abs=1e-8)
 
 
+def test_distinct_values_that_share_their_leading_bits():
+    rng = np.random.default_rng(3)
+    for x in (rng.integers(0, 50, 1000), rng.integers(0, 1 << 62, 1000), np.array([7, 5, 7, 5, 6]), np.zeros(0, int)):
+        x = x.astype(np.uint64)
+        values, of, order, first = suffix_tree_lm.distinct(x)
+        want, inverse, count = np.unique(x, return_inverse=True, return_counts=True)
+        assert values.tolist() == want.tolist() and of.tolist() == inverse.tolist()
+        assert x[order[first]].tolist() == want.tolist() and np.diff(np.append(first, len(x))).tolist() == count.tolist()
+
+
 def test_suffix_tree_units_are_not_shuffled(spark, odd_docs):
     scores = suffix_tree_lm.document_scores(odd_docs)
     plan = scores._jdf.queryExecution().executedPlan().toString()
