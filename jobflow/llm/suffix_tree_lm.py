@@ -8,10 +8,12 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of fewer than ``STORED`` words are asked in ``PASSES``
-rounds, one after the other, so that only a part of all pairs is on disk at a time.  From ``STORED`` words on a unit keeps a state: the tokens
-whose context may still grow, and per text the score of the others; it is written together with what the unit asks next, and what
-it has replaced is removed.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
+The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
+rounds, one after the other, so that only a part of all pairs is on disk at a time.  There the next word travels as its number among all
+distinct words, and its probability only where the gain can depend on it.  From ``STORED`` words on a unit keeps a state: the tokens
+that are asked about next, and per text the score of the others; it is written together with what the unit asks next, and what
+it has replaced is removed.  Once few texts of a unit are left to ask about, its state holds their tokens too, and when all units' states do,
+the units are not read any more.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
 so their partial gains are summed on the driver.
 """
 
@@ -37,8 +39,12 @@ END = np.uint64(0x5DEECE66D)
 K = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = "unit long, rows binary, ids binary, held binary, sizes binary, leads binary, ends binary, words binary, low binary, high binary"
 ANSWER = "unit long, level int, bucket int, sums binary, kept binary"
-STATES, STATE = ANSWER + ", places binary, p binary, done binary", -1  # a unit's state travels like an answer of level -1
-PAIRS = "contexts binary, lives binary, fan binary, n binary, pairs binary, counts binary, parent binary"
+PART = "sizes binary, leads binary, words binary, low binary, high binary"  # of a state: the unit's texts that are left, if they are few
+STATES = f"{ANSWER}, places binary, p binary, done binary, rows binary, ids binary, held binary, {PART}"
+STATE = -1  # a unit's state travels like an answer of level -1
+FEW = 4  # a state holds the tokens that are left if they are less than one in so many
+NAME_BYTES = 6  # of a next word's name beyond STORED words: 48 bits tell the next words of one context apart
+PAIRS = "contexts binary, lives binary, fan binary, n binary, next binary, counts binary, told binary, parent binary"
 ASKED, ASK = f"unit long, bucket int, deal int, {PAIRS}", -2  # level of the rows that ask, where they stand among states
 _b = np.arange(256)
 _space = (_b == 32) | ((_b >= 9) & (_b <= 13))
@@ -64,6 +70,24 @@ def unpacked(blobs) -> np.ndarray:
     return np.concatenate(out)
 
 
+def trimmed(x: np.ndarray, k: int) -> np.ndarray:
+    """The ``k`` lowest bytes of each value, a row each."""
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k])
+
+
+def untrimmed(data: bytes, k: int) -> np.ndarray:
+    """The values of ``trimmed`` bytes."""
+    out = np.zeros((len(data) // k, 8), np.uint8)
+    out[:, :k] = np.frombuffer(data, np.uint8).reshape(-1, k)
+    return out.view("<u8").ravel()
+
+
+def bits_of(blobs, sizes) -> np.ndarray:
+    """The flags of several ``np.packbits`` blobs of these numbers of flags, one after the other."""
+    return np.concatenate([np.zeros(0, bool), *(np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool)
+                                                for b, n in zip(blobs, sizes, strict=True))])
+
+
 def ordered(x: np.ndarray) -> np.ndarray:
     """An order in which ``x`` ascends, by sorting its leading bits with the places in the last ones: several times faster than argsort."""
     low = len(x).bit_length()
@@ -124,7 +148,7 @@ def _bucketed(df: DataFrame, name: str, by: str, n: int) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     entry = f"{name}_{path.rsplit('-', 1)[1]}"
-    df.repartition(n, by).write.bucketBy(n, by).option("compression", "zstd").option("path", path).saveAsTable(entry)
+    df.write.bucketBy(n, by).option("compression", "zstd").option("path", path).saveAsTable(entry)  # a file for each task and bucket
     got = spark.table(entry)
     spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where the frame reads them
     return got
@@ -185,9 +209,8 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, bu
 class Unit:
     """The tokens of one unit and, level by level, what the buckets answered about them."""
 
-    def __init__(self, block, bits: int, totals: tuple[int, int] | None, least: int, lam: float):
-        self.rows = np.frombuffer(block["rows"], np.int64)
-        self.ids = [int(x) if x else None for x in bytes(block["ids"]).decode().split(",")]
+    def __init__(self, block, bits: int, totals: tuple[int, int] | None, least: int, lam: float, hot: int):
+        self.names = {c: bytes(block[c]) for c in ("rows", "ids", "held")}  # of all texts, those without tokens here included
         self.held = np.frombuffer(block["held"], bool)
         size = np.frombuffer(block["sizes"], np.int64)
         self.words = np.frombuffer(block["words"], np.uint64)
@@ -195,11 +218,13 @@ class Unit:
                       + (np.frombuffer(block["high"], np.uint16).astype(np.int64) << 16))
         self.piece = np.repeat(np.arange(len(size)), size)
         self.place = np.arange(len(self.index)) - np.repeat(np.cumsum(size) - size, size)
-        self.own = self.place >= np.frombuffer(block["leads"], np.int64)[self.piece]
+        self.leads = np.frombuffer(block["leads"], np.int64)
+        self.own = self.place >= self.leads[self.piece]
         self.train = self.own & ~self.held[self.piece]
-        self.bits, self.totals, self.least, self.lam = bits, totals, least, lam
+        self.bits, self.totals, self.least, self.lam, self.hot = bits, totals, least, lam, hot
         self.level = 0
-        self.done = None
+        self.numbers = self.at = self.done = None
+        self.partial = False
 
     def _cut(self, spread: np.ndarray):
         """Where the ascending ``spread`` changes bucket: (bucket numbers, bounds)."""
@@ -213,9 +238,10 @@ class Unit:
         got, cut = self._cut(self.words)
         return [(int(g), self.words[a:b], count[a:b]) for g, a, b in zip(got, cut, cut[1:], strict=False)]
 
-    def take_words(self, sums: np.ndarray) -> None:
-        n, v = self.totals
+    def take_words(self, sums: np.ndarray, numbers: np.ndarray) -> None:
+        n, v, _ = self.totals
         self.count = sums  # of each distinct word, over all training tokens
+        self.numbers = numbers  # and its number among all distinct words
         self.base = (sums + 1) / (n + v + 1)
         self.p = self.base[self.index]
         self.times = sums[self.index]  # how often the last `level` words and this one occur; here this word alone
@@ -226,17 +252,30 @@ class Unit:
         """Tokens whose suffix is kept, and those before one: the next level needs the sums there (lead words too)."""
         return self.alive | np.append(self.alive[1:] & (self.place[1:] > 0), False)
 
+    def asked(self) -> np.ndarray:
+        """Tokens that the next level asks about: the wanted ones whose context is frequent enough."""
+        if self.at is not None:
+            return self.at
+        at = np.flatnonzero((self.place > self.level) & self.wanted())
+        # not counted there, as no context of that length mattered: what a longer one can have at most is known here
+        most = np.where(self.known[at - 1], self.times[at - 1], self.times[at])
+        # before a token whose suffix is kept, the sum is asked as the count of that token's next context
+        return at[np.where(self.alive[at], most, np.minimum(most, self.times[at])) >= self.least]
+
+    def next_names(self) -> tuple[np.ndarray, int]:
+        """The names of the unit's words as next words of the next level, and their bytes."""
+        if self.level < STORED:
+            return self.numbers, name_bytes(self.totals[2])
+        return self.words & np.uint64((1 << 8 * NAME_BYTES) - 1), NAME_BYTES
+
     def layout(self):
         """The distinct (context, next word) pairs of the next level, ordered by bucket, context and pair."""
         d = self.level + 1
-        at = np.flatnonzero((self.place >= d) & self.wanted())
+        at = self.asked()
         n = self.times[at - 1]  # occurrences of the context that ends just before
-        # not counted there, as no context of that length mattered: what a longer one can have at most is known here
-        often = np.where(self.known[at - 1], n, self.times[at]) >= self.least
-        at, n = at[often], n[often]
         context = mix(self.context[at] * K + self.words[self.index[at - d]] + np.uint64(d))
-        pair = mix(context * K + self.words[self.index[at]])
-        hot = max(HOT_LEAST, self.totals[0] // HOT_SHARE)
+        pair = mix(context * K + self.next_names()[0][self.index[at]])
+        hot = self.hot
         spread = mix(context)
         split = np.flatnonzero(n > hot)
         part = pair[split] % (1 + n[split] // hot).astype(np.uint64) + np.uint64(1)
@@ -255,26 +294,33 @@ class Unit:
         first = order[new]
         inverse = np.empty(len(order), np.int64)
         inverse[order] = np.cumsum(new) - 1
-        return at, context, n, pair, spread, first, inverse, hot
+        return at, context, n, spread, first, inverse
 
     def ask(self, turn: int, passes: int):
-        """Rows of the buckets of this turn: (bucket, contexts, whether their suffix is kept, pairs per context, N per context, pairs, counts,
-        the parent's p)."""
-        at, context, n, pair, spread, first, inverse, hot = self.layout()
+        """Rows of the buckets of this turn, as in ``PAIRS``: contexts, whether their suffix is kept, pairs per context, places and N of the
+        split contexts, next words, counts, whether the parent's p is told, and it."""
+        at, context, n, spread, first, inverse = self.layout()
         count = np.bincount(inverse[self.train[at]], minlength=len(first))
-        parent = self.p[at[first]].astype(np.float32)  # coarser steps would look like a gain of frequent contexts
+        one = at[first]
+        told = (count > 0) & (self.times[one] > 1)  # a pair that occurs once gains the same whatever the p
+        parent = self.p[one].astype(np.float32)  # coarser steps would look like a gain of frequent contexts
+        names, k = self.next_names()
+        names = trimmed(names[self.index[one]], k)
         got, cut = self._cut(spread[first])
         for g, a, b in zip(got, cut, cut[1:], strict=False):
             if g % passes != turn:
                 continue
             c, s = context[first[a:b]], spread[first[a:b]]
             own = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
-            yield (int(g), c[own], np.packbits(self.alive[at[first[a:b]][own]]), np.diff(np.append(own, b - a)), n[first[a:b]][own],
-                   pair[first[a:b]], count[a:b], parent[a:b])
+            total = n[first[a:b]][own]
+            split = np.flatnonzero(total > self.hot)
+            yield (int(g), c[own].tobytes(), np.packbits(self.alive[one[a:b][own]]).tobytes(), packed(np.diff(np.append(own, b - a))),
+                   np.concatenate([split, total[split]]).astype(np.int64).tobytes(), names[a:b].tobytes(), packed(count[a:b]),
+                   np.packbits(told[a:b]).tobytes(), parent[a:b][told[a:b]].tobytes())
 
     def take(self, sums: np.ndarray, kept: np.ndarray, hot_kept: frozenset) -> None:
         """Step one level down with the answers, in the order of ``layout``; kept is 0, 1, or 2 for a split context."""
-        at, context, n, pair, spread, first, inverse, hot = self.layout()
+        at, context, _, spread, first, inverse = self.layout()
         known = (self.place > self.level) & self.wanted()
         c, s = context[first], spread[first]
         own = np.cumsum(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1]))) - 1 if len(first) else np.zeros(0, int)
@@ -290,55 +336,77 @@ class Unit:
         go = at[alive[at]]
         of = self.times[go - 1]
         self.p[go] = (times[go] + self.lam * self.p[go]) / (of + self.lam)
-        self.times, self.context, self.alive, self.known, self.level = times, deeper, alive, known, self.level + 1
-
-    def _total(self, v: np.ndarray) -> np.ndarray:
-        """Sums of ``v`` over the own tokens of each piece."""
-        return np.bincount(self.piece[self.own], v[self.own], len(self.rows))
+        self.times, self.context, self.alive, self.known, self.level, self.at = times, deeper, alive, known, self.level + 1, None
 
-    def sums(self) -> list[np.ndarray]:
-        """Known tokens and base score of each piece, and the score of its tokens whose context cannot grow."""
+    def settle(self) -> None:
+        """Fix the tokens that are asked about next, and the score of the others."""
+        at = self.asked()
+        alive = np.zeros(len(self.index), bool)
+        alive[at] = self.alive[at]
         if self.done is None:
-            known, base = self._total(self.count[self.index] > 0), self._total(np.log10(self.base[self.index]))
-            settled = np.zeros(len(self.rows))
-            open_before = np.ones(len(self.index), bool)
-        else:
-            (known, base, settled), open_before = self.done, self.open
-        now = open_before & ~self.alive
-        return [known, base, settled + self._total(np.log10(np.where(now, self.p, 1.0)))]
+            tokens = np.bincount(self.piece[self.own], minlength=len(self.held))
+            self.done = [tokens, *(np.bincount(self.piece[self.own], v[self.index[self.own]], len(self.held))
+                                   for v in (self.count > 0, np.log10(self.base))), np.zeros(len(self.held)), None]
+            self.open = np.ones(len(self.index), bool)
+        self.done[3] = self.done[3] + self._logs(self.open & ~alive)
+        self.done[4] = self.done[3] + self._logs(alive)  # if no longer context is kept
+        self.alive = self.open = alive
+        self.at = at[self.wanted()[at]]
+
+    def _logs(self, some: np.ndarray) -> np.ndarray:
+        """The score of these tokens in each piece."""
+        at = np.flatnonzero(self.own & some)
+        return np.bincount(self.piece[at], np.log10(self.p[at]), len(self.held))
 
     def state(self) -> dict:
-        """What the longer contexts need: see ``load``."""
-        some = self.wanted()
-        at = np.flatnonzero(some | np.append(some[1:], False))  # and the token before each, for its times
-        flags = np.packbits(np.stack([self.alive[at], self.known[at], some[at]]))
-        return {"bucket": self.level, "sums": packed(self.times[at]), "kept": flags.tobytes(),
-                "places": packed(np.diff(at, prepend=0)), "p": self.p[np.flatnonzero(self.alive)].tobytes(),
-                "done": np.concatenate(self.sums()).tobytes()}
+        """What the longer contexts need, after ``settle``: see ``load``."""
+        size = np.zeros(len(self.held), np.int64)
+        size[self.piece[self.at]] = self.place[self.at] + 1  # up to the last token that is asked about
+        part = dict.fromkeys(_names(PART))
+        q = np.union1d(self.at, self.at - 1)  # with the token before each, for its times
+        places = q
+        if self.partial or FEW * size.sum() < len(self.index):
+            left = self.place < size[self.piece]
+            used, index = np.unique(self.index[left], return_inverse=True)
+            part = {"sizes": size, "leads": self.leads, "words": self.words[used],
+                    "low": (index & 0xFFFF).astype(np.uint16), "high": (index >> 16).astype(np.uint16)}
+            part = {c: x.tobytes() for c, x in part.items()}
+            places = np.cumsum(left)[q] - 1
+        flags = np.zeros((2, len(self.index)), bool)
+        flags[0], flags[1, self.at] = self.alive, True
+        return {"bucket": self.level, "sums": packed(self.times[q]), "kept": np.packbits(flags[:, q]).tobytes(),
+                "places": packed(np.diff(places, prepend=0)), "p": self.p[np.flatnonzero(self.alive)].tobytes(),
+                "done": np.concatenate(self.done).astype(float).tobytes(), **self.names, **part}
 
     def load(self, state) -> None:
         n = len(self.index)
         at = np.cumsum(unpacked([state["places"]]))
-        self.level = int(state["bucket"])
-        self.times, self.alive, self.known, self.p = np.zeros(n, np.int64), np.zeros(n, bool), np.zeros(n, bool), np.ones(n)
+        self.level, self.partial = int(state["bucket"]), state["words"] is not None
+        self.times, self.alive, self.p = np.zeros(n, np.int64), np.zeros(n, bool), np.ones(n)
         self.context = np.zeros(n, np.uint64)
         self.times[at] = unpacked([state["sums"]])
-        flags = np.unpackbits(np.frombuffer(state["kept"], np.uint8), count=3 * len(at)).astype(bool).reshape(3, -1)
-        self.alive[at], self.known[at] = flags[:2]
-        at = at[flags[2]]
+        flags = np.unpackbits(np.frombuffer(state["kept"], np.uint8), count=2 * len(at)).astype(bool).reshape(2, -1)
+        self.alive[at] = flags[0]
+        self.at = at = at[flags[1]]
         self.p[np.flatnonzero(self.alive)] = np.frombuffer(state["p"], float)
         self.open = self.alive.copy()
-        self.done = tuple(np.frombuffer(state["done"], float).reshape(3, -1))
-        for d in range(1, self.level + 1):
-            some = at[self.place[at] >= d]
-            self.context[some] = mix(self.context[some] * K + self.words[self.index[some - d]] + np.uint64(d))
+        self.done = list(np.frombuffer(state["done"], float).reshape(5, -1))
+        for d in range(1, self.level + 1):  # all that are asked about have as many words before them
+            self.context[at] = mix(self.context[at] * K + self.words[self.index[at - d]] + np.uint64(d))
+
 
-    def scores(self) -> pd.DataFrame:
-        known, base, settled = self.sums()
-        return pd.DataFrame({
-            "row": self.rows, "id": pd.array(self.ids, "Int64"), "held": self.held,
-            "n_tokens": np.bincount(self.piece[self.own], minlength=len(self.rows)), "n_known": np.round(known).astype(np.int64),
-            "base_score": base, "score": settled + self._total(np.log10(np.where(self.alive, self.p, 1.0)))})
+def name_bytes(n: int) -> int:
+    """Bytes of a number below ``n``."""
+    return max(1, (n.bit_length() + 7) // 8)
+
+
+def score_rows(state) -> pd.DataFrame:
+    """The scores of all texts of a unit, from its state."""
+    tokens, known, base, _, score = np.frombuffer(state["done"], float).reshape(5, -1)
+    ids = [int(x) if x else None for x in bytes(state["ids"]).decode().split(",")]
+    return pd.DataFrame({
+        "row": np.frombuffer(state["rows"], np.int64), "id": pd.array(ids, "Int64"), "held": np.frombuffer(state["held"], bool),
+        "n_tokens": np.round(tokens).astype(np.int64), "n_known": np.round(known).astype(np.int64), "base_score": base, "score": score})
 
 
 def _sum_words(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -348,36 +416,44 @@ def _sum_words(pdf: pd.DataFrame) -> pd.DataFrame:
     np.add.at(sums, of, unpacked(pdf.counts))
     cut = np.cumsum(n)
     out = pd.DataFrame({"unit": pdf.unit, "level": 0, "bucket": pdf.bucket,
-                        "sums": [packed(sums[of[b - k:b]]) for b, k in zip(cut, n, strict=True)], "kept": b""})
+                        "sums": [packed(sums[of[b - k:b]]) for b, k in zip(cut, n, strict=True)],
+                        "kept": [packed(np.diff(of[b - k:b], prepend=0)) for b, k in zip(cut, n, strict=True)]})  # places among the bucket's words
     return pd.concat([out, pd.DataFrame({"unit": [-1], "level": [0], "bucket": [pdf.bucket.iloc[0]], "sums": [
-        np.array([sums.sum(), (sums > 0).sum()], np.int64).tobytes()], "kept": [b""]})])
+        np.array([sums.sum(), (sums > 0).sum(), len(words)], np.int64).tobytes()], "kept": [b""]})])
 
 
-def _sum_pairs(level: int, lam: float, least_gain: float, hot: int):
+def _sum_pairs(level: int, lam: float, least_gain: float, k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         def flat(c, kind):
             return np.frombuffer(b"".join(pdf[c]), kind)
 
-        contexts, fan, n = flat("contexts", np.uint64), unpacked(pdf.fan), unpacked(pdf.n)
-        live = np.concatenate([np.zeros(0, bool), *(np.unpackbits(np.frombuffer(x, np.uint8), count=len(c) // 8).astype(bool)
-                                                    for x, c in zip(pdf.lives, pdf.contexts, strict=True))])
-        pairs, counts, parent = flat("pairs", np.uint64), unpacked(pdf.counts), flat("parent", np.float32)
+        contexts, fan = flat("contexts", np.uint64), unpacked(pdf.fan)
+        last, ends = np.cumsum([len(x) // 8 for x in pdf.contexts]), np.cumsum([len(x) // k for x in pdf.next])
+        begin, first = np.append(0, last[:-1]), np.append(0, ends[:-1])
+        live, told = bits_of(pdf.lives, last - begin), bits_of(pdf.told, ends - first)
+        n = np.zeros(len(contexts), np.int64)  # of split contexts
+        for x, at in zip(pdf.n, begin, strict=True):
+            if len(x):
+                place, total = np.frombuffer(x, np.int64).reshape(2, -1)
+                n[at + place] = total
         of_entry = np.repeat(np.arange(len(contexts)), fan)
+        counts, parent = unpacked(pdf.counts), np.zeros(len(of_entry), np.float32)
+        parent[told] = flat("parent", np.float32)
+        pairs = mix(contexts[of_entry] * K + untrimmed(b"".join(pdf.next), k))
         _, rank, order, begins = distinct(pairs)
         sums = np.add.reduceat(counts[order], begins)
-        one = order[begins]  # one entry of each distinct pair
         names, of_context, *_ = distinct(contexts)
         seen = sums > 0
-        p = parent[one][seen].astype(float)
-        total, s = n[of_entry[one]][seen], sums[seen]
-        gain = np.bincount(of_context[of_entry[one]][seen],
-                           s * np.log((s - 1 + lam * p) / (total - 1 + lam) / p), len(names))
+        s = sums[seen]
+        of_pair = of_context[of_entry[order[begins]]][seen]
+        p = np.where(s > 1, np.maximum.reduceat(parent[order], begins)[seen], 1).astype(float)  # told by all that count it; any p if once
+        total = np.bincount(of_pair, s, len(names))
+        total[of_context[n > 0]] = n[n > 0]
+        gain = np.bincount(of_pair, s * np.log((s - 1 + lam * p) / (total[of_pair] - 1 + lam) / p), len(names))
         split, kin = np.zeros(len(names), bool), np.zeros(len(names), bool)
-        split[of_context] = live & (n > hot)  # the same in all entries of a context
+        split[of_context] = live & (n > 0)  # the same in all entries of a context
         kin[of_context] = live
         verdict = np.where(split, 2, kin & (gain > least_gain)).astype(np.uint8)
-        ends, last = np.cumsum([len(x) // 8 for x in pdf.pairs]), np.cumsum([len(x) // 8 for x in pdf.contexts])
-        first, begin = np.append(0, ends[:-1]), np.append(0, last[:-1])
         by_entry, by_context = sums[rank], verdict[of_context]
         out = pd.DataFrame({"unit": pdf.unit, "level": level, "bucket": pdf.bucket,
                             "sums": [packed(by_entry[a:b]) for a, b in zip(first, ends, strict=True)],
@@ -410,33 +486,38 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     bits = len(keys).bit_length() - 1
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = _blocks(docs, key, text, held, unit_bytes, max(parts, size // BUCKET_BYTES + 1))
-    totals: tuple[int, int] = (0, 0)
     hot_kept: list[frozenset] = []
 
     def ask_words(batches):
         for pdf in batches:
             for _, block in pdf.iterrows():
-                got = Unit(block, bits, None, least, lam).ask_words()
+                got = Unit(block, bits, None, least, lam, 0).ask_words()
                 yield pd.DataFrame({"unit": block["unit"], "bucket": [g for g, _, _ in got], "deal": keys[np.array([g for g, _, _ in got], int)],
                                     "words": [w.tobytes() for _, w, _ in got],
                                     "counts": [packed(c) for _, _, c in got]})
 
     answers, path = stored(blocks.mapInPandas(ask_words, "unit long, bucket int, deal int, words binary, counts binary")
                             .groupBy("deal").applyInPandas(_sum_words, ANSWER), "words")
-    # two numbers per bucket, and there are 2**bits buckets
-    found = [np.frombuffer(bytes(r.sums), np.int64) for r in answers.filter("unit = -1").collect()]
-    totals = (int(sum(p[0] for p in found)), int(sum(p[1] for p in found)))
+    # three numbers per bucket, and there are 2**bits buckets
+    found = {r.bucket: np.frombuffer(bytes(r.sums), np.int64) for r in answers.filter("unit = -1").collect()}
+    n_words = np.zeros(len(keys) + 1, np.int64)
+    n_words[[b + 1 for b in found]] = [x[2] for x in found.values()]
+    before = np.cumsum(n_words)  # the number of a bucket's first word
+    totals = (int(sum(x[0] for x in found.values())), int(sum(x[1] for x in found.values())), int(before[-1]))
     hot = max(HOT_LEAST, totals[0] // HOT_SHARE)
     every, old = [answers.filter("unit >= 0")], [path]  # the answers that rebuild a unit, and where they stand
 
     def rebuilt(block, got: pd.DataFrame, kept_hot: list[frozenset]) -> Unit:
-        """The unit after the answers in ``got``, from its state if there is one."""
-        unit = Unit(block, bits, totals, least, lam)
+        """The unit after the answers in ``got``, from its state if there is one; the state may hold what is left of the unit, too."""
         has = got[got.level == STATE]
+        whole = not len(has) or has.words.iloc[0] is None
+        unit = Unit(block.iloc[0] if whole else has.iloc[0], bits, totals, least, lam, hot)
         if len(has):
             unit.load(has.iloc[0])
         else:
-            unit.take_words(unpacked(got[got.level == 0].sort_values("bucket").sums))
+            own = got[got.level == 0].sort_values("bucket")
+            unit.take_words(unpacked(own.sums), np.concatenate([before[b] + np.cumsum(unpacked([x])) for b, x in zip(own.bucket, own.kept, strict=True)])
+                            .astype(np.uint64))
         for level in range(unit.level + 1, len(kept_hot) + 1):
             own = got[got.level == level].sort_values("bucket")
             unit.take(unpacked(own.sums), np.frombuffer(b"".join(own.kept), np.uint8), kept_hot[level - 1])
@@ -446,40 +527,43 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         got = every[0]
         for more in every[1:]:
             got = got.unionByName(more, allowMissingColumns=True)
+        if partial:
+            return got.groupBy("unit").applyInPandas(lambda got: step(None, got), schema)
         return blocks.groupBy("unit").cogroup(got.groupBy("unit")).applyInPandas(step, schema)
 
     def asks(unit: Unit, number: int, turn: int = 0, passes: int = 1) -> pd.DataFrame:
-        cells = [[g, c.tobytes(), a.tobytes(), packed(fan), packed(n), p.tobytes(), packed(k), q.tobytes()]
-                 for g, c, a, fan, n, p, k, q in unit.ask(turn, passes)]
-        out = pd.DataFrame(cells, columns=["bucket", "contexts", "lives", "fan", "n", "pairs", "counts", "parent"])
+        out = pd.DataFrame(list(unit.ask(turn, passes)), columns=["bucket", *_names(PAIRS)])
         return out.assign(unit=number, deal=keys[out.bucket.astype(int)])
 
     def asking(turn: int, passes: int):
         def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-            return asks(rebuilt(block.iloc[0], got, hot_kept), block.unit.iloc[0], turn, passes)
+            return asks(rebuilt(block, got, hot_kept), got.unit.iloc[0], turn, passes)
         return ask
 
     def stepping(last: bool):
         def step(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
             """A row with the unit's state, and the rows that ask for the next length."""
-            number, unit = block.unit.iloc[0], rebuilt(block.iloc[0], got, hot_kept)
+            number, unit = got.unit.iloc[0], rebuilt(block, got, hot_kept)
+            unit.settle()
             state = pd.DataFrame([unit.state()]).assign(unit=number, level=STATE, deal=0, **dict.fromkeys(_names(PAIRS)))
             if last:
                 return state
-            rows = asks(unit, number).assign(level=ASK, **dict.fromkeys(("sums", "kept", "places", "p", "done")))
+            rows = asks(unit, number).assign(level=ASK, **dict.fromkeys(c for c in _names(STATES) if c not in _names(ASKED) and c != "level"))
             return pd.concat([state, rows[state.columns]]) if len(rows) else state
         return step
 
     level = 0
     waiting: DataFrame | None = None  # what the units ask next, if their last step wrote it
+    partial = False  # whether the states hold what is left of all units
     while depth is None or level < depth:
         level += 1
         gains: dict[int, float] = {}
-        n_kept, passes = 0, PASSES if level < STORED else 1
+        n_kept, passes = 0, PASSES if waiting is None else 1
+        k = name_bytes(totals[2]) if level <= STORED else NAME_BYTES
         told, paths = [], []
         for turn in range(passes):
             asked = waiting if waiting is not None else joined(asking(turn, passes), ASKED)
-            some, path = stored(asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, hot), ANSWER), "pairs")
+            some, path = stored(asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, k), ANSWER), "pairs")
             told.append(some.filter("unit >= 0"))
             paths.append(path)
             for r in some.filter("unit < 0 AND length(sums) > 0").collect():  # per bucket a number, and HOT_SHARE contexts in parts
@@ -499,13 +583,23 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
             both, path = stored(joined(stepping(level == depth), f"{STATES}, deal int, {PAIRS}"), "states")
             for p in old:  # the state replaces them
                 remove(spark, p)
-            every, old = [both.filter(F.col("level") == STATE).select(*_names(STATES))], [path]
+            states = both.filter(F.col("level") == STATE).select(*_names(STATES))
+            every, old = [states], [path]
             waiting = both.filter(F.col("level") == ASK).select(*_names(ASKED))
+            partial = partial or states.filter(F.col("words").isNull()).isEmpty()
 
     def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
-        return rebuilt(block.iloc[0], got, hot_kept).scores()
+        unit = rebuilt(block, got, hot_kept)
+        unit.settle()
+        return score_rows(unit.state())
+
+    def ended(batches):
+        for pdf in batches:
+            for _, state in pdf.iterrows():
+                yield score_rows(state)
 
-    each = joined(finish, "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double")
+    schema = "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double"
+    each = joined(finish, schema) if waiting is None else every[0].select("rows", "ids", "held", "done").mapInPandas(ended, schema)
     return each.groupBy("row", "id", "held").agg(
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))).select(
         F.col("id").alias(key), F.col("held").alias("held_out"), "n_tokens", "n_known",
