@@ -8,7 +8,7 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
+The units and their states are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
 rounds, one after the other, so that only a part of all pairs is on disk at a time.  There the next word travels as its number among all
 distinct words, and its probability only where the gain can depend on it.  From ``STORED`` words on a unit keeps a state: the tokens
 that are asked about next, and per text the score of the others; it is written together with what the unit asks next, and what
@@ -19,15 +19,18 @@ so their partial gains are summed on the driver.
 
 from __future__ import annotations
 
+import uuid
+from contextlib import contextmanager
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobflow.llm.common import BUCKET_BYTES, WindowNames, bucket_bits, even_keys, fold, mix, stored, table_of, utf8_view
-from jobflow.session import remove, scratch_path
+from jobflow.llm.common import BUCKET_BYTES, CLEANUP, WindowNames, bucket_bits, even_keys, fold, mix, stored, table_of, utf8_view
+from jobflow.session import remove, scratch_path, session_conf
 
 UNIT_BYTES = 4 << 20
 LEADS = 64  # words that a later piece of a text beyond a unit sees before its own; a kept context of that length is an error there
@@ -43,6 +46,7 @@ PART = "sizes binary, leads binary, words binary, low binary, high binary"  # of
 STATES = f"{ANSWER}, places binary, p binary, done binary, rows binary, ids binary, held binary, {PART}"
 STATE = -1  # a unit's state travels like an answer of level -1
 FEW = 4  # a state holds the tokens that are left if they are less than one in so many
+FEWER_BITS = 2  # of the bucket numbers beyond STORED words, as fewer pairs are asked about
 NAME_BYTES = 6  # of a next word's name beyond STORED words: 48 bits tell the next words of one context apart
 PAIRS = "contexts binary, lives binary, fan binary, n binary, next binary, counts binary, told binary, parent binary"
 ASKED, ASK = f"unit long, bucket int, deal int, {PAIRS}", -2  # level of the rows that ask, where they stand among states
@@ -143,15 +147,34 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _bucketed(df: DataFrame, name: str, by: str, n: int) -> DataFrame:
-    """``df`` stored in ``n`` buckets of ``by``: what is joined to it on ``by`` is shuffled, not the frame itself."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    entry = f"{name}_{path.rsplit('-', 1)[1]}"
-    df.write.bucketBy(n, by).option("compression", "zstd").option("path", path).saveAsTable(entry)  # a file for each task and bucket
-    got = spark.table(entry)
-    spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where the frame reads them
-    return got
+class Bucketed:
+    """A scratch folder of rows in ``n`` buckets of ``unit``: what is joined to them on that is shuffled, not these rows."""
+
+    def __init__(self, spark: SparkSession, name: str, schema: str, n: int):
+        self.spark, self.name, self.schema, self.n, self.path = spark, name, schema, n, scratch_path(spark, name)
+
+    @contextmanager
+    def _entry(self):
+        """A catalog entry for the folder, for the time of one call: it is the only way to tell that rows are in buckets."""
+        entry = f"{self.name}_{uuid.uuid4().hex}"
+        columns = ", ".join("`{}` {}".format(*c.split()) for c in self.schema.split(", "))
+        place = self.path.replace("'", "\\'")
+        self.spark.sql(f"CREATE TABLE {entry} ({columns}) USING parquet OPTIONS (compression 'zstd') CLUSTERED BY (unit) INTO {self.n} BUCKETS "
+                       f"LOCATION '{place}'")
+        try:
+            yield entry
+        finally:
+            self.spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where frames read them
+
+    def add(self, df: DataFrame) -> None:
+        """A file for each task and bucket; columns that ``df`` does not have are null."""
+        cells = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in _names(self.schema)]
+        with session_conf(self.spark, **{CLEANUP: "true"}), self._entry() as entry:
+            df.select(*cells).write.insertInto(entry)
+
+    def frame(self) -> DataFrame:
+        with self._entry() as entry:
+            return self.spark.table(entry)
 
 
 def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, buckets: int) -> DataFrame:
@@ -203,7 +226,9 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, bu
         if held:
             yield flush()
 
-    return _bucketed(rows.mapInArrow(pack, BLOCK), "tokens", "unit", buckets)
+    units = Bucketed(docs.sparkSession, "tokens", BLOCK, buckets)
+    units.add(rows.mapInArrow(pack, BLOCK))
+    return units.frame()
 
 
 class Unit:
@@ -221,11 +246,16 @@ class Unit:
         self.leads = np.frombuffer(block["leads"], np.int64)
         self.own = self.place >= self.leads[self.piece]
         self.train = self.own & ~self.held[self.piece]
-        self.bits, self.totals, self.least, self.lam, self.hot = bits, totals, least, lam, hot
+        self.all_bits, self.totals, self.least, self.lam, self.hot = bits, totals, least, lam, hot
         self.level = 0
         self.numbers = self.at = self.done = None
         self.partial = False
 
+    @property
+    def bits(self) -> int:
+        """log2 of the number of buckets that the next level asks."""
+        return self.all_bits if self.level < STORED else self.all_bits - FEWER_BITS
+
     def _cut(self, spread: np.ndarray):
         """Where the ascending ``spread`` changes bucket: (bucket numbers, bounds)."""
         cut = np.searchsorted(spread >> np.uint64(64 - self.bits), np.arange((1 << self.bits) + 1, dtype=np.uint64))
@@ -256,11 +286,11 @@ class Unit:
         """Tokens that the next level asks about: the wanted ones whose context is frequent enough."""
         if self.at is not None:
             return self.at
-        at = np.flatnonzero((self.place > self.level) & self.wanted())
-        # not counted there, as no context of that length mattered: what a longer one can have at most is known here
-        most = np.where(self.known[at - 1], self.times[at - 1], self.times[at])
+        # where not counted, as no context of that length mattered: what a longer one can have at most is known here
+        often = self.times >= self.least
+        most = np.where(self.known[:-1], often[:-1], often[1:])
         # before a token whose suffix is kept, the sum is asked as the count of that token's next context
-        return at[np.where(self.alive[at], most, np.minimum(most, self.times[at])) >= self.least]
+        return np.flatnonzero((self.place[1:] > self.level) & self.wanted()[1:] & most & (self.alive[1:] | often[1:])) + 1
 
     def next_names(self) -> tuple[np.ndarray, int]:
         """The names of the unit's words as next words of the next level, and their bytes."""
@@ -268,8 +298,9 @@ class Unit:
             return self.numbers, name_bytes(self.totals[2])
         return self.words & np.uint64((1 << 8 * NAME_BYTES) - 1), NAME_BYTES
 
-    def layout(self):
-        """The distinct (context, next word) pairs of the next level, ordered by bucket, context and pair."""
+    def layout(self, turn: int = 0, passes: int = 1):
+        """The tokens that the next level asks about in this turn, ordered by bucket, context and pair, and where a distinct
+        (context, next word) pair begins: (tokens, whether a pair begins, and per pair context, N of it, and what deals it out), and all tokens' contexts."""
         d = self.level + 1
         at = self.asked()
         n = self.times[at - 1]  # occurrences of the context that ends just before
@@ -286,33 +317,32 @@ class Unit:
         top = np.uint64(64 - max(self.bits, (64 - low) // 2))
         key = (spread >> top << top) | (pair >> (np.uint64(64) - top) >> np.uint64(low) << np.uint64(low))
         key |= np.arange(len(at), dtype=np.uint64)
+        if passes > 1:
+            key = key[(spread >> np.uint64(64 - self.bits)) & np.uint64(passes - 1) == turn]  # PASSES is a power of two
         key.sort()
         order = (key & np.uint64((1 << low) - 1)).astype(np.int64)
         ordered = pair[order]
         new = np.ones(len(order), bool)
         new[1:] = ordered[1:] != ordered[:-1]
         first = order[new]
-        inverse = np.empty(len(order), np.int64)
-        inverse[order] = np.cumsum(new) - 1
-        return at, context, n, spread, first, inverse
+        return at[order], new, context[first], n[first], spread[first], context
 
     def ask(self, turn: int, passes: int):
         """Rows of the buckets of this turn, as in ``PAIRS``: contexts, whether their suffix is kept, pairs per context, places and N of the
         split contexts, next words, counts, whether the parent's p is told, and it."""
-        at, context, n, spread, first, inverse = self.layout()
-        count = np.bincount(inverse[self.train[at]], minlength=len(first))
-        one = at[first]
+        tokens, new, context, n, spread, _ = self.layout(turn, passes)
+        begins = np.flatnonzero(new)
+        one = tokens[begins]
+        count = np.add.reduceat(self.train[tokens], begins, dtype=np.int64) if len(one) else begins
         told = (count > 0) & (self.times[one] > 1)  # a pair that occurs once gains the same whatever the p
         parent = self.p[one].astype(np.float32)  # coarser steps would look like a gain of frequent contexts
         names, k = self.next_names()
         names = trimmed(names[self.index[one]], k)
-        got, cut = self._cut(spread[first])
+        got, cut = self._cut(spread)
         for g, a, b in zip(got, cut, cut[1:], strict=False):
-            if g % passes != turn:
-                continue
-            c, s = context[first[a:b]], spread[first[a:b]]
+            c, s = context[a:b], spread[a:b]
             own = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
-            total = n[first[a:b]][own]
+            total = n[a:b][own]
             split = np.flatnonzero(total > self.hot)
             yield (int(g), c[own].tobytes(), np.packbits(self.alive[one[a:b][own]]).tobytes(), packed(np.diff(np.append(own, b - a))),
                    np.concatenate([split, total[split]]).astype(np.int64).tobytes(), names[a:b].tobytes(), packed(count[a:b]),
@@ -320,22 +350,23 @@ class Unit:
 
     def take(self, sums: np.ndarray, kept: np.ndarray, hot_kept: frozenset) -> None:
         """Step one level down with the answers, in the order of ``layout``; kept is 0, 1, or 2 for a split context."""
-        at, context, _, spread, first, inverse = self.layout()
+        tokens, new, c, _, s, context = self.layout()
         known = (self.place > self.level) & self.wanted()
-        c, s = context[first], spread[first]
-        own = np.cumsum(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1]))) - 1 if len(first) else np.zeros(0, int)
+        own = np.cumsum(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1]))) - 1 if len(c) else np.zeros(0, int)
         keep = kept[own] == 1
         for k in np.flatnonzero(kept[own] == 2):
             keep[k] = int(c[k]) in hot_kept
+        of = np.cumsum(new) - 1  # the pair of each token
         times = np.zeros(len(self.index), np.int64)
-        times[at] = sums[inverse]
+        times[tokens] = sums[of]
         deeper = np.zeros(len(self.index), np.uint64)
-        deeper[at] = context
+        deeper[self.asked()] = context
         alive = np.zeros(len(self.index), bool)
-        alive[at] = keep[inverse] & self.alive[at]
-        go = at[alive[at]]
-        of = self.times[go - 1]
-        self.p[go] = (times[go] + self.lam * self.p[go]) / (of + self.lam)
+        alive[tokens] = keep[of]
+        alive &= self.alive
+        go = np.flatnonzero(alive)
+        before = self.times[go - 1]
+        self.p[go] = (times[go] + self.lam * self.p[go]) / (before + self.lam)
         self.times, self.context, self.alive, self.known, self.level, self.at = times, deeper, alive, known, self.level + 1, None
 
     def settle(self) -> None:
@@ -363,7 +394,9 @@ class Unit:
         size = np.zeros(len(self.held), np.int64)
         size[self.piece[self.at]] = self.place[self.at] + 1  # up to the last token that is asked about
         part = dict.fromkeys(_names(PART))
-        q = np.union1d(self.at, self.at - 1)  # with the token before each, for its times
+        some = np.zeros(len(self.index), bool)
+        some[self.at] = some[self.at - 1] = True  # with the token before each, for its times
+        q = np.flatnonzero(some)
         places = q
         if self.partial or FEW * size.sum() < len(self.index):
             left = self.place < size[self.piece]
@@ -482,10 +515,12 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     length = F.octet_length(F.col(text).cast("string"))
     size, longest = docs.agg(F.coalesce(F.sum(length), F.lit(0)), F.coalesce(F.max(length), F.lit(0))).first()
-    keys = even_keys(spark, bucket_bits(spark, 4 * size // PASSES))  # a token's pair takes about 20 bytes, a token 5 and more
-    bits = len(keys).bit_length() - 1
+    bits = bucket_bits(spark, 2 * size // PASSES, 7)  # a token's pair takes about 10 bytes, a token 5 and more
+    keys = even_keys(spark, bits)
+    few_keys = even_keys(spark, bits - FEWER_BITS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks = _blocks(docs, key, text, held, unit_bytes, max(parts, size // BUCKET_BYTES + 1))
+    n_buckets = max(parts, size // BUCKET_BYTES + 1)
+    blocks = _blocks(docs, key, text, held, unit_bytes, n_buckets)
     hot_kept: list[frozenset] = []
 
     def ask_words(batches):
@@ -533,7 +568,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def asks(unit: Unit, number: int, turn: int = 0, passes: int = 1) -> pd.DataFrame:
         out = pd.DataFrame(list(unit.ask(turn, passes)), columns=["bucket", *_names(PAIRS)])
-        return out.assign(unit=number, deal=keys[out.bucket.astype(int)])
+        return out.assign(unit=number, deal=(keys if unit.level < STORED else few_keys)[out.bucket.astype(int)])
 
     def asking(turn: int, passes: int):
         def ask(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
@@ -553,20 +588,26 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return step
 
     level = 0
-    waiting: DataFrame | None = None  # what the units ask next, if their last step wrote it
+    both: Bucketed | None = None  # the units' states, what they ask next, and the answers to that
     partial = False  # whether the states hold what is left of all units
     while depth is None or level < depth:
         level += 1
         gains: dict[int, float] = {}
-        n_kept, passes = 0, PASSES if waiting is None else 1
+        n_kept, passes = 0, 1 if both else PASSES
         k = name_bytes(totals[2]) if level <= STORED else NAME_BYTES
         told, paths = [], []
         for turn in range(passes):
-            asked = waiting if waiting is not None else joined(asking(turn, passes), ASKED)
-            some, path = stored(asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, k), ANSWER), "pairs")
-            told.append(some.filter("unit >= 0"))
-            paths.append(path)
-            for r in some.filter("unit < 0 AND length(sums) > 0").collect():  # per bucket a number, and HOT_SHARE contexts in parts
+            asked = both.frame().filter(F.col("level") == ASK).select(*_names(ASKED)) if both else joined(asking(turn, passes), ASKED)
+            some = asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, k), ANSWER)
+            if both:
+                both.add(some.repartition(n_buckets, "unit"))
+                some = both.frame().filter(F.col("level") == level)
+            else:
+                some, path = stored(some, "pairs")
+                told.append(some.filter("unit >= 0"))
+                paths.append(path)
+            # per bucket a number, and HOT_SHARE contexts in parts
+            for r in some.filter("unit IN (-1, -2) AND length(sums) > 0").select("unit", "sums", "kept").collect():
                 if r.unit == -2:
                     n_kept += int(np.frombuffer(bytes(r.sums), np.int64)[0])
                     continue
@@ -577,16 +618,15 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
         if level >= LEADS and longest > unit_bytes:
             raise ValueError(f"contexts of {level} words are kept; pieces of long texts see {LEADS}")
-        every, old = [*every, *told], [*old, *paths]
+        every, old = [both.frame().filter(f"level <> {ASK} AND unit >= 0").select(*_names(STATES))] if both else [*every, *told], [*old, *paths]
         hot_kept.append(split)
         if level >= STORED:
-            both, path = stored(joined(stepping(level == depth), f"{STATES}, deal int, {PAIRS}"), "states")
+            both = Bucketed(spark, "states", f"{STATES}, deal int, {PAIRS}", n_buckets)
+            both.add(joined(stepping(level == depth), both.schema))
             for p in old:  # the state replaces them
                 remove(spark, p)
-            states = both.filter(F.col("level") == STATE).select(*_names(STATES))
-            every, old = [states], [path]
-            waiting = both.filter(F.col("level") == ASK).select(*_names(ASKED))
-            partial = partial or states.filter(F.col("words").isNull()).isEmpty()
+            old = [both.path]
+            partial = partial or both.frame().filter(f"level = {STATE} AND words IS NULL").isEmpty()
 
     def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         unit = rebuilt(block, got, hot_kept)
@@ -599,7 +639,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 yield score_rows(state)
 
     schema = "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double"
-    each = joined(finish, schema) if waiting is None else every[0].select("rows", "ids", "held", "done").mapInPandas(ended, schema)
+    each = both.frame().filter(f"level = {STATE}").select("rows", "ids", "held", "done").mapInPandas(ended, schema) if both else joined(finish, schema)
     return each.groupBy("row", "id", "held").agg(
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))).select(
         F.col("id").alias(key), F.col("held").alias("held_out"), "n_tokens", "n_known",

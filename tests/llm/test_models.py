@@ -335,6 +335,43 @@ def test_suffix_tree_units_are_not_shuffled(spark, odd_docs):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("tokens_")]
 
 
+def test_names_keep_their_low_bytes():
+    x = np.array([0, 1, 255, 256, (1 << 24) - 1, (1 << 48) - 1], np.uint64)
+    for k in (3, 6):
+        data = suffix_tree_lm.trimmed(x, k).tobytes()
+        assert len(data) == k * len(x) and suffix_tree_lm.untrimmed(data, k).tolist() == (x % (1 << 8 * k)).tolist()
+    assert [suffix_tree_lm.name_bytes(n) for n in (0, 255, 256, 1 << 16)] == [1, 1, 2, 3]
+
+
+def test_few_texts_left_need_no_units(spark, monkeypatch):
+    rng = random.Random(4)
+    chain = defaultdict(lambda: [rng.choice("pqr") for _ in range(2)])
+    rows = [(" ".join(f"n{rng.randrange(2000)}" for _ in range(100)), i % 7 == 2) for i in range(150)] + [(None, True)]
+    for i in range(20):  # only here contexts grow long
+        w = ["p"]
+        while len(w) < 100:
+            w.append(rng.choice(chain[tuple(w[-5:])]))
+        rows.append((" ".join(w), i % 7 == 2))
+    frame = spark.createDataFrame([(i, t, h) for i, (t, h) in enumerate(rows)], "doc_id long, text string, held_out boolean").repartition(3)
+    plans, add = [], suffix_tree_lm.Bucketed.add
+
+    def spied(self, df):
+        plans.append((self.name, df._jdf.queryExecution().analyzed().toString()))
+        add(self, df)
+    monkeypatch.setattr(suffix_tree_lm.Bucketed, "add", spied)
+    scores = suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, least_gain=2.0)
+    steps = [p for name, p in plans if name == "states" and "RepartitionByExpression" not in p]
+    assert "FlatMapCoGroupsInPandas" in steps[0] and "FlatMapCoGroupsInPandas" not in steps[-1]  # states alone
+    assert not any("RepartitionByExpression" in p for name, p in plans if name == "tokens")
+    assert "FlatMapCoGroupsInPandas" not in scores._jdf.queryExecution().executedPlan().toString()
+    want, n, kept = brute_suffix_tree(rows, None, 4, 3.0, 2.0)
+    assert max(len(s) for s in kept) > 3
+    for r in scores.collect():
+        tokens, known, base, score = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (tokens, known, n)
+        assert r.base_score == pytest.approx(base, abs=1e-8) and r.score == pytest.approx(score, abs=1e-8)
+
+
 def test_suffix_tree_edges(spark, odd_docs, no_docs):
     got = suffix_tree_lm.document_scores(odd_docs).collect()
     assert len(got) == odd_docs.count() and all(r.score <= 0 and r.n_tokens > 0 for r in got)
