@@ -8,9 +8,9 @@ suffix of what stands before it; the root has add-one counts.
 The tree never is in one place.  Texts become token units (a few MB of text).  For each context length a unit
 sends its distinct (context, next word) pairs with counts to buckets by context; a bucket sums them over all
 units, tests its contexts and answers every unit with exactly the sums it asked for.
-The units and their states are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
-rounds, one after the other, so that only a part of all pairs is on disk at a time.  There the next word travels as its number among all
-distinct words, and its probability only where the gain can depend on it.  From ``STORED`` words on a unit keeps a state: the tokens
+The units are stored bucketed, so that only the answers are shuffled to them.  The buckets of up to ``STORED`` words are asked in ``PASSES``
+rounds, one after the other, so that only a part of all pairs is on disk at a time.  There words travel as their numbers among all
+distinct words, and a next word's probability only where the gain can depend on it.  From ``STORED`` words on a unit keeps a state: the tokens
 that are asked about next, and per text the score of the others; it is written together with what the unit asks next, and what
 it has replaced is removed.  Once few texts of a unit are left to ask about, its state holds their tokens too, and when all units' states do,
 the units are not read any more.  Contexts with more than 1/4096 of all tokens are split by next word; there can be at most 4096 of them,
@@ -19,18 +19,15 @@ so their partial gains are summed on the driver.
 
 from __future__ import annotations
 
-import uuid
-from contextlib import contextmanager
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobflow.llm.common import BUCKET_BYTES, CLEANUP, WindowNames, bucket_bits, even_keys, fold, mix, stored, table_of, utf8_view
-from jobflow.session import remove, scratch_path, session_conf
+from jobflow.llm.common import BUCKET_BYTES, WindowNames, bucket_bits, even_keys, fold, mix, stored, table_of, utf8_view
+from jobflow.session import remove, scratch_path
 
 UNIT_BYTES = 4 << 20
 LEADS = 64  # words that a later piece of a text beyond a unit sees before its own; a kept context of that length is an error there
@@ -147,34 +144,15 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-class Bucketed:
-    """A scratch folder of rows in ``n`` buckets of ``unit``: what is joined to them on that is shuffled, not these rows."""
-
-    def __init__(self, spark: SparkSession, name: str, schema: str, n: int):
-        self.spark, self.name, self.schema, self.n, self.path = spark, name, schema, n, scratch_path(spark, name)
-
-    @contextmanager
-    def _entry(self):
-        """A catalog entry for the folder, for the time of one call: it is the only way to tell that rows are in buckets."""
-        entry = f"{self.name}_{uuid.uuid4().hex}"
-        columns = ", ".join("`{}` {}".format(*c.split()) for c in self.schema.split(", "))
-        place = self.path.replace("'", "\\'")
-        self.spark.sql(f"CREATE TABLE {entry} ({columns}) USING parquet OPTIONS (compression 'zstd') CLUSTERED BY (unit) INTO {self.n} BUCKETS "
-                       f"LOCATION '{place}'")
-        try:
-            yield entry
-        finally:
-            self.spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where frames read them
-
-    def add(self, df: DataFrame) -> None:
-        """A file for each task and bucket; columns that ``df`` does not have are null."""
-        cells = [F.col(c) if c in df.columns else F.lit(None).alias(c) for c in _names(self.schema)]
-        with session_conf(self.spark, **{CLEANUP: "true"}), self._entry() as entry:
-            df.select(*cells).write.insertInto(entry)
-
-    def frame(self) -> DataFrame:
-        with self._entry() as entry:
-            return self.spark.table(entry)
+def _bucketed(df: DataFrame, name: str, by: str, n: int) -> DataFrame:
+    """``df`` stored in ``n`` buckets of ``by``: what is joined to it on ``by`` is shuffled, not the frame itself."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    entry = f"{name}_{path.rsplit('-', 1)[1]}"
+    df.write.bucketBy(n, by).option("compression", "zstd").option("path", path).saveAsTable(entry)  # a file for each task and bucket
+    got = spark.table(entry)
+    spark.sql(f"DROP TABLE {entry}")  # only its name: the files stand where the frame reads them
+    return got
 
 
 def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, buckets: int) -> DataFrame:
@@ -226,9 +204,7 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, bu
         if held:
             yield flush()
 
-    units = Bucketed(docs.sparkSession, "tokens", BLOCK, buckets)
-    units.add(rows.mapInArrow(pack, BLOCK))
-    return units.frame()
+    return _bucketed(rows.mapInArrow(pack, BLOCK), "tokens", "unit", buckets)
 
 
 class Unit:
@@ -292,6 +268,16 @@ class Unit:
         # before a token whose suffix is kept, the sum is asked as the count of that token's next context
         return np.flatnonzero((self.place[1:] > self.level) & self.wanted()[1:] & most & (self.alive[1:] | often[1:])) + 1
 
+    def _longer(self, context: np.ndarray, at: np.ndarray, d: int) -> np.ndarray:
+        """The names of the contexts of ``d`` words, from those of one word less."""
+        return mix(context * K + self.words[self.index[at - d]] + np.uint64(d))
+
+    def _hashed(self, at: np.ndarray, d: int) -> np.ndarray:
+        context = np.zeros(len(at), np.uint64)
+        for k in range(1, d + 1):
+            context = self._longer(context, at, k)
+        return context
+
     def next_names(self) -> tuple[np.ndarray, int]:
         """The names of the unit's words as next words of the next level, and their bytes."""
         if self.level < STORED:
@@ -304,7 +290,11 @@ class Unit:
         d = self.level + 1
         at = self.asked()
         n = self.times[at - 1]  # occurrences of the context that ends just before
-        context = mix(self.context[at] * K + self.words[self.index[at - d]] + np.uint64(d))
+        if self.level < STORED and context_bytes(d, self.totals[2]) < 8:
+            far = np.uint64(8 * (d - 1) * name_bytes(self.totals[2]))
+            context = self.context[at] | self.numbers[self.index[at - d]] << far
+        else:
+            context = self._hashed(at, d) if d <= STORED + 1 else self._longer(self.context[at], at, d)
         pair = mix(context * K + self.next_names()[0][self.index[at]])
         hot = self.hot
         spread = mix(context)
@@ -336,6 +326,7 @@ class Unit:
         count = np.add.reduceat(self.train[tokens], begins, dtype=np.int64) if len(one) else begins
         told = (count > 0) & (self.times[one] > 1)  # a pair that occurs once gains the same whatever the p
         parent = self.p[one].astype(np.float32)  # coarser steps would look like a gain of frequent contexts
+        wide = trimmed(context, context_bytes(self.level + 1, self.totals[2]))
         names, k = self.next_names()
         names = trimmed(names[self.index[one]], k)
         got, cut = self._cut(spread)
@@ -344,7 +335,7 @@ class Unit:
             own = np.flatnonzero(np.append(True, (c[1:] != c[:-1]) | (s[1:] != s[:-1])))
             total = n[a:b][own]
             split = np.flatnonzero(total > self.hot)
-            yield (int(g), c[own].tobytes(), np.packbits(self.alive[one[a:b][own]]).tobytes(), packed(np.diff(np.append(own, b - a))),
+            yield (int(g), wide[a:b][own].tobytes(), np.packbits(self.alive[one[a:b][own]]).tobytes(), packed(np.diff(np.append(own, b - a))),
                    np.concatenate([split, total[split]]).astype(np.int64).tobytes(), names[a:b].tobytes(), packed(count[a:b]),
                    np.packbits(told[a:b]).tobytes(), parent[a:b][told[a:b]].tobytes())
 
@@ -424,8 +415,7 @@ class Unit:
         self.p[np.flatnonzero(self.alive)] = np.frombuffer(state["p"], float)
         self.open = self.alive.copy()
         self.done = list(np.frombuffer(state["done"], float).reshape(5, -1))
-        for d in range(1, self.level + 1):  # all that are asked about have as many words before them
-            self.context[at] = mix(self.context[at] * K + self.words[self.index[at - d]] + np.uint64(d))
+        self.context[at] = self._hashed(at, self.level)  # all that are asked about have as many words before them
 
 
 def name_bytes(n: int) -> int:
@@ -433,6 +423,11 @@ def name_bytes(n: int) -> int:
     return max(1, (n.bit_length() + 7) // 8)
 
 
+def context_bytes(d: int, n_words: int) -> int:
+    """Bytes of a context's name: the numbers of its words, or 8 of a hash where these are not fewer."""
+    return min(8, d * name_bytes(n_words)) if d <= STORED else 8
+
+
 def score_rows(state) -> pd.DataFrame:
     """The scores of all texts of a unit, from its state."""
     tokens, known, base, _, score = np.frombuffer(state["done"], float).reshape(5, -1)
@@ -455,13 +450,13 @@ def _sum_words(pdf: pd.DataFrame) -> pd.DataFrame:
         np.array([sums.sum(), (sums > 0).sum(), len(words)], np.int64).tobytes()], "kept": [b""]})])
 
 
-def _sum_pairs(level: int, lam: float, least_gain: float, k: int):
+def _sum_pairs(level: int, lam: float, least_gain: float, wide: int, k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         def flat(c, kind):
             return np.frombuffer(b"".join(pdf[c]), kind)
 
-        contexts, fan = flat("contexts", np.uint64), unpacked(pdf.fan)
-        last, ends = np.cumsum([len(x) // 8 for x in pdf.contexts]), np.cumsum([len(x) // k for x in pdf.next])
+        contexts, fan = untrimmed(b"".join(pdf.contexts), wide), unpacked(pdf.fan)
+        last, ends = np.cumsum([len(x) // wide for x in pdf.contexts]), np.cumsum([len(x) // k for x in pdf.next])
         begin, first = np.append(0, last[:-1]), np.append(0, ends[:-1])
         live, told = bits_of(pdf.lives, last - begin), bits_of(pdf.told, ends - first)
         n = np.zeros(len(contexts), np.int64)  # of split contexts
@@ -519,8 +514,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
     keys = even_keys(spark, bits)
     few_keys = even_keys(spark, bits - FEWER_BITS)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_buckets = max(parts, size // BUCKET_BYTES + 1)
-    blocks = _blocks(docs, key, text, held, unit_bytes, n_buckets)
+    blocks = _blocks(docs, key, text, held, unit_bytes, max(parts, size // BUCKET_BYTES + 1))
     hot_kept: list[frozenset] = []
 
     def ask_words(batches):
@@ -588,26 +582,20 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return step
 
     level = 0
-    both: Bucketed | None = None  # the units' states, what they ask next, and the answers to that
+    waiting: DataFrame | None = None  # what the units ask next, if their last step wrote it
     partial = False  # whether the states hold what is left of all units
     while depth is None or level < depth:
         level += 1
         gains: dict[int, float] = {}
-        n_kept, passes = 0, 1 if both else PASSES
+        n_kept, passes = 0, PASSES if waiting is None else 1
         k = name_bytes(totals[2]) if level <= STORED else NAME_BYTES
         told, paths = [], []
         for turn in range(passes):
-            asked = both.frame().filter(F.col("level") == ASK).select(*_names(ASKED)) if both else joined(asking(turn, passes), ASKED)
-            some = asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, k), ANSWER)
-            if both:
-                both.add(some.repartition(n_buckets, "unit"))
-                some = both.frame().filter(F.col("level") == level)
-            else:
-                some, path = stored(some, "pairs")
-                told.append(some.filter("unit >= 0"))
-                paths.append(path)
-            # per bucket a number, and HOT_SHARE contexts in parts
-            for r in some.filter("unit IN (-1, -2) AND length(sums) > 0").select("unit", "sums", "kept").collect():
+            asked = waiting if waiting is not None else joined(asking(turn, passes), ASKED)
+            some, path = stored(asked.groupBy("deal").applyInPandas(_sum_pairs(level, lam, least_gain, context_bytes(level, totals[2]), k), ANSWER), "pairs")
+            told.append(some.filter("unit >= 0"))
+            paths.append(path)
+            for r in some.filter("unit < 0 AND length(sums) > 0").collect():  # per bucket a number, and HOT_SHARE contexts in parts
                 if r.unit == -2:
                     n_kept += int(np.frombuffer(bytes(r.sums), np.int64)[0])
                     continue
@@ -618,15 +606,16 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
         if level >= LEADS and longest > unit_bytes:
             raise ValueError(f"contexts of {level} words are kept; pieces of long texts see {LEADS}")
-        every, old = [both.frame().filter(f"level <> {ASK} AND unit >= 0").select(*_names(STATES))] if both else [*every, *told], [*old, *paths]
+        every, old = [*every, *told], [*old, *paths]
         hot_kept.append(split)
         if level >= STORED:
-            both = Bucketed(spark, "states", f"{STATES}, deal int, {PAIRS}", n_buckets)
-            both.add(joined(stepping(level == depth), both.schema))
+            both, path = stored(joined(stepping(level == depth), f"{STATES}, deal int, {PAIRS}"), "states")
             for p in old:  # the state replaces them
                 remove(spark, p)
-            old = [both.path]
-            partial = partial or both.frame().filter(f"level = {STATE} AND words IS NULL").isEmpty()
+            states = both.filter(F.col("level") == STATE).select(*_names(STATES))
+            every, old = [states], [path]
+            waiting = both.filter(F.col("level") == ASK).select(*_names(ASKED))
+            partial = partial or states.filter(F.col("words").isNull()).isEmpty()
 
     def finish(block: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
         unit = rebuilt(block, got, hot_kept)
@@ -639,7 +628,7 @@ def suffix_tree_scores(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 yield score_rows(state)
 
     schema = "row long, id long, held boolean, n_tokens long, n_known long, base_score double, score double"
-    each = both.frame().filter(f"level = {STATE}").select("rows", "ids", "held", "done").mapInPandas(ended, schema) if both else joined(finish, schema)
+    each = joined(finish, schema) if waiting is None else every[0].select("rows", "ids", "held", "done").mapInPandas(ended, schema)
     return each.groupBy("row", "id", "held").agg(
         *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score"))).select(
         F.col("id").alias(key), F.col("held").alias("held_out"), "n_tokens", "n_known",

@@ -341,6 +341,7 @@ def test_names_keep_their_low_bytes():
         data = suffix_tree_lm.trimmed(x, k).tobytes()
         assert len(data) == k * len(x) and suffix_tree_lm.untrimmed(data, k).tolist() == (x % (1 << 8 * k)).tolist()
     assert [suffix_tree_lm.name_bytes(n) for n in (0, 255, 256, 1 << 16)] == [1, 1, 2, 3]
+    assert [suffix_tree_lm.context_bytes(d, 1 << 20) for d in (1, 2, 3)] == [3, 6, 8] and suffix_tree_lm.context_bytes(2, 1 << 33) == 8
 
 
 def test_few_texts_left_need_no_units(spark, monkeypatch):
@@ -353,16 +354,15 @@ def test_few_texts_left_need_no_units(spark, monkeypatch):
             w.append(rng.choice(chain[tuple(w[-5:])]))
         rows.append((" ".join(w), i % 7 == 2))
     frame = spark.createDataFrame([(i, t, h) for i, (t, h) in enumerate(rows)], "doc_id long, text string, held_out boolean").repartition(3)
-    plans, add = [], suffix_tree_lm.Bucketed.add
+    steps, stored = [], suffix_tree_lm.stored
 
-    def spied(self, df):
-        plans.append((self.name, df._jdf.queryExecution().analyzed().toString()))
-        add(self, df)
-    monkeypatch.setattr(suffix_tree_lm.Bucketed, "add", spied)
+    def spied(df, name):
+        if name == "states":
+            steps.append(df._jdf.queryExecution().analyzed().toString())
+        return stored(df, name)
+    monkeypatch.setattr(suffix_tree_lm, "stored", spied)
     scores = suffix_tree_lm.suffix_tree_scores(frame, least=4, lam=3.0, least_gain=2.0)
-    steps = [p for name, p in plans if name == "states" and "RepartitionByExpression" not in p]
     assert "FlatMapCoGroupsInPandas" in steps[0] and "FlatMapCoGroupsInPandas" not in steps[-1]  # states alone
-    assert not any("RepartitionByExpression" in p for name, p in plans if name == "tokens")
     assert "FlatMapCoGroupsInPandas" not in scores._jdf.queryExecution().executedPlan().toString()
     want, n, kept = brute_suffix_tree(rows, None, 4, 3.0, 2.0)
     assert max(len(s) for s in kept) > 3
