@@ -53,9 +53,10 @@ _lower = np.where((_b >= 65) & (_b <= 90), _b + 32, _b).astype(np.uint8)
 
 
 def packed(x: np.ndarray) -> bytes:
-    """Counts as one byte each, those above 255 listed in front with their places."""
-    big = np.flatnonzero(x > 255)
-    return b"".join([np.int64([len(big)]).tobytes(), big.astype(np.int64).tobytes(), x[big].astype(np.int64).tobytes(),
+    """Counts as one byte each; those of 255 and more follow in two bytes, and of them those of 65535 and more in eight."""
+    big = x[x >= 255]
+    huge = big[big >= 65535]
+    return b"".join([np.int64([len(big), len(huge)]).tobytes(), huge.astype(np.int64).tobytes(), np.minimum(big, 65535).astype(np.uint16).tobytes(),
                      np.minimum(x, 255).astype(np.uint8).tobytes()])
 
 
@@ -63,14 +64,25 @@ def unpacked(blobs) -> np.ndarray:
     """The counts of several ``packed`` blobs, one after the other."""
     out = [np.zeros(0, np.int64)]
     for b in blobs:
-        n = int(np.frombuffer(b, np.int64, 1)[0])
-        big, value = np.frombuffer(b, np.int64, 2 * n, 8).reshape(2, n)
-        x = np.frombuffer(b, np.uint8, offset=8 + 16 * n).astype(np.int64)
-        x[big] = value
+        n, m = np.frombuffer(b, np.int64, 2).tolist()
+        big = np.frombuffer(b, np.uint16, n, 16 + 8 * m).astype(np.int64)
+        big[big == 65535] = np.frombuffer(b, np.int64, m, 16)
+        x = np.frombuffer(b, np.uint8, offset=16 + 8 * m + 2 * n).astype(np.int64)
+        x[x == 255] = big
         out.append(x)
     return np.concatenate(out)
 
 
+def spaced(x: np.ndarray) -> bytes:
+    """Ascending values as their distances, all first bytes before all second ones: the high bytes are mostly zero and compress to nothing."""
+    return np.diff(x, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unspaced(data: bytes) -> np.ndarray:
+    """The values of ``spaced`` bytes."""
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
 def trimmed(x: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` lowest bytes of each value, a row each."""
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k])
@@ -181,7 +193,7 @@ def _blocks(docs: DataFrame, key: str, text: str, held: str, unit_bytes: int, bu
             one = {"rows": np.array([h[0] for h in held], np.int64), "held": np.array([h[2] for h in held], bool),
                    "sizes": sizes + lead + end, "leads": lead, "ends": end, "words": words,
                    "low": (index & np.uint32(0xFFFF)).astype(np.uint16), "high": (index >> np.uint32(16)).astype(np.uint16)}
-            cells = {c: pa.array([one[c].tobytes()], pa.binary()) for c in one}
+            cells = {c: pa.array([spaced(one[c]) if c == "words" else one[c].tobytes()], pa.binary()) for c in one}
             ids = ",".join("" if h[1] is None else str(h[1]) for h in held).encode()
             cells |= {"unit": pa.array([number], pa.int64()), "ids": pa.array([ids], pa.binary())}
             number += 1
@@ -214,7 +226,7 @@ class Unit:
         self.names = {c: bytes(block[c]) for c in ("rows", "ids", "held")}  # of all texts, those without tokens here included
         self.held = np.frombuffer(block["held"], bool)
         size = np.frombuffer(block["sizes"], np.int64)
-        self.words = np.frombuffer(block["words"], np.uint64)
+        self.words = unspaced(block["words"])
         self.index = (np.frombuffer(block["low"], np.uint16).astype(np.int64)
                       + (np.frombuffer(block["high"], np.uint16).astype(np.int64) << 16))
         self.piece = np.repeat(np.arange(len(size)), size)
@@ -392,9 +404,9 @@ class Unit:
         if self.partial or FEW * size.sum() < len(self.index):
             left = self.place < size[self.piece]
             used, index = np.unique(self.index[left], return_inverse=True)
-            part = {"sizes": size, "leads": self.leads, "words": self.words[used],
+            part = {"sizes": size, "leads": self.leads,
                     "low": (index & 0xFFFF).astype(np.uint16), "high": (index >> 16).astype(np.uint16)}
-            part = {c: x.tobytes() for c, x in part.items()}
+            part = {c: x.tobytes() for c, x in part.items()} | {"words": spaced(self.words[used])}
             places = np.cumsum(left)[q] - 1
         flags = np.zeros((2, len(self.index)), bool)
         flags[0], flags[1, self.at] = self.alive, True

@@ -344,6 +344,18 @@ def test_names_keep_their_low_bytes():
     assert [suffix_tree_lm.context_bytes(d, 1 << 20) for d in (1, 2, 3)] == [3, 6, 8] and suffix_tree_lm.context_bytes(2, 1 << 33) == 8
 
 
+def test_large_counts_take_two_bytes_more():
+    x = np.array([0, 254, 255, 256, 65534, 65535, 1 << 40, 3])
+    some = [x, np.zeros(0, int), np.full(100, 300)]
+    assert suffix_tree_lm.unpacked([suffix_tree_lm.packed(y) for y in some]).tolist() == np.concatenate(some).tolist()
+    assert len(suffix_tree_lm.packed(some[2])) == 16 + 3 * 100
+
+
+def test_ascending_names_as_distances():
+    for x in ([], [0], [7, 300, (1 << 64) - 1]):
+        assert suffix_tree_lm.unspaced(suffix_tree_lm.spaced(np.array(x, np.uint64))).tolist() == x
+
+
 def test_few_texts_left_need_no_units(spark, monkeypatch):
     rng = random.Random(4)
     chain = defaultdict(lambda: [rng.choice("pqr") for _ in range(2)])
